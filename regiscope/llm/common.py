@@ -96,9 +96,13 @@ def _cuts(data: np.ndarray, offsets: np.ndarray, word: np.ndarray) -> Iterator[t
         at = to
 
 
-def hash_words(data: np.ndarray, offsets: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the lower-cased words of all texts in order, and each text's first word (len + 1 offsets)."""
+def hash_words(data: np.ndarray, offsets: np.ndarray, word: np.ndarray, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
+    """64-bit hashes of the lower-cased words of all texts in order, and each text's first word (len + 1 offsets).
+
+    With prefixes, also an array of hashes for each: of that many first bytes, or of the whole shorter word.
+    """
     hashes, places = [], []
+    heads: list[list[np.ndarray]] = [[] for _ in prefixes]
     for lo, hi in _cuts(data, offsets, word):
         part = data[lo:hi]
         m = word[part]
@@ -115,11 +119,14 @@ def hash_words(data: np.ndarray, offsets: np.ndarray, word: np.ndarray) -> tuple
         power[0] = 1
         np.cumprod(power, out=power)
         pos = np.arange(len(low)) - np.repeat(starts, lens)
-        hashes.append(mix(np.add.reduceat(_BYTE[low] * power[pos], starts) + lens.astype(np.uint64)))
+        terms = _BYTE[low] * power[pos]
+        hashes.append(mix(np.add.reduceat(terms, starts) + lens.astype(np.uint64)))
+        for k, out in zip(prefixes, heads):
+            out.append(mix(np.add.reduceat(np.where(pos < k, terms, np.uint64(0)), starts) + np.uint64(k << 32)))
         places.append(np.flatnonzero(first) + lo)
     if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    return np.concatenate(hashes), np.searchsorted(np.concatenate(places), offsets)
+        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), *(np.zeros(0, np.uint64) for _ in prefixes)
+    return np.concatenate(hashes), np.searchsorted(np.concatenate(places), offsets), *map(np.concatenate, heads)
 
 
 def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:

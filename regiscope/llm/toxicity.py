@@ -1,11 +1,11 @@
 """Toxic spans by a linear-chain conditional random field, and document scores from its marginals.
 
 Words of the training rows get token labels from the documents' labels: a word is toxic in a toxic
-document if it is far more frequent in toxic documents than in the others. On windows of words so
-labelled a two-state chain is fitted (a weight per hashed word, hashed pair with the word before, start
-and transition weights). Forward-backward marginals of every word of a whole text, computed blockwise
+document if it, or how it begins, is far more frequent in toxic documents than in the others. On windows of words so
+labelled a two-state chain is fitted (weights of the hashed word, its beginnings of 5 and 7 bytes and its pair
+with the word before, and of transitions). Forward-backward marginals of every word of a whole text, computed blockwise
 over all texts of a batch as products of 2 x 2 matrices, give offending spans and the document's score:
-a logistic function of the expected number of toxic words and of the largest marginal.
+a logistic function of the expected number of toxic words, the largest marginal and the length.
 
 The model is fitted on at most `SAMPLE` labelled rows of each class, in the order of a hash of doc_id;
 each gives all its words to the counts, and windows around labelled words to the chain. Scoring reads
@@ -16,7 +16,6 @@ of both classes every score is 0. Rows are scored one by one; other columns are
 from __future__ import annotations
 
 import re
-from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -29,30 +28,35 @@ from regiscope.llm.common import ALNUM, _MULT, hash_words, mix, tune, utf8
 SAMPLE = 3000
 WEIGHTS = 1 << 16
 SPAN = 32
+PREFIXES = (5, 7)
 TOXIC_AT = 0.5
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 SCHEMA = "doc_id long, score double, predicted int, spans array<struct<start:int,end:int>>"
 
 
+def _words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (words x 3: the word, its first 5 and 7 bytes) and each text's first word."""
+    h, first, *heads = hash_words(data, offs, ALNUM, PREFIXES)
+    return np.stack([h, *heads], axis=1), first
+
+
 def _features(h: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """Two weights' places for each word: the word, and the word with the one before it."""
-    before = np.empty_like(h)
-    before[1:] = h[:-1]
-    if len(h):
-        before[begins[begins < len(h)]] = np.uint64(0)
-    one = (h >> np.uint64(40)) % np.uint64(WEIGHTS)
-    two = mix(before * _MULT[3] + h) % np.uint64(WEIGHTS)
-    return np.stack([one, two + np.uint64(WEIGHTS)], axis=1).astype(np.int64)
+    """Places of each word's weights: the word, its beginnings, and the word with the one before it."""
+    before = np.zeros(len(h), np.uint64)
+    before[1:] = h[:-1, 0]
+    before[begins[begins < len(h)]] = np.uint64(0)
+    cols = [h[:, 0], h[:, 1], h[:, 2], mix(before * _MULT[3] + h[:, 0])]
+    return np.stack([(c >> np.uint64(40)) % np.uint64(WEIGHTS) + np.uint64(i * WEIGHTS) for i, c in enumerate(cols)], axis=1).astype(np.int64)
 
 
 class Chain:
     """Weights of the two-state chain and of the document score."""
 
     def __init__(self):
-        self.word = np.zeros(2 * WEIGHTS)
+        self.word = np.zeros(4 * WEIGHTS)
         self.trans = np.zeros((2, 2))
         self.bias = -4.0
-        self.doc = np.array([-3.0, 1.0, 1.0])
+        self.doc = np.array([-3.0, 1.0, 1.0, 0.0])
 
     def emission(self, h: np.ndarray, begins: np.ndarray) -> np.ndarray:
         return self.word[_features(h, begins)].sum(axis=1) + self.bias
@@ -110,10 +114,11 @@ def _scan(m: np.ndarray, v: np.ndarray, width: int = 64) -> np.ndarray:
 
 
 def _evidence(p: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Per text: log(1 + expected toxic words) and the largest marginal's log odds."""
+    """Per text: log(1 + expected toxic words), the largest marginal's log odds, log(1 + words)."""
     n = len(first) - 1
-    out = np.zeros((n, 2))
+    out = np.zeros((n, 3))
     out[:, 1] = -9.0
+    out[:, 2] = np.log1p(np.diff(first))
     full = np.flatnonzero(np.diff(first) > 0)
     if len(full):
         clip = np.clip(p, 1e-4, 1 - 1e-4)
@@ -129,22 +134,23 @@ def _fit(pdf: pd.DataFrame) -> Chain:
     pdf = pdf.sort_values(["doc_id", "text"])
     y = pdf["toxic"].to_numpy(int)
     if not (0 < y.sum() < len(y)):
-        chain.doc = np.array([-50.0, 0.0, 0.0])
+        chain.doc = np.array([-50.0, 0.0, 0.0, 0.0])
         return chain
     data, offs = utf8(pa.array(pdf["text"].fillna("").tolist(), pa.string()))
-    h, first = hash_words(data, offs, ALNUM)
-    docs = [np.unique(h[a:b]) for a, b in zip(first[:-1], first[1:])]
-    bad, good = Counter(), Counter()
-    for words, label in zip(docs, y):
-        (bad if label else good).update(words.tolist())
+    h, first = _words(data, offs)
     n1, n0 = y.sum(), len(y) - y.sum()
-    score = {w: np.log((c + 0.1) / (n1 + 0.2)) - np.log((good.get(w, 0) + 0.1) / (n0 + 0.2)) for w, c in bad.items() if c >= 3}
-    toxic = {w for w, s in score.items() if s > 2.5}
-    known = np.array(sorted(toxic), np.uint64)
     where = np.repeat(np.arange(len(y)), np.diff(first))
-    label = np.isin(h, known) & (y[where] == 1)
+    hot = np.zeros(len(h), bool)
+    for column in range(h.shape[1]):
+        values, ids = np.unique(h[:, column], return_inverse=True)
+        once = np.unique(ids.astype(np.int64) * len(y) + where)  # a value counts once a document
+        ids_once, labels = once // len(y), y[once % len(y)]
+        bad, good = (np.bincount(ids_once, labels == k, len(values)) for k in (1, 0))
+        odds = np.log((bad + 0.1) / (n1 + 0.2)) - np.log((good + 0.1) / (n0 + 0.2))
+        hot |= ((odds > 3) & (bad >= max(3, 0.02 * n1)))[ids]
+    label = hot & (y[where] == 1)
     # windows: around labelled words, around the same words in other documents, and some clean text
-    hit = np.flatnonzero(np.isin(h, known))
+    hit = np.flatnonzero(hot)
     clean = np.arange(0, len(h), max(1, len(h) // 6000))
     starts = np.unique(np.clip(np.concatenate([hit, clean]) - SPAN // 2, 0, max(0, len(h) - SPAN)))
     starts = starts[np.append(True, np.diff(starts) >= SPAN // 2)][:20000]
@@ -223,7 +229,7 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chai
     got = rows.groupBy().applyInPandas(fit, "model binary").collect()
     if not got:
         chain = Chain()
-        chain.doc = np.array([-50.0, 0.0, 0.0])
+        chain.doc = np.array([-50.0, 0.0, 0.0, 0.0])
         return chain
     return pickle.loads(got[0].model)
 
@@ -231,7 +237,7 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chai
 def _score(chain: Chain, b: pa.RecordBatch) -> pa.RecordBatch:
     texts = b.column("text")
     data, offs = utf8(texts)
-    h, first = hash_words(data, offs, ALNUM)
+    h, first = _words(data, offs)
     p = np.empty(len(h))
     cuts = [0]
     for k in range(1, len(first)):  # whole texts, together about 2^17 words
