@@ -78,7 +78,7 @@ WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, ''))
 d AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS owner,
              CAST(unhex(hex) AS BIT)::VARCHAR AS bits FROM p)
 SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
-       array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
            CAST(16 * CAST(substr(bits, CAST(5 * i + 1 AS BIGINT), 1) AS INT) + 8 * CAST(substr(bits, CAST(5 * i + 2 AS BIGINT), 1) AS INT)
               + 4 * CAST(substr(bits, CAST(5 * i + 3 AS BIGINT), 1) AS INT) + 2 * CAST(substr(bits, CAST(5 * i + 4 AS BIGINT), 1) AS INT)
               + CAST(substr(bits, CAST(5 * i + 5 AS BIGINT), 1) AS INT) + 1 AS BIGINT), 1)), '') AS payload_digest,
@@ -90,7 +90,7 @@ FROM d"""
 _OP2 = """
 WITH a AS (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS k FROM documents WHERE text IS NOT NULL),
 l AS (SELECT doc_id, k, string_split(text, chr(10))[k] AS line FROM a),
-w AS (SELECT *, len(list_filter(regexp_split_to_array(line, '[ \\t\\n\\f\\r\\x0B]+'), x -> x <> '')) AS n FROM l),
+w AS (SELECT *, len(list_filter(regexp_split_to_array(line, '[ \\t\\n\\f\\r\\x0B]+'), lambda x: x <> '')) AS n FROM l),
 b AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS o,
              sum(n) OVER (PARTITION BY doc_id ORDER BY k) AS upto FROM w WHERE n > 0),
 win AS (
@@ -109,7 +109,7 @@ FROM documents d LEFT JOIN counts c USING (doc_id) LEFT JOIN losses g USING (doc
 _OP3 = """
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 g AS (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-             ELSE list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))) END) AS s FROM w),
+             ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END) AS s FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
 o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM g a JOIN g b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
 e AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
@@ -120,8 +120,8 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(least.c, d.doc_id) AS
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)"""
 
 _OP4 = """
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
-           WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 20"""
@@ -130,11 +130,11 @@ _WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRST
 _OP7 = f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
-iw AS (SELECT DISTINCT item_id, least(13, len(w)) AS size, unnest(list_transform(range(1, len(w) - least(13, len(w)) + 2), i -> array_to_string(w[i:i + least(13, len(w)) - 1], ' '))) AS win FROM b WHERE len(w) > 0),
+iw AS (SELECT DISTINCT item_id, least(13, len(w)) AS size, unnest(list_transform(range(1, len(w) - least(13, len(w)) + 2), lambda i: array_to_string(w[i:i + least(13, len(w)) - 1], ' '))) AS win FROM b WHERE len(w) > 0),
 sizes AS (SELECT DISTINCT size FROM iw),
-dw AS (SELECT doc_id, size, unnest(range(1, len(w) - size + 2)) AS at, w FROM d, sizes WHERE len(w) >= size),
-hits AS (SELECT dw.doc_id, at, dw.size, item_id FROM (SELECT doc_id, at, size, array_to_string(w[at:at + size - 1], ' ') AS win FROM dw) dw JOIN iw ON iw.win = dw.win AND iw.size = dw.size),
-places AS (SELECT DISTINCT doc_id, unnest(range(at, at + size)) AS p FROM hits),
+dw AS (SELECT doc_id, size, unnest(range(1, len(w) - size + 2)) AS pos, w FROM d, sizes WHERE len(w) >= size),
+hits AS (SELECT dw.doc_id, pos, dw.size, item_id FROM (SELECT doc_id, pos, size, array_to_string(w[pos:pos + size - 1], ' ') AS win FROM dw) dw JOIN iw ON iw.win = dw.win AND iw.size = dw.size),
+places AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + size)) AS p FROM hits),
 n AS (SELECT doc_id, count(*) AS n FROM places GROUP BY doc_id),
 i AS (SELECT doc_id, count(DISTINCT item_id) AS n, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items FROM hits GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n.n, 0) AS n_hit, coalesce(i.n, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
