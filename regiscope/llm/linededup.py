@@ -54,29 +54,26 @@ def _active(lines: DataFrame) -> DataFrame:
 def _windows(active: DataFrame, min_words: int) -> DataFrame:
     """(at, size): the shortest stretch of min_words words from each line on and up to each line, within runs."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("at")
-        at, w = pdf["at"].to_numpy(), pdf["w"].to_numpy()
-        total = np.concatenate([[0], np.cumsum(w)])
+    def packed(pdf: pd.DataFrame) -> pd.DataFrame:
+        key, run, at, w = (pdf[c].to_numpy() for c in ("key", "run", "at", "w"))
+        order = np.lexsort((at, run, key))
+        key, run, at, w = key[order], run[order], at[order], w[order]
+        n = len(at)
+        starts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (run[1:] != run[:-1])))
+        lens = np.diff(starts, append=n)
+        begin, end = np.repeat(starts, lens), np.repeat(starts + lens, lens)
+        total = np.concatenate([[0], np.cumsum(w)])  # rises with every line
+        here = np.arange(n)
         ends = np.searchsorted(total, total[:-1] + min_words, "left")  # smallest end with enough words
-        ok = ends <= len(w)
-        start, size = at[ok], ends[ok] - np.flatnonzero(ok)
         begins = np.searchsorted(total, total[1:] - min_words, "right") - 1  # largest begin with enough words
-        ok = begins >= 0
-        start = np.concatenate([start, at[begins[ok]]])
-        size = np.concatenate([size, np.flatnonzero(ok) + 1 - begins[ok]])
-        return pd.DataFrame({"at": start, "size": size}).drop_duplicates()
-
-    def packed(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = [run(g) for _, g in pdf.groupby(["key", "run"], sort=False)]
-        return pd.concat(parts) if parts else pd.DataFrame({"at": [], "size": []}, dtype="int64")
+        on, upto = ends <= end, begins >= begin
+        found = np.concatenate([np.stack([at[on], (ends - here)[on]], axis=1), np.stack([at[begins[upto]], (here + 1 - begins)[upto]], axis=1)])
+        found = np.unique(found, axis=0)
+        return pd.DataFrame({"at": found[:, 0], "size": found[:, 1]})
 
-    # lines of 50 words alone need no neighbours; the rest is gathered by document, many documents a group
-    single = active.where(F.col("w") >= min_words).select("at", F.lit(1).cast("long").alias("size"))
     n = max(8, active.select(F.ceil(F.count("*") / 50_000)).first()[0])
     mixed = active.withColumn("pack", F.pmod(F.hash("key"), F.lit(int(n))))
-    many = mixed.select("pack", "key", "run", "at", "w").groupBy("pack").applyInPandas(packed, "at long, size long")
-    return many.unionByName(single).distinct()
+    return mixed.select("pack", "key", "run", "at", "w").groupBy("pack").applyInPandas(packed, "at long, size long")
 
 
 def deleted_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
