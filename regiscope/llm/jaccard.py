@@ -10,7 +10,8 @@ nowhere else need no block. Frequent passages come last in this order and so bin
 In each block a signature tree holds OR-combined shingle bitmaps and size ranges in its nodes. The tree
 is traversed against itself: a pair of nodes is left if its sizes or the greatest overlap its bitmaps
 allow rule out a link, or if all their sets are connected already; at the leaves the sets themselves are
-intersected. Large blocks are cut into parts that share a few sets; what is then not connected with the
+intersected. Large blocks are first formed again with every shingle in the order, then cut into parts
+that share a few sets; what is then not connected with the
 block's largest component is compared with all its parts. So components are exact and no group is
 expanded into pairs.
 
@@ -24,7 +25,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regiscope.llm.common import SPACED, _MULT, connected_components, gram_hashes, hash_words, materialise, mix, tune, utf8
@@ -32,7 +33,7 @@ from regiscope.llm.common import SPACED, _MULT, connected_components, gram_hashe
 WIDTH = 5
 PERCENT = 75
 SAMPLE = 0.4
-PART = 512
+PART = 1024
 SHARED = 4
 BITS = 4096
 LEAF = 8
@@ -69,16 +70,16 @@ def _name(tokens: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)[0]), int(b.view(np.int64)[0])
 
 
-def _early(tokens: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+def _early(tokens: np.ndarray, percent: int, sample: float) -> tuple[np.ndarray, int]:
     """The shingles that may be among a set's first ones, and how many of them are sampled."""
     keys = mix(tokens)
     keys.sort()
-    m = int(np.searchsorted(keys, np.uint64(int(SAMPLE * 2**64))))
+    m = int(np.searchsorted(keys, np.uint64(int(sample * 2**64)))) if sample < 1 else len(keys)
     first = len(tokens) - needed(len(tokens), percent) + 1
     return keys[: max(m, first)], m
 
 
-def describe(documents: DataFrame, percent: int, buckets: int) -> DataFrame:
+def describe(documents: DataFrame, percent: int, buckets: int, sample: float) -> DataFrame:
     """For every text its set's size and name (bucket null), and for every bucket of hashes the early shingles, packed."""
 
     def run(batches):
@@ -92,7 +93,7 @@ def describe(documents: DataFrame, percent: int, buckets: int) -> DataFrame:
                     continue
                 name = _name(tokens)
                 if (m := seen.get(name)) is None:
-                    early, m = _early(tokens, percent)
+                    early, m = _early(tokens, percent, sample)
                     seen[name] = m
                     keys.append(early)
                     owner.append(np.full(len(early), name[0], np.int64))
@@ -157,9 +158,9 @@ def _home(owners: np.ndarray, buckets: int) -> np.ndarray:
     return (mix(owners.view(np.uint64) * _MULT[2]) % np.uint64(buckets)).astype(np.int32)
 
 
-def _links(percent: int):
+def _links(percent: int, sample: float):
     """Of the sets of one group: links with the smallest sets that share one of their first shingles."""
-    sampled = np.uint32(int(SAMPLE * 2**32))
+    sampled = int(sample * 2**32)
 
     def run(key, shared: pd.DataFrame, meta: pd.DataFrame) -> pd.DataFrame:
         if not len(shared) or not len(meta):
@@ -169,7 +170,7 @@ def _links(percent: int):
         meta = meta.drop_duplicates("s1").sort_values("s1")
         at = np.searchsorted(meta.s1.to_numpy(), cols["owners"])
         n, m = meta.n.to_numpy()[at], meta.m.to_numpy()[at]
-        late = cols["tokens"] >= sampled  # these come after all sampled ones, by hash
+        late = cols["tokens"].astype(np.int64) >= sampled  # these come after all sampled ones, by hash
         rare = np.where(late, 0, cols["times"])
         order = np.lexsort((bucket, cols["tokens"], rare, late, cols["owners"]))
         owners, hubs, n, m, late = cols["owners"][order], cols["hubs"][order], n[order], m[order], late[order]
@@ -274,13 +275,11 @@ def _block_links(percent: int):
     return run
 
 
-def similar_sets(documents: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(meta: doc_id, n, s1 (name of the set) of every row; links: a, b names of sets, enough to connect what is connected)."""
-    tune(documents.sparkSession)
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def _blocks(docs: DataFrame, percent: int, sample: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """meta (a row per document), sets (s1, n, m, of: a doc_id that has it), blocks (s1, block) of the sets that may be similar to others."""
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = int(max(16, chars // 8 // BUCKET + 1))
-    described = materialise(describe(docs, percent, buckets))
+    described = materialise(describe(docs, percent, buckets, sample))
     meta = described.where("bucket IS NULL").select("doc_id", "n", "m", "s1")
     sets = meta.where("n > 0").groupBy("s1").agg(F.min("n").alias("n"), F.min("m").alias("m"), F.min("doc_id").alias("of"))
 
@@ -289,49 +288,69 @@ def similar_sets(documents: DataFrame, percent: int = PERCENT) -> tuple[DataFram
 
     homed = sets.withColumn("home", F.pandas_udf(home, "int")("s1")).select("home", "s1", "n", "m")
     shared = described.where("bucket IS NOT NULL").select("bucket", "tokens", "owners").repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_shared(buckets), "home int, bucket int, owners binary, hubs binary, tokens binary, times binary")
-    links = shared.groupBy("home").cogroup(homed.groupBy("home")).applyInPandas(_links(percent), "a long, b long")
-    blocks = materialise(connected_components(links).select(F.col("node").alias("s1"), F.col("label").alias("block")))
-    sizes = blocks.groupBy("block").agg(F.count("*").alias("size"))
-    placed = materialise(blocks.join(sizes, "block").join(sets.select("s1", "of"), "s1"))
-    few = placed.count() <= BLOCKS_BROADCAST
-    placed_by = placed.withColumnRenamed("of", "doc_id")
-    texts = docs.join(F.broadcast(placed_by) if few else placed_by, "doc_id")
+    links = shared.groupBy("home").cogroup(homed.groupBy("home")).applyInPandas(_links(percent, sample), "a long, b long")
+    return meta, sets, materialise(connected_components(links).select(F.col("node").alias("s1"), F.col("label").alias("block")))
+
+
+def _ids(df: DataFrame, limit: int = BLOCKS_BROADCAST) -> DataFrame:
+    """For a join with the texts: broadcast while it has few rows."""
+    return F.broadcast(df) if df.count() <= limit else df
+
+
+def _compare(docs: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) found in each part of each block. placed: of, s1, block, parts, probe, group (null: not known)."""
 
     def tokens(batches):
         for b in batches:
             found = shingle_sets(*utf8(b.column("text")))
             # another row may have the same doc_id and another text
             t = [x.tobytes() if len(x) and _name(x)[0] == s1 else None for x, s1 in zip(found, b.column("s1").to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column("s1"), b.column("block"), b.column("size"), pa.array(t, pa.binary())], names=["s1", "block", "size", "tokens"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(t, pa.binary())], names=[*names, "tokens"])
+
+    names = ["s1", "block", "parts", "probe", "group"]
+    texts = docs.join(_ids(placed.withColumnRenamed("of", "doc_id")), "doc_id").select("text", *names)
+    full = texts.mapInArrow(tokens, "s1 long, block long, parts array<long>, probe boolean, group long, tokens binary").where("tokens IS NOT NULL")
+    packs = int(max(8, placed.agg(F.ceil(F.sum(F.size("parts")) / PART)).first()[0] or 0))
+    dealt = full.withColumn("part", F.explode("parts")).withColumn("pack", F.pmod(F.xxhash64("block", "part"), F.lit(packs)))
+    inner = dealt.select("pack", F.concat_ws(":", "block", "part").alias("block"), "s1", "tokens", "probe", "group")
+    return materialise(inner.groupBy("pack").applyInPandas(_block_links(percent), "a long, b long"))
 
-    full = texts.mapInArrow(tokens, "s1 long, block long, size long, tokens binary").where("tokens IS NOT NULL").withColumn("part", F.when(F.col("size") > PART, F.pmod(F.xxhash64("s1"), F.ceil(F.col("size") / PART)) ).otherwise(0).cast("long"))
-    packs = int(max(8, placed.agg(F.ceil(F.count("*") / PART)).first()[0] or 0))
-    key = F.when(F.col("size") > PART, F.pmod(F.xxhash64("block", "part"), F.lit(packs))).otherwise(F.pmod(F.xxhash64("block"), F.lit(packs)))
+
+def similar_sets(documents: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """(meta: doc_id, n, s1 (name of the set) of every row; links: a, b names of sets, enough to connect what is connected)."""
+    tune(documents.sparkSession)
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    meta, sets, blocks = _blocks(docs, percent, SAMPLE)
+
+    def sized(blocks: DataFrame) -> DataFrame:
+        sizes = blocks.groupBy("block").agg(F.count("*").alias("size"))
+        return materialise(blocks.join(sizes, "block").join(sets.select("s1", "of"), "s1"))
+
+    placed = sized(blocks)
+    large = placed.where(F.col("size") > PART)
+    if not large.isEmpty():  # again with all shingles of these sets in order, which parts what only frequent passages joined
+        of = _ids(materialise(large.select(F.col("of").alias("doc_id")).distinct()))
+        _, _, finer = _blocks(docs.join(of, "doc_id", "left_semi"), percent, 1.0)
+        finer = sized(finer.join(large.select("s1"), "s1", "left_semi"))
+        placed = placed.where(F.col("size") <= PART).unionByName(finer)
+    count = F.ceil(F.col("size") / PART).cast("long")
+    order = Window.partitionBy("block").orderBy("s1")
+    hubs = placed.where(F.col("size") > PART).withColumn("k", F.row_number().over(order)).where(F.col("k") <= SHARED).select("s1", F.lit(True).alias("hub"))
+    every = F.sequence(F.lit(0).cast("long"), count - 1)
+    own = F.array(F.pmod(F.xxhash64("s1"), count))
+    placed = materialise(placed.join(hubs, "s1", "left").withColumn("own", own).withColumn("every", every).withColumn("parts", F.when(F.col("hub"), F.col("every")).otherwise(F.col("own"))))
+    plain = placed.select("of", "s1", "block", "parts", F.lit(False).alias("probe"), F.lit(None).cast("long").alias("group"))
+    found = _compare(docs, plain, percent)
     large = placed.where(F.col("size") > PART)
-    from pyspark.sql import Window
-
-    hubs = large.withColumn("k", F.row_number().over(Window.partitionBy("block").orderBy("s1"))).where(F.col("k") <= SHARED).select("s1", F.lit(True).alias("hub"))
-    out = "a long, b long"
-    has_large = not large.isEmpty()
-    if has_large:
-        full = materialise(full)
-        spread = full.where(F.col("size") > PART).join(F.broadcast(hubs), "s1").withColumn("part", F.explode(F.expr(f"sequence(0L, cast(ceil(size / {PART}) as long) - 1)"))).drop("hub")
-        members = full.unionByName(spread).distinct()
-    else:
-        members = full
-    inner = members.select(key.alias("pack"), F.concat_ws(":", "block", "part").alias("block"), "s1", "tokens", F.lit(False).alias("probe"), F.lit(None).cast("long").alias("group"))
-    found = inner.groupBy("pack").applyInPandas(_block_links(percent), out)
-    if has_large:
-        found = materialise(found)
+    if not large.isEmpty():
         known = connected_components(found)
-        of = full.where(F.col("size") > PART).join(known, full.s1 == known.node, "left").withColumn("group", F.coalesce("label", "s1")).drop("node", "label")
+        of = large.join(known, large.s1 == known.node, "left").withColumn("group", F.coalesce("label", "s1")).drop("node", "label", "parts")
         main = of.groupBy("block", "group").agg(F.count("*").alias("n")).groupBy("block").agg(F.max_by("group", F.struct("n", "group")).alias("main"))
-        of = materialise(of.join(main, "block"))
-        rest = of.where(F.col("group") != F.col("main")).withColumn("part", F.explode(F.expr(f"sequence(0L, cast(ceil(size / {PART}) as long) - 1)"))).withColumn("probe", F.lit(True))
-        again = of.withColumn("probe", F.lit(False)).unionByName(rest)
-        again = again.select(key.alias("pack"), F.concat_ws(":", "block", "part").alias("block"), "s1", "tokens", "probe", "group")
-        busy = rest.select(F.concat_ws(":", "block", "part").alias("block")).distinct()
-        found = found.unionByName(again.join(busy, "block", "left_semi").groupBy("pack").applyInPandas(_block_links(percent), out))
+        of = of.join(main, "block").withColumn("probe", F.col("group") != F.col("main"))
+        busy = of.where("probe").select("block").distinct()
+        again = materialise(of.join(busy, "block", "left_semi").select("of", "s1", "block", F.when(F.col("probe"), F.col("every")).otherwise(F.col("own")).alias("parts"), "probe", "group"))
+        if not again.isEmpty():
+            found = found.unionByName(_compare(docs, again, percent))
     return meta, found
 
 
