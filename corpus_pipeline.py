@@ -9,7 +9,7 @@ Each stage takes the documents that the one before it kept, from the Parquet it
 5. encode: digests of the ids and the decoded text of every document that stays.
 
 Nulls: a null text is rejected by stage 1; a null doc_id or null in another column stays as it is. Extra
-columns go along. Repeated rows equal in doc_id and text stay together until stage 3, which keeps one.
+columns go along. Rows with the same doc_id and text are one document and stay or go together.
 """
 
 from __future__ import annotations
@@ -26,8 +26,10 @@ from regiscope.llm.queries import fold, model_path, table
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.train(docs.where(fold(3) != 1).select("doc_id", "text", "lang"))
-    named = langid.identify(docs.withColumn("_keep_", F.col("text")), model, text="_keep_", keep=docs.columns)
-    return named.where("NOT rejected").select(*docs.columns)
+    plain = docs.select(*(F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(docs.columns)))  # no name can clash
+    at = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    named = langid.identify(plain, model, at["doc_id"], at["text"], keep=plain.columns)
+    return named.where("NOT rejected").select(*(F.col(v).alias(c) for c, v in at.items()))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -147,7 +147,7 @@ def _fit(pdf: pd.DataFrame) -> Chain:
         ids_once, labels = once // len(y), y[once % len(y)]
         bad, good = (np.bincount(ids_once, labels == k, len(values)) for k in (1, 0))
         odds = np.log((bad + 0.1) / (n1 + 0.2)) - np.log((good + 0.1) / (n0 + 0.2))
-        hot |= ((odds > 3) & (bad >= max(3, 0.02 * n1)))[ids]
+        hot |= ((odds > 3) & (bad >= max(5, 0.02 * n1)))[ids]
     label = hot & (y[where] == 1)
     # windows: around labelled words, around the same words in other documents, and some clean text
     hit = np.flatnonzero(hot)
