@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,59 +73,63 @@ def distance(x1: str, y1: str, x2: str, y2: str) -> Column:
 # ---------------------------------------------------------------- polygons: rings array<array<struct<x,y>>>
 
 
-def _signed_area(p: np.ndarray) -> float:
-    x, y = p[:, 0], p[:, 1]
-    return float((x * np.roll(y, -1) - np.roll(x, -1) * y).sum() / 2)
+def _signed_area(p: list[tuple[float, float]]) -> float:
+    return sum(p[k - 1][0] * p[k][1] - p[k][0] * p[k - 1][1] for k in range(len(p))) / 2
 
 
-def _clip(subject: np.ndarray, triangle: np.ndarray) -> float:
-    """Area of a convex polygon inside a counter-clockwise triangle."""
+def _clip(subject: list[tuple[float, float]], window: list[tuple[float, float]]) -> float:
+    """Area of a convex polygon inside a convex counter-clockwise one."""
     out = subject
-    for a, b in zip(triangle, np.roll(triangle, -1, axis=0)):
-        if not len(out):
-            return 0.0
-        side = (b[0] - a[0]) * (out[:, 1] - a[1]) - (b[1] - a[1]) * (out[:, 0] - a[0])
+    for k in range(len(window)):
+        (ax, ay), (bx, by) = window[k - 1], window[k]
+        side = [(bx - ax) * (y - ay) - (by - ay) * (x - ax) for x, y in out]
         kept = []
-        for k in range(len(out)):
-            j = k - 1
-            if side[j] * side[k] < 0:
-                t = side[j] / (side[j] - side[k])
-                kept.append(out[j] + t * (out[k] - out[j]))
-            if side[k] >= 0:
-                kept.append(out[k])
-        out = np.array(kept)
-    return abs(_signed_area(out)) if len(out) > 2 else 0.0
-
-
-def _fan(rings, origin: np.ndarray) -> list[tuple[float, np.ndarray]]:
-    """Signed triangles from the origin to each edge, counter-clockwise; holes count by their own direction."""
-    out = []
-    for ring in rings:
-        p = np.array([(v["x"], v["y"]) for v in ring], float) - origin
-        if len(p) > 1 and (p[0] == p[-1]).all():
-            p = p[:-1]
-        for a, b in zip(p, np.roll(p, -1, axis=0)):
-            t = np.array([[0.0, 0.0], a, b])
-            s = _signed_area(t)
-            if s:
-                out.append((1.0 if s > 0 else -1.0, t if s > 0 else t[::-1]))
-    return out
+        for i, (here, s) in enumerate(zip(out, side)):
+            before, r = out[i - 1], side[i - 1]
+            if r * s < 0:
+                t = r / (r - s)
+                kept.append((before[0] + t * (here[0] - before[0]), before[1] + t * (here[1] - before[1])))
+            if s >= 0:
+                kept.append(here)
+        if len(kept) < 3:
+            return 0.0
+        out = kept
+    return abs(_signed_area(out))
 
 
-def _oriented(rings) -> list:
-    """The outer ring (the first) counter-clockwise, holes clockwise."""
+def _open(ring, origin: tuple[float, float]) -> list[tuple[float, float]]:
+    """A ring's corners relative to the origin, without the closing one."""
+    p = [(float(v["x"]) - origin[0], float(v["y"]) - origin[1]) for v in ring]
+    return p[:-1] if len(p) > 1 and p[0] == p[-1] else p
+
+
+def _pieces(rings, origin: tuple[float, float]) -> list[tuple[float, list]]:
+    """Signed convex pieces, counter-clockwise: the polygon itself where it is convex, else the triangles from the origin to its edges.
+
+    The outer ring (the first) counts as positive, holes as negative, in whatever direction they run.
+    """
+    opened = [_open(ring, origin) for ring in rings]
+    first = opened[0] if opened and _signed_area(opened[0]) >= 0 else opened[0][::-1] if opened else []
+    if len(opened) == 1 and len(first) > 2:
+        turns = [(first[k - 1][0] - first[k - 2][0]) * (first[k][1] - first[k - 1][1]) - (first[k - 1][1] - first[k - 2][1]) * (first[k][0] - first[k - 1][0]) for k in range(len(first))]
+        if len(first) == 3 or (min(turns) >= 0 and len(first) == 4):
+            return [(1.0, first)]
     out = []
-    for k, ring in enumerate(rings):
-        p = np.array([(v["x"], v["y"]) for v in ring], float)
-        out.append(list(ring) if (_signed_area(p) > 0) == (k == 0) else list(ring)[::-1])
+    for k, p in enumerate(opened):
+        p = p if (_signed_area(p) > 0) == (k == 0) else p[::-1]
+        for j in range(len(p)):
+            t = [(0.0, 0.0), p[j - 1], p[j]]
+            if s := _signed_area(t):
+                out.append((1.0, t) if s > 0 else (-1.0, t[::-1]))
     return out
 
 
 def overlap_area(a, b) -> float:
-    """Area common to two polygons of any shape, holes included, by signed triangles."""
-    a, b = _oriented(a), _oriented(b)
-    origin = np.array([a[0][0]["x"], a[0][0]["y"]], float)
-    return sum(s * t * _clip(x, y) for s, x in _fan(a, origin) for t, y in _fan(b, origin))
+    """Area common to two polygons of any shape, holes included, by signed convex pieces."""
+    if not len(a) or not len(b):
+        return 0.0
+    origin = (float(a[0][0]["x"]), float(a[0][0]["y"]))
+    return sum(s * t * _clip(x, y) for s, x in _pieces(a, origin) for t, y in _pieces(b, origin))
 
 
 def tiles(df: DataFrame, rings: str, size: float) -> DataFrame:
