@@ -4,7 +4,8 @@ Vectors are dealt to shards by a hash, at most about `SHARD` each. A shard's tre
 its widest component; nodes carry tight bounding boxes. A block of queries walks the tree best first by
 the greatest inner product a box allows and leaves a node once that is under its k-th score so far. Each
 query first meets one shard of its own; the k-th score found there goes with it to all other shards, so
-only candidates that may still count are returned from them.
+only candidates that may still count are returned from them. A task holds one shard and at most about
+`QUERIES` queries: more queries are dealt to blocks, each of which meets every shard.
 
 Components become floor(64 * x). Vectors that are null or hold null or non-finite components take no part,
 nor do rows with a null id; a shorter vector counts as ending in zeros, an empty one as all zeros. Repeated
@@ -25,6 +26,7 @@ from regiscope.llm.common import materialise
 K = 20
 SCALE = 64
 SHARD = 8192
+QUERIES = 16384
 LEAF = 256
 BLOCK = 128
 FOUND = "query long, query_id long, row long, vec_id long, score long"
@@ -138,20 +140,28 @@ def vectors(embeddings: DataFrame) -> DataFrame:
     return materialise(kept.select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")))
 
 
+def _dealt(df: DataFrame, blocks: int) -> DataFrame:
+    """A copy of every row for each block of queries."""
+    return df.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+
+
 def top_k(embeddings: DataFrame, is_query: str = "vec_id % 20 = 0", k: int = K) -> DataFrame:
     """query_id, rank, vec_id, score: each query row's k best other rows."""
     rows = vectors(embeddings)
     shards = max(1, -(-rows.count() // SHARD))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
     queries = rows.where(is_query).select(*(F.col(c).alias(c) for c in rows.columns), F.lit(None).cast("double").alias("kth"))
-    held = rows.groupBy("shard")
-    near = materialise(queries.groupBy("shard").cogroup(held).applyInPandas(_visit(k), FOUND))
+    blocks = max(1, -(-queries.count() // QUERIES))
+    queries = queries.withColumn("block", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(blocks)))
+    held = _dealt(rows, blocks).groupBy("shard", "block")
+    own = rows.groupBy("shard")  # its own shard's queries are fewer than its rows
+    near = materialise(queries.groupBy("shard").cogroup(own).applyInPandas(_visit(k), FOUND))
     found = near
     if shards > 1:
         count = near.groupBy("query").agg(F.min("score").cast("double").alias("kth"), F.count("*").alias("n")).select("query", F.when(F.col("n") >= k, F.col("kth")).alias("kth"))
         others = queries.drop("kth").join(count, F.col("row") == F.col("query"), "left").drop("query")
         others = others.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))).where("other <> shard")
-        far = others.drop("shard").withColumnRenamed("other", "shard").groupBy("shard").cogroup(held).applyInPandas(_visit(k), FOUND)
+        far = others.drop("shard").withColumnRenamed("other", "shard").groupBy("shard", "block").cogroup(held).applyInPandas(_visit(k), FOUND)
         found = near.unionByName(far)
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

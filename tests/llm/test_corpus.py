@@ -123,6 +123,7 @@ def test_tree_links_with_probes():
 
 def test_top_k_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(kdtree, "SHARD", 90)
+    monkeypatch.setattr(kdtree, "QUERIES", 7)
     monkeypatch.setattr(kdtree, "LEAF", 16)
     rng = np.random.default_rng(2)
     x = rng.normal(size=(300, 5)).round(1)
