@@ -142,26 +142,28 @@ def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
 
 # ---------------------------------------------------------------- connected components
 
+def _all_stars(e: DataFrame) -> bool:
+    """Whether every edge leads from a smallest node to a node that has no other edge."""
+    ends = e.select(F.col("hi").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(e.select("lo", F.lit(0), F.lit(1)))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not nodes.agg(F.max(is_set(F.expr("up > 1 OR (up = 1 AND down = 1)")))).first()[0]
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label) for every node of the edges; label is the component's smallest node.
 
-    Alternating large-star and small-star steps on DataFrames: each is a grouped minimum (combined
-    before the shuffle) and a join of the edges with one row per node, so a hub is never gathered
-    in one task. Every step is written to the shared folder.
+    Alternating large-star and small-star steps on DataFrames, until all components are stars: each is a
+    grouped minimum (combined before the shuffle) and a join of the edges with one row per node, so a hub
+    is never gathered in one task. Every step is written to the shared folder.
     """
     e = edges.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).where("lo < hi").distinct()
     e = materialise(e)
-    before = None
-    for _ in range(40):
+    while not _all_stars(e):
         both = e.select(F.col("lo").alias("u"), F.col("hi").alias("v")).union(e.select("hi", "lo"))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("m").alias("lo"), F.col("v").alias("hi")).where("lo < hi").distinct()
+        large = both.where("v > u").join(low, "u").select(F.col("m").alias("lo"), F.col("v").alias("hi")).where("lo < hi")
         low = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(low, "hi")
         small = small.select(F.col("m").alias("lo"), F.col("lo").alias("hi")).union(low.select("m", "hi")).where("lo < hi").distinct()
         e = materialise(small)
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))).first()
-        if now == before or not now[0]:
-            break
-        before = now
     return e.select(F.col("hi").alias("node"), F.col("lo").alias("label")).union(e.select("lo", "lo").distinct())

@@ -343,12 +343,13 @@ def similar_sets(documents: DataFrame, percent: int = PERCENT) -> tuple[DataFram
     found = _compare(docs, plain, percent)
     large = placed.where(F.col("size") > PART)
     if not large.isEmpty():
-        known = connected_components(found)
+        known = materialise(connected_components(found))
         of = large.join(known, large.s1 == known.node, "left").withColumn("group", F.coalesce("label", "s1")).drop("node", "label", "parts")
         main = of.groupBy("block", "group").agg(F.count("*").alias("n")).groupBy("block").agg(F.max_by("group", F.struct("n", "group")).alias("main"))
         of = of.join(main, "block").withColumn("probe", F.col("group") != F.col("main"))
         busy = of.where("probe").select("block").distinct()
         again = materialise(of.join(busy, "block", "left_semi").select("of", "s1", "block", F.when(F.col("probe"), F.col("every")).otherwise(F.col("own")).alias("parts"), "probe", "group"))
+        found = known.where("node <> label").select(F.col("label").alias("a"), F.col("node").alias("b"))  # as stars, which need few rounds
         if not again.isEmpty():
             found = found.unionByName(_compare(docs, again, percent))
     return meta, found
