@@ -1,8 +1,10 @@
 """Toxic spans by a linear-chain conditional random field, and document scores from its marginals.
 
 Words of the training rows get token labels from the documents' labels: a word is toxic in a toxic
-document if it, or how it begins, is far more frequent in toxic documents than in the others. On windows of words so
-labelled a two-state chain is fitted (weights of the hashed word, its beginnings of 5 and 7 bytes and its pair
+document if it, or how it begins, is far more frequent in toxic documents than in the others: 20 times as frequent, in
+`SUPPORT` toxic documents at least, and so often among the documents that hold it that fewer than one of all words tried
+would be by chance, given the toxic share of all documents. The number of documents needed so does not grow with the
+toxic documents of other languages at the same share. On all windows of words so labelled a two-state chain is fitted (weights of the hashed word, its beginnings of 5 and 7 bytes and its pair
 with the word before, and of transitions). Forward-backward marginals of every word of a whole text, computed blockwise
 over all texts of a batch as products of 2 x 2 matrices, give offending spans and the document's score:
 a logistic function of the expected number of toxic words, the largest marginal and the length.
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 from regiscope.llm.common import ALNUM, _MULT, hash_words, mix, tune, utf8
 
 SAMPLE = 3000
+SUPPORT = 5
 WEIGHTS = 1 << 16
 SPAN = 32
 PREFIXES = (5, 7)
@@ -128,6 +131,29 @@ def _evidence(p: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
+def _surprising(bad: np.ndarray, good: np.ndarray, share: float) -> np.ndarray:
+    """Whether a value's documents are toxic so often that fewer than one of all values tried would be by chance.
+
+    Chernoff's bound of the binomial tail: n documents of which a share x is toxic, `share` of all documents being so.
+    """
+    n = bad + good
+    x = bad / np.maximum(n, 1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        far = np.where(bad > 0, x * np.log(x / share), 0.0) + np.where(good > 0, (1 - x) * np.log((1 - x) / (1 - share)), 0.0)
+    return (bad >= SUPPORT) & (x > share) & (n * far > np.log(max(1, (n >= SUPPORT).sum())))
+
+
+def _windows(hot: np.ndarray) -> np.ndarray:
+    """Where windows of `SPAN` words begin: evenly over all words, and so that every hot word is in one."""
+    clean = np.arange(0, len(hot), max(1, len(hot) // 6000))
+    starts = np.unique(np.clip(np.concatenate([np.flatnonzero(hot), clean]) - SPAN // 2, 0, max(0, len(hot) - SPAN)))
+    kept = starts[:1].tolist()
+    for at in starts.tolist():
+        if at - kept[-1] >= SPAN // 2:  # a hot word whose own window goes is in the one before
+            kept.append(at)
+    return np.unique(np.append(kept, starts[-1:]).astype(np.int64))  # the last one reaches the end
+
+
 def _fit(pdf: pd.DataFrame) -> Chain:
     """The chain from a bounded table of text and toxic (0 or 1)."""
     chain = Chain()
@@ -147,13 +173,10 @@ def _fit(pdf: pd.DataFrame) -> Chain:
         ids_once, labels = once // len(y), y[once % len(y)]
         bad, good = (np.bincount(ids_once, labels == k, len(values)) for k in (1, 0))
         odds = np.log((bad + 0.1) / (n1 + 0.2)) - np.log((good + 0.1) / (n0 + 0.2))
-        hot |= ((odds > 3) & (bad >= max(5, 0.02 * n1)))[ids]
+        hot |= ((odds > 3) & _surprising(bad, good, n1 / len(y)))[ids]
     label = hot & (y[where] == 1)
     # windows: around labelled words, around the same words in other documents, and some clean text
-    hit = np.flatnonzero(hot)
-    clean = np.arange(0, len(h), max(1, len(h) // 6000))
-    starts = np.unique(np.clip(np.concatenate([hit, clean]) - SPAN // 2, 0, max(0, len(h) - SPAN)))
-    starts = starts[np.append(True, np.diff(starts) >= SPAN // 2)][:20000]
+    starts = _windows(hot)
     size = min(SPAN, len(h))
     place = starts[:, None] + np.arange(size)
     f = _features(h, first[:-1])[place]
@@ -165,35 +188,15 @@ def _fit(pdf: pd.DataFrame) -> Chain:
     return chain
 
 
-def _train(chain: Chain, f: np.ndarray, gold: np.ndarray, rounds: int = 60, rate: float = 0.3, decay: float = 1e-3) -> None:
-    """Gradient ascent (Adagrad) on the likelihood of labelled windows by forward-backward."""
-    n, size = gold.shape
+def _train(chain: Chain, f: np.ndarray, gold: np.ndarray, rounds: int = 60, rate: float = 0.3, decay: float = 1e-3, block: int = 20000) -> None:
+    """Gradient ascent (Adagrad) on the likelihood of all labelled windows by forward-backward, a block of windows at a time."""
+    n = len(gold)
     g_word, g_trans, g_bias = np.full(len(chain.word), 1e-6), np.full((2, 2), 1e-6), 1e-6
     for _ in range(rounds):
-        e = np.clip(chain.word[f].sum(axis=2) + chain.bias, -30, 30)
-        emit = np.stack([np.ones_like(e), np.exp(e)], axis=2)
-        t = np.exp(chain.trans)
-        a = np.empty_like(emit)
-        a[:, 0] = emit[:, 0] / emit[:, 0].sum(axis=1, keepdims=True)
-        for i in range(1, size):
-            x = (a[:, i - 1] @ t) * emit[:, i]
-            a[:, i] = x / x.sum(axis=1, keepdims=True)
-        b = np.empty_like(emit)
-        b[:, -1] = 1.0
-        pair = np.zeros((2, 2))
-        true = np.zeros((2, 2))
-        for i in range(size - 2, -1, -1):
-            out = emit[:, i + 1] * b[:, i + 1]
-            x = a[:, i][:, :, None] * t * out[:, None, :]
-            pair += (x / x.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
-            np.add.at(true, (gold[:, i], gold[:, i + 1]), 1)
-            y = out @ t.T
-            b[:, i] = y / y.sum(axis=1, keepdims=True)
-        p = a * b
-        p = p[:, :, 1] / p.sum(axis=2)
-        slack = (gold - p) / n
-        gw = np.bincount(f.reshape(-1), np.repeat(slack.reshape(-1), f.shape[2]), len(chain.word)) - decay * chain.word / n
-        gt, gb = (true - pair) / n, slack.sum()
+        gw, gt, gb = -decay * chain.word / n, np.zeros((2, 2)), 0.0
+        for at in range(0, n, block):
+            word, trans, bias = _gradient(chain, f[at : at + block], gold[at : at + block])
+            gw, gt, gb = gw + word / n, gt + trans / n, gb + bias / n
         g_word += gw**2
         g_trans += gt**2
         g_bias += gb**2
@@ -202,6 +205,33 @@ def _train(chain: Chain, f: np.ndarray, gold: np.ndarray, rounds: int = 60, rate
         chain.bias += rate * gb / np.sqrt(g_bias)
 
 
+def _gradient(chain: Chain, f: np.ndarray, gold: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Gradients of the windows' log likelihood by word weights, transitions and bias."""
+    size = gold.shape[1]
+    e = np.clip(chain.word[f].sum(axis=2) + chain.bias, -30, 30)
+    emit = np.stack([np.ones_like(e), np.exp(e)], axis=2)
+    t = np.exp(chain.trans)
+    a = np.empty_like(emit)
+    a[:, 0] = emit[:, 0] / emit[:, 0].sum(axis=1, keepdims=True)
+    for i in range(1, size):
+        x = (a[:, i - 1] @ t) * emit[:, i]
+        a[:, i] = x / x.sum(axis=1, keepdims=True)
+    b = np.empty_like(emit)
+    b[:, -1] = 1.0
+    pair = np.zeros((2, 2))
+    true = np.zeros((2, 2))
+    for i in range(size - 2, -1, -1):
+        out = emit[:, i + 1] * b[:, i + 1]
+        x = a[:, i][:, :, None] * t * out[:, None, :]
+        pair += (x / x.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+        np.add.at(true, (gold[:, i], gold[:, i + 1]), 1)
+        y = out @ t.T
+        b[:, i] = y / y.sum(axis=1, keepdims=True)
+    p = a * b
+    slack = gold - p[:, :, 1] / p.sum(axis=2)
+    return np.bincount(f.reshape(-1), np.repeat(slack.reshape(-1), f.shape[2]), len(chain.word)), true - pair, slack.sum()
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     """Logistic regression by Newton steps, the classes weighted alike."""
     w = np.zeros(x.shape[1])

@@ -8,6 +8,8 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -260,6 +262,35 @@ def test_toxicity(spark, edge, empty):
     assert toxicity.score(edge, toxicity.train(edge, none)).count() == len(EDGE) and toxicity.score(empty, toxicity.train(empty, none)).count() == 0
 
 
+def test_toxic_words_of_a_small_language():
+    rng = np.random.default_rng(1)
+    text = lambda extra, of: " ".join(rng.permutation([*("%s%d" % (of, i) for i in rng.integers(0, 300, 40)), extra]))
+    rows = [(text("nasty", "a"), 1) for _ in range(420)] + [(text("fine", "a"), 0) for _ in range(1500)]
+    rows += [(text("vileza", "b"), 1) for _ in range(8)] + [(text("bien", "b"), 0) for _ in range(100)]
+    rows += [(text("fine", "a"), 1) for _ in range(20)] + [(text("nasty", "a"), 0) for _ in range(15)]
+    chain = toxicity._fit(pd.DataFrame([(i, t, y) for i, (t, y) in enumerate(rows)], columns=["doc_id", "text", "toxic"]))
+    texts = [text(w, of) for w, of in (("nasty", "a"), ("vileza", "b"), ("fine", "a"), ("bien", "b"))]
+    got = toxicity._score(chain, pa.RecordBatch.from_arrays([pa.array(range(4)), pa.array(texts)], names=["doc_id", "text"])).to_pylist()
+    assert [r["predicted"] for r in got] == [1, 1, 0, 0]
+    assert [[texts[i][s["start"] : s["end"]] for s in r["spans"]] for i, r in enumerate(got)] == [["nasty"], ["vileza"], [], []]
+
+
+def test_toxic_words_are_no_chance_finds():
+    few, many = np.array([5, 5, 8, 40]), np.array([0, 1, 0, 0])
+    assert toxicity._surprising(few, many, 0.1).tolist() == [True] * 4
+    crowd = np.concatenate([few, np.full(3000, 5)]), np.concatenate([many, np.full(3000, 5)])  # half of all rows toxic, 3,000 other words
+    assert toxicity._surprising(*crowd, 0.5)[:4].tolist() == [False, False, False, True]
+
+
+def test_toxic_windows_hold_every_labelled_word():
+    for n, step in ((900_000, 40), (900_000, 10), (50_000, 7), (10, 3)):
+        hot = np.zeros(n, bool)
+        hot[step - 1 :: step] = True
+        seen = np.zeros(n, bool)
+        seen[np.minimum(toxicity._windows(hot)[:, None] + np.arange(toxicity.SPAN), n - 1)] = True
+        assert seen[hot].all()
+
+
 def test_pipeline_stages(spark, edge):
     out = {}
     docs = queries.table(spark, DIR, "documents")
