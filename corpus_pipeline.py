@@ -2,7 +2,7 @@
 
 Each stage takes the documents that the one before it kept, from the Parquet it was written to.
 
-1. language_id: documents whose language is rejected (no letter, or no centroid near) go.
+1. language_id: documents whose language is rejected (no letter, or no centroid as near as training rows of that length have one) go.
 2. line_dedup: later copies of repeated line runs go; documents that lose all their lines go with them.
 3. near_duplicates: the smallest doc_id of each group of similar documents stays, the others go.
 4. decontaminate: documents that hold benchmark passages beyond the limit go.

@@ -3,7 +3,11 @@
 A text is a vector of hashed character n-grams (1 to 3 lower-cased letters, other characters as one
 space), weighted by damped count times inverse document frequency and scaled to length one. Each
 language has several centroids, found by spherical k-means. A text gets the language of the centroid
-with the highest cosine; it is rejected where it has no letter or that cosine is under `REJECT`.
+with the highest cosine; it is rejected where it has no letter or that cosine is under the floor for its length.
+
+The floors come from all training rows: at most a share `REJECT` of the training rows of about the same number of
+letters (powers of two, joined with the next ones up to 1 / `REJECT` rows) is under them. For this a row is
+compared with centroids fitted on the other half of the sample only, as on rows they have seen cosines are too high.
 
 Document frequencies are counted over all training rows. The centroids are fitted on at most
 `SAMPLE_PER_LANG` rows of each language, taken in the order of a hash of doc_id.
@@ -27,9 +31,10 @@ from regiscope.llm.common import tune
 DIM = 4096
 CLUSTERS = 4
 SAMPLE_PER_LANG = 1000
-REJECT = 0.02
+REJECT = 0.002
 UNKNOWN = "und"
 _CHARS = 1 << 20
+_LEVELS, _STEPS = 64, 1000
 SCHEMA = "doc_id long, lang_pred string, score double, rejected boolean"
 
 
@@ -130,9 +135,31 @@ def _kmeans(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     return c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-9)
 
 
+def _level(letters: np.ndarray) -> np.ndarray:
+    """The power of two of a number of letters."""
+    return np.log2(np.maximum(letters, 1)).astype(np.int64)
+
+
+def _floors(seen: np.ndarray, share: float) -> np.ndarray:
+    """For each level of length the cosine that at most a share of the rows is under; seen: rows by level and thousandth.
+
+    A level with too few rows for that share is joined with shorter ones, then with longer ones.
+    """
+    out, rows = np.zeros(len(seen)), seen.sum(axis=1)
+    for k in range(len(seen)):
+        low, high = k, k + 1
+        while rows[low:high].sum() * share < 1 and (low > 0 or high < len(seen)):
+            low, high = (low - 1, high) if low > 0 else (low, high + 1)
+        upto = seen[low:high].sum(axis=0).cumsum()
+        if upto[-1]:
+            out[k] = np.searchsorted(upto, share * upto[-1], "right") / _STEPS
+    return out
+
+
 class Model:
-    def __init__(self, idf: np.ndarray, langs: list[str], centroids: np.ndarray):
+    def __init__(self, idf: np.ndarray, langs: list[str], centroids: np.ndarray, floors: np.ndarray | None = None):
         self.idf, self.langs, self.centroids = idf.astype(np.float32), langs, centroids.astype(np.float32)
+        self.floors = np.zeros(_LEVELS) if floors is None else floors
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
         out = []
@@ -142,10 +169,10 @@ class Model:
                 out += [(UNKNOWN, 0.0, True)] * len(part)
                 continue
             cos = _vectors(counts, self.idf) @ self.centroids.T
-            best = cos.argmax(axis=1)
+            best, floor = cos.argmax(axis=1), self.floors[_level(letters)]
             for i, j in enumerate(best):
                 score = float(min(1.0, max(0.0, cos[i, j])))
-                out.append((self.langs[j], score, score < REJECT) if letters[i] else (UNKNOWN, 0.0, True))
+                out.append((self.langs[j], score, bool(score < floor[i])) if letters[i] else (UNKNOWN, 0.0, True))
         return out
 
 
@@ -157,23 +184,54 @@ def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, clusters: int = CLUS
     idf = np.log((1 + n) / (1 + df)) + 0.1
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     ids = docs.select("doc_id", "lang").withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_lang).select("doc_id", F.col("lang").alias("of"))
-    sample = docs.join(F.broadcast(ids), "doc_id", "left_semi").select("lang", "text")  # per_lang ids a language
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int").alias("half")
+    sample = docs.join(F.broadcast(ids), "doc_id", "left_semi").select("lang", "text", half)  # per_lang ids a language
 
     def vectors(batches):
         for b in batches:
             texts = [t or "" for t in b.column("text").to_pylist()]
             rows = [v.astype(np.float16).tobytes() for _, part in _slices(texts) for v in _vectors(_counts(part)[0], idf)]
-            yield pa.RecordBatch.from_arrays([b.column("lang"), pa.array(rows, pa.binary())], names=["lang", "v"])
+            yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("half"), pa.array(rows, pa.binary())], names=["lang", "half", "v"])
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.stack([np.frombuffer(v, np.float16) for v in pdf.v]).astype(np.float32)
-        c = _kmeans(x[np.lexsort(x[:, :8].T)], clusters)
-        return pd.DataFrame({"lang": [pdf.lang.iloc[0]] * len(c), "v": [r.astype(np.float32).tobytes() for r in c]})
+        every, of = np.stack([np.frombuffer(v, np.float16) for v in pdf.v]).astype(np.float32), pdf.half.to_numpy()
+        out = []
+        for part in (0, 1, 2):  # each half, and both
+            x = every if part == 2 else every[of == part]
+            if len(x):
+                out += [(pdf.lang.iloc[0], part, c.astype(np.float32).tobytes()) for c in _kmeans(x[np.lexsort(x[:, :8].T)], clusters)]
+        return pd.DataFrame(out, columns=["lang", "part", "v"])
 
-    got = sample.mapInArrow(vectors, "lang string, v binary").groupBy("lang").applyInPandas(fit, "lang string, v binary").collect()
+    got = sample.mapInArrow(vectors, "lang string, half int, v binary").groupBy("lang").applyInPandas(fit, "lang string, part int, v binary").collect()
     got.sort(key=lambda r: (r.lang, r.v))
-    centroids = np.array([np.frombuffer(r.v, np.float32) for r in got]).reshape(-1, DIM)
-    return Model(idf, [r.lang for r in got], centroids)
+    parts = [np.array([np.frombuffer(r.v, np.float32) for r in got if r.part == k]).reshape(-1, DIM) for k in (0, 1, 2)]
+    return Model(idf, [r.lang for r in got if r.part == 2], parts[2], _floors(_cosines(docs.select("text", half), idf, parts), REJECT))
+
+
+def _cosines(docs: DataFrame, idf: np.ndarray, parts: list[np.ndarray]) -> np.ndarray:
+    """Numbers of rows with letters by level of length and thousandth of the best cosine to the other half's centroids."""
+    shared = docs.sparkSession.sparkContext.broadcast((idf.astype(np.float32), parts))
+
+    def run(batches):
+        weights, centroids = shared.value
+        seen = np.zeros((_LEVELS, _STEPS + 1), np.int64)
+        for b in batches:
+            halves = b.column("half").to_numpy()
+            for at, part in _slices(b.column("text").to_pylist()):
+                counts, letters = _counts(part)
+                v = _vectors(counts, weights)
+                for k in (0, 1):
+                    mine = (halves[at : at + len(part)] == k) & (letters > 0)
+                    if mine.any() and len(centroids[1 - k]):
+                        best = (v[mine] @ centroids[1 - k].T).max(axis=1)
+                        np.add.at(seen, (_level(letters[mine]), (np.clip(best, 0, 1) * _STEPS).astype(np.int64)), 1)
+        level, step = np.nonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(level, pa.int32()), pa.array(step, pa.int32()), pa.array(seen[level, step], pa.int64())], names=["level", "step", "n"])
+
+    out = np.zeros((_LEVELS, _STEPS + 1), np.int64)
+    for r in docs.mapInArrow(run, "level int, step int, n long").groupBy("level", "step").agg(F.sum("n").alias("n")).collect():
+        out[r.level, r.step] = r.n
+    return out
 
 
 def identify(documents: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -174,6 +174,22 @@ def test_language(spark, edge, empty):
     assert langid.identify(empty, langid.train(empty)).count() == 0
 
 
+def test_unseen_scripts_and_gibberish_are_rejected(spark):
+    rng, docs = np.random.default_rng(1), queries.table(spark, "/root/testdata/sf0.1", "documents").where("text RLIKE '[a-zA-Z]'")
+    model = langid.train(docs.where(queries.fold(3) != 1).select("doc_id", "text", "lang"))
+    letters = [(0xE01, 0xE2E), (0x430, 0x44F), (0x3B1, 0x3C9), (0x4E00, 0x9FA0), (0x627, 0x64A), (97, 122)]
+    foreign = [" ".join("".join(map(chr, rng.integers(lo, hi + 1, 6))) for _ in range(size)) for lo, hi in letters for size in (10, 50, 350, 1700) for _ in range(10)]
+    assert np.mean([rejected for _, _, rejected in model.predict(foreign)]) > 0.95
+    found = langid.identify(docs.where(queries.fold(3) == 1), model)
+    assert found.where("rejected").count() <= 0.01 * found.count()
+
+
+def test_language_floors():
+    seen = np.zeros((64, 1001), np.int64)
+    seen[3, 100], seen[5, 200], seen[5, 700] = 2, 2, 998
+    assert langid._floors(seen, 0.002)[[3, 5]].tolist() == [0.2, 0.7] and not langid._floors(0 * seen, 0.002).any()
+
+
 def brute_contamination(text, items):
     words = decontaminate.words_of(text)
     hit, found = set(), set()
