@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,33 +21,81 @@ def ols_by_group(df: DataFrame, keys: list[str], y: str, x: str) -> DataFrame:
     return g.withColumn("slope", F.when(fit, F.col("_b"))).withColumn("se", F.when(fit, se)).select(*keys, "n", "slope", "se")
 
 
-def mean_distance(a: DataFrame, b: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Mean distance over all pairs of points (x, y) of two tables, by `keys` if given. Pairs are never stored."""
+def pair_distances(a: DataFrame, b: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """distance of all pairs of points (x, y) of two tables, by `keys` if given."""
     left, right = a.withColumnsRenamed({"x": "ax", "y": "ay"}), b.withColumnsRenamed({"x": "bx", "y": "by"})
     pairs = left.join(right, keys) if keys else left.crossJoin(right)
-    return pairs.groupBy(*(keys or [])).agg(F.avg(distance("ax", "ay", "bx", "by")).alias("mean_distance"))
+    return pairs.select(*(keys or []), distance("ax", "ay", "bx", "by").alias("distance"))
 
 
-def permuted_distances(points: DataFrame, n1: Column | int, n2: Column | int, reps: int, key: str = "id", seed: str = "") -> DataFrame:
-    """(rep, mean_distance): mean distance of two samples without replacement, of n1 and n2 points, in each repetition."""
+def mean_distance(a: DataFrame, b: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Mean distance over all pairs of points (x, y) of two tables, by `keys` if given. Pairs are never stored."""
+    return pair_distances(a, b, keys).groupBy(*(keys or [])).agg(F.avg("distance").alias("mean_distance"))
+
+
+def permuted_pairs(points: DataFrame, n1: Column | int, n2: Column | int, reps: int, key: str = "id", seed: str = "") -> DataFrame:
+    """(rep, distance): all pairs of two samples without replacement, of n1 and n2 points, in each repetition."""
     spread = points.crossJoin(F.broadcast(points.sparkSession.range(reps).withColumnRenamed("id", "rep")))  # `reps` rows
     sides = []
     for side, n in (("x", n1), ("y", n2)):
-        w = Window.partitionBy("rep").orderBy(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.col("rep").cast("string"), F.lit(side + seed))), key)
-        sides.append(spread.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= n).select("rep", "x", "y"))
-    return mean_distance(*sides, keys=["rep"])
+        h = spread.withColumn("_h", F.md5(F.concat_ws(":", F.col(key).cast("string"), F.col("rep").cast("string"), F.lit(side + seed)))).withColumn("_b", F.substring("_h", 1, 3))
+        # the n least by hash: all of the buckets before the one that holds the n-th, and the least of that one
+        upto = Window.partitionBy("rep").orderBy("_b")
+        last = h.groupBy("rep", "_b").agg(F.count("*").alias("_n")).withColumn("_to", F.sum("_n").over(upto))  # 4,096 rows a repetition at most
+        last = last.withColumn("_room", n - (F.col("_to") - F.col("_n"))).where("_room > 0").groupBy("rep").agg(F.max_by("_b", "_b").alias("_last"), F.max_by("_room", "_b").alias("_room"))
+        near = h.join(F.broadcast(last), "rep").where("_b <= _last")  # `reps` rows
+        whole = near.where("_b < _last").select("rep", "x", "y")
+        rank = F.row_number().over(Window.partitionBy("rep").orderBy("_h", key))
+        sides.append(whole.unionByName(near.where("_b = _last").withColumn("_k", rank).where("_k <= _room").select("rep", "x", "y")))
+    return pair_distances(*sides, keys=["rep"])
 
 
-def colocation(points: DataFrame, group: str, first: str, second: str, reps: int = 1000) -> DataFrame:
-    """One row: observed mean distance of two groups, mean and deviation under permutation, z score, density peak."""
+def permuted_distances(points: DataFrame, n1: Column | int, n2: Column | int, reps: int, key: str = "id", seed: str = "") -> DataFrame:
+    """(rep, mean_distance): mean distance of two samples without replacement, of n1 and n2 points, in each repetition."""
+    return permuted_pairs(points, n1, n2, reps, key, seed).groupBy("rep").agg(F.avg("distance").alias("mean_distance"))
+
+
+def colocation(points: DataFrame, group: str, first: str, second: str, reps: int = 1000, peaks: bool = True) -> DataFrame:
+    """One row: observed mean distance of two groups, mean and deviation of the mean under permutation, z score.
+
+    With `peaks` the same of the density peak of the distances: observed_peak, expected_peak, sd_peak, z_peak.
+    """
     a, b = points.where(F.col(group) == first), points.where(F.col(group) == second)
     n1, n2 = a.count(), b.count()
-    observed = mean_distance(a.select("x", "y"), b.select("x", "y")).withColumnRenamed("mean_distance", "observed")
-    null = permuted_distances(points.select("id", "x", "y"), n1, n2, reps)
-    moments = null.agg(F.avg("mean_distance").alias("expected"), F.stddev_samp("mean_distance").alias("sd"))
-    peak = density_peak(null.select(F.lit(1).alias("g"), F.col("mean_distance").alias("v")), "g", "v").select(F.col("peak").alias("expected_peak"))
-    out = observed.crossJoin(moments).crossJoin(peak)  # one row each
-    return out.withColumn("z", F.try_divide(F.col("observed") - F.col("expected"), F.col("sd")))
+    seen = pair_distances(a.select("x", "y"), b.select("x", "y")).withColumn("rep", F.lit(-1).cast("long"))  # the observed pairs as one more repetition
+    pairs = seen.unionByName(permuted_pairs(points.select("id", "x", "y"), n1, n2, reps))
+    each = distance_peaks(pairs, "rep") if peaks else pairs.groupBy("rep").agg(F.avg("distance").alias("mean_distance"))
+    found = []
+    for c, end in (("mean_distance", ""), ("peak", "_peak"))[: 1 + peaks]:
+        drawn = F.when(F.col("rep") >= 0, F.col(c))
+        found += [F.max(F.when(F.col("rep") < 0, F.col(c))).alias(f"observed{end}"), F.avg(drawn).alias(f"expected{end}"), F.stddev_samp(drawn).alias(f"sd{end}")]
+    out = each.agg(*found)
+    for end in ("", "_peak")[: 1 + peaks]:
+        out = out.withColumn(f"z{end}", F.try_divide(F.col(f"observed{end}") - F.col(f"expected{end}"), F.col(f"sd{end}")))
+    return out
+
+
+def distance_peaks(pairs: DataFrame, key: str, points: int = 512, bins: int = 4096) -> DataFrame:
+    """(key, mean_distance, peak): mean and density peak, as `density` has it, of the distances by key.
+
+    Two passes over the pairs; the density and its bandwidth's quartiles come from the bins, so no task holds a key's distances.
+    """
+    d = F.col("distance")
+    s = pairs.groupBy(key).agg(F.count(d).alias("n"), F.min(d).alias("lo"), F.max(d).alias("hi"), F.stddev_samp(d).alias("sd"), F.avg(d).alias("mean_distance")).where("n > 0")
+    at = pairs.join(F.broadcast(s.select(key, "lo", F.greatest((F.col("hi") - F.col("lo")) / bins, F.lit(1e-300)).alias("step"))), key)  # a row a key, so that pairs stay where they are made
+    binned = at.where(d.isNotNull()).groupBy(key, F.floor((d - F.col("lo")) / F.col("step")).alias("b")).agg(F.count("*").alias("w"), F.avg(d).alias("m")).join(s, key)
+
+    def peak(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("b")
+        one, m, w = pdf.iloc[0], pdf.m.to_numpy(), pdf.w.to_numpy()
+        q1, q3 = m[np.searchsorted(w.cumsum(), (0.25 * one.n, 0.75 * one.n))]
+        spread = min(one.sd, (q3 - q1) / 1.34) if one.n > 1 else 0.0
+        width = 0.9 * (spread or (one.sd if one.n > 1 and one.sd > 0 else 1.0)) * one.n**-0.2
+        grid = np.linspace(one.lo - 3 * width, one.hi + 3 * width, points)
+        high = np.exp(-0.5 * ((grid[:, None] - m) / width) ** 2) @ w
+        return pd.DataFrame({key: [int(one[key])], "mean_distance": [one.mean_distance], "peak": [grid[high.argmax()]]})
+
+    return binned.groupBy(key).applyInPandas(peak, f"{key} long, mean_distance double, peak double")
 
 
 def density(df: DataFrame, group: str, value: str, points: int = 512, bins: int = 2048) -> DataFrame:

@@ -440,10 +440,17 @@ def pair_distance(t):
  o AS (SELECT avg(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y))) AS d FROM p a, p b WHERE a.label = 1 AND b.label = 2)
  SELECT round(o.d, 6) AS observed, round(avg(m.d), 6) AS expected, round(stddev_samp(m.d), 6) AS sd, round((o.d - avg(m.d)) / stddev_samp(m.d), 4) AS z FROM m, o GROUP BY o.d""")
 def permutation_z(t):
-    out = stats.colocation(points(t).withColumnRenamed("vec_id", "id"), "label", 1, 2, reps=20)
+    out = stats.colocation(points(t).withColumnRenamed("vec_id", "id"), "label", 1, 2, reps=20, peaks=False)
     return out.select(F.round("observed", 6).alias("observed"), F.round("expected", 6).alias("expected"), F.round("sd", 6).alias("sd"), r4("z", "z"))
 
 
+@query()
+def colocation_z(t):
+    """permutation_z with all repetitions and the z score of density peaks, too slow for SQL."""
+    out = stats.colocation(points(t).withColumnRenamed("vec_id", "id"), "label", 1, 2)
+    return out.select(*(F.round(c, 6).alias(c) for c in ("observed", "expected", "sd", "observed_peak", "expected_peak", "sd_peak")), r4("z", "z"), r4("z_peak", "z_peak"))
+
+
 # ---------------------------------------------------------------- statistics
 
 

@@ -1,11 +1,13 @@
 """Null rules, traps and small fixtures of the register operators."""
 
 import datetime as dt
+import hashlib
 import zipfile
 
 import numpy as np
 from pyspark.sql import functions as F
 
+from regiscope import queries
 from regiscope.functions import exprs as x
 from regiscope.operators import accounts, agg, geo, link, predicates, stats
 from regiscope.sources.zips import ZipEntries
@@ -109,6 +111,36 @@ def test_regression_edge_cases(spark):
     assert got["a"] == (None, None) and got["c"] == (None, None) and got["b"][0] == 2.0 and np.isnan(got["b"][1])
 
 
+def test_colocation_scores_means_and_peaks(spark):
+    rng, reps = np.random.default_rng(1), 6
+    data = [(i, int(i % 3), float(x), float(y)) for i, (x, y) in enumerate(rng.normal(size=(45, 2)))]
+    got = stats.colocation(spark.createDataFrame(data, "id long, label int, x double, y double"), "label", 1, 2, reps).first()
+    at = np.array([r[2:] for r in data])
+    label = np.array([r[1] for r in data])
+
+    def both(a, b):
+        d = np.sqrt(((at[a][:, None] - at[b][None]) ** 2).sum(axis=2)).ravel()
+        q1, q3 = np.quantile(d, (0.25, 0.75))
+        w = 0.9 * min(d.std(ddof=1), (q3 - q1) / 1.34) * len(d) ** -0.2
+        grid = np.linspace(d.min() - 3 * w, d.max() + 3 * w, 512)
+        return d.mean(), grid[np.exp(-0.5 * ((grid[:, None] - d) / w) ** 2).sum(axis=1).argmax()]
+
+    def draw(rep, side):
+        return sorted(range(45), key=lambda i: (hashlib.md5(f"{i}:{rep}:{side}".encode()).hexdigest(), i))[:15]
+
+    seen, null = both(label == 1, label == 2), np.array([both(draw(k, "x"), draw(k, "y")) for k in range(reps)])
+    for k, names in enumerate((("observed", "expected", "sd", "z"), ("observed_peak", "expected_peak", "sd_peak", "z_peak"))):
+        m, sd = null[:, k].mean(), null[:, k].std(ddof=1)
+        assert np.allclose([got[n] for n in names], [seen[k], m, sd, (seen[k] - m) / sd], atol=0.02 * k + 1e-9)
+
+
+def test_colocation_query_takes_all_repetitions(spark, monkeypatch):
+    called = {}
+    monkeypatch.setattr(stats, "permuted_pairs", lambda points, n1, n2, reps, *a, real=stats.permuted_pairs: real(points, n1, n2, called.setdefault("reps", reps), *a))
+    out = queries.QUERIES["colocation_z"](spark, "/root/testdata/sf0.001")
+    assert called == {"reps": 1000} and {"z", "z_peak", "observed_peak"} <= set(out.columns)
+
+
 def test_natural_breaks_match_a_direct_search(spark):
     import itertools
 
