@@ -15,15 +15,25 @@ from pyspark.sql import functions as F
 PIECE = 1 << 21
 
 
-def tune(spark: SparkSession) -> None:
-    """Keep Arrow batches small: rows may hold very long texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+#: Rows of a batch that are worked on together.
+ROWS = 1000
+#: Most keys that `join_by_count` broadcasts, and the fewest rows that make a key one of them.
+HEAVY_KEYS, HEAVY_ROWS = 100_000, 10_000
+
+
+def small(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut to so many rows (without copying), as working arrays are several times as large as the text."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); a temporary one only where none is set."""
+    """The cluster's shared folder (spark.checkpoint.dir); where none is set, a temporary one in local mode and an error on a cluster."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="regiscope-")
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
@@ -34,7 +44,27 @@ def materialise(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/regiscope-{uuid.uuid4().hex}"
     df.write.option("compression", "lz4").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables of `materialise` that nothing reads any more."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.scratch)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def join_by_count(df: DataFrame, table: DataFrame, on: list[str], rows: int, how: str = "inner", count: str = "n") -> DataFrame:
+    """Inner or left join of df (of `rows` rows, read twice) with a table of one row per key that also has the key's rows in df.
+
+    Keys with many rows are broadcast, at most `HEAVY_KEYS` of them, so their rows stay where they are; the others are dealt by key.
+    """
+    least = max(HEAVY_ROWS, rows // HEAVY_KEYS)
+    heavy = F.broadcast(table.where(F.col(count) > least).drop(count))
+    light = table.where(F.col(count) <= least).drop(count)
+    return df.join(heavy, on).unionByName(df.join(heavy.select(*on), on, "left_anti").join(light, on, how), allowMissingColumns=True)
 
 
 def is_set(column) -> "F.Column":
@@ -159,6 +189,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     e = edges.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).where("lo < hi").distinct()
     e = materialise(e)
     while not _all_stars(e):
+        before = e
         both = e.select(F.col("lo").alias("u"), F.col("hi").alias("v")).union(e.select("hi", "lo"))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("m").alias("lo"), F.col("v").alias("hi")).where("lo < hi")
@@ -166,4 +197,5 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         small = large.join(low, "hi")
         small = small.select(F.col("m").alias("lo"), F.col("lo").alias("hi")).union(low.select("m", "hi")).where("lo < hi").distinct()
         e = materialise(small)
+        release(before)
     return e.select(F.col("hi").alias("node"), F.col("lo").alias("label")).union(e.select("lo", "lo").distinct())

@@ -1,53 +1,48 @@
 """Benchmark decontamination by winnowing.
 
-Documents and benchmark items become fingerprints: the smallest hash of `K` consecutive words in each
-window of `WINDOW - K + 1` such hashes. Any span of `WINDOW` words that a document and an item share
-contains a common fingerprint, so joining fingerprints finds every such document; the hits are then
-extended to whole windows and compared word by word.
-
-Item fingerprints are broadcast only up to `broadcast_items` items of a checked total size; beyond that
-the documents' fingerprints are joined with them by a shuffle.
-
-Nulls and empty texts have no words (n_words 0, not contaminated). Items without words have no window.
-Rows are judged one by one, so repeated rows and ids give repeated results; other columns are ignored.
+Documents and benchmark items become fingerprints: of each window of `WINDOW` words the smallest hash of `K`
+consecutive words in it. A window that a document and an item share has the same fingerprint in both, so joining
+fingerprints finds every such window. Windows with the same fingerprint that follow each other are one hit; only hits
+are extended to whole windows, which are joined with the items' windows word by word. An item of fewer than `WINDOW`
+words is one window, and its fingerprint is the hash of all its words.
+
+The join is one and the same at every size; only who travels differs. Up to `PRINTS` distinct fingerprints of items (8
+bytes each) are broadcast as sorted arrays and documents drop other fingerprints where they are read. Beyond that the
+documents' hits are dealt by fingerprint. Of equal items and windows one is joined, with the list of its item_ids.
+
+Nulls and empty texts have no words (n_words 0, not contaminated). Items without words have no window. A null item_id
+counts as the text `None`. Rows are judged one by one, so repeated rows and ids give repeated results; other columns,
+whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
+import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regiscope.llm.common import ALNUM, gram_hashes, hash_words, tune, utf8
+from regiscope.llm.common import ALNUM, gram_hashes, hash_words, materialise, small, utf8
 
 WINDOW = 13
 K = 6
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 UPPER = {c: c + 32 for c in range(65, 91)}
-SCHEMA = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<struct<first:long,last:long>>"
-BROADCAST_CHARS = 32_000_000
+PRINTS = 4_000_000
+WINDOWS_BROADCAST = 100_000
+HITS = "array<struct<size:int,print:long,at:long,words:array<string>>>"
+_HITS = pa.list_(pa.struct([("size", pa.int32()), ("print", pa.int64()), ("at", pa.int64()), ("words", pa.list_(pa.string()))]))
 
 
 def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").translate(UPPER))
 
 
-def winnow(grams: np.ndarray, width: int) -> np.ndarray:
-    """Places of the minimum of each window of `width` grams (rightmost of equal ones)."""
-    n = len(grams)
-    if not n:
-        return np.zeros(0, np.int64)
-    width = min(width, n)
-    windows = np.lib.stride_tricks.sliding_window_view(grams[::-1], width)
-    places = windows.argmin(axis=1) + np.arange(len(windows))
-    return np.unique(n - 1 - places)
-
-
-def _minimum(grams: np.ndarray, width: int) -> np.ndarray:
+def window_minima(grams: np.ndarray, width: int) -> np.ndarray:
     """Minimum of each window of `width` grams, by doubling."""
     low, span = grams, 1
     while span * 2 <= width:
@@ -57,45 +52,11 @@ def _minimum(grams: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(low[: len(low) - rest], low[rest:]) if rest else low
 
 
-def doc_prints(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All winnowing fingerprints of a batch: place of a window and the window's minimum, windows within one text only."""
-    width = WINDOW - K + 1
-    g = gram_hashes(h, K)
-    if len(g) < width:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    low = _minimum(g, width)
-    ok = np.zeros(len(low), bool)
-    at = np.arange(len(low))
-    doc = np.searchsorted(first, at, "right") - 1
-    ok = at + WINDOW <= first[doc + 1]
-    ok[1:] &= (low[1:] != low[:-1]) | (doc[1:] != doc[:-1])
-    keep = np.flatnonzero(ok)
-    return keep, low[keep]
-
-
-class Items:
-    """Benchmark items prepared for matching: fingerprints, short items by length, windows by word tuple."""
-
-    def __init__(self, rows: list[tuple[object, str | None]]):
-        self.windows: dict[int, dict[tuple, set]] = {}
-        prints, short = [], {}
-        for item, text in rows:
-            w = words_of(text)
-            if not w:
-                continue
-            size = min(WINDOW, len(w))
-            table = self.windows.setdefault(size, {})
-            for i in range(len(w) - size + 1):
-                table.setdefault(tuple(w[i : i + size]), set()).add(str(item))
-            joined = " ".join(w).encode()
-            h, _ = hash_words(np.frombuffer(joined, np.uint8), np.array([0, len(joined)]), ALNUM)
-            if size == WINDOW:
-                g = gram_hashes(h, K)
-                prints.append(g[winnow(g, WINDOW - K + 1)])
-            else:
-                short.setdefault(size, []).append(gram_hashes(h, size))
-        self.prints = np.unique(np.concatenate(prints)) if prints else np.zeros(0, np.uint64)
-        self.short = {k: np.unique(np.concatenate(v)) for k, v in short.items()}
+def fingerprints(h: np.ndarray, size: int) -> np.ndarray:
+    """Fingerprint of the window of `size` words at each place of a sequence of word hashes (also across texts)."""
+    if len(h) < size:
+        return np.zeros(0, np.uint64)
+    return window_minima(gram_hashes(h, K), WINDOW - K + 1) if size == WINDOW else gram_hashes(h, size)
 
 
 def _in(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -106,121 +67,94 @@ def _in(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
     return sorted_values[at] == x
 
 
-def suspects(h: np.ndarray, first: np.ndarray, items: Items) -> np.ndarray:
-    """Which texts share a fingerprint (or a short item's hash)."""
-    found = np.zeros(len(first) - 1, bool)
-    at, low = doc_prints(h, first)
-    hit = at[_in(items.prints, low)]
-    for size, hashes in items.short.items():
-        g = gram_hashes(h, size)
-        k = np.flatnonzero(_in(hashes, g))
-        hit = np.concatenate([hit, k])
-    if len(hit):
-        found[np.searchsorted(first, hit, "right") - 1] = True
-    return found
-
-
-def judge(words: list[str], windows: dict[int, dict[tuple, set]]) -> tuple[int, set[str], list[dict]]:
-    """Hit words, items, and spans of hit words of a text, by exact comparison of whole windows."""
-    hit, found = np.zeros(len(words) + 1, np.int64), set()
-    for size, table in windows.items():
-        for i, w in enumerate(zip(*(words[j:] for j in range(size)))):
-            if (who := table.get(w)) is not None:
-                hit[i] += 1
-                hit[i + size] -= 1
-                found |= who
-    covered = np.cumsum(hit)[:-1] > 0
-    edges = np.flatnonzero(np.diff(covered.astype(np.int8), prepend=0, append=0))
-    return int(covered.sum()), found, [{"first": int(a), "last": int(b) - 1} for a, b in zip(edges[::2], edges[1::2])]
-
-
-def digest(items: set[str]) -> str:
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
-
-
-NONE = digest(set())
-
-
-def _rows(ids, n_words, results) -> pa.RecordBatch:
-    n = len(ids)
-    cols = [results.get(i, (0, set(), [])) for i in range(n)]
-    hits = [c[0] for c in cols]
-    return pa.RecordBatch.from_arrays([
-        ids.cast(pa.int64()), pa.array(n_words, pa.int64()), pa.array(hits, pa.int64()), pa.array([len(c[1]) for c in cols], pa.int64()),
-        pa.array([digest(c[1]) if c[1] else NONE for c in cols]), pa.array([h > 0 and 20 * h >= w for h, w in zip(hits, n_words)], pa.bool_()),
-        pa.array([c[2] for c in cols], pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))),
-    ], names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"])
-
-
-def contamination(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", broadcast_chars: int = BROADCAST_CHARS) -> DataFrame:
-    """Per document: words, hit words, items found, spans of hit words, and the verdict."""
-    spark = documents.sparkSession
-    tune(spark)
-    docs = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    bench = benchmark.select("item_id", "text")
-    if (bench.agg(F.sum(F.length("text") + 64)).first()[0] or 0) > broadcast_chars:
-        return _by_shuffle(docs, bench)
-    shared = spark.sparkContext.broadcast([tuple(r) for r in bench.where(F.length("text") > 0).collect()])
+def hits(h: np.ndarray, first: np.ndarray, size: int, wanted: np.ndarray | None) -> Iterator[tuple[int, int, int, int]]:
+    """(text, place in it, number of windows, fingerprint) of the runs of windows with one fingerprint, of the wanted ones if given."""
+    low = fingerprints(h, size)
+    at = np.arange(len(low)) if wanted is None else np.flatnonzero(_in(wanted, low))
+    text = np.searchsorted(first, at, "right") - 1
+    whole = at + size <= first[text + 1]
+    at, text = at[whole], text[whole]
+    low = low[at]
+    starts = np.ones(len(at), bool)
+    starts[1:] = (at[1:] != at[:-1] + 1) | (low[1:] != low[:-1]) | (text[1:] != text[:-1])
+    starts = np.flatnonzero(starts)
+    yield from zip(text[starts].tolist(), (at - first[text])[starts].tolist(), np.diff(starts, append=len(at)).tolist(), low[starts].view(np.int64).tolist())
+
+
+def _items(bench: DataFrame) -> DataFrame:
+    """item, size (of its windows), words and prints (distinct fingerprints) of each distinct text with words."""
+    once = bench.where("text IS NOT NULL").groupBy("text").agg(F.array_sort(F.collect_set(F.coalesce(F.col("item_id").cast("string"), F.lit("None")))).alias("items"))
+
+    def run(batches):
+        for b in small(batches, 100):
+            h, first = hash_words(*utf8(b.column("text")), ALNUM)
+            size = np.minimum(WINDOW, np.diff(first))
+            prints = [np.unique(fingerprints(h[a:z], int(n))).view(np.int64) if n else [] for a, z, n in zip(first[:-1], first[1:], size)]
+            yield pa.RecordBatch.from_arrays([b.column("items"), pa.array(size, pa.int32()), pa.array(map(words_of, b.column("text").to_pylist()), pa.list_(pa.string())), pa.array(prints, pa.list_(pa.int64()))], names=["items", "size", "words", "prints"])
+
+    return materialise(once.mapInArrow(run, "items array<string>, size int, words array<string>, prints array<long>").where("size > 0"))
+
+
+def _windows(words: str, size: str) -> F.Column:
+    """Positions and texts of the windows of `size` words in an array of words."""
+    return F.posexplode(F.expr(f"transform(sequence(0, size({words}) - {size}), i -> array_join(slice({words}, i + 1, {size}), ' '))")).alias("ahead", "win")
+
+
+def _found(docs: DataFrame, sizes: list[int], wanted: dict[int, np.ndarray] | None) -> DataFrame:
+    """doc_id, n_words and hits of every row; row tells those with hits apart."""
+    shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches):
-        items = Items(shared.value)
-        for b in batches:
-            data, offs = utf8(b.column("text"))
-            h, first = hash_words(data, offs, ALNUM)
-            found = {int(i): judge(words_of(b.column("text")[int(i)].as_py()), items.windows) for i in np.flatnonzero(suspects(h, first, items))}
-            yield _rows(b.column("doc_id"), np.diff(first), found)
-
-    return docs.mapInArrow(run, SCHEMA)
-
-
-def _by_shuffle(docs: DataFrame, bench: DataFrame) -> DataFrame:
-    """For a benchmark beyond the broadcast bound: windows meet in a join on their hash, documents keep their row."""
-    keyed = docs.withColumn("row", F.expr("uuid()"))
-    from regiscope.llm.common import materialise
-
-    keyed = materialise(keyed)
-
-    def windows(batches):
-        for b in batches:
-            for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                w = words_of(text)
-                size = min(WINDOW, len(w))
-                if size:
-                    yield pa.RecordBatch.from_pydict({"item_id": [str(key)] * (len(w) - size + 1), "win": [" ".join(w[i : i + size]) for i in range(len(w) - size + 1)], "size": pa.array([size] * (len(w) - size + 1), pa.int32())})
-
-    items = materialise(bench.mapInArrow(windows, "item_id string, win string, size int"))
-    sizes = [r[0] for r in items.select("size").distinct().collect()]
-
-    def doc_windows(batches):
-        for b in batches:
-            for row, text in zip(b.column("row").to_pylist(), b.column("text").to_pylist()):
-                w = words_of(text)
-                for size in sizes:
-                    for lo in range(0, len(w) - size + 1, 50_000):
-                        part = range(lo, min(lo + 50_000, len(w) - size + 1))
-                        yield pa.RecordBatch.from_pydict({"row": [row] * len(part), "at": pa.array(part, pa.int64()), "win": [" ".join(w[i : i + size]) for i in part], "size": pa.array([size] * len(part), pa.int32())})
-
-    places = keyed.mapInArrow(doc_windows, "row string, at long, win string, size int")
-    hits = places.join(items, ["win", "size"]).select("row", "at", "size", "item_id")
-    hits = materialise(hits)
-    spans = hits.select("row", "at", (F.col("at") + F.col("size")).alias("to")).distinct()
-    from pyspark.sql import Window
-
-    before = Window.partitionBy("row").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    fresh = spans.withColumn("seen", F.coalesce(F.max("to").over(before), F.lit(0)))
-    n_hit = fresh.groupBy("row").agg(F.sum(F.greatest(F.lit(0), F.col("to") - F.greatest("at", "seen"))).alias("n_hit"))
-    found = hits.groupBy("row").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
-
-    def count(batches):
-        for b in batches:
-            data, offs = utf8(b.column("text"))
-            _, first = hash_words(data, offs, ALNUM)
-            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("doc_id").cast(pa.int64()), pa.array(np.diff(first), pa.int64())], names=["row", "doc_id", "n_words"])
-
-    counts = keyed.mapInArrow(count, "row string, doc_id long, n_words long")
-    out = counts.join(n_hit, "row", "left").join(found, "row", "left")
-    hit = F.coalesce("n_hit", F.lit(0)).cast("long")
-    return out.select("doc_id", "n_words", hit.alias("n_hit"), F.when(F.col("items").isNull(), F.lit(0)).otherwise(F.size("items")).cast("long").alias("n_items"),
-                      F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"),
-                      ((hit > 0) & (20 * hit >= F.col("n_words"))).alias("contaminated"),
-                      F.lit(None).cast("array<struct<first:long,last:long>>").alias("spans"))
+        wanted = shared.value
+        for b in small(batches):
+            h, first = hash_words(*utf8(b.column("text")), ALNUM)
+            found: dict[int, list] = {}
+            for size in sizes:
+                for text, at, n, low in hits(h, first, size, None if wanted is None else wanted[size]):
+                    found.setdefault(text, []).append((size, low, at, n))
+            rows, batch = [[] for _ in range(b.num_rows)], uuid.uuid4().hex
+            for text, of in found.items():
+                words = words_of(b.column("text")[text].as_py())
+                rows[text] = [{"size": size, "print": low, "at": at, "words": words[at : at + n + size - 1]} for size, low, at, n in of]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.diff(first), pa.int64()), pa.array([f"{batch}-{i}" if r else None for i, r in enumerate(rows)], pa.string()), pa.array(rows, _HITS)], names=["doc_id", "n_words", "row", "hits"])
+
+    return materialise(docs.mapInArrow(run, f"doc_id long, n_words long, row string, hits {HITS}"))
+
+
+def contamination(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", most_prints: int = PRINTS) -> DataFrame:
+    """Per document: words, hit words, items found, the verdict, and the spans of hit words (first and last, from 0)."""
+    docs = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    items = _items(benchmark.select("item_id", "text"))
+    sizes = sorted(r[0] for r in items.select("size").distinct().collect())  # 13 at most
+    prints = materialise(items.select("size", F.explode("prints").alias("print")).distinct())
+    few = prints.count() <= most_prints
+    wanted = None
+    if few:
+        kept = prints.toPandas()
+        wanted = {k: np.sort(kept["print"].to_numpy(np.int64)[kept["size"].to_numpy() == k].view(np.uint64)) for k in sizes}
+    rows = _found(docs, sizes, wanted)
+    hit = rows.where("row IS NOT NULL").select("row", F.explode("hits").alias("h")).select("row", "h.*")
+    hit = hit if few else hit.join(prints, ["size", "print"], "left_semi")
+    windows = items.select("items", "size", _windows("words", "size")).groupBy("win", "size").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    windows = materialise(windows)
+    small_enough = windows.agg(F.count("*"), F.sum(F.length("win") + 20 * F.size("items"))).first()
+    here = F.broadcast(windows) if small_enough[0] <= WINDOWS_BROADCAST and (small_enough[1] or 0) <= 1 << 25 else windows
+    at = (F.col("at") + F.col("ahead")).alias("at")
+    exact = materialise(hit.select("row", "at", "size", _windows("words", "size")).select("row", at, "size", "win").join(here, ["win", "size"]).select("row", "at", (F.col("at") + F.col("size")).alias("to"), "items"))
+    return _verdicts(rows, exact)
+
+
+def _verdicts(rows: DataFrame, exact: DataFrame) -> DataFrame:
+    """exact: row, at, to and items of every window found. Windows of one row are its own words, so a window over them is bounded by its text."""
+    w = Window.partitionBy("row").orderBy("at", "to")
+    before = exact.select("row", "at", "to").distinct().withColumn("upto", F.coalesce(F.max("to").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1)))
+    span = before.withColumn("span", F.sum((F.col("at") > F.col("upto")).cast("int")).over(w)).groupBy("row", "span").agg(F.min("at").alias("first"), (F.max("to") - 1).alias("last"))
+    spans = span.groupBy("row").agg(F.sum(F.col("last") - F.col("first") + 1).alias("hit"), F.array_sort(F.collect_list(F.struct("first", "last"))).alias("spans"))
+    items = exact.groupBy("row").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    found = rows.where("row IS NOT NULL").select("doc_id", "n_words", "row").join(spans, "row", "left").join(items, "row", "left")
+    none = rows.where("row IS NULL").select("doc_id", "n_words", F.lit(None).cast("long").alias("hit"), F.lit(None).cast("array<struct<first:long,last:long>>").alias("spans"), F.lit(None).cast("array<string>").alias("items"))
+    out = found.select("doc_id", "n_words", "hit", "spans", "items").unionByName(none)
+    n_hit = F.coalesce("hit", F.lit(0)).cast("long")
+    ids = F.coalesce("items", F.array().cast("array<string>"))
+    return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"), F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
+                      ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"), F.coalesce("spans", F.array().cast("array<struct<first:long,last:long>>")).alias("spans"))

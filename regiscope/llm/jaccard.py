@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regiscope.llm.common import SPACED, _MULT, connected_components, gram_hashes, hash_words, materialise, mix, tune, utf8
+from regiscope.llm.common import SPACED, _MULT, connected_components, gram_hashes, hash_words, materialise, mix, small, utf8
 
 WIDTH = 5
 PERCENT = 75
@@ -83,7 +83,7 @@ def describe(documents: DataFrame, percent: int, buckets: int, sample: float) ->
     """For every text its set's size and name (bucket null), and for every bucket of hashes the early shingles, packed."""
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             sets = shingle_sets(*utf8(b.column("text")))
             ids = b.column("doc_id").to_pylist()
             meta, seen, keys, owner = [], {}, [], []
@@ -301,7 +301,7 @@ def _compare(docs: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) found in each part of each block. placed: of, s1, block, parts, probe, group (null: not known)."""
 
     def tokens(batches):
-        for b in batches:
+        for b in small(batches):
             found = shingle_sets(*utf8(b.column("text")))
             # another row may have the same doc_id and another text
             t = [x.tobytes() if len(x) and _name(x)[0] == s1 else None for x, s1 in zip(found, b.column("s1").to_pylist())]
@@ -318,7 +318,6 @@ def _compare(docs: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
 
 def similar_sets(documents: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(meta: doc_id, n, s1 (name of the set) of every row; links: a, b names of sets, enough to connect what is connected)."""
-    tune(documents.sparkSession)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     meta, sets, blocks = _blocks(docs, percent, SAMPLE)
 

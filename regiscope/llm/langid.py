@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regiscope.llm.common import tune
+from regiscope.llm.common import small
 
 DIM = 4096
 CLUSTERS = 4
@@ -105,7 +105,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
     def run(batches):
         df, n = np.zeros(DIM, np.int64), 0
-        for b in batches:
+        for b in small(batches):
             for _, part in _slices([t or "" for t in b.column("text").to_pylist()]):
                 df += (_counts(part)[0] > 0).sum(axis=0)
                 n += len(part)
@@ -178,7 +178,6 @@ class Model:
 
 def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, clusters: int = CLUSTERS) -> Model:
     """docs: doc_id, text, lang of the rows to learn from."""
-    tune(docs.sparkSession)
     docs = docs.where("lang IS NOT NULL AND text IS NOT NULL")
     df, n = document_frequencies(docs)
     idf = np.log((1 + n) / (1 + df)) + 0.1
@@ -188,7 +187,7 @@ def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, clusters: int = CLUS
     sample = docs.join(F.broadcast(ids), "doc_id", "left_semi").select("lang", "text", half)  # per_lang ids a language
 
     def vectors(batches):
-        for b in batches:
+        for b in small(batches):
             texts = [t or "" for t in b.column("text").to_pylist()]
             rows = [v.astype(np.float16).tobytes() for _, part in _slices(texts) for v in _vectors(_counts(part)[0], idf)]
             yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("half"), pa.array(rows, pa.binary())], names=["lang", "half", "v"])
@@ -215,7 +214,7 @@ def _cosines(docs: DataFrame, idf: np.ndarray, parts: list[np.ndarray]) -> np.nd
     def run(batches):
         weights, centroids = shared.value
         seen = np.zeros((_LEVELS, _STEPS + 1), np.int64)
-        for b in batches:
+        for b in small(batches):
             halves = b.column("half").to_numpy()
             for at, part in _slices(b.column("text").to_pylist()):
                 counts, letters = _counts(part)
@@ -236,13 +235,12 @@ def _cosines(docs: DataFrame, idf: np.ndarray, parts: list[np.ndarray]) -> np.nd
 
 def identify(documents: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """lang_pred, score and rejected of every row; with `keep`, these columns beside them."""
-    tune(documents.sparkSession)
     names = [doc_id, *(c for c in keep or [] if c != doc_id)]
     docs = documents.select(*names, F.col(text).alias("_text_"))
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             got = shared.value.predict(b.column("_text_").to_pylist())
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()), pa.array([g[2] for g in got], pa.bool_())], names=[*names, "lang_pred", "score", "rejected"])
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiscope.llm.common import tune
+from regiscope.llm.common import small
 
 SAMPLE = 1000
 ADJACENT = 0.8
@@ -266,7 +266,6 @@ def fit(pages: list[str], rounds: int = 20, hold: float = 50.0) -> np.ndarray:
 
 
 def train(pages: DataFrame, sample: int = SAMPLE) -> np.ndarray:
-    tune(pages.sparkSession)
     ids = pages.where("html IS NOT NULL").select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
     some = pages.select("page_id", "html").join(F.broadcast(ids), "page_id", "left_semi")  # at most `sample` ids
 
@@ -279,10 +278,9 @@ def train(pages: DataFrame, sample: int = SAMPLE) -> np.ndarray:
 
 def extract(pages: DataFrame, weights: np.ndarray) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
-    tune(pages.sparkSession)
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             texts = [main_text(x.as_py(), weights) for x in b.column("html")]
             yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 

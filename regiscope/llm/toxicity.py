@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regiscope.llm.common import ALNUM, _MULT, hash_words, mix, tune, utf8
+from regiscope.llm.common import ALNUM, _MULT, hash_words, mix, small, utf8
 
 SAMPLE = 3000
 SUPPORT = 5
@@ -246,7 +246,6 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
 
 def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
     """documents: doc_id, text; labels: doc_id, toxic; both only of the rows to learn from."""
-    tune(documents.sparkSession)
     order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
     marked = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     picked = marked.withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample).drop("k")
@@ -292,12 +291,11 @@ def _score(chain: Chain, b: pa.RecordBatch) -> pa.RecordBatch:
 
 def score(documents: DataFrame, chain: Chain) -> DataFrame:
     """score, predicted and offending spans (code points, end exclusive) of every text."""
-    tune(documents.sparkSession)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     shared = documents.sparkSession.sparkContext.broadcast(chain)
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             if b.num_rows:
                 yield _score(shared.value, b)
 

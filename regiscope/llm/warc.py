@@ -8,7 +8,9 @@ what another has written; an archive is closed at `ARCHIVE_BYTES`, which bounds
 
 Of pages with equal payloads (empty ones too) that with the largest page_id is the response, the others
 are revisits of it; rows that share that page_id are all responses. A null html is an empty payload; a
-null page_id counts as smaller than any other. A null url is written as an empty target.
+null page_id counts as smaller than any other. A null url is written as an empty target. Repeated rows are records of
+their own; other columns are ignored. A payload that very many pages share is broadcast with its response, so its pages
+stay where they are; texts are worked on row by row, however long.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiscope.llm.common import materialise
+from regiscope.llm.common import join_by_count, materialise, small
 
 ARCHIVE_BYTES = 8 << 20
 LEVEL = 3
@@ -106,16 +108,14 @@ def with_owners(pages: DataFrame) -> DataFrame:
     """page_id, url, html and refers_to: the response of equal payloads where that is another page."""
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
     p = p.withColumn("payload", F.sha1("html"))
-    owners = materialise(p.groupBy("payload").agg(F.max("page_id").alias("owner"), F.count("*").alias("n")).where("n > 1").drop("n"))
-    small = owners.count() <= OWNERS_BROADCAST
-    joined = p.join(F.broadcast(owners) if small else owners, "payload", "left")
+    owners = materialise(p.groupBy("payload").agg(F.max("page_id").alias("owner"), F.count("*").alias("n")).where("n > 1"))
+    keys, rows = owners.agg(F.count("*"), F.sum("n")).first()
+    joined = p.join(F.broadcast(owners), "payload", "left") if keys <= OWNERS_BROADCAST else join_by_count(p, owners, ["payload"], rows, "left")
     return joined.select("page_id", "url", "html", F.when(~F.col("page_id").eqNullSafe(F.col("owner")), F.col("owner")).alias("refers_to"))
 
 
 def archives(pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """(archive, data): archives that are one gzip stream each, in the shared folder."""
-    pages.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
-
     def run(batches):
         import uuid
 
@@ -125,7 +125,7 @@ def archives(pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
             parts.append(pack.flush())
             return pa.RecordBatch.from_pydict({"archive": [f"pages-{uuid.uuid4().hex}.warc.gz"], "data": pa.array([b"".join(parts)], pa.binary())})
 
-        for b in batches:
+        for b in small(batches):
             for page_id, url, html, refers_to in zip(*(b.column(c) for c in ("page_id", "url", "html", "refers_to"))):
                 raw = record(page_id.as_py(), url.as_py(), html.as_py().encode("utf-8", "replace"), refers_to.as_py())
                 if pack is None:
@@ -143,10 +143,8 @@ def archives(pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
 
 def normalised(monolithic: DataFrame) -> DataFrame:
     """(archive, data, index): every record a member of its own, with the sidecar index, in the shared folder."""
-    monolithic.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
-
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             for name, data in zip(b.column("archive").to_pylist(), b.column("data")):
                 out = io.BytesIO()
                 index = [{"offset": o, "length": n, "record_id": r} for o, n, r in normalise(io.BytesIO(data.as_py()).read, out.write)]
@@ -162,7 +160,7 @@ def records(members: DataFrame) -> DataFrame:
         return int(urn[len("<urn:page:") : -1]) if urn[len("<urn:page:") : -1] else None
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             for data, index in zip(b.column("data"), b.column("index").to_pylist()):
                 view, rows = memoryview(data.as_buffer()), []
                 for at in index:

@@ -11,9 +11,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from regiscope.llm import decontaminate, jaccard, kdtree, langid, linededup, mincut, pieces, pii, queries, toxicity, warc
+from regiscope.llm import common, decontaminate, jaccard, kdtree, langid, linededup, mincut, pieces, pii, queries, toxicity, warc
 
 DIR = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string, lang string, source string, n_chars long, score string, key string"
@@ -52,6 +53,25 @@ def test_warc_edge_cases(spark):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def test_warc_repeated_ids_and_clashing_columns(spark, monkeypatch):
+    """A repeated page_id is a record a row; the split join of many owners gives the same rows as a broadcast."""
+    rows = [(5, "u", "same", "x"), (5, "u", "same", "y"), (4, "v", "same", None), (6, "w", "long " * 50_000, "z"), (None, None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, payload string").withColumn("owner", F.lit(1)).withColumn("n", F.lit(2))
+    expected = sorted([(5, 4, "response", None), (5, 4, "response", None), (4, 4, "revisit", 5), (6, 250_000, "response", None), (None, 0, "response", None)], key=str)
+    for bound, heavy in ((10**6, 10_000), (0, 10_000), (0, 1)):
+        monkeypatch.setattr(warc, "OWNERS_BROADCAST", bound)
+        monkeypatch.setattr(common, "HEAVY_ROWS", heavy)
+        assert sorted([(r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in warc.round_trip(pages).collect()], key=str) == expected
+
+
+def test_operators_leave_the_session_as_it_is(spark):
+    before = dict(spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jsparkSession.conf().getAll()))
+    warc.round_trip(queries.table(spark, DIR, "pages")).count()
+    queries.op7_decontaminate(spark, DIR).count()
+    queries.op9_pieces(spark, DIR).count()
+    assert dict(spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jsparkSession.conf().getAll())) == before
+
+
 def test_line_runs(spark):
     run = "\n".join("w%d " % i * 20 for i in range(4))
     docs = spark.createDataFrame([(1, "top\n" + run + "\nend"), (2, run), (3, "x\n" + run.replace("w1", "z") + "\ny"), (4, None), (5, ""), (2, run)], "doc_id long, text string")
@@ -196,26 +216,36 @@ def brute_contamination(text, items):
     for key, t in items:
         w = decontaminate.words_of(t)
         n = min(13, len(w))
+        places = {}
+        for at in range(len(words) - n + 1 if n else 0):
+            places.setdefault(tuple(words[at : at + n]), []).append(at)
         for i in range(len(w) - n + 1 if n else 0):
-            for at in range(len(words) - n + 1):
-                if words[at : at + n] == w[i : i + n]:
-                    hit |= set(range(at, at + n))
-                    found.add(str(key))
-    return len(words), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(words)
+            for at in places.get(tuple(w[i : i + n]), ()):
+                hit |= set(range(at, at + n))
+                found.add(str(key))
+    spans = [(min(g), max(g)) for _, g in ((k, [x for _, x in g]) for k, g in itertools.groupby(enumerate(sorted(hit)), lambda p: p[1] - p[0]))]
+    return len(words), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(words), spans
 
 
 @pytest.mark.parametrize("bound", [10**9, 0])
 def test_decontamination_equals_brute_force(spark, edge, bound):
+    """The same columns, spans too, whether items' fingerprints are broadcast or documents' are dealt."""
     rng = random.Random(5)
     words = [f"w{i}" for i in range(30)]
     items = [(k, " ".join(rng.choices(words, k=n))) for k, n in enumerate((3, 13, 14, 30, 13))] + [(9, None), (10, "")]
+    items += [(11, items[3][1]), (12, "x " + items[3][1])]  # the same windows again
     texts = [(k, " ".join(rng.choices(words, k=rng.randint(0, 40)) + items[k % 5][1].upper().split()[: rng.randint(0, 30)] + rng.choices(words, k=20))) for k in range(40)] + [(99, None), (98, "")]
-    bench = spark.createDataFrame(items, "item_id long, text string")
+    texts += [(100, " ".join([items[3][1]] * 3)), (101, "same " * 60), (102, items[1][1] + " other words " + items[4][1])]
+    items.append((13, "same " * 14))
+    bench = spark.createDataFrame(items, "item_id long, text string").withColumn("n_words", F.lit(1))
     docs = spark.createDataFrame(texts, "doc_id long, text string")
-    got = by_id(decontaminate.contamination(docs, bench, broadcast_chars=bound), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
-    assert got == {i: brute_contamination(t, items) for i, t in texts}
-    assert decontaminate.contamination(edge, bench, broadcast_chars=bound).count() == len(EDGE)
-    assert decontaminate.contamination(edge.limit(0), bench.limit(0), broadcast_chars=bound).count() == 0
+    rows = decontaminate.contamination(docs.unionByName(docs.limit(7)), bench, most_prints=bound).collect()
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated, [tuple(s) for s in r.spans]) for r in rows}
+    expected = {i: brute_contamination(t, items) for i, t in texts}
+    assert not [(i, got[i], expected[i]) for i in got if got[i] != expected[i]] and len(rows) == len(texts) + 7
+    assert any(len(g[5]) > 1 for g in got.values())
+    assert decontaminate.contamination(edge, bench, most_prints=bound).count() == len(EDGE)
+    assert decontaminate.contamination(edge.limit(0), bench.limit(0), most_prints=bound).count() == 0
 
 
 def brute_pii(t):
@@ -318,7 +348,7 @@ def test_pipeline_stages(spark, edge):
     groups = brute_components(before)
     assert set(out["near_duplicates"]) == {i for i in before if groups[i][1] == i}
     items = [tuple(r) for r in queries.table(spark, DIR, "benchmark").select("item_id", "text").collect()]
-    expected = {i for i, t in out["near_duplicates"].items() if not decontaminate.judge(decontaminate.words_of(t), decontaminate.Items(items).windows)[0] * 20 >= max(1, len(decontaminate.words_of(t)))}
+    expected = {i for i, t in out["near_duplicates"].items() if not brute_contamination(t, items)[4]}
     assert set(out["decontaminate"]) == expected
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, edge, DIR).columns == edge.columns
