@@ -1,25 +1,28 @@
 """Main text of HTML pages by minimum-cut labelling.
 
-A page is cut into blocks of text at block-level tags. A logistic classifier over a block's link share,
-length, punctuation and the tags and class words around it gives each block its costs of being content
-or boilerplate: these are the capacities to the two terminals. Neighbouring blocks, and blocks close in
-the document tree, are joined by edges whose capacity falls with their distance in the tree. The minimum
-cut is the labelling of least total cost; blocks whose own cost exceeds all their edges are decided
-beforehand, which leaves the optimum as it is.
-
-The classifier is fitted on at most `SAMPLE` pages in the order of a hash of page_id, with blocks inside
-article or main as content and those inside nav, footer, aside or form as boilerplate; it is held near
+A page is cut into blocks of text at block-level tags. A logistic classifier over a block's link share, length,
+punctuation and the tags and class words around it gives each block its log odds of being content: these are the
+capacities to the two terminals. Neighbouring blocks, and a block and the next one of the same parent, are joined by
+edges of the same scale, whose capacity is `EDGE` for blocks of one parent and falls with their distance in the document
+tree (none beyond `FAR` steps; the border of a marked advert, menu or the like counts as `BORDER` steps). The minimum cut is the labelling of least total cost; blocks whose own cost exceeds all
+their edges are decided beforehand, which leaves the optimum as it is. So a short or plain block takes the side of what
+surrounds it, while a footer or notice inside an article stays out.
+
+The classifier is fitted on at most `SAMPLE` distinct pages of up to `SAMPLE_CHARS` characters in the order of a hash,
+with blocks inside article or main as content and those inside nav, footer, aside or form as boilerplate; it is held near
 given weights, which also serve alone where no page has both kinds.
 
-Null and empty html give an empty text. Markup that never closes, stray closing tags and unknown tags are
-tolerated. Repeated rows give repeated results, other columns are ignored.
+Null and empty html give an empty text. Pages are read in one pass that takes time in proportion to their length: quotes
+inside unquoted values are plain characters, a tag without `>` ends at the next `<`, a quote that never closes ends with
+its word, stray closing tags and unknown tags are passed over, an unfinished tag at the end is no text. Repeated rows and
+ids give repeated results; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
-from collections import deque
+from collections import defaultdict, deque
 
 import numpy as np
 import pandas as pd
@@ -30,9 +33,11 @@ from pyspark.sql import functions as F
 from regiscope.llm.common import small
 
 SAMPLE = 1000
-ADJACENT = 0.8
-SIBLING = 0.8
-SCHEMA = "page_id long, url string, text string, n_chars long"
+SAMPLE_CHARS = 1 << 20
+EDGE = 1.5
+FAR = 16
+BORDER = 8
+SCHEMA = "page_id long, url string, text string, n_chars long, n_blocks long, n_changed long"
 
 # Tags of HTML by their role.
 BLOCK = frozenset("address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html iframe legend li main menu nav noscript ol optgroup option p pre search section select summary table tbody td textarea tfoot th thead title tr ul video".split())
@@ -41,31 +46,102 @@ SKIP = frozenset("head script style template noscript svg math iframe object sel
 CLOSES_P = BLOCK - {"br", "body", "html", "td", "th", "tr", "li", "option", "optgroup", "legend", "caption", "button"}
 GOOD = frozenset(("article", "main"))
 BAD = frozenset(("nav", "footer", "aside", "form", "menu", "dialog"))
-# Words in class, id and role that mark what is not the article, and what is.
-BAD_WORD = re.compile(r"(?:^|[-_\s])(?:ad|ads|adv|advert\w*|banner|promo\w*|sponsor\w*|cookie\w*|consent|notice\w*|popup|modal|newsletter|subscribe|signup|login|comment\w*|disqus|respond|replies|reply|sidebar\w*|side|aside|widget\w*|related\w*|recommend\w*|share\w*|social|menu\w*|nav\w*|breadcrumb\w*|footer\w*|foot|header|masthead|topbar|toolbar|pagination|pager|copyright|legal|disclaimer|search\w*|contentinfo|navigation|complementary|alert\w*)(?:$|[-_\s])", re.I)
-GOOD_WORD = re.compile(r"(?:^|[-_\s])(?:article\w*|content|main|post|entry|story|body)(?:$|[-_\s])", re.I)
+ITEMS = frozenset("li dt dd option tr td th".split())
+LISTS = ("ul", "ol", "dl", "table", "select", "menu")
+RAW = frozenset("script style textarea title iframe noscript".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Words in class, id and role that mark what is not the article, and what is; a word after one of these prefixes says nothing.
+BAD_WORD = re.compile(r"(?:^|[-_])(?:ad|ads|adv|advert\w*|banner|promo\w*|sponsor\w*|cookie\w*|consent|notice\w*|popup|modal|newsletter|subscribe|signup|login|comment\w*|disqus|respond|replies|reply|sidebar\w*|side|aside|widget\w*|related\w*|recommend\w*|share\w*|social|menu\w*|nav\w*|breadcrumb\w*|footer\w*|foot|header|masthead|topbar|toolbar|pagination|pager|copyright|legal|disclaimer|search\w*|contentinfo|navigation|complementary|alert\w*)(?:$|[-_])", re.I)
+GOOD_WORD = re.compile(r"(?:^|[-_])(?:article\w*|content|main|post|entry|story|body)(?:$|[-_])", re.I)
+NO_WORD = re.compile(r"(?:no|has|with|without|hide|show)[-_]", re.I)
 # Weights held near: bias, good tag, bad tag, good word, bad word, link share, log words, sentence marks, list item, heading, page header.
-PRIOR = np.array([-0.5, 3.0, -4.0, 1.0, -4.0, -3.0, 0.4, 0.8, -0.3, 0.5, -3.0])
+PRIOR = np.array([-1.5, 4.0, -10.0, 1.0, -8.0, -4.0, 0.5, 1.0, -0.5, 0.5, -8.0])
 
-TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-RAW = re.compile(r"script|style|textarea|title|iframe|noscript", re.I)
+#: A tag as it is mostly written; possessive, so it never goes back.
+PLAIN = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*+)((?:\s++[^\s=<>/\"']++(?:=(?:\"[^\"<>]*+\"|'[^'<>]*+'|[^\s<>\"'=]++))?+)*+)\s*+(/?)>")
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*+)")
+SPACE = re.compile(r"[\s/]*+")
+ATTRIBUTE = re.compile(r"([^\s=<>/][^\s=<>/]*+)(\s*+=\s*+)?+")
+VALUE = re.compile(r"[^\s>]*+")
+MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_GOOD, _BAD, _GOOD_WORD, _BAD_WORD, _ITEM, _HEADING, _HEADER = (1 << k for k in range(7))
 
 
 class Block:
-    __slots__ = ("text", "path", "linked", "good", "bad", "good_word", "bad_word", "item", "heading", "header")
+    """Text, its block-level node, its characters inside links, and flags of what is around it."""
 
-    def __init__(self, text: str, path: tuple, linked: int, flags: tuple):
-        self.text, self.path, self.linked = text, path, linked
-        self.good, self.bad, self.good_word, self.bad_word, self.item, self.heading, self.header = flags
+    __slots__ = ("text", "node", "linked", "flags")
 
+    def __init__(self, text: str, node: int, linked: int, flags: int):
+        self.text, self.node, self.linked, self.flags = text, node, linked, flags
 
-def blocks(page: str) -> list[Block]:
+
+class Page:
+    """Blocks in order, and the parent and depth of every block-level node."""
+
+    def __init__(self):
+        self.blocks: list[Block] = []
+        self.parent, self.depth = [0], [0]
+
+    def distance(self, a: int, b: int) -> int:
+        """Steps between two nodes, or FAR + 1 if there are more than FAR."""
+        steps = abs(self.depth[a] - self.depth[b])
+        while a != b and steps <= FAR:
+            if self.depth[a] >= self.depth[b]:
+                up = self.parent[a]
+                steps += self.depth[a] == self.depth[b]
+                a = up
+            else:
+                b = self.parent[b]
+        return steps if a == b else FAR + 1
+
+
+def _slow_tag(page: str, at: int, gone: set[str]) -> tuple[int, str, str, list[str], bool]:
+    """A tag that PLAIN doesn't match: where it ends, "/" if it closes, its name, marks, and whether it closes itself."""
+    m = NAME.match(page, at)
+    at, marks, end = m.end(), [], len(page)
+    while True:
+        to = SPACE.match(page, at).end()
+        own = page[to - 1 : to] == "/" and page[to : to + 1] == ">"
+        at = to
+        if at >= end or page[at] == "<":
+            return at, m[1], m[2], marks, False
+        if page[at] == ">":
+            return at + 1, m[1], m[2], marks, own
+        a = ATTRIBUTE.match(page, at)
+        if a is None:  # a stray "="
+            at += 1
+            continue
+        at = a.end()
+        if not a[2]:
+            continue
+        quote, value = page[at : at + 1], None
+        if quote in ("'", '"') and quote and quote not in gone:
+            if (stop := page.find(quote, at + 1)) < 0:
+                gone.add(quote)  # none is left in the page
+            else:
+                value, at = page[at + 1 : stop], stop + 1
+        if value is None:
+            v = VALUE.match(page, at)
+            value, at = v[0].strip("\"'"), v.end()
+        if a[1].lower() in ("class", "id", "role"):
+            marks.append(value)
+
+
+def _words(marks: list[str]) -> tuple[bool, bool]:
+    """Whether the words of class, id and role mark what is not the article, and what is."""
+    words = [w for m in marks for w in m.split() if not NO_WORD.match(w)]
+    return any(map(BAD_WORD.search, words)), any(map(GOOD_WORD.search, words))
+
+
+def read(page: str) -> Page:
     """The page's blocks of visible text, in order."""
-    out: list[Block] = []
-    stack: list[tuple[str, int, bool, bool, bool]] = []  # tag, node number, bad word, good word, hidden
+    out = Page()
+    stack: list[tuple[str, int, int, bool]] = []  # tag, block-level node, flags of it and all around it, hidden
+    places: dict[str, list[int]] = defaultdict(list)  # of each tag's open elements in the stack
     parts: list[str] = []
-    linked = node = skip = links = 0
+    gone: set[str] = set()  # quotes and closing tags that do not occur any more
+    linked = skip = 0
 
     def flush() -> None:
         nonlocal linked
@@ -73,77 +149,86 @@ def blocks(page: str) -> list[Block]:
             text = "".join(parts)
             text = " ".join((entities.unescape(text) if "&" in text else text).split())
             if text:
-                tags = {s[0] for s in stack}
-                bad_word = good_word = False
-                for _, _, bad, good, _ in stack:
-                    bad_word |= bad
-                    good_word |= good
-                flags = (bool(tags & GOOD), bool(tags & BAD), good_word, bad_word, "li" in tags or "td" in tags, bool(tags & {"h1", "h2", "h3", "h4", "h5", "h6"}), "header" in tags and not tags & GOOD)
-                out.append(Block(text, tuple(s[1] for s in stack), min(linked, len(text)), flags))
+                _, node, flags, _ = stack[-1] if stack else ("", 0, 0, False)
+                out.blocks.append(Block(text, node, min(linked, len(text)), flags))
             parts.clear()
         linked = 0
 
-    def shut(tag: str) -> None:
-        nonlocal skip, links
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] == tag:
-                for s in stack[k:]:
-                    skip -= s[4]
-                    links -= s[0] == "a"
-                del stack[k:]
-                return
+    def cut(size: int) -> None:
+        """Close all elements of the stack from this place on."""
+        nonlocal skip
+        while len(stack) > size:
+            tag, _, _, hidden = stack.pop()
+            skip -= hidden
+            places[tag].pop()
 
     at, end = 0, len(page)
     while at < end:
-        m = TAG.search(page, at)
-        if m is None:
-            if not skip:
-                rest = page[at:]
-                parts.append(rest)
-            break
-        if m.start() > at and not skip:
-            text = page[at : m.start()]
+        to = page.find("<", at)
+        to = end if to < 0 else to
+        if to > at and not skip:
+            text = page[at:to]
             parts.append(text)
-            if links:
+            if places["a"]:
                 linked += len(text.strip())
-        at = m.end()
-        tag = m[2]
-        if tag is None:
+        if to == end:
+            break
+        at, after = to, page[to + 1 : to + 2]
+        if after in ("!", "?"):
+            for begins, ends in (("<!--", "-->"), ("<![CDATA[", "]]>"), ("<", ">")):
+                if page.startswith(begins, at):
+                    stop = page.find(ends, at + len(begins))
+                    at = end if stop < 0 else stop + len(ends)
+                    break
+            continue
+        if m := PLAIN.match(page, at):
+            at, closing, tag, own = m.end(), m[1], m[2].lower(), bool(m[4])
+            marks = ["".join(x) for x in MARKS.findall(m[3])] if "=" in m[3] and not closing else []
+        elif NAME.match(page, at):
+            at, closing, tag, marks, own = _slow_tag(page, at, gone)
+            tag = tag.lower()
+            if at >= end and page[-1] != ">":
+                break
+        else:  # a plain "<"
+            if not skip:
+                parts.append("<")
+            at += 1
             continue
-        tag = tag.lower()
         if tag in BLOCK and not skip:
             flush()
-        if m[1]:
-            shut(tag)
+        if closing:
+            if places[tag]:
+                cut(places[tag][-1])
             continue
-        if tag == "p" or tag in CLOSES_P:
-            if stack and any(s[0] == "p" for s in stack[-4:]):
-                shut("p")
-        elif tag in ("li", "dt", "dd", "option", "tr", "td", "th"):
-            for s in reversed(stack):
-                if s[0] == tag:
-                    shut(tag)
-                    break
-                if s[0] in ("ul", "ol", "dl", "table", "select", "menu"):
-                    break
-        if tag in VOID or m[3].endswith("/"):
+        if tag in CLOSES_P:
+            if places["p"] and places["p"][-1] >= len(stack) - 4:
+                cut(places["p"][-1])
+        elif tag in ITEMS and places[tag]:
+            if places[tag][-1] > max((places[x][-1] for x in LISTS if places[x]), default=-1):
+                cut(places[tag][-1])
+        if tag in VOID or own:
             continue
         if tag == "body":  # what the head left open ends here
-            for s in stack:
-                skip -= s[4]
-                links -= s[0] == "a"
-            stack.clear()
-        words = [" ".join(x) for x in ATTRIBUTE.findall(m[3])] if "=" in m[3] else ()
-        node += 1
+            cut(0)
+        _, node, flags, _ = stack[-1] if stack else ("", 0, 0, False)
+        if tag in BLOCK:
+            out.parent.append(node)
+            out.depth.append(out.depth[node] + 1)
+            node = len(out.parent) - 1
+        bad, good = _words(marks)
+        flags |= _GOOD * (tag in GOOD) | _BAD * (tag in BAD) | _GOOD_WORD * good | _BAD_WORD * (bad and tag not in ("html", "body", "main")) | _ITEM * (tag in ("li", "td")) | _HEADING * (tag in HEADINGS)
+        flags |= _HEADER * (tag == "header" and not flags & _GOOD)
         hidden = tag in SKIP
-        outer = tag in ("html", "body")
-        stack.append((tag, node, not outer and any(BAD_WORD.search(w) for w in words), any(GOOD_WORD.search(w) for w in words), hidden))
+        places[tag].append(len(stack))
+        stack.append((tag, node, flags, hidden))
         skip += hidden
-        links += tag == "a"
-        if RAW.fullmatch(tag):
-            close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-            if tag in ("script", "style") or close:
-                at = close.start() if close else end
+        if tag in RAW:
+            close = None if f"</{tag}" in gone else re.compile(rf"</{tag}(?=[\s/>])", re.I).search(page, at)
+            if close:
+                at = close.start()
+            else:
+                gone.add(f"</{tag}")
+                at = end if tag in ("script", "style") else at
     flush()
     return out
 
@@ -151,30 +236,27 @@ def blocks(page: str) -> list[Block]:
 def features(found: list[Block]) -> np.ndarray:
     out = np.zeros((len(found), len(PRIOR)))
     for row, b in zip(out, found):
-        words = b.text.count(" ") + 1
-        row[:] = (1, b.good, b.bad, b.good_word, b.bad_word, b.linked / max(1, len(b.text)), np.log(words), min(4, sum(map(b.text.count, ".!?"))) / 4, b.item, b.heading, b.header)
+        f = b.flags
+        row[:] = (1, f & _GOOD > 0, f & _BAD > 0, f & _GOOD_WORD > 0, f & _BAD_WORD > 0, b.linked / max(1, len(b.text)), np.log(b.text.count(" ") + 1),
+                  min(4, sum(map(b.text.count, ".!?"))) / 4, f & _ITEM > 0, f & _HEADING > 0, f & _HEADER > 0)
     return out
 
 
-def _near(a: tuple, b: tuple) -> int:
-    """Distance of two paths in the tree."""
-    k = 0
-    for x, y in zip(a, b):
-        if x != y:
-            break
-        k += 1
-    return len(a) + len(b) - 2 * k
+def _bordered(a: Block, b: Block) -> bool:
+    """Whether one of the two is inside something marked as no article, and the other is not."""
+    marked = _BAD | _BAD_WORD | _HEADER
+    return bool(a.flags & marked) != bool(b.flags & marked)
 
 
-def edges_of(found: list[Block]) -> list[tuple[int, int, float]]:
-    """Smoothness edges: neighbours, and the next block with the same grandparent."""
+def edges_of(page: Page) -> list[tuple[int, int, float]]:
+    """Smoothness edges: neighbours, and a block and the next one of the same parent."""
     out, last = [], {}
-    for i, b in enumerate(found):
-        if i:
-            out.append((i - 1, i, ADJACENT / (1 + 0.5 * _near(found[i - 1].path, b.path))))
-        home = b.path[:-1]
+    for i, b in enumerate(page.blocks):
+        if i and (d := page.distance(page.blocks[i - 1].node, b.node)) <= FAR:
+            out.append((i - 1, i, EDGE / (max(1, d - 1) + BORDER * _bordered(page.blocks[i - 1], b))))
+        home = page.parent[b.node]
         if (j := last.get(home)) is not None and j != i - 1:
-            out.append((j, i, SIBLING / (1 + 0.5 * _near(found[j].path, b.path))))
+            out.append((j, i, EDGE / (1 + BORDER * _bordered(page.blocks[j], b))))
         last[home] = i
     return out
 
@@ -191,66 +273,102 @@ def minimum_cut(gain: np.ndarray, edges: list[tuple[int, int, float]]) -> np.nda
     if fixed.all():
         return label
     # the rest keep their edges to decided blocks as terminal capacity
-    place = {int(i): k for k, i in enumerate(np.flatnonzero(~fixed))}
-    rest = gain[~fixed].astype(float)
-    m = len(place)
-    source, sink = m, m + 1
-    cap: list[dict[int, float]] = [{} for _ in range(m + 2)]
+    rest = gain.astype(float)
+    net = _Net(n + 2)
     for i, j, w in edges:
-        a, b = place.get(i), place.get(j)
-        if a is not None and b is not None:
-            cap[a][b] = cap[a].get(b, 0) + w
-            cap[b][a] = cap[b].get(a, 0) + w
-        elif a is not None:
-            rest[a] += w if label[j] else -w
-        elif b is not None:
-            rest[b] += w if label[i] else -w
-    for k in range(m):
+        if not fixed[i] and not fixed[j]:
+            net.join(i, j, w, w)
+        elif not fixed[i]:
+            rest[i] += w if label[j] else -w
+        elif not fixed[j]:
+            rest[j] += w if label[i] else -w
+    for k in np.flatnonzero(~fixed).tolist():
         if rest[k] > 0:
-            cap[source][k] = rest[k]
-            cap[k][source] = 0.0
+            net.join(n, k, rest[k], 0.0)
         elif rest[k] < 0:
-            cap[k][sink] = -rest[k]
-            cap[sink][k] = 0.0
-    while True:
-        before = {source: source}
-        queue = deque([source])
-        while queue and sink not in before:
+            net.join(k, n + 1, -rest[k], 0.0)
+    reached = net.saturate(n, n + 1)
+    for k in np.flatnonzero(~fixed).tolist():
+        label[k] = reached[k] >= 0
+    return label
+
+
+class _Net:
+    """Maximum flow by blocking flows along shortest paths."""
+
+    def __init__(self, n: int):
+        self.out: list[list[int]] = [[] for _ in range(n)]
+        self.to: list[int] = []
+        self.room: list[float] = []
+
+    def join(self, a: int, b: int, there: float, back: float) -> None:
+        for u, v, c in ((a, b, there), (b, a, back)):
+            self.out[u].append(len(self.to))
+            self.to.append(v)
+            self.room.append(c)
+
+    def _levels(self, source: int) -> list[int]:
+        level, queue = [-1] * len(self.out), deque([source])
+        level[source] = 0
+        while queue:
             u = queue.popleft()
-            for v, c in cap[u].items():
-                if c > 1e-12 and v not in before:
-                    before[v] = u
+            for e in self.out[u]:
+                if self.room[e] > 1e-12 and level[v := self.to[e]] < 0:
+                    level[v] = level[u] + 1
                     queue.append(v)
-        if sink not in before:
-            break
-        path, v = [], sink
-        while v != source:
-            path.append((before[v], v))
-            v = before[v]
-        flow = min(cap[u][v] for u, v in path)
-        for u, v in path:
-            cap[u][v] -= flow
-            cap[v][u] = cap[v].get(u, 0) + flow
-    for i, k in place.items():
-        label[i] = k in before
-    return label
+        return level
+
+    def saturate(self, source: int, sink: int) -> list[int]:
+        """Push all flow there is; returns each node's level from the source, -1 where it can't be reached any more."""
+        while (level := self._levels(source))[sink] >= 0:
+            tried, path, u = [0] * len(self.out), [], source
+            while True:
+                if u == sink:
+                    flow = min(self.room[e] for e in path)
+                    for e in path:
+                        self.room[e] -= flow
+                        self.room[e ^ 1] += flow
+                    k = next(k for k, e in enumerate(path) if self.room[e] <= 1e-12)
+                    u = self.to[path[k] ^ 1]
+                    del path[k:]
+                elif tried[u] < len(self.out[u]):
+                    e = self.out[u][tried[u]]
+                    if self.room[e] > 1e-12 and level[self.to[e]] == level[u] + 1:
+                        path.append(e)
+                        u = self.to[e]
+                    else:
+                        tried[u] += 1
+                elif path:
+                    u = self.to[path.pop() ^ 1]
+                    tried[u] += 1
+                else:
+                    break
+        return level
+
+
+def label(page: Page, weights: np.ndarray) -> tuple[np.ndarray, int]:
+    """Whether each block is content, and how many of them the classifier alone would have told otherwise."""
+    gain = features(page.blocks) @ weights
+    kept = minimum_cut(gain, edges_of(page))
+    return kept, int((kept != (gain > 0)).sum())
 
 
-def main_text(page: str | None, weights: np.ndarray = PRIOR) -> str:
-    found = blocks(page or "")
-    if not found:
-        return ""
-    keep = minimum_cut(features(found) @ weights, edges_of(found))
-    return " ".join(b.text for b, k in zip(found, keep) if k)
+def main_text(page: str | None, weights: np.ndarray = PRIOR) -> tuple[str, int, int]:
+    """Text, number of blocks, and number of labels that the cut changes."""
+    found = read(page or "")
+    if not found.blocks:
+        return "", 0, 0
+    kept, changed = label(found, weights)
+    return " ".join(b.text for b, k in zip(found.blocks, kept) if k), len(kept), changed
 
 
 def fit(pages: list[str], rounds: int = 20, hold: float = 50.0) -> np.ndarray:
     """Weights near PRIOR from blocks whose tags tell what they are (these tags themselves left out half the time)."""
     x, y = [], []
     for page in pages:
-        found = [b for b in blocks(page) if b.good != b.bad]
+        found = [b for b in read(page).blocks if bool(b.flags & _GOOD) != bool(b.flags & _BAD)]
         x.append(features(found))
-        y += [b.good for b in found]
+        y += [bool(b.flags & _GOOD) for b in found]
     x, y = np.concatenate(x) if x else np.zeros((0, len(PRIOR))), np.array(y, float)
     if not len(y) or y.min() == y.max():
         return PRIOR
@@ -266,22 +384,24 @@ def fit(pages: list[str], rounds: int = 20, hold: float = 50.0) -> np.ndarray:
 
 
 def train(pages: DataFrame, sample: int = SAMPLE) -> np.ndarray:
-    ids = pages.where("html IS NOT NULL").select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
-    some = pages.select("page_id", "html").join(F.broadcast(ids), "page_id", "left_semi")  # at most `sample` ids
+    some = pages.where(F.length("html") <= SAMPLE_CHARS).select("page_id", F.xxhash64("page_id", "html").alias("mark"), "html")
+    ids = some.select("page_id", "mark").distinct().orderBy("mark", "page_id").limit(sample)
+    some = some.join(F.broadcast(ids.select("mark")), "mark").dropDuplicates(["mark"]).select("html")  # at most `sample` marks, a page each
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"w": [fit(sorted(pdf["html"].fillna("")))[:].tolist()]})
+        return pd.DataFrame({"w": [fit(sorted(pdf["html"]))[:].tolist()]})
 
     got = some.groupBy().applyInPandas(run, "w array<double>").collect()
     return np.array(got[0].w) if got else PRIOR
 
 
 def extract(pages: DataFrame, weights: np.ndarray) -> DataFrame:
-    """page_id, url, text and n_chars of every page."""
+    """page_id, url, text and n_chars of every page, and how many blocks it has and how many labels the cut changed."""
 
     def run(batches):
         for b in small(batches):
-            texts = [main_text(x.as_py(), weights) for x in b.column("html")]
-            yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
+            got = [main_text(x.as_py(), weights) for x in b.column("html")]
+            counts = [pa.array(c, pa.int64()) for c in ([len(g[0]) for g in got], [g[1] for g in got], [g[2] for g in got])]
+            yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array([g[0] for g in got], pa.string()), *counts], names=["page_id", "url", "text", "n_chars", "n_blocks", "n_changed"])
 
     return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(run, SCHEMA)
