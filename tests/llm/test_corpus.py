@@ -83,6 +83,55 @@ def test_line_runs(spark):
     assert got[3][0] == 6  # its repeated lines w2 w3 alone have 40 words
 
 
+def test_suffix_array_equals_sorted_suffixes(spark, monkeypatch):
+    monkeypatch.setattr(common, "HEAVY_ROWS", 6)  # some lines and pairs are joined as heavy ones
+    rng = random.Random(8)
+    docs = [(k, "\n".join(rng.choices("abcde", k=rng.randint(0, 30)) + ["only %d" % k] + rng.choices("ab", k=rng.randint(0, 12)))) for k in range(25)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    of = {(r.key, r.line): (r.doc_id, r.o, (r.h1, r.h2)) for r in linededup._lines(df).collect()}
+    texts, times = {}, {}
+    for doc, o, h in of.values():
+        texts.setdefault(doc, {})[o] = h
+        times[h] = times.get(h, 0) + 1
+    for k in range(4):
+        prefix = {}
+        for (key, line), (doc, o, _) in of.items():
+            p = tuple(texts[doc].get(i) for i in range(o, o + 2**k))
+            if all(x is not None and times[x] > 1 for x in p):
+                prefix[key, line] = p
+        every = sorted(prefix.values())
+        expected = {at: (every.index(p), every.count(p)) for at, p in prefix.items() if every.count(p) > 1}
+        kept = sorted(prefix[at] for at in expected)
+        got = {(r.key, r.line): (r["rank"], r.n) for r in linededup.suffix_array(df, k).collect()}
+        assert got == {at: (kept.index(prefix[at]), n) for at, (_, n) in expected.items()} and (got or k)
+
+
+@pytest.mark.parametrize("heavy", [10_000, 2])
+def test_line_dedup_equals_brute_force(spark, monkeypatch, heavy):
+    """A line goes if it lies in a run of enough words that also starts earlier; other columns stay."""
+    monkeypatch.setattr(common, "HEAVY_ROWS", heavy)
+    rng = random.Random(3)
+    pool = [" ".join(rng.choices("xyz", k=rng.randint(1, 5))) for _ in range(12)]
+    docs = [(k, "\n".join(rng.choices([*pool, "", "  "], k=rng.randint(0, 25)))) for k in range(30)] + [(40, None)]
+    seq = [(k, i, x) for k, t in docs for i, x in enumerate((t or "").split("\n")) if x.strip()]
+    gone = set()
+    for b in range(len(seq)):
+        for a in range(b):
+            n = 0
+            while b + n < len(seq) and seq[a + n][2] == seq[b + n][2] and seq[a + n][0] == seq[a][0] and seq[b + n][0] == seq[b][0]:
+                n += 1
+            if sum(len(seq[b + i][2].split()) for i in range(n)) >= 8:
+                gone |= {seq[b + i][:2] for i in range(n)}
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("key", F.lit("k")).withColumn("n_lines", F.lit(7)).withColumn("lines", F.lit("l")).withColumn("a.b", F.lit(1))
+    got = linededup.dedup_lines(df, 8, "lines kept", "n_removed")
+    assert got.columns == [*df.columns, "lines kept", "n_removed"]
+    for r in got.collect():
+        text = dict(docs)[r.doc_id]
+        assert r.text == (None if text is None else "\n".join(x for i, x in enumerate(text.split("\n")) if (r.doc_id, i) not in gone)) and (r.key, r.n_lines) == ("k", 7)
+        assert r.n_removed == sum(k == r.doc_id for k, _ in gone)
+    assert len(gone) > 20
+
+
 def test_line_dedup_edge_cases(edge, empty):
     assert linededup.dedup_lines(empty).count() == 0 and linededup.dedup_lines(edge).count() == len(EDGE)
 
