@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Text is worked on in pieces of about so many bytes, so memory does not follow the batch size.
@@ -67,6 +67,21 @@ def join_by_count(df: DataFrame, table: DataFrame, on: list[str], rows: int, how
     return df.join(heavy, on).unionByName(df.join(heavy.select(*on), on, "left_anti").join(light, on, how), allowMissingColumns=True)
 
 
+def first_by_hash(df: DataFrame, group: str, n: int, mark: str = "mark") -> DataFrame:
+    """At most n rows of each group: those with the smallest `mark`, a 64-bit hash, one row for each mark.
+
+    Rows are counted by 2^16 ranges of the hash, and only those up to the range that holds the n-th are ranked, so no task
+    gets a whole group. The groups are few (labels, languages).
+    """
+    rows = df.select(group, mark).distinct().withColumn("_range", F.shiftright(mark, 48))
+    upto = Window.partitionBy(group).orderBy("_range")
+    counts = rows.groupBy(group, "_range").agg(F.count("*").alias("_n")).withColumn("_to", F.sum("_n").over(upto))
+    last = counts.where(F.col("_to") - F.col("_n") < n).groupBy(group).agg(F.max("_range").alias("_last"))
+    near = rows.join(F.broadcast(last), group).where("_range <= _last")
+    ranked = near.withColumn("_k", F.row_number().over(Window.partitionBy(group).orderBy(mark))).where(F.col("_k") <= n)
+    return ranked.select(group, mark)
+
+
 def is_set(column) -> "F.Column":
     """1 where the column is true, else 0 (null counts as false)."""
     return F.coalesce(column.cast("int"), F.lit(0))

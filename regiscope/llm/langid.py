@@ -10,10 +10,11 @@ letters (powers of two, joined with the next ones up to 1 / `REJECT` rows) is un
 compared with centroids fitted on the other half of the sample only, as on rows they have seen cosines are too high.
 
 Document frequencies are counted over all training rows. The centroids are fitted on at most
-`SAMPLE_PER_LANG` rows of each language, taken in the order of a hash of doc_id.
+`SAMPLE_PER_LANG` distinct rows of each language, taken in the order of a hash of the row.
 
 Null and empty texts and texts without letters are `und` with score 0 and rejected. Training rows with a
-null lang are not used. With no training rows every text is `und`. Rows are judged one by one.
+null lang are not used. With no training rows every text is `und`. Rows are judged one by one, repeated ones alike;
+other columns, whatever their names, are ignored. Texts of any length are counted in pieces.
 """
 
 from __future__ import annotations
@@ -23,10 +24,10 @@ import functools
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiscope.llm.common import small
+from regiscope.llm.common import first_by_hash, small
 
 DIM = 4096
 CLUSTERS = 4
@@ -71,7 +72,7 @@ def _counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
             letters += np.bincount(row[is_letter], minlength=len(texts))
             c = lower[codes]
             keep = np.ones(len(c), bool)
-            keep[1:] = (c[1:] != 32) | (c[:-1] != 32)
+            keep[1:] = (c[1:] != 32) | (c[:-1] != 32) | (row[1:] != row[:-1])  # each text has its own first and last space
             c, row = c[keep].astype(np.uint32), row[keep]
             a = c * np.uint32(0x9E3779B1)
             b = (a[:-1] ^ (a[:-1] >> np.uint32(15))) * np.uint32(0x85EBCA77) + c[1:]
@@ -181,10 +182,10 @@ def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, clusters: int = CLUS
     docs = docs.where("lang IS NOT NULL AND text IS NOT NULL")
     df, n = document_frequencies(docs)
     idf = np.log((1 + n) / (1 + df)) + 0.1
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = docs.select("doc_id", "lang").withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_lang).select("doc_id", F.col("lang").alias("of"))
     half = F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int").alias("half")
-    sample = docs.join(F.broadcast(ids), "doc_id", "left_semi").select("lang", "text", half)  # per_lang ids a language
+    rows = docs.withColumn("mark", F.xxhash64("doc_id", "text", "lang"))
+    picked = first_by_hash(rows, "lang", per_lang).select("mark")
+    sample = rows.join(F.broadcast(picked), "mark").dropDuplicates(["mark"]).select("lang", "text", half)  # per_lang marks a language, a row each
 
     def vectors(batches):
         for b in small(batches):

@@ -13,7 +13,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fold(divisor: int, column: str = "doc_id"):
-    """crc32 of the id as text, by the divisor."""
+    """crc32 of the id as text, by the divisor; null for a null id, which is neither learned from nor held out."""
     return F.crc32(F.col(column).cast("string")) % divisor
 
 
@@ -49,7 +49,7 @@ def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs.where(fold(3) != 1).select("doc_id", "text", "lang"))
-    return langid.identify(docs, model).select("doc_id", (fold(3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
+    return langid.identify(docs, model).select("doc_id", F.coalesce(fold(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +68,7 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     chain = toxicity.train(docs, labels.where(fold(5) != 0))
-    return toxicity.score(docs, chain).select("doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted")
+    return toxicity.score(docs, chain).select("doc_id", F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 QUERIES = {f.__name__: f for f in (op1_warc_round_trip, op2_line_dedup, op3_jaccard_join, op4_top_k, op5_main_text, op6_language, op7_decontaminate, op8_personal_data, op9_pieces, op10_toxicity)}

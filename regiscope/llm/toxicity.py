@@ -9,10 +9,12 @@ with the word before, and of transitions). Forward-backward marginals of every w
 over all texts of a batch as products of 2 x 2 matrices, give offending spans and the document's score:
 a logistic function of the expected number of toxic words, the largest marginal and the length.
 
-The model is fitted on at most `SAMPLE` labelled rows of each class, in the order of a hash of doc_id;
-each gives all its words to the counts, and windows around labelled words to the chain. Scoring reads
-text alone. Null and empty texts have no words and get the score of no evidence. Without labelled rows
-of both classes every score is 0. Rows are scored one by one; other columns are ignored.
+The model is fitted on at most `SAMPLE` distinct labelled rows of each class with at most `SAMPLE_CHARS` characters, in the
+order of a hash of doc_id and text; each gives all its words to the counts, and windows around labelled words, and evenly
+spread ones, to the chain. Scoring reads text alone and takes a text of any length a stretch of `STRETCH` words at a time.
+Null and empty texts have no words and get the score of no evidence. Without labelled rows of both classes every score is
+0. Rows are scored one by one, repeated rows alike; rows with a null doc_id are not learned from; other columns, whatever
+their names, are ignored.
 """
 
 from __future__ import annotations
@@ -22,15 +24,17 @@ import re
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiscope.llm.common import ALNUM, _MULT, hash_words, mix, small, utf8
+from regiscope.llm.common import ALNUM, _MULT, first_by_hash, hash_words, mix, small, utf8
 
 SAMPLE = 3000
 SUPPORT = 5
 WEIGHTS = 1 << 16
 SPAN = 32
+STRETCH = 1 << 17
+SAMPLE_CHARS = 1 << 20
 PREFIXES = (5, 7)
 TOXIC_AT = 0.5
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -71,27 +75,48 @@ class Chain:
         alike, which cuts the product there. Prefix products within blocks run side by side.
         """
         n = len(e)
-        if not n:
-            return np.zeros(0)
-        t = np.exp(self.trans)
-        grow = np.exp(np.clip(e, -30, 30))
-        m = np.empty((n, 2, 2))
+        begin = np.zeros(n + 1, bool)
+        begin[begins[begins < n]] = True
+        begin[n] = True
+        p, v, starts = np.empty(n), np.array([1.0, 0.0]), []
+        for lo in range(0, n, STRETCH):  # the chain's state at each stretch, so that only one stretch's matrices are held
+            starts.append(v)
+            if lo + STRETCH < n:
+                v = self._last(self._steps(e, begin, lo, lo + STRETCH), v)
+        after = np.array([0.5, 0.5])
+        for v, lo in zip(reversed(starts), reversed(range(0, n, STRETCH))):
+            hi = min(n, lo + STRETCH)
+            m = self._steps(e, begin, lo, hi)
+            alpha = _scan(m, v)
+            # backwards: beta_i = M_{i+1} beta_{i+1}; after a chain's last word it is (1, 1)
+            back = np.empty((hi - lo, 2, 2))
+            back[-1] = np.eye(2)
+            back[:-1] = m[1:]
+            back[begin[lo + 1 : hi + 1]] = 0.5
+            beta = _scan(back[::-1].transpose(0, 2, 1), after)[::-1]
+            after = np.full(2, 0.5) if begin[lo] else m[0] @ beta[0] / (m[0] @ beta[0]).sum()
+            both = alpha * beta
+            p[lo:hi] = both[:, 1] / both.sum(axis=1)
+        return p
+
+    def _steps(self, e: np.ndarray, begin: np.ndarray, lo: int, hi: int) -> np.ndarray:
+        t, grow, cut = np.exp(self.trans), np.exp(np.clip(e[lo:hi], -30, 30)), begin[lo:hi]
+        m = np.empty((hi - lo, 2, 2))
         m[:, :, 0] = t[:, 0]
         m[:, :, 1] = t[:, 1] * grow[:, None]
-        begin = np.zeros(n, bool)
-        begin[begins[begins < n]] = True
-        m[begin, :, 0] = 1.0
-        m[begin, :, 1] = grow[begin, None]
-        alpha = _scan(m, np.array([1.0, 0.0]))
-        # backwards: beta_i = M_{i+1} beta_{i+1}; after a chain's last word it is (1, 1)
-        back = np.empty((n, 2, 2))
-        back[-1] = np.eye(2)
-        back[:-1] = m[1:]
-        cut = np.append(begin[1:], True)
-        back[cut] = 0.5
-        beta = _scan(back[::-1].transpose(0, 2, 1), np.array([0.5, 0.5]))[::-1]
-        p = alpha * beta
-        return p[:, 1] / p.sum(axis=1)
+        m[cut, :, 0] = 1.0
+        m[cut, :, 1] = grow[cut, None]
+        return m
+
+    def _last(self, m: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """v times all matrices, by pairs."""
+        while len(m) > 1:
+            if len(m) % 2:
+                m = np.concatenate([m, np.eye(2)[None]])
+            m = m[::2] @ m[1::2]
+            m = m / m.sum(axis=(1, 2), keepdims=True)
+        out = v @ m[0]
+        return out / out.sum()
 
 
 def _scan(m: np.ndarray, v: np.ndarray, width: int = 64) -> np.ndarray:
@@ -246,10 +271,10 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
 
 def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
     """documents: doc_id, text; labels: doc_id, toxic; both only of the rows to learn from."""
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
     marked = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    picked = marked.withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample).drop("k")
-    rows = documents.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # at most 2 * sample ids
+    rows = documents.where(F.coalesce(F.length("text"), F.lit(0)) <= SAMPLE_CHARS).select("doc_id", "text", F.xxhash64("doc_id", "text").alias("mark"))
+    picked = first_by_hash(rows.select("doc_id", "mark").join(marked, "doc_id"), "toxic", sample)
+    rows = rows.join(F.broadcast(picked), "mark").dropDuplicates(["mark"]).drop("mark")  # at most 2 * sample marks, a row each
     import pickle
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -317,6 +317,40 @@ def test_language(spark, edge, empty):
     assert langid.identify(empty, langid.train(empty)).count() == 0
 
 
+def test_nearest_centroid_equals_brute_force():
+    """n-grams counted one by one, weights and cosines in plain Python."""
+    rng = np.random.default_rng(6)
+    idf, centroids = rng.uniform(0.1, 3, langid.DIM).astype(np.float32), rng.uniform(0, 1, (5, langid.DIM)).astype(np.float32)
+    centroids /= np.linalg.norm(centroids, axis=1, keepdims=True)
+    floors = np.full(langid._LEVELS, 0.5)
+    model = langid.Model(idf, list("aabbc"), centroids, floors)
+    mask = 0xFFFFFFFF
+    texts = ["Hello, World  again", "Ünïcode ß İ", "1234 !!", "", None, "x", "日本語 text"]
+    for text, (lang, score, rejected) in zip(texts, model.predict(texts)):
+        t = text or ""
+        if not any(c.isalpha() for c in t):
+            assert (lang, score, rejected) == ("und", 0.0, True)
+            continue
+        c = [ord(x.lower()) if x.isalpha() and len(x.lower()) == 1 else ord(x) if x.isalpha() else 32 for x in f" {t} "]
+        c = [x for i, x in enumerate(c) if not i or x != 32 or c[i - 1] != 32]
+        counts = {}
+        for i in range(len(c)):
+            a = c[i] * 0x9E3779B1 & mask
+            grams = [a]
+            if i + 1 < len(c):
+                b = ((a ^ a >> 15) * 0x85EBCA77 + c[i + 1]) & mask
+                grams.append(b)
+                if i + 2 < len(c):
+                    grams.append(((b ^ b >> 13) * 0xC2B2AE3D + c[i + 2]) & mask)
+            for g in grams:
+                k = ((g ^ g >> 16) * 0x27D4EB2F & mask) >> 20
+                counts[k] = counts.get(k, 0) + 1
+        v = {k: np.log1p(n) * float(idf[k]) for k, n in counts.items()}
+        norm = np.sqrt(sum(x * x for x in v.values()))
+        cos = [sum(x * float(row[k]) for k, x in v.items()) / norm for row in centroids]
+        assert lang == "aabbc"[int(np.argmax(cos))] and abs(score - max(cos)) < 1e-4 and rejected == (max(cos) < 0.5)
+
+
 def test_unseen_scripts_and_gibberish_are_rejected(spark):
     rng, docs = np.random.default_rng(1), queries.table(spark, "/root/testdata/sf0.1", "documents").where("text RLIKE '[a-zA-Z]'")
     model = langid.train(docs.where(queries.fold(3) != 1).select("doc_id", "text", "lang"))
@@ -491,6 +525,92 @@ def test_marginals_equal_enumeration():
     assert np.allclose(chain.marginals(e, np.array([0, 4])), np.concatenate([brute(e[:4]), brute(e[4:])]))
 
 
+def test_marginals_of_long_texts_go_by_stretches(monkeypatch):
+    chain, rng = toxicity.Chain(), np.random.default_rng(2)
+    chain.trans, e = rng.normal(size=(2, 2)), rng.normal(size=1000)
+    begins = np.array([0, 64, 130, 500, 512])
+    whole = chain.marginals(e, begins)
+    for stretch in (64, 100, 999):
+        monkeypatch.setattr(toxicity, "STRETCH", stretch)
+        assert np.allclose(chain.marginals(e, begins), whole)
+
+
+def log_likelihood(chain, f, gold):
+    total = 0.0
+    for row, y in zip(f, gold):
+        e = chain.word[row].sum(axis=1) + chain.bias
+        score = lambda y: sum(e[i] * y[i] for i in range(len(e))) + sum(chain.trans[y[i - 1], y[i]] for i in range(1, len(e)))  # noqa: B023, E731
+        total += score(y) - np.log(sum(np.exp(score(z)) for z in itertools.product((0, 1), repeat=len(e))))
+    return total
+
+
+def test_gradient_equals_differences_of_the_likelihood():
+    chain, rng = toxicity.Chain(), np.random.default_rng(3)
+    chain.word[:40], chain.trans, chain.bias = rng.normal(size=40), rng.normal(size=(2, 2)), 0.3
+    f, gold = rng.integers(0, 40, (3, 6, 4)), rng.integers(0, 2, (3, 6))
+    word, trans, bias = toxicity._gradient(chain, f, gold)
+    step = 1e-5
+    for at in range(0, 40, 7):
+        chain.word[at] += step
+        up = log_likelihood(chain, f, gold)
+        chain.word[at] -= 2 * step
+        assert abs((up - log_likelihood(chain, f, gold)) / (2 * step) - word[at]) < 1e-4
+        chain.word[at] += step
+    for i, j in itertools.product((0, 1), repeat=2):
+        chain.trans[i, j] += step
+        up = log_likelihood(chain, f, gold)
+        chain.trans[i, j] -= 2 * step
+        assert abs((up - log_likelihood(chain, f, gold)) / (2 * step) - trans[i, j]) < 1e-4
+        chain.trans[i, j] += step
+    chain.bias += step
+    up = log_likelihood(chain, f, gold)
+    chain.bias -= 2 * step
+    assert abs((up - log_likelihood(chain, f, gold)) / (2 * step) - bias) < 1e-4
+
+
+def test_scores_equal_a_plain_forward_backward():
+    rng = np.random.default_rng(5)
+    chain = toxicity.Chain()
+    chain.word, chain.trans, chain.bias = rng.normal(0, 0.7, len(chain.word)), rng.normal(size=(2, 2)), -1.0
+    texts = ["one two three", None, "", "Four five, SIX seven!", "a b c d e f g " * 30]
+    got = toxicity._score(chain, pa.RecordBatch.from_arrays([pa.array(range(5)), pa.array(texts)], names=["doc_id", "text"])).to_pylist()
+    for r, text in zip(got, texts):
+        words = re.findall(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (text or "").encode())
+        p = []
+        if words:
+            h, first = toxicity._words(*common.utf8(pa.array([text])))
+            e = [chain.word[row].sum() + chain.bias for row in toxicity._features(h, first[:-1])]
+            fw = [np.array([1.0, np.exp(e[0])])]
+            for x in e[1:]:
+                fw.append((fw[-1] @ np.exp(chain.trans)) * np.array([1.0, np.exp(x)]))
+                fw[-1] = fw[-1] / fw[-1].sum()
+            bw = [np.ones(2)]
+            for x in reversed(e[1:]):
+                bw.append(np.exp(chain.trans) @ (np.array([1.0, np.exp(x)]) * bw[-1]))
+                bw[-1] = bw[-1] / bw[-1].sum()
+            p = [(a * b)[1] / (a * b).sum() for a, b in zip(fw, reversed(bw))]
+        top = min(1 - 1e-4, max([1e-4, *p]))
+        x = [1.0, np.log1p(sum(q for q in p if q > 0.02)), np.log(top / (1 - top)) if p else -9.0, np.log1p(len(words))]
+        assert abs(r["score"] - 1 / (1 + np.exp(-np.dot(chain.doc, x)))) < 1e-6 and r["predicted"] == int(r["score"] >= 0.5)
+        assert len(r["spans"]) == sum(q >= 0.5 for q in p)
+
+
+def test_samples_for_fits_stay_bounded_whatever_repeats(spark):
+    """Repeated ids, repeated rows and one very common label: at most n distinct rows a label, the first in hash order."""
+    rows = [(k % 7, f"text {k % 50}", "a" if k % 10 else "b") for k in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("mark", F.xxhash64("doc_id", "text", "lang"))
+    got = {}
+    for r in common.first_by_hash(df, "lang", 20).collect():
+        got.setdefault(r.lang, []).append(r.mark)
+    marks = {}
+    for r in df.select("lang", "mark").distinct().collect():
+        marks.setdefault(r.lang, []).append(r.mark)
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v)[:20] for k, v in marks.items()}
+    labels = spark.createDataFrame([(k, k % 2) for k in range(7)], "doc_id long, toxic int")
+    assert toxicity.train(df.drop("mark"), labels, 5).doc.shape == (4,)
+    assert langid.train(df, 5).langs
+
+
 def test_toxicity(spark, edge, empty):
     got = queries.op10_toxicity(spark, "/root/testdata/sf0.01").join(queries.table(spark, "/root/testdata/sf0.01", "labels"), "doc_id").where("held_out").collect()
     assert np.mean([r.predicted == r.toxic for r in got]) > 0.9
