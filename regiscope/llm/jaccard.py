@@ -7,17 +7,19 @@ without comparing everything, shingles have one global order: first those whose
 set with the smallest set that has such a shingle puts them in one block; sets whose early shingles occur
 nowhere else need no block. Frequent passages come last in this order and so bind no blocks.
 
-In each block a signature tree holds OR-combined shingle bitmaps and size ranges in its nodes. The tree
-is traversed against itself: a pair of nodes is left if its sizes or the greatest overlap its bitmaps
-allow rule out a link, or if all their sets are connected already; at the leaves the sets themselves are
-intersected. Large blocks are first formed again with every shingle in the order, then cut into parts
-that share a few sets; what is then not connected with the
-block's largest component is compared with all its parts. So components are exact and no group is
-expanded into pairs.
-
-Shingles travel as packed arrays by hash range. Null and empty texts and texts without words have an empty
-set and are linked with nothing; fewer than 5 words are one shingle. Rows with the same doc_id are judged
-one by one; a set that only rows without doc_id have is linked with nothing. Other columns are ignored.
+In each block a signature tree holds OR-combined shingle bitmaps and size ranges in its nodes. The tree is traversed
+against itself: a pair of nodes is left if its sizes or the greatest overlap its bitmaps allow rule out a link, or if all
+their sets are connected already; at the leaves the sets themselves are intersected. Large blocks are first formed again
+with every shingle in the order, then cut into parts of about `PART` sets that share a few. What is then not connected with
+the block's largest component is compared with all its sets that may be similar by size, in cells of at most about `PART`
+by `PART` sets: sets of one block are dealt to bands of size, and only cells of the same or neighbouring bands are made. So
+components are exact, no group is expanded into pairs, and no task holds more than a cell at a time.
+
+Shingles travel as packed arrays by ranges of their hash; a range in which one shingle or a few are very frequent is split,
+and only its distinct shingles meet. A set is named by a 64-bit digest: of a billion different sets, two share a name with
+a chance of one in 37. Null and empty texts and texts without words have an empty set and are linked with nothing; fewer
+than 5 words are one shingle. Rows with the same doc_id are judged one by one; a set that only rows without doc_id have is
+linked with nothing. Repeated rows are one set. Other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regiscope.llm.common import SPACED, _MULT, connected_components, gram_hashes, hash_words, materialise, mix, small, utf8
+from regiscope.llm.common import SPACED, _MULT, connected_components, gram_hashes, hash_words, join_by_count, materialise, mix, small, utf8
 
 WIDTH = 5
 PERCENT = 75
@@ -39,7 +41,7 @@ BITS = 4096
 LEAF = 8
 BUCKET = 1_000_000
 BLOCKS_BROADCAST = 500_000
-META = "doc_id long, n long, m long, s1 long, s2 long"
+META = "doc_id long, n long, m long, s1 long"
 
 
 def needed(n: int | np.ndarray, percent: int):
@@ -61,13 +63,11 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _name(tokens: np.ndarray) -> tuple[int, int]:
-    """Two 64-bit digests of a set."""
-    n = np.uint64(len(tokens))
+def _name(tokens: np.ndarray) -> int:
+    """A 64-bit digest of a set."""
     with np.errstate(over="ignore"):
-        a = mix(np.array([np.add.reduce(mix(tokens ^ _MULT[0])) + n], np.uint64))
-        b = mix(np.array([np.add.reduce(mix(tokens * _MULT[1])) ^ n], np.uint64))
-    return int(a.view(np.int64)[0]), int(b.view(np.int64)[0])
+        a = mix(np.array([np.add.reduce(mix(tokens ^ _MULT[0])) + np.uint64(len(tokens))], np.uint64))
+    return int(a.view(np.int64)[0])
 
 
 def _early(tokens: np.ndarray, percent: int, sample: float) -> tuple[np.ndarray, int]:
@@ -80,7 +80,7 @@ def _early(tokens: np.ndarray, percent: int, sample: float) -> tuple[np.ndarray,
 
 
 def describe(documents: DataFrame, percent: int, buckets: int, sample: float) -> DataFrame:
-    """For every text its set's size and name (bucket null), and for every bucket of hashes the early shingles, packed."""
+    """For every text its set's size and name (bucket null), and for every bucket of hashes n early shingles, packed."""
 
     def run(batches):
         for b in small(batches):
@@ -89,18 +89,18 @@ def describe(documents: DataFrame, percent: int, buckets: int, sample: float) ->
             meta, seen, keys, owner = [], {}, [], []
             for i, tokens in zip(ids, sets):
                 if not len(tokens):
-                    meta.append((i, 0, 0, 0, 0))
+                    meta.append((i, 0, 0, 0))
                     continue
                 name = _name(tokens)
                 if (m := seen.get(name)) is None:
                     early, m = _early(tokens, percent, sample)
                     seen[name] = m
                     keys.append(early)
-                    owner.append(np.full(len(early), name[0], np.int64))
-                meta.append((i, len(tokens), m, *name))
+                    owner.append(np.full(len(early), name, np.int64))
+                meta.append((i, len(tokens), m, name))
             cols = list(zip(*meta))
             n = len(meta)
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], names=["doc_id", "n", "m", "s1", "s2", "bucket", "tokens", "owners"])
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], names=["doc_id", "n", "m", "s1", "bucket", "tokens", "owners"])
             if keys:
                 keys, owner = np.concatenate(keys), np.concatenate(owner)
                 where = _bucket(keys, buckets)
@@ -109,9 +109,9 @@ def describe(documents: DataFrame, percent: int, buckets: int, sample: float) ->
                 cut = np.searchsorted(where, np.arange(buckets + 1))
                 full = [k for k in range(buckets) if cut[k] < cut[k + 1]]
                 n = len(full)
-                yield pa.RecordBatch.from_arrays([*(pa.nulls(n, pa.int64()) for _ in range(5)), pa.array(full, pa.int32()),
+                yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.array([int(cut[k + 1] - cut[k]) for k in full], pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(full, pa.int32()),
                     pa.array([_rest(keys[cut[k] : cut[k + 1]]).tobytes() for k in full], pa.binary()), pa.array([owner[cut[k] : cut[k + 1]].tobytes() for k in full], pa.binary())],
-                    names=["doc_id", "n", "m", "s1", "s2", "bucket", "tokens", "owners"])
+                    names=["doc_id", "n", "m", "s1", "bucket", "tokens", "owners"])
 
     return documents.mapInArrow(run, META + ", bucket int, tokens binary, owners binary")
 
@@ -125,35 +125,97 @@ def _rest(keys: np.ndarray) -> np.ndarray:
     return (keys >> np.uint64(32)).astype(np.uint32)
 
 
+def _unpacked(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (shingle, owner) in that order."""
+    tokens = np.concatenate([np.frombuffer(x, np.uint32) for x in pdf.tokens])
+    owners = np.concatenate([np.frombuffer(x, np.int64) for x in pdf.owners])
+    order = np.lexsort((owners, tokens))
+    tokens, owners = tokens[order], owners[order]
+    fresh = np.ones(len(tokens), bool)
+    fresh[1:] = (tokens[1:] != tokens[:-1]) | (owners[1:] != owners[:-1])
+    return tokens[fresh], owners[fresh]
+
+
+def _summed(tokens: np.ndarray, hubs: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each distinct shingle with its smallest owner and its number of owners."""
+    order = np.lexsort((hubs, tokens))
+    tokens, hubs, times = tokens[order], hubs[order], times[order]
+    starts = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1])) if len(tokens) else np.zeros(0, np.int64)
+    return tokens[starts], hubs[starts], np.add.reduceat(times, starts) if len(starts) else times
+
+
+def _partial(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Of one part of a bucket: its distinct shingles with smallest owner and number of owners, packed."""
+    tokens, owners = _unpacked(pdf)
+    tokens, hubs, times = _summed(tokens, owners, np.ones(len(tokens), np.int64))
+    return pd.DataFrame({"bucket": pdf.bucket.iloc[:1].to_numpy(), "salts": pdf.salts.iloc[:1].to_numpy(), "tokens": [tokens.tobytes()], "hubs": [hubs.tobytes()], "times": [times.tobytes()]})
+
+
+def _joined(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Of one bucket: the shingles that several of its parts' owners have. An owner that two parts have counts twice, alike for every set."""
+    tokens, hubs, times = _summed(*(np.concatenate([np.frombuffer(x, t) for x in pdf[c]]) for c, t in (("tokens", np.uint32), ("hubs", np.int64), ("times", np.int64))))
+    keep = times > 1
+    return pd.DataFrame({"bucket": pdf.bucket.iloc[:1].to_numpy(), "salts": pdf.salts.iloc[:1].to_numpy(), "tokens": [tokens[keep].tobytes()], "hubs": [hubs[keep].tobytes()], "times": [times[keep].tobytes()]})
+
+
+def _for_homes(bucket: int, buckets: int, tokens: np.ndarray, owners: np.ndarray, hubs: np.ndarray, times: np.ndarray) -> pd.DataFrame:
+    """Shared shingles packed for the sets' own groups."""
+    home = _home(owners, buckets)
+    order = np.lexsort((owners, home))
+    cut = np.searchsorted(home[order], np.arange(buckets + 1))
+    full = [k for k in range(buckets) if cut[k] < cut[k + 1]]
+    cols = {"owners": owners, "hubs": hubs, "tokens": tokens, "times": np.minimum(times, 0xFFFFFFFF).astype(np.uint32)}
+    out = {name: [x[order[cut[k] : cut[k + 1]]].tobytes() for k in full] for name, x in cols.items()}
+    return pd.DataFrame({"home": np.array(full, np.int32), "bucket": np.full(len(full), bucket, np.int32), **out})
+
+
 def _shared(buckets: int):
     """Of one bucket: the shingles that several sets have, packed for the sets' own groups."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        tokens = np.concatenate([np.frombuffer(x, np.uint32) for x in pdf.tokens])
-        owners = np.concatenate([np.frombuffer(x, np.int64) for x in pdf.owners])
-        order = np.lexsort((owners, tokens))
-        tokens, owners = tokens[order], owners[order]
-        fresh = np.ones(len(tokens), bool)
-        fresh[1:] = (tokens[1:] != tokens[:-1]) | (owners[1:] != owners[:-1])
-        tokens, owners = tokens[fresh], owners[fresh]
+        tokens, owners = _unpacked(pdf)
         starts = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
         df = np.diff(starts, append=len(tokens))
-        hub = np.repeat(owners[starts], df)
-        times = np.repeat(df, df)
+        hubs, times = np.repeat(owners[starts], df), np.repeat(df, df)
         keep = times > 1
-        tokens, owners, hub, times = tokens[keep], owners[keep], hub[keep], np.minimum(times[keep], 0xFFFFFFFF).astype(np.uint32)
-        home = _home(owners, buckets)
-        order = np.lexsort((owners, home))
-        home = home[order]
-        cut = np.searchsorted(home, np.arange(buckets + 1))
-        full = [k for k in range(buckets) if cut[k] < cut[k + 1]]
-        cols = {"owners": owners, "hubs": hub, "tokens": tokens, "times": times}
-        out = {name: [x[order[cut[k] : cut[k + 1]]].tobytes() for k in full] for name, x in cols.items()}
-        return pd.DataFrame({"home": np.array(full, np.int32), "bucket": np.full(len(full), pdf.bucket.iloc[0], np.int32), **out})
+        return _for_homes(pdf.bucket.iloc[0], buckets, tokens[keep], owners[keep], hubs[keep], times[keep])
+
+    return run
+
+
+def _shared_part(buckets: int):
+    """The same of one part of a bucket, given the whole bucket's shared shingles."""
+
+    def run(pdf: pd.DataFrame, whole: pd.DataFrame) -> pd.DataFrame:
+        if not len(pdf) or not len(whole):
+            return _for_homes(0, buckets, np.zeros(0, np.uint32), *(np.zeros(0, np.int64) for _ in range(3)))
+        tokens, owners = _unpacked(pdf)
+        known, hubs, times = (np.frombuffer(whole[c].iloc[0], t) for c, t in (("tokens", np.uint32), ("hubs", np.int64), ("times", np.int64)))
+        at = np.searchsorted(known, tokens)
+        keep = at < len(known)
+        keep[keep] = known[at[keep]] == tokens[keep]
+        at = at[keep]
+        return _for_homes(pdf.bucket.iloc[0], buckets, tokens[keep], owners[keep], hubs[at], times[at])
 
     return run
 
 
+def _shared_shingles(rows: DataFrame, buckets: int) -> DataFrame:
+    """rows: bucket, n, tokens, owners. Buckets of many owners are dealt to parts; of these only distinct shingles meet."""
+    shape = "home int, bucket int, owners binary, hubs binary, tokens binary, times binary"
+    loads = rows.groupBy("bucket").agg(F.ceil(F.sum("n") / (2 * BUCKET)).alias("salts")).where("salts > 2")
+    if loads.isEmpty():
+        return rows.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_shared(buckets), shape)
+    loads = _ids(materialise(loads))
+    light = rows.join(loads, "bucket", "left_anti").groupBy("bucket").applyInPandas(_shared(buckets), shape)
+    heavy = rows.join(loads, "bucket").withColumn("salt", F.pmod(F.xxhash64("tokens", "owners"), F.col("salts")))
+    packed = "bucket int, salts long, tokens binary, hubs binary, times binary"
+    whole = materialise(heavy.groupBy("bucket", "salt").applyInPandas(_partial, packed).groupBy("bucket").applyInPandas(_joined, packed))
+    dealt = whole.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))).drop("salts")
+    parts = heavy.groupBy("bucket", "salt").cogroup(dealt.groupBy("bucket", "salt")).applyInPandas(_shared_part(buckets), shape)
+    return light.unionByName(parts)
+
+
 def _home(owners: np.ndarray, buckets: int) -> np.ndarray:
     return (mix(owners.view(np.uint64) * _MULT[2]) % np.uint64(buckets)).astype(np.int32)
 
@@ -259,8 +321,8 @@ def tree_links(sets: list[np.ndarray], probes: list[int] | None, percent: int, g
 def _block_links(percent: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         a, b = [], []
-        for _, block in pdf.groupby("block", sort=False):
-            # a set may be both a part's member and its probe
+        for _, block in pdf.groupby("cell", sort=False):
+            # a set may be both a cell's member and its probe
             block = block.sort_values("probe", ascending=False).drop_duplicates("s1").sort_values("s1")
             if len(block) < 2:
                 continue
@@ -287,7 +349,7 @@ def _blocks(docs: DataFrame, percent: int, sample: float) -> tuple[DataFrame, Da
         return pd.Series(_home(column.to_numpy(np.int64), buckets))
 
     homed = sets.withColumn("home", F.pandas_udf(home, "int")("s1")).select("home", "s1", "n", "m")
-    shared = described.where("bucket IS NOT NULL").select("bucket", "tokens", "owners").repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_shared(buckets), "home int, bucket int, owners binary, hubs binary, tokens binary, times binary")
+    shared = _shared_shingles(described.where("bucket IS NOT NULL").select("bucket", "n", "tokens", "owners"), buckets)
     links = shared.groupBy("home").cogroup(homed.groupBy("home")).applyInPandas(_links(percent, sample), "a long, b long")
     return meta, sets, materialise(connected_components(links).select(F.col("node").alias("s1"), F.col("label").alias("block")))
 
@@ -298,22 +360,40 @@ def _ids(df: DataFrame, limit: int = BLOCKS_BROADCAST) -> DataFrame:
 
 
 def _compare(docs: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) found in each part of each block. placed: of, s1, block, parts, probe, group (null: not known)."""
+    """Links (a, b) found in each cell. placed: of, s1, cells, probe, group (null: not known)."""
 
     def tokens(batches):
         for b in small(batches):
             found = shingle_sets(*utf8(b.column("text")))
             # another row may have the same doc_id and another text
-            t = [x.tobytes() if len(x) and _name(x)[0] == s1 else None for x, s1 in zip(found, b.column("s1").to_pylist())]
+            t = [x.tobytes() if len(x) and _name(x) == s1 else None for x, s1 in zip(found, b.column("s1").to_pylist())]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(t, pa.binary())], names=[*names, "tokens"])
 
-    names = ["s1", "block", "parts", "probe", "group"]
+    names = ["s1", "cells", "probe", "group"]
     texts = docs.join(_ids(placed.withColumnRenamed("of", "doc_id")), "doc_id").select("text", *names)
-    full = texts.mapInArrow(tokens, "s1 long, block long, parts array<long>, probe boolean, group long, tokens binary").where("tokens IS NOT NULL")
-    packs = int(max(8, placed.agg(F.ceil(F.sum(F.size("parts")) / PART)).first()[0] or 0))
-    dealt = full.withColumn("part", F.explode("parts")).withColumn("pack", F.pmod(F.xxhash64("block", "part"), F.lit(packs)))
-    inner = dealt.select("pack", F.concat_ws(":", "block", "part").alias("block"), "s1", "tokens", "probe", "group")
-    return materialise(inner.groupBy("pack").applyInPandas(_block_links(percent), "a long, b long"))
+    full = texts.mapInArrow(tokens, "s1 long, cells array<long>, probe boolean, group long, tokens binary").where("tokens IS NOT NULL")
+    packs = int(max(8, placed.agg(F.ceil(F.sum(F.size("cells")) / PART)).first()[0] or 0))
+    dealt = full.withColumn("cell", F.explode("cells")).withColumn("pack", F.pmod("cell", F.lit(packs)))
+    return materialise(dealt.select("pack", "cell", "s1", "tokens", "probe", "group").groupBy("pack").applyInPandas(_block_links(percent), "a long, b long"))
+
+
+def _cells(of: DataFrame, percent: int) -> DataFrame:
+    """of: of, s1, n, block, group, probe. Deals each block's probes and all its sets to cells of at most about PART by PART sets.
+
+    A band holds sizes within a factor of 100 / percent, so similar sets are in the same or neighbouring bands. A pair of a
+    probe and a set meets in the cell of the probe's share of its band and the set's share of its band.
+    """
+    of = materialise(of.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.001 / percent))).cast("long")))
+    bands = of.groupBy("block", "band").agg(F.ceil(F.count("*") / PART).alias("shares"), F.ceil(F.count_if("probe") / PART).alias("chunks"))
+    near = bands.where("chunks > 0").select("block", F.col("band").alias("of_probe"), "chunks", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
+    near = _ids(materialise(near.join(bands.select("block", "band", "shares"), ["block", "band"])))  # a few rows for each block of more than PART sets
+    cell = lambda share, chunk: F.xxhash64("block", "band", "of_probe", share, chunk)
+    upto = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
+    share, chunk = F.pmod(F.xxhash64("s1"), F.col("shares")), F.pmod(F.xxhash64("s1", F.lit(1)), F.col("chunks"))
+    member = of.join(near, ["block", "band"]).withColumn("share", share).withColumn("cell", F.explode(F.transform(upto("chunks"), lambda j: cell(F.col("share"), j))))
+    probes = of.where("probe").withColumnRenamed("band", "of_probe").join(near, ["block", "of_probe"]).withColumn("chunk", chunk).withColumn("cell", F.explode(F.transform(upto("shares"), lambda i: cell(i, F.col("chunk")))))
+    both = member.select("of", "s1", "group", F.lit(False).alias("probe"), "cell").unionByName(probes.select("of", "s1", "group", "probe", "cell"))
+    return materialise(both.groupBy("of", "s1", "group", "probe").agg(F.collect_list("cell").alias("cells")))
 
 
 def similar_sets(documents: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -322,8 +402,8 @@ def similar_sets(documents: DataFrame, percent: int = PERCENT) -> tuple[DataFram
     meta, sets, blocks = _blocks(docs, percent, SAMPLE)
 
     def sized(blocks: DataFrame) -> DataFrame:
-        sizes = blocks.groupBy("block").agg(F.count("*").alias("size"))
-        return materialise(blocks.join(sizes, "block").join(sets.select("s1", "of"), "s1"))
+        large = _ids(materialise(blocks.groupBy("block").agg(F.count("*").alias("size")).where(F.col("size") > PART)))
+        return materialise(blocks.join(large, "block", "left").withColumn("size", F.coalesce("size", F.lit(1))).join(sets.select("s1", "of", "n"), "s1"))
 
     placed = sized(blocks)
     large = placed.where(F.col("size") > PART)
@@ -333,21 +413,20 @@ def similar_sets(documents: DataFrame, percent: int = PERCENT) -> tuple[DataFram
         finer = sized(finer.join(large.select("s1"), "s1", "left_semi"))
         placed = placed.where(F.col("size") <= PART).unionByName(finer)
     count = F.ceil(F.col("size") / PART).cast("long")
-    order = Window.partitionBy("block").orderBy("s1")
-    hubs = placed.where(F.col("size") > PART).withColumn("k", F.row_number().over(order)).where(F.col("k") <= SHARED).select("s1", F.lit(True).alias("hub"))
-    every = F.sequence(F.lit(0).cast("long"), count - 1)
-    own = F.array(F.pmod(F.xxhash64("s1"), count))
-    placed = materialise(placed.join(hubs, "s1", "left").withColumn("own", own).withColumn("every", every).withColumn("parts", F.when(F.col("hub"), F.col("every")).otherwise(F.col("own"))))
-    plain = placed.select("of", "s1", "block", "parts", F.lit(False).alias("probe"), F.lit(None).cast("long").alias("group"))
-    found = _compare(docs, plain, percent)
+    placed = materialise(placed.withColumn("own", F.pmod(F.xxhash64("s1"), count)).withColumn("every", F.sequence(F.lit(0).cast("long"), count - 1)))
     large = placed.where(F.col("size") > PART)
+    some = large.groupBy("block", "own").agg(F.min("s1").alias("s1"))  # a set for each part
+    hubs = some.withColumn("k", F.row_number().over(Window.partitionBy("block").orderBy("s1"))).where(F.col("k") <= SHARED).select("s1", F.lit(True).alias("hub"))
+    hubs = _ids(materialise(hubs))
+    parts = F.when(F.col("hub"), F.col("every")).otherwise(F.array("own"))
+    plain = placed.join(hubs, "s1", "left").select("of", "s1", F.transform(parts, lambda p: F.xxhash64("block", p)).alias("cells"), F.lit(False).alias("probe"), F.lit(None).cast("long").alias("group"))
+    found = _compare(docs, materialise(plain), percent)
     if not large.isEmpty():
         known = materialise(connected_components(found))
-        of = large.join(known, large.s1 == known.node, "left").withColumn("group", F.coalesce("label", "s1")).drop("node", "label", "parts")
-        main = of.groupBy("block", "group").agg(F.count("*").alias("n")).groupBy("block").agg(F.max_by("group", F.struct("n", "group")).alias("main"))
-        of = of.join(main, "block").withColumn("probe", F.col("group") != F.col("main"))
-        busy = of.where("probe").select("block").distinct()
-        again = materialise(of.join(busy, "block", "left_semi").select("of", "s1", "block", F.when(F.col("probe"), F.col("every")).otherwise(F.col("own")).alias("parts"), "probe", "group"))
+        of = large.join(known, large.s1 == known.node, "left").withColumn("group", F.coalesce("label", "s1")).select("of", "s1", "n", "block", "group")
+        main = of.groupBy("block", "group").agg(F.count("*").alias("size")).groupBy("block").agg(F.max_by("group", F.struct("size", "group")).alias("main"))
+        of = of.join(_ids(materialise(main)), "block").withColumn("probe", F.col("group") != F.col("main")).drop("main")
+        again = _cells(of, percent)
         found = known.where("node <> label").select(F.col("label").alias("a"), F.col("node").alias("b"))  # as stars, which need few rounds
         if not again.isEmpty():
             found = found.unionByName(_compare(docs, again, percent))
@@ -357,10 +436,12 @@ def similar_sets(documents: DataFrame, percent: int = PERCENT) -> tuple[DataFram
 def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, class_id (smallest doc_id with an equal set) and component_id of every row."""
     meta, links = similar_sets(documents, percent)
-    labels = materialise(connected_components(links))
-    named = meta.join(labels, meta.s1 == labels.node, "left").select("doc_id", "n", "s1", F.coalesce("label", "s1").alias("label"))
-    full = named.where("n > 0")
-    least = full.groupBy("label").agg(F.min("doc_id").alias("component"))
-    classes = full.groupBy("s1").agg(F.min("doc_id").alias("class"))
-    out = full.join(least, "label").join(classes, "s1").select("doc_id", F.col("n").alias("n_shingles"), F.col("class").alias("class_id"), F.col("component").alias("component_id"))
-    return out.unionByName(named.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id")))
+    labels = materialise(connected_components(links)).withColumnRenamed("node", "s1")
+    sets = meta.where("n > 0").groupBy("s1").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("rows"))
+    sets = materialise(sets.join(labels, "s1", "left").withColumn("label", F.coalesce("label", "s1")))
+    count, rows = sets.agg(F.count("*"), F.sum("rows")).first()
+    least = materialise(sets.groupBy("label").agg(F.min("class_id").alias("component_id"), F.count("*").alias("sets")))
+    sets = materialise(join_by_count(sets, least, ["label"], count, count="sets").drop("label"))
+    out = join_by_count(meta.where("n > 0").select("doc_id", "n", "s1"), sets, ["s1"], rows or 0, count="rows")
+    none = meta.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), "class_id", "component_id").unionByName(none)

@@ -177,6 +177,15 @@ def test_jaccard_equals_brute_force(spark, monkeypatch, part):
     assert got == brute_components(texts)
 
 
+def test_jaccard_with_split_buckets_equals_brute_force(spark, monkeypatch):
+    """Buckets of shingle hashes are split where one shingle is very frequent; the components stay the same."""
+    monkeypatch.setattr(jaccard, "BUCKET", 8)
+    split, real = [], jaccard._shared_part
+    monkeypatch.setattr(jaccard, "_shared_part", lambda buckets: split.append(1) or real(buckets))
+    test_jaccard_equals_brute_force(spark, monkeypatch, 5)
+    assert split
+
+
 def test_jaccard_edge_cases(edge, empty):
     got = jaccard.near_duplicates(edge).collect()
     assert len(got) == len(EDGE) and {r.component_id for r in got if r.doc_id == 3} == {3}
@@ -654,11 +663,53 @@ def test_pipeline_stages(spark, edge):
         docs = stage(spark, docs, DIR).cache()
         out[name] = {r.doc_id: r.text for r in docs.collect()}
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    assert out["line_dedup"] == brute_lines(list(out["language_id"].items()))
+    every = {r.doc_id: r.text for r in queries.table(spark, DIR, "documents").collect()}
+    rejected = {r.doc_id for r in queries.op6_language(spark, DIR).where("rejected").collect()}
+    assert out["language_id"] == {k: t for k, t in every.items() if k not in rejected}
     before = out["line_dedup"]
     groups = brute_components(before)
     assert set(out["near_duplicates"]) == {i for i in before if groups[i][1] == i}
     items = [tuple(r) for r in queries.table(spark, DIR, "benchmark").select("item_id", "text").collect()]
     expected = {i for i, t in out["near_duplicates"].items() if not brute_contamination(t, items)[4]}
     assert set(out["decontaminate"]) == expected
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=queries.model_path())
+    for r in corpus_pipeline.encode(spark, docs, DIR).collect():
+        ids = [*sp.encode(out["decontaminate"][r.doc_id]), 2]
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(sp.decode(ids).encode()).hexdigest())
+    clash = edge.withColumn("n_removed", F.lit(5)).withColumn("row", F.lit("r")).withColumn("a.b", F.lit(1)).withColumn("n_lines", F.lit(0)).withColumn("removed", F.lit(0))
     for _, stage in corpus_pipeline.STAGES[:-1]:
-        assert stage(spark, edge, DIR).columns == edge.columns
+        got = stage(spark, clash, DIR)
+        assert got.columns == clash.columns and {r["n_removed"] for r in got.collect()} <= {5}
+
+
+def test_stages_tell_documents_with_one_id_apart(spark):
+    """Only the near copy goes, not the other text of its doc_id; exact repetitions stay together, other ids of them go."""
+    a = " ".join(f"word{i}" for i in range(60))
+    near, other = a.replace("word7", "w"), " ".join(f"other{i}" for i in range(60))
+    rows = [(3, a), (3, a), (7, near), (7, other), (8, a), (None, a), (9, "few words"), (10, "few words"), (11, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = corpus_pipeline.near_duplicates(spark, docs, DIR)
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted([(3, a), (3, a), (7, other), (None, a), (9, "few words"), (11, "")], key=str)
+    item = queries.table(spark, DIR, "benchmark").where("length(text) > 100").first().text
+    docs = spark.createDataFrame([(1, item), (1, "clean text"), (None, item), (2, None)], "doc_id long, text string")
+    got = corpus_pipeline.decontaminated(spark, docs, DIR)
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted([(1, "clean text"), (2, None)], key=str)
+
+
+def brute_lines(docs, least=50):
+    """Texts less the lines of runs of enough words that also start at an earlier line, by comparing every pair of equal lines."""
+    seq = [(k, i, x) for k, t in sorted(docs) for i, x in enumerate(t.split("\n")) if x.strip()]
+    of, gone = {}, set()
+    for b, (_, _, x) in enumerate(seq):
+        for a in of.setdefault(x, []):
+            n = 0
+            while b + n < len(seq) and seq[a + n][2] == seq[b + n][2] and seq[a + n][0] == seq[a][0] and seq[b + n][0] == seq[b][0]:
+                n += 1
+            if sum(len(seq[b + i][2].split()) for i in range(n)) >= least:
+                gone |= {seq[b + i][:2] for i in range(n)}
+        of[x].append(b)
+    kept = {k: "\n".join(x for i, x in enumerate(t.split("\n")) if (k, i) not in gone) for k, t in docs}
+    return {k: t for k, t in kept.items() if t == dict(docs)[k] or t.strip()}
