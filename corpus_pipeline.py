@@ -4,12 +4,14 @@ Each stage takes the documents that the one before it kept, from the Parquet it
 
 1. language_id: documents whose language is rejected (no letter, or no centroid as near as training rows of that length have one) go.
 2. line_dedup: later copies of repeated line runs go; documents that lose all their lines go with them.
-3. near_duplicates: the smallest doc_id of each group of similar documents stays, the others go.
+3. near_duplicates: one document of each group of similar ones stays, that of the smallest doc_id, the others go.
 4. decontaminate: documents that hold benchmark passages beyond the limit go.
 5. encode: digests of the ids and the decoded text of every document that stays.
 
 Nulls: a null text is rejected by stage 1; a null doc_id or null in another column stays as it is. Extra
-columns go along. Rows with the same doc_id and text are one document and stay or go together.
+columns go along, whatever their names. A document is a doc_id with its text: rows with the same doc_id and text are one
+document and stay or go together, rows with the same doc_id and another text are another document. A document without
+doc_id is in no group of stage 3.
 """
 
 from __future__ import annotations
@@ -20,10 +22,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiscope.llm import decontaminate, jaccard, langid, linededup, pieces
-from regiscope.llm.common import materialise, shared_dir
+from regiscope.llm.common import join_by_count, materialise, shared_dir
 from regiscope.llm.queries import fold, model_path, table
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that docs does not have."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """key (a hash of doc_id and text), doc_id, text, and the whole row."""
+    return docs.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+
+
+def _without(keyed: DataFrame, docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of docs whose key isn't among the given ones."""
+    keys = materialise(keys)
+    kept = keyed.join(F.broadcast(keys) if keys.count() <= jaccard.BLOCKS_BROADCAST else keys, "key", "left_anti")
+    return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.train(docs.where(fold(3) != 1).select("doc_id", "text", "lang"))
     plain = docs.select(*(F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(docs.columns)))  # no name can clash
@@ -33,25 +54,29 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = linededup.dedup_lines(docs)
-    kept = kept.where("n_removed = 0 OR text RLIKE '\\\\S'")
+    removed = _free(docs, "removed")
+    kept = linededup.dedup_lines(docs, n_lines=_free(docs, "lines"), n_removed=removed)
+    kept = kept.where(F.expr(f"`{removed}` = 0 OR text RLIKE '\\\\S'"))
     if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return kept.select(*docs.columns)
+        kept = kept.withColumn("n_chars", F.when(F.col(removed) > 0, F.length("text").cast(kept.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return kept.select(*(f"`{c}`" for c in docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = jaccard.near_duplicates(docs)
-    later = materialise(groups.where("doc_id <> component_id").select("doc_id").distinct())
-    once = docs.join(F.broadcast(later) if later.count() <= jaccard.BLOCKS_BROADCAST else later, "doc_id", "left_anti")
-    return once.select(*docs.columns)
+    """Of each group one row's (doc_id, text) stays: the smallest doc_id, of its texts the one with the smallest hash. Equal rows stay together."""
+    keyed = _keyed(docs)
+    named = keyed.where("doc_id IS NOT NULL").select("key", "doc_id", "text")
+    groups = jaccard.near_duplicates(named.select(F.col("key").alias("doc_id"), "text")).where("n_shingles > 0")
+    groups = materialise(groups.select(F.col("doc_id").alias("key"), "component_id").distinct().join(named.select("key", "doc_id").distinct(), "key"))
+    first = groups.groupBy("component_id").agg(F.min_by("key", F.struct("doc_id", "key")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    later = join_by_count(groups, materialise(first), ["component_id"], groups.count()).where("key <> first").select("key")
+    return _without(keyed, docs, later)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    bad = materialise(found.where("contaminated").select("doc_id").distinct())
-    kept = docs.join(F.broadcast(bad) if bad.count() <= jaccard.BLOCKS_BROADCAST else bad, "doc_id", "left_anti")
-    return kept.select(*docs.columns)
+    keyed = _keyed(docs)
+    found = decontaminate.contamination(keyed, table(spark, sf_dir, "benchmark"), doc_id="key")
+    return _without(keyed, docs, found.where("contaminated").select(F.col("doc_id").alias("key")).distinct())
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +85,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("near_duplicates", near_duplicates), ("decontaminate", decontaminated), ("encode", encode)]
 
-#: Stages 1 and 5 cannot be written in SQL; the tests hold the pipeline against brute-force versions.
+#: Stages 1 and 5 cannot be written in SQL; the tests hold each stage against a brute-force version.
 ORACLE_SQL = None
 
 
