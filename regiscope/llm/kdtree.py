@@ -1,15 +1,17 @@
 """Exact top-k search by inner product with a KD-tree per shard.
 
-Vectors are dealt to shards by a hash, at most about `SHARD` each. A shard's tree splits at the median of
-its widest component; nodes carry tight bounding boxes. A block of queries walks the tree best first by
-the greatest inner product a box allows and leaves a node once that is under its k-th score so far. Each
-query first meets one shard of its own; the k-th score found there goes with it to all other shards, so
-only candidates that may still count are returned from them. A task holds one shard and at most about
-`QUERIES` queries: more queries are dealt to blocks, each of which meets every shard.
+Vectors are dealt to cells by a coarse KD split, whose medians come from a bounded sample (at most `SPLIT` vectors and
+`SPLIT_BYTES`; it decides only where a vector goes, every vector is dealt), and cells of more than `SHARD` vectors to
+shards by a hash. A shard's tree splits at the median of its widest component; nodes carry tight bounding boxes. A block of
+queries walks the tree best first by the greatest inner product a box allows and leaves a node once that is under its k-th
+score so far. Each query first meets its own shard; the k-th score found there is held against the boxes of all cells,
+which are exact, and the query goes only to shards of cells that may still hold a better vector, with that score. A task
+holds one shard and at most about `QUERIES` queries: where more come to a shard, they are dealt to blocks, each with a copy
+of the shard.
 
 Components become floor(64 * x). Vectors that are null or hold null or non-finite components take no part,
 nor do rows with a null id; a shorter vector counts as ending in zeros, an empty one as all zeros. Repeated
-ids are rows of their own. Equal scores rank by the smaller id. Other columns are ignored.
+ids and rows are rows of their own. Equal scores rank by the smaller id. Other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ SHARD = 8192
 QUERIES = 16384
 LEAF = 256
 BLOCK = 128
+CELLS, SPLIT, SPLIT_BYTES = 1024, 20_000, 1 << 25
 FOUND = "query long, query_id long, row long, vec_id long, score long"
 
 
@@ -140,29 +143,123 @@ def vectors(embeddings: DataFrame) -> DataFrame:
     return materialise(kept.select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")))
 
 
-def _dealt(df: DataFrame, blocks: int) -> DataFrame:
-    """A copy of every row for each block of queries."""
-    return df.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+class Split:
+    """A coarse KD split: inner nodes with axis and border, leaves with a number."""
+
+    def __init__(self, sample: np.ndarray, leaves: int):
+        self.axis, self.border, self.child, self.leaf, self.leaves = [], [], [], [], 0
+        self._build(sample, leaves)
+
+    def _build(self, x: np.ndarray, leaves: int) -> int:
+        me = len(self.axis)
+        for column in (self.axis, self.border, self.child, self.leaf):
+            column.append(None)
+        spread = x.max(axis=0) - x.min(axis=0) if len(x) else np.zeros(1)
+        if leaves > 1 and spread.max() > 0:
+            axis = int(spread.argmax())
+            border = float(np.median(x[:, axis]))
+            border = border if (x[:, axis] < border).any() else float(np.nextafter(border, np.inf))  # both sides hold some
+            left = x[:, axis] < border
+            self.axis[me], self.border[me] = axis, border
+            self.child[me] = (self._build(x[left], leaves // 2), self._build(x[~left], leaves - leaves // 2))
+        else:
+            self.leaf[me], self.leaves = self.leaves, self.leaves + 1
+        return me
+
+    def cell(self, x: np.ndarray) -> np.ndarray:
+        """The leaf of each row."""
+        out, todo = np.zeros(len(x), np.int64), [(0, np.arange(len(x)))]
+        while todo:
+            node, rows = todo.pop()
+            if self.leaf[node] is not None:
+                out[rows] = self.leaf[node]
+                continue
+            left = x[rows, self.axis[node]] < self.border[node]
+            todo += [(self.child[node][0], rows[left]), (self.child[node][1], rows[~left])]
+        return out
+
+
+def _celled(rows: DataFrame, width: int, shards: int) -> DataFrame:
+    """Adds cell, by a split of a sample into as many cells as shards or `CELLS`, whichever is less."""
+    cells = min(shards, CELLS, max(1, SPLIT_BYTES // (16 * width)))
+    size = min(SPLIT, SPLIT_BYTES // (8 * width))
+    picked = rows.orderBy(F.xxhash64("row"), "row").limit(size).select("v").toPandas()  # at most SPLIT_BYTES
+    split = rows.sparkSession.sparkContext.broadcast(Split(_matrix(picked["v"], width), cells))
+
+    def run(batches):
+        for pdf in batches:
+            yield pdf.assign(cell=split.value.cell(_matrix(pdf["v"], width)))
+
+    return rows.mapInPandas(run, "row long, vec_id long, v array<double>, cell long")
+
+
+def _boxes(rows: DataFrame, width: int) -> pd.DataFrame:
+    """cell, n, low and high of every cell: least and greatest components of all its vectors. At most SPLIT_BYTES."""
+    packed = "cell long, n long, low array<double>, high array<double>"
+
+    def summed(cell: np.ndarray, n: np.ndarray, low: np.ndarray, high: np.ndarray) -> pd.DataFrame:
+        of, at = np.unique(cell, return_inverse=True)
+        lows, highs = np.full((len(of), width), np.inf), np.full((len(of), width), -np.inf)
+        np.minimum.at(lows, at, low)
+        np.maximum.at(highs, at, high)
+        return pd.DataFrame({"cell": of, "n": np.bincount(at, n, len(of)).astype(np.int64), "low": list(lows), "high": list(highs)})
+
+    def partial(batches):
+        for pdf in batches:
+            x = _matrix(pdf["v"], width)
+            yield summed(pdf["cell"].to_numpy(), np.ones(len(x)), x, x)
+
+    def whole(pdf: pd.DataFrame) -> pd.DataFrame:
+        return summed(pdf["cell"].to_numpy(), pdf["n"].to_numpy(), np.stack(pdf["low"]), np.stack(pdf["high"]))
+
+    return rows.mapInPandas(partial, packed).groupBy("cell").applyInPandas(whole, packed).toPandas()
+
+
+def _routed(queries: DataFrame, boxes: pd.DataFrame, width: int) -> DataFrame:
+    """Each query once for every other shard of the cells whose box allows its k-th score."""
+    shared = queries.sparkSession.sparkContext.broadcast((np.stack(boxes["low"]), np.stack(boxes["high"]), boxes["cell"].to_numpy(), boxes["shards"].to_numpy()))
+
+    def run(batches):
+        low, high, cells, shards = shared.value
+        for pdf in batches:
+            q = _matrix(pdf["v"], width)
+            most = np.maximum(q, 0) @ high.T + np.minimum(q, 0) @ low.T
+            at, box = np.nonzero(most >= pdf["kth"].fillna(-np.inf).to_numpy()[:, None])
+            n = shards[box]
+            at, cell = np.repeat(at, n), np.repeat(cells[box], n)
+            part = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+            other = (cell != pdf["cell"].to_numpy()[at]) | (part != pdf["part"].to_numpy()[at])
+            for lo in range(0, int(other.sum()), 20_000):
+                pick = np.flatnonzero(other)[lo : lo + 20_000]
+                yield pdf.iloc[at[pick]].assign(cell=cell[pick], part=part[pick])
+
+    return queries.mapInPandas(run, "row long, vec_id long, v array<double>, kth double, cell long, part long")
 
 
 def top_k(embeddings: DataFrame, is_query: str = "vec_id % 20 = 0", k: int = K) -> DataFrame:
     """query_id, rank, vec_id, score: each query row's k best other rows."""
     rows = vectors(embeddings)
-    shards = max(1, -(-rows.count() // SHARD))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
+    count, width = rows.agg(F.count("*"), F.max(F.size("v"))).first()
+    width = max(1, width or 0)
+    if not count:
+        return rows.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.col("row").alias("score"))
+    rows = materialise(_celled(rows, width, -(-count // SHARD)))
+    boxes = _boxes(rows, width)
+    boxes["shards"] = -(-boxes["n"].to_numpy() // SHARD)
+    sizes = F.broadcast(rows.sparkSession.createDataFrame(boxes[["cell", "shards"]]))  # at most CELLS rows
+    rows = rows.join(sizes, "cell").withColumn("part", F.pmod(F.xxhash64("row"), F.col("shards"))).drop("shards")
     queries = rows.where(is_query).select(*(F.col(c).alias(c) for c in rows.columns), F.lit(None).cast("double").alias("kth"))
-    blocks = max(1, -(-queries.count() // QUERIES))
-    queries = queries.withColumn("block", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(blocks)))
-    held = _dealt(rows, blocks).groupBy("shard", "block")
-    own = rows.groupBy("shard")  # its own shard's queries are fewer than its rows
-    near = materialise(queries.groupBy("shard").cogroup(own).applyInPandas(_visit(k), FOUND))
+    near = materialise(queries.groupBy("cell", "part").cogroup(rows.groupBy("cell", "part")).applyInPandas(_visit(k), FOUND))  # a shard's own queries are fewer than its rows
     found = near
-    if shards > 1:
-        count = near.groupBy("query").agg(F.min("score").cast("double").alias("kth"), F.count("*").alias("n")).select("query", F.when(F.col("n") >= k, F.col("kth")).alias("kth"))
-        others = queries.drop("kth").join(count, F.col("row") == F.col("query"), "left").drop("query")
-        others = others.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))).where("other <> shard")
-        far = others.drop("shard").withColumnRenamed("other", "shard").groupBy("shard", "block").cogroup(held).applyInPandas(_visit(k), FOUND)
-        found = near.unionByName(far)
+    if len(boxes) > 1 or boxes["shards"].max() > 1:
+        kth = near.groupBy("query").agg(F.min("score").cast("double").alias("kth"), F.count("*").alias("n")).select(F.col("query").alias("row"), F.when(F.col("n") >= k, F.col("kth")).alias("kth"))
+        far = _routed(queries.drop("kth").join(kth, "row", "left").select("row", "vec_id", "v", "kth", "cell", "part"), boxes, width)
+        far = materialise(far)
+        blocks = far.groupBy("cell", "part").agg(F.ceil(F.count("*") / QUERIES).alias("blocks"))
+        blocks = materialise(blocks)
+        asked = far.join(blocks, ["cell", "part"]).withColumn("block", F.pmod(F.xxhash64("row", F.lit(1)), F.col("blocks"))).drop("blocks")
+        held = rows.join(blocks.withColumnRenamed("blocks", "copies"), ["cell", "part"]).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))).select("cell", "part", "block", "row", "vec_id", "v")
+        found = near.unionByName(asked.groupBy("cell", "part", "block").cogroup(held.groupBy("cell", "part", "block")).applyInPandas(_visit(k), FOUND))
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -221,6 +221,34 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     assert kdtree.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_top_k_of_clusters_repeated_ids_and_clashing_columns(spark, monkeypatch):
+    """Cells far away are ruled out; repeated ids are rows of their own; equal vectors rank by id; very unequal lengths."""
+    for name, n in (("SHARD", 40), ("QUERIES", 5), ("LEAF", 8), ("SPLIT", 100)):
+        monkeypatch.setattr(kdtree, name, n)
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(6, 4)) * 10
+    rows = [(i, [float(v) for v in centres[i % 6] + rng.normal(size=4) * 0.1]) for i in range(240)]
+    rows += [(20, rows[20][1]), (40, rows[20][1]), (500, rows[20][1]), (501, []), (502, [1.0]), (520, [2.0, -1.0])] + [(600 + i, [0.5, 0.5, 0.5, 0.5]) for i in range(90)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("row", F.lit("x")).withColumn("cell", F.lit(1)).withColumn("rank", F.lit(2))
+    routed, real = [], kdtree._routed
+    monkeypatch.setattr(kdtree, "_routed", lambda q, b, w: routed.append((q.count(), int(b["shards"].sum()), real(q, b, w).count())) or real(q, b, w))
+    got = {}
+    for r in kdtree.top_k(df, k=6).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    x = np.zeros((len(rows), 4))
+    for row, (_, v) in zip(x, rows):
+        row[: len(v)] = v
+    x, ids = np.floor(64 * x).astype(int), [i for i, _ in rows]
+    expected = {}
+    for q, i in enumerate(ids):
+        if i % 20 == 0:
+            best = sorted((-int(x[q] @ x[c]), ids[c]) for c in range(len(ids)) if c != q)[:6]
+            expected.setdefault(i, []).extend((n + 1, c, -s) for n, (s, c) in enumerate(best))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in expected.items()}
+    queries, shards, sent = routed[0]
+    assert shards > 5 and sent < 0.8 * queries * (shards - 1)
+
+
 PAGE = """<html><head><title>T</title></head><body class="page"><header><a href=/>Home</a> Site</header><div id="cookie-notice">We use cookies.</div><div class="main-content"><h1>Title</h1><p>First paragraph, long enough; it has several sentences. Yes.
 <div class="ad-slot">Buy now!</div><p>Second &amp; last   with <a href=x>a link</a>. It goes on.</div><aside>Related: <a>one</a></aside><section id="comments"><p>Nice article, I liked it.</p></section><form>Sign up<input></form><footer>(c)</footer>"""
 
