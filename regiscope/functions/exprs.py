@@ -65,7 +65,7 @@ def round_half_even(c: Column, places: int = 0) -> Column:
 
 def label_number(c: Column, places: int = 1) -> Column:
     """A rounded number as text, whole ones without a decimal point."""
-    return F.regexp_replace(F.bround(c, places).cast("string"), r"\.0$", "")
+    return F.regexp_replace(round_half_even(c, places).cast("string"), r"\.0$", "")
 
 
 def filled(*columns: str) -> Column:

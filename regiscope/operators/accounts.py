@@ -1,11 +1,12 @@
-"""Account documents (iXBRL) to facts, and facts to one row per account."""
+"""Account documents (iXBRL) to facts, and to one row per account."""
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
+import html
+import re
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regiscope.functions.exprs import strip_suffix, to_number, token
@@ -15,54 +16,73 @@ FACTS = "kind string, name string, context_ref string, pos int, value string"
 KINDS = {"ix:nonnumeric": "nonNumeric", "ix:nonfraction": "nonFraction"}
 END_DATE, COMPANY, DORMANT, EMPLOYEES = "EndDateForPeriodCoveredByReport", "EntityCurrentLegalOrRegisteredName", "EntityDormantTruefalse", "AverageNumberEmployeesDuringPeriod"
 
+_FACT = re.compile(r"<!--.*?-->|<(/?)(ix:non(?:numeric|fraction))\b((?:[^\"'>]|\"[^\"]*\"|'[^']*')*+)>", re.I | re.S)
+_MARKUP = re.compile(r"<!--.*?-->|<[/!?a-zA-Z](?:[^\"'>]|\"[^\"]*\"|'[^']*')*+>", re.S)
+_NAME = re.compile(r"(?<![\w:.-])(name|contextref)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+
+
+def facts_of(document: str | None) -> tuple[list[tuple], bool]:
+    """Facts (kind, name, context, position, text) in document order, and whether every fact tag is closed. Facts may nest; an open one runs to the end."""
+    document = document or ""
+    found, open_, whole = [], [], True  # open_: tag, place of the fact, where its text begins
+
+    def close(k: int, end: int) -> None:
+        for _, place, begin in open_[k:]:
+            found[place][4] = html.unescape(_MARKUP.sub("", document[begin:end]))
+        del open_[k:]
+
+    for m in _FACT.finditer(document):
+        if not m[2]:
+            continue
+        tag = m[2].lower()
+        if m[1]:
+            k = next((k for k in range(len(open_) - 1, -1, -1) if open_[k][0] == tag), None)
+            whole &= k is not None and k == len(open_) - 1
+            if k is not None:
+                close(k, m.start())
+            continue
+        given = {a.lower(): html.unescape("".join(v)) for a, *v in _NAME.findall(m[3])}
+        found.append([KINDS[tag], given.get("name"), given.get("contextref"), len(found), ""])
+        if not m[3].endswith("/"):
+            open_.append((tag, len(found) - 1, m.end()))
+    whole &= not open_
+    close(0, len(document))
+    return [tuple(f) for f in found], whole
+
+
+def _by_document(documents: DataFrame, keys: list[str], content: str, made, columns: str) -> DataFrame:
+    """A map over documents: made(text) gives rows that go with the document's keys."""
+    names = [c.split()[0] for c in columns.split(", ")]
+    kinds = dict(documents.dtypes)
 
-class _Facts(HTMLParser):
-    """Collects facts in document order; they may nest, so open ones form a stack."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.open, self.found = [], []
+    def run(batches):
+        for pdf in batches:
+            rows = [(*key, *row) for *key, text in zip(*(pdf[c] for c in [*keys, content])) for row in made(text)]
+            yield pd.DataFrame(rows, columns=[*keys, *names])
 
-    def handle_starttag(self, tag, attrs):
-        if tag in KINDS:
-            a = dict(attrs)
-            fact = [KINDS[tag], a.get("name"), a.get("contextref"), len(self.found), []]
-            self.found.append(fact)
-            self.open.append((tag, fact))
+    return documents.select(*keys, F.col(content).cast("string").alias(content)).mapInPandas(run, ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", " + columns)
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        self.handle_endtag(tag)
 
-    def handle_endtag(self, tag):
-        if tag in KINDS:
-            for k in range(len(self.open) - 1, -1, -1):
-                if self.open[k][0] == tag:
-                    del self.open[k:]
-                    break
+def shred(documents: DataFrame, keys: list[str], content: str = "content") -> DataFrame:
+    """A row per fact of every document, with the documents' keys. A document without facts, or NULL, gives none."""
+    return _by_document(documents, keys, content, lambda text: facts_of(text)[0], FACTS)
 
-    def handle_data(self, data):
-        for _, fact in self.open:
-            fact[4].append(data)
 
+def _account(text: str | None) -> list[tuple]:
+    facts, whole = facts_of(text)
+    first = lambda part: next((v for kind, name, _, _, v in facts if kind == "nonNumeric" and part in (name or "")), None)
+    staff = [v for kind, name, _, _, v in facts if kind == "nonFraction" and EMPLOYEES in (name or "")]
+    return [(first(COMPANY), first(END_DATE), first(DORMANT), *(staff + [None, None])[:2], whole)]
 
-def facts_of(document: str | None) -> list[tuple]:
-    parser = _Facts()
-    parser.feed(document or "")
-    parser.close()
-    return [(kind, name, ref, pos, "".join(text)) for kind, name, ref, pos, text in parser.found]
 
+def accounts(documents: DataFrame, keys: list[str], content: str = "content") -> DataFrame:
+    """One row per document, also of those without facts: company, end date, dormant flag, employees this and last year, and whether all fact tags close.
 
-def shred(documents: DataFrame, keys: list[str], content: str = "content") -> DataFrame:
-    """A row per fact of every document, with the documents' keys. A document without facts, or NULL, gives none."""
-
-    def run(batches):
-        for pdf in batches:
-            rows = [(*key, *fact) for *key, text in pdf[[*keys, content]].itertuples(index=False) for fact in facts_of(text)]
-            yield pd.DataFrame(rows, columns=[*keys, "kind", "name", "context_ref", "pos", "value"])
-
-    kinds = dict(documents.dtypes)
-    return documents.select(*keys, F.col(content).cast("string").alias(content)).mapInPandas(run, ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", " + FACTS)
+    A document is read once, by one task, so nothing is grouped or joined.
+    """
+    columns = "company string, enddate string, dormantstatus string, employees_thisyear string, employees_lastyear string, whole boolean"
+    out = _by_document(documents, keys, content, _account, columns)
+    return out.withColumn("employees_thisyear", to_number(F.col("employees_thisyear"))).withColumn("employees_lastyear", to_number(F.col("employees_lastyear")))
 
 
 def file_keys(entries: DataFrame, entry: str = "entry") -> DataFrame:
@@ -72,27 +92,6 @@ def file_keys(entries: DataFrame, entry: str = "entry") -> DataFrame:
     return out.where(F.col("accountcode") != "")
 
 
-def accounts(entries: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per entry: company, end date, dormant flag, employees this and last year; entries without facts too."""
-    text = F.col("kind") == "nonNumeric"
-
-    def first(part: str) -> Column:
-        return F.min_by(F.when(text & F.col("name").contains(part), F.col("value")), F.when(text & F.col("name").contains(part), F.col("pos")))
-
-    staff = F.array_sort(F.collect_list(F.when((F.col("kind") == "nonFraction") & F.col("name").contains(EMPLOYEES), F.struct("pos", "value"))))
-    g = facts.groupBy(*keys).agg(first(COMPANY).alias("company"), first(END_DATE).alias("enddate"), first(DORMANT).alias("dormantstatus"), staff.alias("_staff"))
-    year = lambda k: to_number(F.try_element_at("_staff", F.lit(k))["value"])
-    g = g.withColumn("employees_thisyear", year(1)).withColumn("employees_lastyear", year(2)).drop("_staff")
-    return entries.select(*keys).distinct().join(g, keys, "left")
-
-
-def malformed(documents: DataFrame, content: str = "content") -> DataFrame:
-    """Documents in which a fact tag opens more or less often than it closes."""
-    c = F.col(content).cast("string")
-    opened = F.regexp_count(c, F.lit(r"(?i)<ix:non(numeric|fraction)\b[^>]*[^/]>"))
-    return documents.where(opened != F.regexp_count(c, F.lit(r"(?i)</ix:non(numeric|fraction)\s*>")))
-
-
 def tag_frequency(facts: DataFrame, entry: str) -> DataFrame:
     return facts.groupBy("name").agg(F.count_distinct(entry).alias("documents"), F.count("*").alias("facts"))
 

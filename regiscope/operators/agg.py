@@ -56,28 +56,53 @@ def arg_max(df: DataFrame, keys: list[str], value: str, tie: str) -> DataFrame:
     return first_rows(df, keys, [F.desc(value), F.asc(tie)])
 
 
+def with_group(df: DataFrame, keys: list[str], **values: Column) -> DataFrame:
+    """Adds aggregates of each row's group (NULL keys are a group of their own).
+
+    Groups are summed before the shuffle and joined back, so a group of any size is never gathered in one task as by a window.
+    """
+    sums = df.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(*(c.alias(n) for n, c in values.items()))
+    if not keys:
+        return df.crossJoin(F.broadcast(sums))  # one row
+    on = [df[k].eqNullSafe(sums[f"_{k}"]) for k in keys]
+    return df.join(sums, on, "inner").drop(*(f"_{k}" for k in keys))
+
+
 def at_group_max(df: DataFrame, keys: list[str], value: str, ties: str = "all", order: list | None = None) -> DataFrame:
     """Rows at their group's maximum; a group with a NULL value has none. ties="first" keeps one row, by `order`."""
-    w = Window.partitionBy(*keys)
-    out = df.withColumn("_max", F.max(value).over(w)).withColumn("_null", F.count_if(F.col(value).isNull()).over(w))
+    out = with_group(df, keys, _max=F.max(value), _null=F.count_if(F.col(value).isNull()))
     out = out.where((F.col("_null") == 0) & (F.col(value) == F.col("_max"))).drop("_max", "_null")
     return out if ties == "all" else first_rows(out, keys, order or [value])
 
 
 def latest(df: DataFrame, key: str, date: str) -> DataFrame:
-    """Single rows as they are; of several rows per key those of the latest date, none if any date is NULL."""
+    """Single rows as they are; of several rows per key those of the latest date, none if any date is NULL.
+
+    A key's rows are few (the accounts of a company), so this is one window.
+    """
     w = Window.partitionBy(key)
     out = df.withColumn("_n", F.count("*").over(w)).withColumn("_max", F.max(date).over(w)).withColumn("_null", F.count_if(F.col(date).isNull()).over(w))
     return out.where((F.col("_n") == 1) | ((F.col("_null") == 0) & (F.col(date) == F.col("_max")))).drop("_n", "_max", "_null")
 
 
 def share_of_group(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    w = Window.partitionBy(*keys)
-    return df.withColumn("pct", F.col(value) / F.sum(value).over(w) * 100).withColumn("group_count", F.count("*").over(w))
+    out = with_group(df, keys, _total=F.sum(value), group_count=F.count("*"))
+    return out.withColumn("pct", F.col(value) / F.col("_total") * 100).drop("_total")
+
+
+def having_total(df: DataFrame, keys: list[str], value: str, least: float) -> DataFrame:
+    """Rows of groups whose values sum up to at least so much."""
+    return with_group(df, keys, _t=F.sum(value)).where(F.col("_t") >= least).drop("_t")
+
+
+def repeated(df: DataFrame, keys: list[str], times: int = 2) -> DataFrame:
+    """All rows of keys that exactly so many rows have."""
+    return with_group(df, keys, _n=F.count("*")).where(F.col("_n") == times).drop("_n")
 
 
-def having_total(df: DataFrame, key: str, value: str, least: float) -> DataFrame:
-    return df.withColumn("_t", F.sum(value).over(Window.partitionBy(key))).where(F.col("_t") >= least).drop("_t")
+def median(value: str, approximate: bool = False) -> Column:
+    """Median; the exact one holds a group's distinct values in memory, the approximate one (within 1 / 10,000 of the rank) does not."""
+    return F.percentile_approx(value, 0.5, 10_000) if approximate else F.median(value)
 
 
 def category_rank(df: DataFrame, category: str, statistic: Column) -> DataFrame:

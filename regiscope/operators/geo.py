@@ -1,13 +1,14 @@
-"""Points, grids and polygon overlap in planar metres, as column arithmetic; only the triangle clip is Python."""
+"""Points, grids and polygon overlap in planar metres, all as column arithmetic."""
 
 from __future__ import annotations
 
 import math
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from regiscope.operators.agg import at_group_max, share_of_group, share_true
+
 SQRT3 = math.sqrt(3.0)
 
 
@@ -65,99 +66,99 @@ def square_corners(ix: Column, iy: Column, size: float) -> Column:
     return F.array(*(F.array((x + a * size).cast("double"), (y + b * size).cast("double")) for a, b in ((0, 0), (1, 0), (1, 1), (0, 1), (0, 0))))
 
 
+def hex_corners(q: Column, r: Column, size: float) -> Column:
+    """Closed ring of a hexagon relative to the grid's origin, from its top corner clockwise."""
+    edge = size / SQRT3
+    x, y = hex_centre(q, r, size)
+    turns = [math.pi / 2 - k * math.pi / 3 for k in range(6)] + [math.pi / 2]
+    return F.array(*(F.array(x + edge * math.cos(t), y + edge * math.sin(t)) for t in turns))
+
+
 def distance(x1: str, y1: str, x2: str, y2: str) -> Column:
     dx, dy = F.col(x1) - F.col(x2), F.col(y1) - F.col(y2)
     return F.sqrt(dx * dx + dy * dy)
 
 
-# ---------------------------------------------------------------- polygons: rings array<array<struct<x,y>>>
+# ---------------------------------------------------------------- polygons: parts array<array<array<struct<x,y>>>>, each an outer ring and its holes
 
 
-def _signed_area(p: list[tuple[float, float]]) -> float:
-    return sum(p[k - 1][0] * p[k][1] - p[k][0] * p[k - 1][1] for k in range(len(p))) / 2
+def boxed(df: DataFrame, parts: str = "parts") -> DataFrame:
+    """Adds x0, y0, x1, y1: the box around all corners."""
+    flat = F.flatten(F.flatten(F.col(parts)))
+    of = lambda c: F.transform(flat, lambda p: p[c])
+    return df.withColumn("x0", F.array_min(of("x"))).withColumn("y0", F.array_min(of("y"))).withColumn("x1", F.array_max(of("x"))).withColumn("y1", F.array_max(of("y")))
 
 
-def _clip(subject: list[tuple[float, float]], window: list[tuple[float, float]]) -> float:
-    """Area of a convex polygon inside a convex counter-clockwise one."""
-    out = subject
-    for k in range(len(window)):
-        (ax, ay), (bx, by) = window[k - 1], window[k]
-        side = [(bx - ax) * (y - ay) - (by - ay) * (x - ax) for x, y in out]
-        kept = []
-        for i, (here, s) in enumerate(zip(out, side)):
-            before, r = out[i - 1], side[i - 1]
-            if r * s < 0:
-                t = r / (r - s)
-                kept.append((before[0] + t * (here[0] - before[0]), before[1] + t * (here[1] - before[1])))
-            if s >= 0:
-                kept.append(here)
-        if len(kept) < 3:
-            return 0.0
-        out = kept
-    return abs(_signed_area(out))
+def edges(df: DataFrame, key: str, parts: str = "parts") -> DataFrame:
+    """key, sign and the ends (ax, ay), (bx, by), ax < bx, of every edge that isn't upright.
 
+    Signs are so that a point is in the polygon as often as edges above it count: 1 along the top of an outer ring, -1
+    along its bottom, the other way round for holes, in whatever direction rings run. Rings may or may not repeat their first corner.
+    """
+    part = df.select(key, F.explode(parts).alias("_rings"))
+    ring = part.select(key, F.posexplode("_rings").alias("_k", "_ring"))
+    follow = F.concat(F.slice("_ring", F.lit(2), F.size("_ring")), F.slice("_ring", 1, 1))
+    pair = ring.withColumn("_pair", F.arrays_zip(F.col("_ring").alias("a"), follow.alias("b")))
+    twice = F.aggregate("_pair", F.lit(0.0), lambda s, p: s + (p["b"]["x"] - F.col("_ring")[0]["x"]) * (p["a"]["y"] - F.col("_ring")[0]["y"]) - (p["a"]["x"] - F.col("_ring")[0]["x"]) * (p["b"]["y"] - F.col("_ring")[0]["y"]))
+    turned = pair.withColumn("_turn", F.when((twice > 0) == (F.col("_k") == 0), 1).otherwise(-1)).select(key, "_turn", F.explode("_pair").alias("p"))  # 1: an outer ring that runs clockwise, or a hole that does not
+    right = F.col("p.a.x") < F.col("p.b.x")
+    end = lambda c, first: F.when(right == F.lit(first), F.col(f"p.a.{c}")).otherwise(F.col(f"p.b.{c}"))
+    sign = F.col("_turn") * F.when(right, 1).otherwise(-1)
+    return turned.where("p.a.x <> p.b.x").select(key, sign.alias("sign"), end("x", True).alias("ax"), end("y", True).alias("ay"), end("x", False).alias("bx"), end("y", False).alias("by"))
 
-def _open(ring, origin: tuple[float, float]) -> list[tuple[float, float]]:
-    """A ring's corners relative to the origin, without the closing one."""
-    p = [(float(v["x"]) - origin[0], float(v["y"]) - origin[1]) for v in ring]
-    return p[:-1] if len(p) > 1 and p[0] == p[-1] else p
 
+def _tiles(low: str, high: str, size: float) -> Column:
+    return F.explode(F.sequence(F.floor(F.col(low) / size).cast("long"), F.floor(F.col(high) / size).cast("long")))
 
-def _pieces(rings, origin: tuple[float, float]) -> list[tuple[float, list]]:
-    """Signed convex pieces, counter-clockwise: the polygon itself where it is convex, else the triangles from the origin to its edges.
 
-    The outer ring (the first) counts as positive, holes as negative, in whatever direction they run.
-    """
-    opened = [_open(ring, origin) for ring in rings]
-    first = opened[0] if opened and _signed_area(opened[0]) >= 0 else opened[0][::-1] if opened else []
-    if len(opened) == 1 and len(first) > 2:
-        turns = [(first[k - 1][0] - first[k - 2][0]) * (first[k][1] - first[k - 1][1]) - (first[k - 1][1] - first[k - 2][1]) * (first[k][0] - first[k - 1][0]) for k in range(len(first))]
-        if len(first) == 3 or (min(turns) >= 0 and len(first) == 4):
-            return [(1.0, first)]
-    out = []
-    for k, p in enumerate(opened):
-        p = p if (_signed_area(p) > 0) == (k == 0) else p[::-1]
-        for j in range(len(p)):
-            t = [(0.0, 0.0), p[j - 1], p[j]]
-            if s := _signed_area(t):
-                out.append((1.0, t) if s > 0 else (-1.0, t[::-1]))
-    return out
-
-
-def overlap_area(a, b) -> float:
-    """Area common to two polygons of any shape, holes included, by signed convex pieces."""
-    if not len(a) or not len(b):
-        return 0.0
-    origin = (float(a[0][0]["x"]), float(a[0][0]["y"]))
-    return sum(s * t * _clip(x, y) for s, x in _pieces(a, origin) for t, y in _pieces(b, origin))
-
-
-def tiles(df: DataFrame, rings: str, size: float) -> DataFrame:
-    """Adds tile x and y: a row for each tile that the polygon's box touches."""
-    flat = F.flatten(F.col(rings))
-    lo = lambda c: F.floor(F.array_min(F.transform(flat, lambda p: p[c])) / size).cast("long")
-    hi = lambda c: F.floor(F.array_max(F.transform(flat, lambda p: p[c])) / size).cast("long")
-    return df.withColumn("tx", F.explode(F.sequence(lo("x"), hi("x")))).withColumn("ty", F.explode(F.sequence(lo("y"), hi("y"))))
+def _at(x: Column, side: str) -> Column:
+    """Height of an edge at x."""
+    ax, ay, bx, by = (F.col(f"{side}{c}") for c in ("ax", "ay", "bx", "by"))
+    return ay + (by - ay) * ((x - ax) / (bx - ax))
 
 
 def overlaps(larger: DataFrame, smaller: DataFrame, large_id: str, small_id: str, tile: float) -> DataFrame:
-    """(large, small, area) of polygons that share area; both tables have their id and `rings`. Pairs meet by tile."""
-    a = larger.select(F.col(large_id).alias("large"), F.col("rings").alias("a"))
-    b = smaller.select(F.col(small_id).alias("small"), F.col("rings").alias("b"))
-    pairs = tiles(a.select("large", "a"), "a", tile).select("large", "tx", "ty").join(tiles(b, "b", tile).select("small", "tx", "ty"), ["tx", "ty"]).select("large", "small").distinct()
-
-    def area(batches):
-        for pdf in batches:
-            yield pd.DataFrame({"large": pdf["large"], "small": pdf["small"], "area": [overlap_area(x, y) for x, y in zip(pdf["a"], pdf["b"])]})
-
-    kinds = dict(pairs.dtypes)
-    full = pairs.join(a, "large").join(b, "small").select("large", "small", "a", "b")
-    return full.mapInPandas(area, f"large {kinds['large']}, small {kinds['small']}, area double").where("area > 1e-9")
+    """(large, small, area) of polygons of any shape that share area; both tables have their id and `parts`.
 
+    Pairs meet by tile and go unless their boxes overlap. The area common to two polygons is the sum over pairs of their
+    edges of the signed area under the lower of the two, which is a formula of their ends; edges meet by strips of x, cut
+    at strip borders, so no task compares all edges of two polygons, and only numbers travel, not rings.
+    """
+    sides = {}
+    for side, df, key in (("l", larger, large_id), ("s", smaller, small_id)):
+        sides[side] = df.select(F.col(key).alias(side), "parts")
+    box = {k: boxed(v).select(k, *(F.col(c).alias(k + c) for c in ("x0", "y0", "x1", "y1"))) for k, v in sides.items()}
+    tiled = {k: v.withColumn("tx", _tiles(k + "x0", k + "x1", tile)).withColumn("ty", _tiles(k + "y0", k + "y1", tile)) for k, v in box.items()}
+    apart = (F.col("lx0") < F.col("sx1")) & (F.col("sx0") < F.col("lx1")) & (F.col("ly0") < F.col("sy1")) & (F.col("sy0") < F.col("ly1"))
+    pairs = tiled["l"].join(tiled["s"], ["tx", "ty"]).where(apart).select("l", "s", F.least("ly0", "sy0").alias("base"), F.greatest("lx0", "sx0").alias("from"), F.least("lx1", "sx1").alias("to")).distinct()
+    strips = pairs.withColumn("strip", _tiles("from", "to", tile))
+    cut = {}
+    for k, v in sides.items():
+        e = edges(v, k).withColumn("strip", _tiles("ax", "bx", tile))
+        cut[k] = e.select(k, "strip", *(F.col(c).alias(k + c) for c in ("sign", "ax", "ay", "bx", "by")))
+    met = strips.join(cut["s"], ["s", "strip"]).join(cut["l"], ["l", "strip"])
+    low = F.greatest("lax", "sax", F.col("strip") * tile)
+    high = F.least("lbx", "sbx", (F.col("strip") + 1) * tile)
+    met = met.withColumn("u", low).withColumn("v", high).where("u < v")
+    for end in ("u", "v"):
+        met = met.withColumn(f"f{end}", _at(F.col(end), "l") - F.col("base")).withColumn(f"g{end}", _at(F.col(end), "s") - F.col("base"))
+    du, dv = F.col("fu") - F.col("gu"), F.col("fv") - F.col("gv")
+    plain = F.when(du + dv <= 0, F.col("fu") + F.col("fv")).otherwise(F.col("gu") + F.col("gv")) * (F.col("v") - F.col("u")) / 2
+    # where they cross, the lower one changes at the share du / (du - dv) of the way
+    t = du / (du - dv)
+    mid = F.col("fu") + t * (F.col("fv") - F.col("fu"))
+    crossed = ((F.least("fu", "gu") + mid) * t + (mid + F.least("fv", "gv")) * (1 - t)) * (F.col("v") - F.col("u")) / 2
+    under = F.when(du * dv < 0, crossed).otherwise(plain)
+    out = met.groupBy("l", "s").agg(F.sum(F.col("lsign") * F.col("ssign") * under).alias("area"))
+    return out.where("area > 1e-9").select(F.col("l").alias("large"), F.col("s").alias("small"), "area")
+
+
+def largest_overlap(larger: DataFrame, smaller: DataFrame, large_id: str, small_id: str, tile: float, digits: int = 6) -> DataFrame:
+    """For each smaller polygon the larger ones with the greatest share of its summed overlaps (ties stay), rounded to `digits`."""
+    shared = share_of_group(overlaps(larger, smaller, large_id, small_id, tile), ["small"], "area").withColumn("pct", F.round("pct", digits))
+    return at_group_max(shared, ["small"], "pct")
 
-def largest_overlap(larger: DataFrame, smaller: DataFrame, large_id: str, small_id: str, tile: float) -> DataFrame:
-    """For each smaller polygon the larger ones with the greatest share of its summed overlaps (ties stay)."""
-    from regiscope.operators.agg import at_group_max, share_of_group
 
-    shared = share_of_group(overlaps(larger, smaller, large_id, small_id, tile), ["small"], "area")
-    return at_group_max(shared, ["small"], "pct")
+def share_inside(found: DataFrame) -> DataFrame:
+    """One row: per cent of the rows of `largest_overlap` that lie fully in their larger polygon."""
+    return found.agg(share_true(F.col("pct") == 100).alias("fully_inside"))

@@ -9,7 +9,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from regiscope.functions.exprs import log10
 from regiscope.operators.geo import distance
+from regiscope.sources.io import scratch
 
 
 def ols_by_group(df: DataFrame, keys: list[str], y: str, x: str) -> DataFrame:
@@ -21,11 +23,15 @@ def ols_by_group(df: DataFrame, keys: list[str], y: str, x: str) -> DataFrame:
     return g.withColumn("slope", F.when(fit, F.col("_b"))).withColumn("se", F.when(fit, se)).select(*keys, "n", "slope", "se")
 
 
-def pair_distances(a: DataFrame, b: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """distance of all pairs of points (x, y) of two tables, by `keys` if given."""
-    left, right = a.withColumnsRenamed({"x": "ax", "y": "ay"}), b.withColumnsRenamed({"x": "bx", "y": "by"})
-    pairs = left.join(right, keys) if keys else left.crossJoin(right)
-    return pairs.select(*(keys or []), distance("ax", "ay", "bx", "by").alias("distance"))
+def pair_distances(a: DataFrame, b: DataFrame, keys: list[str] | None = None, blocks: int = 32) -> DataFrame:
+    """distance of all pairs of points (x, y) of two tables, by `keys` if given.
+
+    The first table is dealt to blocks by a hash of the point, the second goes to every block: an equality join, so that the
+    pairs of one key are made by as many tasks as there are blocks, and neither side has to fit a broadcast.
+    """
+    left = a.withColumnsRenamed({"x": "ax", "y": "ay"}).withColumn("_block", F.pmod(F.xxhash64("ax", "ay"), F.lit(blocks)))
+    right = b.withColumnsRenamed({"x": "bx", "y": "by"}).withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    return left.join(right, [*(keys or []), "_block"]).select(*(keys or []), distance("ax", "ay", "bx", "by").alias("distance"))
 
 
 def mean_distance(a: DataFrame, b: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -151,23 +157,65 @@ def box_plot(df: DataFrame, group: str, value: str) -> DataFrame:
     return out.withColumn("rank", F.row_number().over(Window.orderBy("median", group)))  # one row per group
 
 
-def natural_breaks(df: DataFrame, value: str, classes: int, most: int = 512) -> DataFrame:
-    """Upper bounds of `classes` classes of least squared deviation: an exact dynamic program over distinct values.
+def log_density(df: DataFrame, group: str, value: str, points: int = 512) -> DataFrame:
+    """(group, x, density) of the values' common logarithms; values that aren't positive are left out."""
+    return density(df.select(group, log10(F.col(value)).alias("_log")), group, "_log", points)
+
+
+def natural_breaks(df: DataFrame, value: str, classes: int) -> DataFrame:
+    """Upper bounds of `classes` classes of least squared deviation: an exact dynamic program over all distinct values.
 
-    Values are binned to `most` levels where there are more; the program is classes - 1 self-joins of that many rows.
+    Of n levels the best last break before a level never lies lower than that of a lower level. So for each class every
+    s-th level (s about the root of n) is tried against all levels, and the levels between two of those only against the
+    levels between their breaks: n * s pairs a class instead of n * n, as equality joins on blocks of s levels. Values are
+    centred first, so squares of large values do not cancel. Equal costs take the lower breaks.
     """
     v = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
     levels = v.groupBy("v").agg(F.count("*").alias("w"))
-    if levels.count() > most:
-        lo, hi = v.agg(F.min("v"), F.max("v")).first()
-        b = F.least(F.lit(most - 1), F.floor((F.col("v") - lo) / ((hi - lo) / most)))
-        levels = v.groupBy(b.alias("b")).agg(F.max("v").alias("v"), F.count("*").alias("w")).select("v", "w")
-    run = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)  # at most `most` rows
-    c = levels.select("v", F.row_number().over(Window.orderBy("v")).alias("i"), F.sum("w").over(run).alias("n"), F.sum(F.col("v") * F.col("w")).over(run).alias("s"), F.sum(F.col("v") * F.col("v") * F.col("w")).over(run).alias("ss"))
+    n, mean = levels.agg(F.count("*"), F.sum(F.col("v") * F.col("w")) / F.sum("w")).first()
+    if not n:
+        return v.select(F.lit(0).alias("class"), F.col("v").alias("upper"))
+    size, classes = max(1, math.isqrt(n)), min(classes, n)
+    c = _levels(levels, mean).withColumn("block", F.floor((F.col("i") - 1) / size))
+    c = _written(c)
     best = c.select("i", (F.col("ss") - F.col("s") * F.col("s") / F.col("n")).alias("cost"), F.array("v").alias("breaks"))
     for _ in range(classes - 1):
-        left = best.join(c, "i").select(F.col("i").alias("j"), "cost", "breaks", F.col("n").alias("n0"), F.col("s").alias("s0"), F.col("ss").alias("ss0"))
-        n, s, ss = F.col("n") - F.col("n0"), F.col("s") - F.col("s0"), F.col("ss") - F.col("ss0")
-        pairs = left.join(F.broadcast(c), F.col("j") < F.col("i")).withColumn("total", F.col("cost") + ss - s * s / n)  # at most `most` rows
-        best = pairs.groupBy("i").agg(F.min("total").alias("cost"), F.min_by(F.concat("breaks", F.array("v")), F.struct("total", "j")).alias("breaks"))
-    return best.orderBy(F.desc("i")).limit(1).select(F.posexplode("breaks").alias("class", "upper"))
+        left = best.join(c, "i").select("block", F.col("i").alias("j"), "cost", "breaks", F.col("n").alias("n0"), F.col("s").alias("s0"), F.col("ss").alias("ss0"))
+        left = _written(left)
+        blocks = F.explode(F.sequence(F.col("from"), F.col("to"))).alias("block")
+        some = c.where((F.col("i") % size == 0) | (F.col("i") == n)).withColumn("_low", F.lit(1).cast("long")).withColumn("_high", F.col("i") - 1)
+        coarse = _written(_best_break(some, left, blocks, size))
+        known = coarse.select(F.col("i").alias("_i"), F.col("j").alias("_j"))
+        rest = c.where((F.col("i") % size != 0) & (F.col("i") != n))
+        before, after = known.select(F.floor(F.col("_i") / size).alias("_at"), F.col("_j").alias("_low")).where(F.col("_i") % size == 0), known.select(F.ceil(F.col("_i") / size).alias("_at"), F.col("_j").alias("_high"))
+        rest = rest.withColumn("_at", F.floor(F.col("i") / size)).join(before, "_at", "left")
+        rest = rest.withColumn("_at", F.col("_at") + 1).join(after, "_at", "left").drop("_at")
+        rest = rest.withColumn("_low", F.coalesce("_low", F.lit(1))).withColumn("_high", F.least(F.coalesce("_high", F.col("i") - 1), F.col("i") - 1))
+        best = _written(coarse.drop("j").unionByName(_best_break(rest, left, blocks, size).drop("j")))
+    return best.where(F.col("i") == n).select(F.posexplode("breaks").alias("class", "upper"))
+
+
+def _levels(levels: DataFrame, mean: float) -> DataFrame:
+    """v, its rank i from 1, and sums over all levels up to it: n of weights, s of centred values, ss of their squares. Sorted by ranges, no task holds all."""
+    part = _written(levels.repartitionByRange("v").withColumn("_p", F.spark_partition_id()).withColumn("d", F.col("v") - F.lit(mean)))
+    upto = Window.partitionBy("_p").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    sums = {"i": F.lit(1), "n": F.col("w"), "s": F.col("d") * F.col("w"), "ss": F.col("d") * F.col("d") * F.col("w")}
+    totals = part.groupBy("_p").agg(*(F.sum(x).alias(f"_{k}") for k, x in sums.items()))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    totals = totals.select("_p", *(F.coalesce(F.sum(f"_{k}").over(before), F.lit(0)).alias(f"_{k}") for k in sums))
+    return part.join(F.broadcast(totals), "_p").select("v", *((F.col(f"_{k}") + F.sum(x).over(upto)).alias(k) for k, x in sums.items()))
+
+
+def _best_break(at: DataFrame, left: DataFrame, blocks: Column, size: int) -> DataFrame:
+    """i, j, cost and breaks of the best last break j from _low to _high of each level."""
+    ranged = at.where("_low <= _high").withColumn("from", F.floor((F.col("_low") - 1) / size)).withColumn("to", F.floor((F.col("_high") - 1) / size)).drop("block")
+    pairs = ranged.select("i", "v", "n", "s", "ss", "_low", "_high", blocks).join(left, "block").where("j BETWEEN _low AND _high")
+    n, s, ss = F.col("n") - F.col("n0"), F.col("s") - F.col("s0"), F.col("ss") - F.col("ss0")
+    return pairs.withColumn("total", F.col("cost") + ss - s * s / n).groupBy("i", "v").agg(F.min("total").alias("cost"), F.min_by(F.struct("j", "breaks"), F.struct("total", "j")).alias("b")).select("i", F.col("b.j").alias("j"), "cost", F.concat("b.breaks", F.array("v")).alias("breaks"))
+
+
+def _written(df: DataFrame) -> DataFrame:
+    """Cuts lineage through the shared folder."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,25 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiscope.functions.exprs import age_in_years, label_number, normalise_postcode, parse_date, percent_change
-from regiscope.operators import agg, geo, link
+from regiscope.functions.exprs import age_in_years, base_name, label_number, normalise_postcode, parse_date, percent_change
+from regiscope.operators import accounts, agg, geo, link
 from regiscope.operators.predicates import both_positive, drop_matching, keep_matching
+from regiscope.sources import io, zips
+from regiscope.streaming.incremental import new_inputs, stored
 
 DORMANT_SIC = "99999"
 
 
+def register_snapshot(spark: SparkSession, archives: str, out: str, date: str) -> None:
+    """The register from its zipped CSV files, pruned, as the snapshot of a date."""
+    io.write_snapshot(zips.read_zipped_csv(io.list_archives(spark, archives), io.REGISTER), out, date)
+
+
+def account_extracts(listing: DataFrame, out: str, known: DataFrame | None = None, companynumber: str = "companynumber") -> None:
+    """Accounts of all listed archives (path) under `out`, a partition for each archive; those in its manifest are skipped.
+
+    Entries without keys, and of companies not among the known ones if given, are never read. An entry that is damaged, or
+    in which a fact tag does not close, is kept with its `problem`. Partitions are replaced as wholes and the manifest is
+    written last, so a run that broke off is repeated.
+    """
+    spark = listing.sparkSession
+    manifest = stored(spark, f"{out}/manifest")
+    fresh = listing.select("path") if manifest is None else new_inputs(listing.select("path"), manifest)
+    entries = accounts.file_keys(zips.list_entries(fresh))
+    if known is not None:
+        entries = link.members(entries, known, "companynumber", companynumber)
+    keys = ["archive", "entry", "companynumber", "accountcode", "error"]
+    made = accounts.accounts(zips.read_entries(entries), keys)
+    problem = F.coalesce("error", F.when(~F.col("whole"), F.lit("a fact tag does not close")))
+    io.write_partitioned(made.withColumn("archive", base_name(F.col("archive"))).withColumn("problem", problem).drop("error", "whole"), f"{out}/extracts")
+    fresh.write.mode("append").parquet(f"{out}/manifest")
+
+
+def extracted(spark: SparkSession, out: str, problems: bool = False) -> DataFrame:
+    """The accounts of `account_extracts`, or the entries with problems."""
+    rows = spark.read.parquet(f"{out}/extracts")
+    return rows.where("problem IS NOT NULL").select("archive", "entry", "companynumber", "accountcode", "problem") if problems else rows.where("problem IS NULL").drop("problem")
+
+
 def geocoded(register: DataFrame, postcodes: DataFrame, postcode: str = "RegAddress_PostCode") -> DataFrame:
     """The register's rows with a known postcode, with its area codes and coordinates."""
-    lookup = postcodes.withColumn("postcode", normalise_postcode(F.col("Postcode"))).drop("Postcode").withColumnsRenamed({"Eastings": "easting", "Northings": "northing"})
+    lookup = postcodes.withColumn("Postcode", normalise_postcode(F.col("Postcode"))).withColumnsRenamed({"Postcode": "postcode"}).withColumnsRenamed({"Eastings": "easting", "Northings": "northing"})
     return link.located(register.withColumn("postcode", normalise_postcode(F.col(postcode))), lookup, "postcode", "easting", "northing")
 
 
 def latest_accounts(extracts: DataFrame, order: list[str], key: str = "companynumber", code: str = "accountcode", date: str = "enddate") -> DataFrame:
     """Each account once (its first row in `order`), its date parsed, and each company's latest."""
-    once = agg.first_rows(extracts, [code, key], order)
+    once = agg.first_rows(extracts.repartition(key), [code, key], order)  # dealt by company once, for both windows
     return agg.latest(once.withColumn(date, parse_date(F.col(date))), key, date)
 
 
@@ -34,16 +67,55 @@ def with_sectors(df: DataFrame, sectors: DataFrame, text: str, code: str = "SIC_
     return found.where(F.col("sic5") != DORMANT_SIC)
 
 
+def quality_report(register: DataFrame, located: DataFrame, extracts: DataFrame, key: str, postcode: str, address: str, status: str, sic: str, account_key: str, employees: str) -> DataFrame:
+    """measure, category, other and value: shares (per cent) of rows without a postcode match, of those without postcode but
+    with an address, of each status, of dormant sectors within each status; numbers of accounts per company, and of accounts
+    by whether they have an employee count. The register is summed in one pass, the accounts in another."""
+    hits = located.select(F.col(key).alias("_key")).distinct().withColumn("_hit", F.lit(True))
+    flags = register.join(hits, register[key].eqNullSafe(hits["_key"]), "left").withColumn("_dormant", F.col(sic).startswith(DORMANT_SIC))
+    miss = F.col("_hit").isNull()
+    g = flags.groupBy(F.col(status).alias("category"), F.col("_dormant").alias("dormant")).agg(F.count("*").alias("n"), F.count_if(miss).alias("miss"), F.count_if(miss & F.col(postcode).isNull() & F.col(address).isNotNull()).alias("bare"))
+    out = None
+
+    def add(df: DataFrame, measure: str, category: Column, other: Column, value: Column) -> None:
+        nonlocal out
+        rows = df.select(F.lit(measure).alias("measure"), category.cast("string").alias("category"), other.cast("string").alias("other"), value.cast("double").alias("value"))
+        out = rows if out is None else out.unionByName(rows)
+
+    none = F.lit(None)
+    whole = g.agg(F.sum("n").alias("n"), F.sum("miss").alias("miss"), F.sum("bare").alias("bare"))
+    add(whole, "no match", none, none, F.col("miss") * 100.0 / F.col("n"))
+    add(whole, "no match but address", none, none, F.col("bare") * 100.0 / F.col("n"))
+    by_status = agg.with_group(g.where("category IS NOT NULL").groupBy("category").agg(F.sum("n").alias("n")), [], total=F.sum("n"))
+    add(by_status, "status", F.col("category"), none, F.col("n") * 100.0 / F.col("total"))
+    by_both = agg.with_group(g.where("category IS NOT NULL AND dormant IS NOT NULL"), ["category"], total=F.sum("n"))
+    add(by_both, "dormant within status", F.col("category"), F.col("dormant"), F.col("n") * 100.0 / F.col("total"))
+    add(agg.count_histogram(extracts, account_key), "accounts per company", F.col("rows_per_key"), none, F.col("keys"))
+    add(agg.frequency(extracts.withColumn("_has", F.col(employees).isNotNull()), "_has"), "has employees", F.col("_has"), none, F.col("n"))
+    return out
+
+
+def sector_layers(located: DataFrame, path: str, where: Column, x: str, y: str, properties: list[str]) -> None:
+    """A point layer of the located firms that the condition picks (such as active ones of a sector)."""
+    io.write_features(located.where(where), path, x, y, properties)
+
+
+def app_extract(register: DataFrame, accounts_: DataFrame, sectors: DataFrame, key: str, account_key: str, text: str, employees: str, code: str = "SIC_5DIGIT_CODE") -> DataFrame:
+    """All accounts that have an employee count, with their firm and sector beside them (NULL where there is none)."""
+    both = link.lookup(register, accounts_, key, account_key, "right").withColumn("sic5", F.substring(text, 1, 5))
+    return link.lookup(both, sectors, "sic5", code).where(F.col(employees).isNotNull())
+
+
 def modal_sector(df: DataFrame, x: str, y: str, size: float, sector: str, value: str, least: float, exclude: str) -> DataFrame:
     """Each hexagon's sector with the greatest sum, of hexagons whose sums reach `least`."""
     cells = drop_matching(geo.hex_cells(df.where(F.col(value) > 0), x, y, size), sector, exclude)
     sums = cells.where(F.col(sector).isNotNull()).groupBy("q", "r", sector).agg(F.sum(value).alias("total"))
-    return agg.arg_max(agg.having_total(sums.withColumn("cell", F.concat_ws(":", "q", "r")), "cell", "total", least), ["q", "r"], "total", sector)
+    return agg.arg_max(agg.having_total(sums, ["q", "r"], "total", least), ["q", "r"], "total", sector)
 
 
-def median_age(df: DataFrame, x: str, y: str, size: float, date: str, as_of: Column, least: int) -> DataFrame:
+def median_age(df: DataFrame, x: str, y: str, size: float, date: str, as_of: Column, least: int, approximate: bool = False) -> DataFrame:
     aged = df.withColumn("age", age_in_years(F.col(date), as_of))
-    out = geo.hex_cells(aged, x, y, size).groupBy("q", "r").agg(agg.strict(F.median("age"), "age").alias("median_age"), F.count("*").alias("firms")).where(F.col("firms") >= least)
+    out = geo.hex_cells(aged, x, y, size).groupBy("q", "r").agg(agg.strict(agg.median("age", approximate), "age").alias("median_age"), F.count("*").alias("firms")).where(F.col("firms") >= least)
     return out.withColumn("label", F.concat(F.lit("Median age: "), label_number(F.col("median_age")), F.lit(" yrs, firm count: "), F.col("firms").cast("string")))
 
 

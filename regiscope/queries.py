@@ -5,7 +5,6 @@ Roles: register = customer, lookup = nation and region, account extracts = order
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -14,7 +13,9 @@ from pyspark.sql import functions as F
 from regiscope.functions import exprs as x
 from regiscope.operators import accounts, agg, geo, link, predicates, stats
 from regiscope.plans import pipelines
-from regiscope.sources import io
+from regiscope.sources import io, zips
+from regiscope.sources.io import scratch
+from regiscope.streaming import incremental
 from regiscope.streaming.incremental import new_inputs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,14 +41,6 @@ def r4(c, name: str):
     return F.round(c, 4).alias(name)
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder in the cluster's shared one."""
-    import tempfile
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="regiscope-")
-    return f"{base.rstrip('/')}/regiscope-{uuid.uuid4().hex}"
-
-
 # ---------------------------------------------------------------- flagship and projections
 
 
@@ -123,6 +116,18 @@ def geocode_register(t):
     return link.located(t("customer"), lookup, "c_nationkey", "easting", "northing").select("c_custkey", "place", "easting", "northing")
 
 
+@query("""SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS CompanyNumber, 'S' || c_nationkey || 'AB' AS postcode, n_name AS localauthority_name, CAST(n_nationkey * 1000 AS DOUBLE) AS easting, CAST(n_regionkey * 1000 AS DOUBLE) AS northing
+ FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_nationkey % 5 <> 0""")
+def geocoded_register(t):
+    """The register located by a postcode lookup read from CSV; a fifth of its postcodes have no coordinates."""
+    spark, path = t("nation").sparkSession, scratch(t("nation").sparkSession)
+    known = F.col("n_nationkey") % 5 != 0
+    t("nation").select(F.concat(F.lit("S"), "n_nationkey", F.lit(" AB")).alias("Postcode"), F.lit("E0").alias("localauthority_code"), F.col("n_name").alias("localauthority_name"), F.lit("T").alias("ITL221CD"), F.lit("N").alias("ITL221NM"),
+                       F.when(known, F.col("n_nationkey") * 1000).alias("Eastings"), F.when(known, F.col("n_regionkey") * 1000).alias("Northings")).write.option("header", True).csv(path)
+    firms = t("customer").select(F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("CompanyNumber"), F.concat(F.lit("s"), "c_nationkey", F.lit("a b")).alias("RegAddress_PostCode"))
+    return pipelines.geocoded(firms, io.read_lookup(spark, path, io.POSTCODES)).select("CompanyNumber", "postcode", "localauthority_name", "easting", "northing")
+
+
 _LATEST = """WITH e AS (SELECT o_custkey, o_orderkey, CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS d FROM orders),
  w AS (SELECT *, count(*) OVER (PARTITION BY o_custkey) AS n, max(d) OVER (PARTITION BY o_custkey) AS m, count_if(d IS NULL) OVER (PARTITION BY o_custkey) AS z FROM e)"""
 
@@ -157,9 +162,14 @@ def semi_register(t):
     return link.members(t("customer").select("c_custkey", "c_name"), t("orders"), "c_custkey", "o_custkey")
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)")
 def anti_register(t):
-    return link.members(t("customer").select("c_custkey", "c_name"), t("orders"), "c_custkey", "o_custkey", inside=False)
+    return link.members(t("customer").select("c_custkey", "c_name"), t("orders").where("o_totalprice > 300000"), "c_custkey", "o_custkey", inside=False)
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT o_custkey FROM orders GROUP BY 1 HAVING count(*) = 9)")
+def repeated_accounts(t):
+    return agg.repeated(t("orders").select("o_orderkey", "o_custkey"), ["o_custkey"], 9)
 
 
 @query("""SELECT matched, count(*) AS n, round(count(*) * 100.0 / (SELECT count(*) FROM customer), 4) AS pct
@@ -248,7 +258,7 @@ def median_by_group(t):
     o = t("orders")
     first = o.agg(F.min("o_orderkey").alias("low"))
     o = o.crossJoin(F.broadcast(first)).withColumn("v", F.when(F.col("o_orderkey") != F.col("low"), F.col("o_totalprice")))
-    return o.groupBy("o_orderpriority", "o_orderstatus").agg(F.round(agg.strict(F.median("v"), "v"), 4).alias("mid"), F.count("*").alias("n")).where("n >= 10")
+    return o.groupBy("o_orderpriority", "o_orderstatus").agg(F.round(agg.strict(agg.median("v"), "v"), 4).alias("mid"), F.count("*").alias("n")).where("n >= 10")
 
 
 # ---------------------------------------------------------------- windows, order, sets
@@ -276,7 +286,7 @@ def seeded_sample(t):
 
 @query("SELECT p_brand, round(median(p_retailprice), 4) AS stat, CAST(row_number() OVER (ORDER BY median(p_retailprice), p_brand) AS INT) AS rank FROM part GROUP BY p_brand")
 def category_rank(t):
-    return agg.category_rank(t("part"), "p_brand", F.median("p_retailprice")).select("p_brand", r4("stat", "stat"), "rank")
+    return agg.category_rank(t("part"), "p_brand", agg.median("p_retailprice")).select("p_brand", r4("stat", "stat"), "rank")
 
 
 @query("SELECT o_orderkey, o_totalprice, NULL::VARCHAR AS o_orderpriority FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT o_orderkey, NULL, o_orderpriority FROM orders WHERE o_orderstatus = 'O'")
@@ -364,12 +374,12 @@ def month_histogram(t):
 
 
 @query("""SELECT p_partkey, p_type[1:5] AS code, upper(p_name) AS name, TRY_CAST(CASE p_partkey % 3 WHEN 0 THEN '1034' WHEN 1 THEN NULL ELSE NULL END AS DOUBLE) AS value,
- CASE WHEN p_size > 10 THEN round(log10(p_size - 10), 4) END AS lg, p_partkey % 3 = 1 AS missing, round((p_retailprice - p_size) / nullif(p_size - 1, 0) * 0 + 1, 1) AS safe FROM part""")
+ CASE WHEN p_size > 10 THEN round(log10(p_size - 10), 4) END AS lg, p_partkey % 3 = 1 AS missing, round((p_retailprice - (p_size - 1)) / nullif(p_size - 1, 0) * 100, 4) AS safe FROM part""")
 def scalar_exprs(t):
     text = F.when(F.col("p_partkey") % 3 == 0, "1034").when(F.col("p_partkey") % 3 == 1, F.lit(None)).otherwise("1,034")
     p = t("part").withColumn("text", text)
     return p.select("p_partkey", F.substring("p_type", 1, 5).alias("code"), F.upper("p_name").alias("name"), x.to_number(F.col("text")).alias("value"), r4(x.log10(F.col("p_size") - 10.0), "lg"), F.col("text").isNull().alias("missing"),
-                    F.round(x.percent_change(F.col("p_size") - F.lit(1.0), F.col("p_retailprice")) * 0 + 1, 1).alias("safe"))
+                    r4(x.percent_change(F.col("p_size") - F.lit(1.0), F.col("p_retailprice")), "safe"))
 
 
 # ---------------------------------------------------------------- grids and distances
@@ -413,13 +423,46 @@ def modal_category(t):
 @query(f"WITH {_SQ}, s AS (SELECT iy * nx + ix + 1 AS cell, label, count(*) AS total FROM g GROUP BY ALL) SELECT cell, label, total FROM (SELECT *, sum(total) OVER (PARTITION BY cell) AS t FROM s) WHERE t >= 5")
 def having_rollup(t):
     cells = geo.square_cells(points(t), "x", "y", 0.05).groupBy(F.col("cell").cast("long").alias("cell"), "label").agg(F.count("*").alias("total"))
-    return agg.having_total(cells, "cell", "total", 5)
+    return agg.having_total(cells, ["cell"], "total", 5)
 
 
 @query(f"WITH {_HEX} SELECT q, r, round(median(label), 4) AS mid, count(*) AS n FROM h GROUP BY 1, 2 HAVING count(*) >= 3")
 def cell_median(t):
     cells = geo.hex_cells(points(t), "x", "y", 0.1).groupBy(F.col("q").cast("long").alias("q"), F.col("r").cast("long").alias("r"))
-    return cells.agg(F.round(agg.strict(F.median("label"), "label"), 4).alias("mid"), F.count("*").alias("n")).where("n >= 3")
+    return cells.agg(F.round(agg.strict(agg.median("label"), "label"), 4).alias("mid"), F.count("*").alias("n")).where("n >= 3")
+
+
+@query(f"WITH {_HEX.replace('FROM embeddings)', 'FROM embeddings WHERE vec_id % 7 > 0)')}, s AS (SELECT q, r, label, sum(vec_id % 7) AS total FROM h WHERE label <> 3 GROUP BY ALL), w AS (SELECT *, sum(total) OVER (PARTITION BY q, r) AS t, row_number() OVER (PARTITION BY q, r ORDER BY total DESC, 'sector' || label) AS k FROM s) SELECT q, r, 'sector' || label AS sector, total FROM w WHERE k = 1 AND t >= 10")
+def modal_sector(t):
+    p = points(t).select("x", "y", F.concat(F.lit("sector"), "label").alias("sector"), (F.col("vec_id") % 7).alias("staff"))
+    out = pipelines.modal_sector(p, "x", "y", 0.1, "sector", "staff", 10, "SECTOR3")
+    return out.select(F.col("q").cast("long").alias("q"), F.col("r").cast("long").alias("r"), "sector", "total")
+
+
+@query(f"WITH {_HEX} SELECT q, r, round(median(datediff('day', DATE '2000-01-01' + CAST(vec_id % 5000 AS INT), DATE '2025-03-01') / 365.0), 4) AS median_age, count(*) AS firms FROM h GROUP BY 1, 2 HAVING count(*) >= 3")
+def median_age(t):
+    p = points(t).withColumn("since", F.date_add(F.lit("2000-01-01").cast("date"), (F.col("vec_id") % 5000).cast("int")))
+    out = pipelines.median_age(p, "x", "y", 0.1, "since", F.lit("2025-03-01").cast("date"), 3)
+    return out.where(F.col("label").startswith("Median age: ")).select(F.col("q").cast("long").alias("q"), F.col("r").cast("long").alias("r"), r4("median_age", "median_age"), "firms")
+
+
+@query(f"WITH {_SQ}, c AS (SELECT DISTINCT ix, iy FROM g) SELECT ix, iy, round(0.05 * ix, 6) AS west, round(0.05 * (iy + 1), 6) AS north, 5 AS corners, true AS closed FROM c")
+def square_geometry(t):
+    cells = geo.square_cells(points(t), "x", "y", 0.05).select(F.col("ix").cast("long").alias("ix"), F.col("iy").cast("long").alias("iy")).distinct()
+    return _geometry(cells, geo.square_corners(F.col("ix"), F.col("iy"), 0.05))
+
+
+@query(f"WITH {_HEX} SELECT DISTINCT q, r, round(0.1 * (q + r / 2.0) - 0.05, 6) AS west, round(0.1 / sqrt(3.0) * (1.5 * r + 1), 6) AS north, 7 AS corners, true AS closed FROM h")
+def hexagon_geometry(t):
+    cells = geo.hex_cells(points(t), "x", "y", 0.1).select(F.col("q").cast("long").alias("q"), F.col("r").cast("long").alias("r")).distinct()
+    return _geometry(cells, geo.hex_corners(F.col("q"), F.col("r"), 0.1))
+
+
+def _geometry(cells: DataFrame, ring: F.Column) -> DataFrame:
+    """West and north ends of rings, their number of corners, and whether they are closed."""
+    near = F.abs(F.col("ring")[0][0] - F.element_at("ring", -1)[0]) + F.abs(F.col("ring")[0][1] - F.element_at("ring", -1)[1]) < 1e-9
+    end = lambda f, k: F.round(f(F.transform("ring", lambda p: p[k])), 6)
+    return cells.withColumn("ring", ring).select(*cells.columns, end(F.array_min, 0).alias("west"), end(F.array_max, 1).alias("north"), F.size("ring").alias("corners"), near.alias("closed"))
 
 
 @query(f"WITH {_HEX} SELECT q, r, sum(label + 1) AS total_last, sum(vec_id + 1) AS total_this, count(*) AS n, round((sum(vec_id + 1) - sum(label + 1)) / sum(label + 1) * 100, 4) AS pct_change FROM h GROUP BY 1, 2 HAVING count(*) >= 3")
@@ -488,56 +531,188 @@ def boxplot_stats(t):
     return b.select("event_type", *(r4(c, c) for c in ("q1", "median", "q3", "low", "high")), "rank")
 
 
-@query()
+def _breaks_sql(source: str, classes: int) -> str:
+    """The dynamic program over all distinct values, a step for each class."""
+    steps = [f"""WITH v AS ({source}), m AS (SELECT avg(v) AS m FROM v), l AS (SELECT v, count(*) AS w FROM v GROUP BY v),
+ c AS (SELECT v, row_number() OVER (ORDER BY v) AS i, sum(w) OVER (ORDER BY v) AS n, sum((v - m) * w) OVER (ORDER BY v) AS s, sum((v - m) * (v - m) * w) OVER (ORDER BY v) AS ss FROM l, m),
+ b1 AS (SELECT i, ss - s * s / n AS cost, [v] AS breaks FROM c)"""]
+    for k in range(2, classes + 1):
+        steps.append(f"""b{k} AS (SELECT i, min(total) AS cost, arg_min(list_append(breaks, v), (total, j)) AS breaks FROM (SELECT x.i, x.v, b.i AS j, b.breaks,
+ b.cost + x.ss - y.ss - (x.s - y.s) * (x.s - y.s) / (x.n - y.n) AS total FROM b{k - 1} b JOIN c y ON y.i = b.i JOIN c x ON x.i > b.i) GROUP BY i)""")
+    return ", ".join(steps) + f" SELECT CAST(unnest(range(len(breaks))) AS INT) AS class, unnest(breaks) AS upper FROM b{classes} WHERE i = (SELECT max(i) FROM c)"
+
+
+@query(_breaks_sql("SELECT CAST(p_size AS DOUBLE) AS v FROM part", 5))
 def natural_breaks(t):
     return stats.natural_breaks(t("part"), "p_size", 5)
 
 
+@query(_breaks_sql("SELECT CAST(round(c_acctbal) AS DOUBLE) AS v FROM customer WHERE c_custkey <= 1200", 4))
+def natural_breaks_of_many_levels(t):
+    """Over 512 levels, skewed to none."""
+    return stats.natural_breaks(t("customer").where("c_custkey <= 1200").select(F.round("c_acctbal").alias("v")), "v", 4)
+
+
+@query(_KDE.replace("SELECT event_type AS g, value AS v FROM events WHERE value IS NOT NULL", "SELECT event_type AS g, log10(value) AS v FROM events WHERE value > 0") + " SELECT g AS event_type, round(x, 4) AS x, round(d, 4) AS density FROM r")
+def density_curve(t):
+    return stats.log_density(t("events"), "event_type", "value").select("event_type", r4("x", "x"), r4("density", "density"))
+
+
 # ---------------------------------------------------------------- documents, polygons, files
 
 
-def _ixbrl(t):
-    """An account document for each customer, from its columns; every seventh dormant, every fifth without last year's value."""
+def _documents(t):
+    """An account document for each customer, from its columns: every seventh dormant, every fifth without last year's value, every sixth with one that is no plain number, every thirteenth cut short."""
     tag = lambda kind, name, value: F.concat(F.lit(f'<ix:{kind} name="bus:{name}" contextRef="c1"><span>'), value, F.lit(f"</span></ix:{kind}>"))
     k = F.col("c_custkey")
+    last = F.when(k % 6 == 0, F.concat(F.lit("1,"), F.lpad((k % 40).cast("string"), 3, "0"))).otherwise((k % 40).cast("string"))
     body = F.concat(F.lit("<html><body>"), tag("nonNumeric", accounts.COMPANY, F.col("c_name")), F.lit("<p>text</p>"), tag("nonNumeric", accounts.END_DATE, F.lit("31 March 2024")),
                     tag("nonNumeric", accounts.DORMANT, F.when(k % 7 == 0, "true").otherwise("false")), tag("nonFraction", accounts.EMPLOYEES, (k % 50).cast("string")),
-                    F.when(k % 5 != 0, tag("nonFraction", accounts.EMPLOYEES, F.concat(F.lit("1,"), F.lpad((k % 40).cast("string"), 3, "0")))).otherwise(""), F.lit("</body></html>"))
+                    F.when(k % 5 != 0, tag("nonFraction", accounts.EMPLOYEES, last)).otherwise(""), F.when(k % 13 == 0, F.lit('<ix:nonNumeric name="bus:Rest">cut')).otherwise("</body></html>"))
     entry = F.concat(F.lit("Prod1_2_"), F.lpad(k.cast("string"), 8, "0"), F.lit("_"), F.when(k % 11 != 0, "20240331").otherwise(""), F.lit(".html"))
-    return accounts.file_keys(t("customer").select(entry.alias("entry"), body.alias("content")))
+    return t("customer").select(F.concat(F.lit("Accounts-"), (k % 4).cast("string"), F.lit(".zip")).alias("archive"), entry.alias("entry"), body.alias("content"))
 
 
-@query("""SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS companynumber, '20240331' AS accountcode, c_name AS company, '31 March 2024' AS enddate, CASE WHEN c_custkey % 7 = 0 THEN 'true' ELSE 'false' END AS dormantstatus,
- CAST(c_custkey % 50 AS DOUBLE) AS employees_thisyear, NULL::DOUBLE AS employees_lastyear FROM customer WHERE c_custkey % 11 <> 0""")
+_LAST = "CASE WHEN c_custkey % 5 <> 0 AND c_custkey % 6 <> 0 THEN CAST(c_custkey % 40 AS DOUBLE) END AS employees_lastyear"
+
+
+@query(f"""SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS companynumber, '20240331' AS accountcode, c_name AS company, '31 March 2024' AS enddate, CASE WHEN c_custkey % 7 = 0 THEN 'true' ELSE 'false' END AS dormantstatus,
+ CAST(c_custkey % 50 AS DOUBLE) AS employees_thisyear, {_LAST}, c_custkey % 13 <> 0 AS whole FROM customer WHERE c_custkey % 11 <> 0""")
 def ixbrl_accounts(t):
-    docs, keys = _ixbrl(t), ["entry", "companynumber", "accountcode"]
-    return accounts.accounts(docs, accounts.shred(docs, keys), keys).drop("entry")
+    return accounts.accounts(accounts.file_keys(_documents(t)), ["companynumber", "accountcode"])
 
 
 @query("""SELECT 'bus:' || name AS name, count(*) AS documents, count(*) + count_if(name LIKE 'Average%' AND c_custkey % 5 <> 0) AS facts FROM customer,
- (VALUES ('EntityCurrentLegalOrRegisteredName'), ('EndDateForPeriodCoveredByReport'), ('EntityDormantTruefalse'), ('AverageNumberEmployeesDuringPeriod')) v(name) WHERE c_custkey % 11 <> 0 GROUP BY name""")
+ (VALUES ('EntityCurrentLegalOrRegisteredName'), ('EndDateForPeriodCoveredByReport'), ('EntityDormantTruefalse'), ('AverageNumberEmployeesDuringPeriod'), ('Rest')) v(name) WHERE c_custkey % 11 <> 0 AND (name <> 'Rest' OR c_custkey % 13 = 0) GROUP BY name""")
 def ixbrl_tags(t):
-    return accounts.tag_frequency(accounts.shred(_ixbrl(t), ["entry"]), "entry")
+    return accounts.tag_frequency(accounts.shred(accounts.file_keys(_documents(t)), ["entry"]), "entry")
 
 
-def _box(x0, y0, x1, y1):
-    point = lambda a, b: F.struct(a.cast("double").alias("x"), b.cast("double").alias("y"))
-    return F.array(F.array(point(x0, y0), point(x1, y0), point(x1, y1), point(x0, y1)))
+@query("""SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS companynumber, 'bus:EntityDormantTruefalse' AS name, 'true' AS value FROM customer WHERE c_custkey % 11 <> 0 AND c_custkey % 7 = 0""")
+def ixbrl_search(t):
+    facts = accounts.shred(accounts.file_keys(_documents(t)), ["companynumber"])
+    return accounts.search(facts, "dormant.* true").select("companynumber", "name", "value")
 
 
-@query("""WITH z AS (SELECT p_partkey AS small, p_partkey % 97 AS x0, p_size AS y0 FROM part), l AS (SELECT a * 10 + b AS large, a * 10.0 AS x0, b * 10.0 AS y0 FROM range(11) t(a), range(7) u(b)),
- o AS (SELECT small, large, (least(z.x0 + 4, l.x0 + 10) - greatest(z.x0, l.x0)) * (least(z.y0 + 3, l.y0 + 10) - greatest(z.y0, l.y0)) AS area FROM z JOIN l ON z.x0 < l.x0 + 10 AND l.x0 < z.x0 + 4 AND z.y0 < l.y0 + 10 AND l.y0 < z.y0 + 3),
- s AS (SELECT *, round(area / sum(area) OVER (PARTITION BY small) * 100, 4) AS pct, count(*) OVER (PARTITION BY small) AS group_count FROM o)
- SELECT small, large, round(area, 4) AS area, pct, group_count FROM (SELECT *, max(pct) OVER (PARTITION BY small) AS m FROM s) WHERE pct = m""")
-def zone_overlap_lookup(t):
+def _archives(t, folder: str, rows: str = "true") -> DataFrame:
+    """The documents as zip archives in a folder; a listing of it."""
+    zips.write_archives(_documents(t).where(rows), folder).collect()  # a row an archive
+    return io.list_archives(t("nation").sparkSession, folder)
+
+
+@query("""SELECT 'Accounts-' || (c_custkey % 4) || '.zip' AS archive, 'Prod1_2_' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') || '_' || CASE WHEN c_custkey % 11 <> 0 THEN '20240331' ELSE '' END || '.html' AS entry FROM customer""")
+def archive_listing(t):
+    listed = zips.list_entries(_archives(t, scratch(t("nation").sparkSession)))
+    return listed.where("size > 0").select(x.base_name(F.col("archive")).alias("archive"), "entry")
+
+
+def _extracts_of_archives(t) -> str:
+    """Two runs over a folder that grows, for known companies only; the second one meets the first one's archives again."""
+    spark = t("nation").sparkSession
+    folder, out = scratch(spark), scratch(spark)
+    known = t("customer").where("c_custkey % 3 <> 0").select(F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("companynumber"))
+    for rows in ("c_custkey % 4 < 2", "c_custkey % 4 >= 2"):
+        pipelines.account_extracts(_archives(lambda name: t(name).where(rows) if name == "customer" else t(name), folder), out, known)
+    return out
+
+
+@query(f"""SELECT 'Accounts-' || (c_custkey % 4) || '.zip' AS archive, lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS companynumber, '20240331' AS accountcode, c_name AS company, '31 March 2024' AS enddate,
+ CASE WHEN c_custkey % 7 = 0 THEN 'true' ELSE 'false' END AS dormantstatus, CAST(c_custkey % 50 AS DOUBLE) AS employees_thisyear, {_LAST} FROM customer WHERE c_custkey % 11 <> 0 AND c_custkey % 3 <> 0 AND c_custkey % 13 <> 0""")
+def account_extracts(t):
+    return pipelines.extracted(t("nation").sparkSession, _extracts_of_archives(t)).drop("entry")
+
+
+@query("""SELECT 'Accounts-' || (c_custkey % 4) || '.zip' AS archive, lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS companynumber, 'a fact tag does not close' AS problem FROM customer WHERE c_custkey % 11 <> 0 AND c_custkey % 3 <> 0 AND c_custkey % 13 = 0""")
+def account_problems(t):
+    return pipelines.extracted(t("nation").sparkSession, _extracts_of_archives(t), problems=True).select("archive", "companynumber", "problem")
+
+
+@query("""SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS CompanyNumber, 'Smith, ' || chr(10) || c_name AS CompanyName, CASE WHEN c_custkey % 9 <> 0 THEN c_address_line END AS RegAddress_AddressLine1, c_mktsegment AS CompanyStatus, DATE '2025-03-01' AS snapshot_date
+ FROM (SELECT *, 'Road ' || c_nationkey AS c_address_line FROM customer)""")
+def register_snapshot(t):
+    """The register as published: CSV in zip archives."""
+    c = t("customer")
+    spark = c.sparkSession
+    files, folder, out = scratch(spark), scratch(spark), scratch(spark)
+    c.select(F.concat(F.lit("Smith, \n"), "c_name").alias("CompanyName"), F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias(" CompanyNumber"), F.when(F.col("c_custkey") % 9 != 0, F.concat(F.lit("Road "), "c_nationkey")).alias("RegAddress.AddressLine1"),
+             F.col("c_mktsegment").alias("CompanyStatus"), F.lit("x").alias("Dropped")).write.option("header", True).option("maxRecordsPerFile", 100_000).csv(files)
+    csv = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(files)
+    zips.write_archives(csv.select(F.concat(x.base_name(F.col("path")), F.lit(".zip")).alias("archive"), F.lit("BasicCompanyData.csv").alias("entry"), "content"), folder).collect()  # a row a file
+    pipelines.register_snapshot(spark, folder, out, "2025-03-01")
+    return io.read_snapshots(spark, out).select("CompanyNumber", "CompanyName", "RegAddress_AddressLine1", "CompanyStatus", F.col("snapshot_date").cast("date").alias("snapshot_date"))
+
+
+@query("SELECT n_name AS name, 'Nation ' || n_name || chr(10) AS content FROM nation")
+def loose_documents(t):
+    path = scratch(t("nation").sparkSession)
+    t("nation").select(F.col("n_name").alias("name"), F.concat(F.lit("Nation "), "n_name").alias("value")).write.partitionBy("name").text(path)
+    found = io.read_documents(t("nation").sparkSession, f"{path}/*", "*.txt")
+    return found.select(F.replace(F.regexp_extract("filelocation", "name=([^/]*)/", 1), F.lit("%20"), F.lit(" ")).alias("name"), "content")
+
+
+def _rings(*rings: list[tuple]) -> F.Column:
+    """A polygon of rings of points of columns or numbers."""
+    number = lambda v: (v if isinstance(v, F.Column) else F.lit(v)).cast("double")
+    return F.array(*(F.array(*(F.struct(number(a).alias("x"), number(b).alias("y")) for a, b in ring)) for ring in rings))
+
+
+_ZONES = """WITH z AS (SELECT p_partkey AS small, p_partkey % 97 AS x0, p_size AS y0 FROM part),
+ zb AS (SELECT small, x0, y0, x0 + 4 AS x1, y0 + 1 AS y1 FROM z UNION ALL SELECT small, x0, y0 + 1, x0 + 1, y0 + 3 FROM z),
+ l AS (SELECT a * 10 + b AS large, a * 10.0 AS x0, b * 10.0 AS y0 FROM range(11) t(a), range(7) u(b)),
+ lb AS (SELECT large, x0, y0, x0 + 10 AS x1, y0 + 10 AS y1, 1 AS s FROM l UNION ALL SELECT large, x0 + 3, y0 + 3, x0 + 6, y0 + 5, -1 FROM l WHERE large % 2 = 0
+  UNION ALL SELECT large, x0 + 3, y0 + 3, x0 + 6, y0 + 5, 1 FROM l WHERE large % 6 = 0),
+ o AS (SELECT small, large, sum(s * (least(zb.x1, lb.x1) - greatest(zb.x0, lb.x0)) * (least(zb.y1, lb.y1) - greatest(zb.y0, lb.y0))) AS area FROM zb JOIN lb ON zb.x0 < lb.x1 AND lb.x0 < zb.x1 AND zb.y0 < lb.y1 AND lb.y0 < zb.y1 GROUP BY ALL HAVING area > 1e-9),
+ s AS (SELECT *, round(area / sum(area) OVER (PARTITION BY small) * 100, 6) AS pct, count(*) OVER (PARTITION BY small) AS group_count FROM o),
+ k AS (SELECT small, large, round(area, 4) AS area, pct, group_count FROM (SELECT *, max(pct) OVER (PARTITION BY small) AS m FROM s) WHERE pct = m)"""
+
+
+def _zones(t):
+    """L-shaped small zones over large ones of squares, every second with a hole, every sixth with an island in it."""
     p = t("part")
     a, b = (F.col("p_partkey") % 97).cast("double"), F.col("p_size").cast("double")
-    small = p.select(F.col("p_partkey").alias("small_id"), _box(a, b, a + 4, b + 3).alias("rings"))
-    cells = p.sparkSession.range(11 * 7)
+    ell = _rings([(a, b), (a + 4, b), (a + 4, b + 1), (a + 1, b + 1), (a + 1, b + 3), (a, b + 3)])
+    small = p.select(F.col("p_partkey").alias("small_id"), F.array(ell).alias("parts"))
     i, j = F.floor(F.col("id") / 7) * 10.0, (F.col("id") % 7) * 10.0
-    large = cells.select((F.floor(F.col("id") / 7) * 10 + F.col("id") % 7).alias("large_id"), _box(i, j, i + 10, j + 10).alias("rings"))
-    shared = agg.share_of_group(geo.overlaps(large, small, "large_id", "small_id", 10.0), ["small"], "area").withColumn("pct", F.round("pct", 4))
-    return agg.at_group_max(shared, ["small"], "pct").select("small", "large", r4("area", "area"), "pct", "group_count")
+    outer, inner = [(i, j), (i + 10, j), (i + 10, j + 10), (i, j + 10), (i, j)], [(i + 3, j + 3), (i + 6, j + 3), (i + 6, j + 5), (i + 3, j + 5)]
+    large_id = F.floor(F.col("id") / 7) * 10 + F.col("id") % 7
+    parts = F.when(large_id % 6 == 0, F.array(_rings(outer, inner), _rings(inner))).when(large_id % 2 == 0, F.array(_rings(outer, inner))).otherwise(F.array(_rings(outer)))
+    large = p.sparkSession.range(11 * 7).select(large_id.alias("large_id"), parts.alias("parts"))
+    return geo.largest_overlap(large, small, "large_id", "small_id", 10.0)
+
+
+@query(_ZONES + " SELECT * FROM k")
+def zone_overlap_lookup(t):
+    return _zones(t).select("small", "large", r4("area", "area"), "pct", "group_count")
+
+
+@query(_ZONES + " SELECT round(avg(CAST(pct = 100 AS INT)) * 100, 4) AS fully_inside FROM k")
+def zones_fully_inside(t):
+    return geo.share_inside(_zones(t)).select(r4("fully_inside", "fully_inside"))
+
+
+@query("""SELECT o_custkey AS a, o_orderkey AS b, round(0.5 * (4 - (o_orderkey % 5) * 0.5) * (4 - (o_orderkey % 5) * 0.5), 6) AS area FROM orders WHERE o_orderkey % 40 = 0""")
+def triangle_overlap(t):
+    """A right triangle of legs 4 at each firm, and a square that covers it from k / 2 on: what both share is a triangle of legs 4 - k / 2."""
+    o = t("orders").where("o_orderkey % 40 = 0").select("o_custkey", "o_orderkey", (F.col("o_orderkey") * 10.0).alias("x"), (F.col("o_orderkey") % 5 * 0.5).alias("k"))
+    x0, k = F.col("x"), F.col("k")
+    large = o.select("o_orderkey", F.array(_rings([(x0, 0), (x0, 4), (x0 + 4, 0)])).alias("parts"))
+    small = o.select("o_orderkey", F.array(_rings([(x0 + k, -1), (x0 + k + 5, -1), (x0 + k + 5, 5), (x0 + k, 5)])).alias("parts"))
+    found = geo.overlaps(large, small, "o_orderkey", "o_orderkey", 100.0)
+    return link.lookup(found, t("orders"), "large", "o_orderkey").select(F.col("o_custkey").alias("a"), F.col("small").alias("b"), F.round("area", 6).alias("area"))
+
+
+@query("SELECT n_name AS name, CAST(CASE WHEN n_nationkey % 2 = 0 THEN 2 ELSE 1 END AS INT) AS parts, CAST(n_nationkey AS DOUBLE) AS x0, CAST(n_nationkey + CASE WHEN n_nationkey % 2 = 0 THEN 30 ELSE 2 END AS DOUBLE) AS x1 FROM nation")
+def polygon_layer(t):
+    """Boundaries of a GeoJSON collection for each region: nations with an island are multi-polygons."""
+    n, spark = F.col("n_nationkey"), t("nation").sparkSession
+    ring = lambda a, b: F.array(*(F.array(F.lit(x).cast("double") if isinstance(x, int) else x.cast("double"), F.lit(y).cast("double")) for x, y in ((a, 0), (b, 0), (b, 3), (a, 3), (a, 0))))
+    one, two = F.to_json(F.array(ring(n, n + 2))), F.to_json(F.array(F.array(ring(n, n + 2)), F.array(ring(n + 20, n + 30))))
+    shape = F.concat(F.lit('{"type":"Feature","properties":{"name":"'), "n_name", F.lit('"},"geometry":{"type":"'), F.when(n % 2 == 0, "MultiPolygon").otherwise("Polygon"), F.lit('","coordinates":'), F.when(n % 2 == 0, two).otherwise(one), F.lit("}}"))
+    files = t("nation").groupBy("n_regionkey").agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.collect_list(shape), ","), F.lit("]}")).alias("value"))  # a region's nations are few
+    path = scratch(spark)
+    files.write.partitionBy("n_regionkey").text(path)
+    found = geo.boxed(io.read_polygons(spark, path, "name:string"))
+    return found.select("name", F.size("parts").alias("parts"), "x0", "x1")
 
 
 @query("SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings")
@@ -589,10 +764,23 @@ def pipe_linked(t):
     return pipelines.linked(firms, agg.latest(_extracts(t), "o_custkey", "d"), "c_custkey", "o_custkey", F.col("c_acctbal") > 0).select("c_custkey", "n_name", "o_orderkey", "d")
 
 
-@query("SELECT p_partkey, upper(p_type[1:5]) AS sic5, kinds FROM part JOIN (SELECT p_type[1:5] AS k, count(*) AS kinds FROM part GROUP BY 1) ON k = p_type[1:5]")
+def _sectors(t):
+    """A sector lookup read from CSV: a code for each size of a part but the largest, and the dormant one."""
+    spark, path = t("part").sparkSession, scratch(t("part").sparkSession)
+    codes = t("part").where("p_size < 50").select((10000 + F.col("p_size")).cast("string").alias("code")).distinct().union(spark.range(1).select(F.lit("99999")))
+    codes.select(F.col("code").alias("SIC_5DIGIT_CODE"), F.concat(F.lit("Sector "), "code").alias("SIC_5DIGIT_NAME"), F.lit("").alias("SIC_3DIGIT_NAME"), F.substring("code", 1, 2).alias("SIC_2DIGIT_CODE"), F.substring("code", 1, 2).alias("SIC_2DIGIT_CODE_NUMERIC"), F.lit("two").alias("SIC_2DIGIT_NAME"), F.lit("A").alias("SIC_SECTION_NAME")).write.option("header", True).csv(path)
+    return io.read_lookup(spark, path, io.SIC)
+
+
+def _with_sic(t):
+    """Parts with a sector text; every seventh is dormant, every ninth has none."""
+    k = F.col("p_partkey")
+    return t("part").withColumn("sic_text", F.when(k % 9 == 0, None).when(k % 7 == 0, "99999 - Dormant Company").otherwise(F.concat((10000 + F.col("p_size")).cast("string"), F.lit(" - text"))))
+
+
+@query("""SELECT p_partkey, CAST(10000 + p_size AS VARCHAR) AS sic5, CASE WHEN p_size < 50 THEN 'Sector ' || (10000 + p_size) END AS SIC_5DIGIT_NAME, CASE WHEN p_size < 50 THEN 10.0::DOUBLE END AS SIC_2DIGIT_CODE_NUMERIC FROM part WHERE p_partkey % 9 <> 0 AND p_partkey % 7 <> 0""")
 def pipe_enriched(t):
-    sectors = t("part").groupBy(F.substring("p_type", 1, 5).alias("code")).agg(F.count("*").alias("kinds"))
-    return pipelines.with_sectors(t("part"), sectors, "p_type", "code").select("p_partkey", F.upper("sic5").alias("sic5"), "kinds")
+    return pipelines.with_sectors(_with_sic(t), _sectors(t), "sic_text").select("p_partkey", "sic5", "SIC_5DIGIT_NAME", "SIC_2DIGIT_CODE_NUMERIC")
 
 
 @query("""WITH l AS (SELECT nullif(l_quantity, 10) AS b, nullif(l_linenumber, 3) - 1 AS a FROM lineitem) SELECT round(avg(CAST(b IS NOT NULL AS INT)) * 100, 4) AS this_present, round(avg(CAST(a IS NOT NULL AND b IS NOT NULL AS INT)) * 100, 4) AS both_present,
@@ -619,23 +807,42 @@ def pipe_sector_change(t):
     return pipelines.sector_change(t("part"), "p_brand", "p_size", "p_retailprice", 10).select("p_brand", r4("stat", "stat"), "rank")
 
 
-@query("""SELECT c_mktsegment, count(*) AS n, count_if(NOT m) AS unmatched, round(count_if(NOT m) * 100.0 / count(*), 4) AS pct FROM (SELECT c_mktsegment, c_custkey IN (SELECT o_custkey FROM orders) AS m FROM customer) GROUP BY 1""")
+@query("""WITH c AS (SELECT c_mktsegment AS status, c_custkey % 4 <> 0 AS hit, c_custkey % 3 = 0 AS bare, c_custkey % 5 = 0 AS dormant FROM customer), o AS (SELECT o_custkey, o_totalprice > 50000 AS has FROM orders)
+ SELECT 'no match' AS measure, NULL AS category, NULL AS other, round(count_if(NOT hit) * 100.0 / count(*), 4) AS value FROM c UNION ALL SELECT 'no match but address', NULL, NULL, round(count_if(NOT hit AND bare) * 100.0 / count(*), 4) FROM c
+ UNION ALL SELECT 'status', status, NULL, round(count(*) * 100.0 / sum(count(*)) OVER (), 4) FROM c GROUP BY status UNION ALL SELECT 'dormant within status', status, CAST(dormant AS VARCHAR), round(count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY status), 4) FROM c GROUP BY status, dormant
+ UNION ALL SELECT 'accounts per company', CAST(n AS VARCHAR), NULL, count(*) FROM (SELECT count(*) AS n FROM o GROUP BY o_custkey) GROUP BY n UNION ALL SELECT 'has employees', CAST(has AS VARCHAR), NULL, count(*) FROM o GROUP BY has""")
 def pipe_quality(t):
-    keys = t("orders").select(F.col("o_custkey").alias("k")).distinct().withColumn("hit", F.lit(True))
-    c = t("customer")
-    flagged = c.join(keys, c["c_custkey"] == keys["k"], "left").withColumn("miss", F.col("hit").isNull())
-    return flagged.groupBy("c_mktsegment").agg(F.count("*").alias("n"), F.count_if("miss").alias("unmatched"), r4(F.count_if("miss") * 100.0 / F.count("*"), "pct"))
+    k = F.col("c_custkey")
+    register = t("customer").select("c_custkey", F.col("c_mktsegment").alias("status"), F.when(k % 3 != 0, "S1 2AB").alias("postcode"), F.lit("1 High Street").alias("address"), F.when(k % 5 == 0, "99999 - Dormant Company").otherwise("10001 - text").alias("sic"))
+    extracts = t("orders").select("o_custkey", F.when(F.col("o_totalprice") > 50000, 1.0).alias("staff"))
+    report = pipelines.quality_report(register, register.where("c_custkey % 4 <> 0"), extracts, "c_custkey", "postcode", "address", "status", "sic", "o_custkey", "staff")
+    return report.withColumn("value", F.round("value", 4))
 
 
-@query("SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings WHERE label = 3")
+@query("SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings WHERE label = 3 AND vec_id % 2 = 0")
 def pipe_layers(t):
-    p = points(t).where("label = 3")
-    path = scratch(p.sparkSession)
-    io.write_features(p, path, "x", "y", ["vec_id"])
+    p, path = points(t), scratch(t("nation").sparkSession)
+    pipelines.sector_layers(p, path, (F.col("label") == 3) & (F.col("vec_id") % 2 == 0), "x", "y", ["vec_id"])
     return io.read_points(p.sparkSession, path, "vec_id:bigint")
 
 
-@query("""SELECT o_custkey, o_orderkey, c_name, n_name FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON n_nationkey = c_nationkey WHERE n_regionkey = 3 AND o_orderstatus = 'F'""")
+@query("""SELECT l_partkey AS p_partkey, l_orderkey, l_linenumber, p_name, CASE WHEN p_partkey % 9 = 0 OR (p_size = 50 AND p_partkey % 7 <> 0) THEN NULL WHEN p_partkey % 7 = 0 THEN 'Sector 99999' ELSE 'Sector ' || (10000 + p_size) END AS SIC_5DIGIT_NAME
+ FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size > 10) ON l_partkey = p_partkey WHERE l_quantity > 10""")
 def pipe_app(t):
-    firms = link.lookup(t("customer"), t("nation").where("n_regionkey = 3"), "c_nationkey", "n_nationkey", "inner")
-    return link.lookup(t("orders").where("o_orderstatus = 'F'"), firms, "o_custkey", "c_custkey", "inner").select("o_custkey", "o_orderkey", "c_name", "n_name")
+    lines = t("lineitem").select("l_partkey", "l_orderkey", "l_linenumber", F.when(F.col("l_quantity") > 10, F.col("l_quantity")).alias("staff"))
+    out = pipelines.app_extract(_with_sic(t).where("p_size > 10"), lines, _sectors(t), "p_partkey", "l_partkey", "sic_text", "staff")
+    return out.select("p_partkey", "l_orderkey", "l_linenumber", "p_name", "SIC_5DIGIT_NAME")
+
+
+@query("""WITH e AS (SELECT o_custkey, o_orderkey, CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS d FROM orders), w AS (SELECT *, count(*) OVER (PARTITION BY o_custkey) AS n, max(d) OVER (PARTITION BY o_custkey) AS m, count_if(d IS NULL) OVER (PARTITION BY o_custkey) AS z FROM e)
+ SELECT o_custkey, o_orderkey, d FROM w WHERE n = 1 OR (z = 0 AND d = m)""")
+def stream_latest(t):
+    """Accounts that arrive in three files of a stream, one file a batch: the latest of each company as of the last batch."""
+    spark = t("nation").sparkSession
+    source, out, checkpoint = scratch(spark), scratch(spark), scratch(spark)
+    rows = _extracts(t, 17)
+    for k in range(3):
+        rows.where(f"o_orderkey % 3 = {k}").coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    incremental.run_once(stream, checkpoint, incremental.upsert_latest(out, "o_custkey", "d", 4))
+    return incremental.latest_rows(spark, out, "o_custkey", "d")

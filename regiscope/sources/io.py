@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +15,16 @@ POSTCODES = "Postcode string, localauthority_code string, localauthority_name st
 SIC = "SIC_5DIGIT_CODE string, SIC_5DIGIT_NAME string, SIC_3DIGIT_NAME string, SIC_2DIGIT_CODE string, SIC_2DIGIT_CODE_NUMERIC double, SIC_2DIGIT_NAME string, SIC_SECTION_NAME string"
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder in the cluster's shared one (spark.checkpoint.dir); in local mode a temporary one where none is set."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.gettempdir()
+    return f"{base.rstrip('/')}/regiscope-{uuid.uuid4().hex}"
+
+
 def read_register(spark: SparkSession, path: str) -> DataFrame:
     """All columns as text by their header, pruned to those kept, dots in names as underscores."""
     raw = spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True).option("inferSchema", False).csv(path)
@@ -61,11 +74,14 @@ def read_points(spark: SparkSession, path: str, properties: str) -> DataFrame:
 
 
 def read_polygons(spark: SparkSession, path: str, properties: str) -> DataFrame:
-    """Polygon features of a GeoJSON collection: properties and rings array<array<struct<x,y>>>."""
-    schema = f"features array<struct<geometry:struct<type:string,coordinates:array<array<array<double>>>>,properties:struct<{properties}>>>"
+    """Polygon and multi-polygon features of a GeoJSON collection: properties and parts, each an outer ring and its holes."""
+    schema = f"features array<struct<geometry:struct<type:string,coordinates:string>,properties:struct<{properties}>>>"  # coordinates are as deep as the type says
     f = spark.read.schema(schema).option("multiLine", True).json(path).select(F.explode("features").alias("f"))
-    rings = F.transform("f.geometry.coordinates", lambda r: F.transform(r, lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))))
-    return f.select("f.properties.*", rings.alias("rings"))
+    rings = "array<array<array<double>>>"
+    one, many = F.from_json("f.geometry.coordinates", rings), F.from_json("f.geometry.coordinates", f"array<{rings}>")
+    points = lambda part: F.transform(part, lambda r: F.transform(r, lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))))
+    found = F.when(F.col("f.geometry.type") == "Polygon", F.array(points(one))).when(F.col("f.geometry.type") == "MultiPolygon", F.transform(many, points))
+    return f.select("f.properties.*", found.alias("parts")).where("parts IS NOT NULL")
 
 
 def links(pages: DataFrame, html: str, key: str, *holds: str, base: str = "") -> DataFrame:

@@ -1,51 +1,138 @@
-"""Zip archives as a data source: entries are listed or read by ranges, so one large archive feeds many tasks."""
+"""Zip archives as tables: entries are listed in tasks, and read by ranges, so one large archive feeds many tasks.
+
+Archives are opened by their address with pyarrow's file systems (local, HDFS, S3 and the like), which read only what a
+task asks for: the directory at the end, then its own entries.
+"""
 
 from __future__ import annotations
 
+import csv
+import io
+import posixpath
+import uuid
 import zipfile
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+import pandas as pd
+from pyarrow import fs
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+ENTRIES = "archive string, entry string, size long, ordinal int"
+PER_TASK = 500
+#: Contents are handed on in pieces of about so many bytes.
+PIECE = 1 << 24
+
+
+def _open(path: str) -> zipfile.ZipFile:
+    system, name = fs.FileSystem.from_uri(path if ":" in path else f"file://{path}")
+    return zipfile.ZipFile(system.open_input_file(name))
+
+
+def list_entries(archives: DataFrame, path: str = "path") -> DataFrame:
+    """archive, entry, size and ordinal of every entry of the archives of a listing. An archive is opened in a task of its own."""
+
+    def run(batches):
+        for pdf in batches:
+            for archive in pdf["archive"]:
+                with _open(archive) as z:
+                    found = [(archive, info.filename, info.file_size, k) for k, info in enumerate(z.infolist()) if not info.is_dir()]
+                yield pd.DataFrame(found, columns=["archive", "entry", "size", "ordinal"])
+
+    names = archives.select(F.col(path).alias("archive")).distinct()
+    return names.mapInPandas(run, ENTRIES)
+
+
+def read_entries(entries: DataFrame, per_task: int = PER_TASK) -> DataFrame:
+    """The entries with their content (bytes); NULL and an error where an entry is damaged. Neighbours are read by one task."""
+    tasks = entries.withColumn("_range", F.floor(F.col("ordinal") / per_task))
+    dealt = tasks.repartition("archive", "_range").drop("_range").sortWithinPartitions("archive", "ordinal")
+
+    def run(batches):
+        z, name, rows, size = None, None, [], 0
+        for pdf in batches:
+            for row in pdf.itertuples(index=False):
+                if row.archive != name:
+                    z, name = _open(row.archive), row.archive
+                try:
+                    content, error = z.read(z.infolist()[row.ordinal]), None
+                except (zipfile.BadZipFile, OSError, EOFError, NotImplementedError, RuntimeError) as e:
+                    content, error = None, str(e)
+                rows.append((*row, content, error))
+                size += len(content or b"")
+                if size >= PIECE:
+                    yield pd.DataFrame(rows, columns=[*pdf.columns, "content", "error"])
+                    rows, size = [], 0
+            if rows:
+                yield pd.DataFrame(rows, columns=[*pdf.columns, "content", "error"])
+                rows, size = [], 0
+
+    kinds = ", ".join(f"`{c}` {t}" for c, t in dealt.dtypes)
+    return dealt.mapInPandas(run, kinds + ", content binary, error string")
+
 
+def read_zipped_csv(archives: DataFrame, columns: list[str], path: str = "path", rows: int = 20_000) -> DataFrame:
+    """The given columns, as text, of the CSV files inside archives; a column that a file lacks is NULL, so is an empty field.
 
-class _Range(InputPartition):
-    def __init__(self, path: str, start: int, stop: int):
-        self.path, self.start, self.stop = path, start, stop
+    A compressed stream can't be divided, so an archive is one task, which holds `rows` rows at a time. Quoted fields may hold line breaks.
+    """
 
+    def run(batches):
+        for pdf in batches:
+            for archive in pdf["archive"]:
+                with _open(archive) as z:
+                    for info in z.infolist():
+                        if not info.filename.lower().endswith(".csv"):
+                            continue
+                        with z.open(info) as raw:
+                            lines = csv.reader(io.TextIOWrapper(raw, "utf-8-sig", "replace", newline=""), skipinitialspace=True)
+                            header = [h.strip() for h in next(lines, [])]
+                            at = [header.index(c) if c in header else -1 for c in columns]
+                            held = []
+                            for line in lines:
+                                if line:
+                                    held.append([(line[k] or None) if 0 <= k < len(line) else None for k in at])
+                                if len(held) == rows:
+                                    yield pd.DataFrame(held, columns=names, dtype=object)
+                                    held = []
+                            yield pd.DataFrame(held, columns=names, dtype=object)
 
-class _Reader(DataSourceReader):
-    def __init__(self, options: dict, content: bool):
-        self.paths = [p for p in options.get("paths", options.get("path", "")).split(",") if p]
-        self.step = int(options.get("entries", "500"))
-        self.wanted = set(options["names"].split(",")) if options.get("names") else None
-        self.content = content
+    names = [c.replace(".", "_") for c in columns]
+    listed = archives.select(F.col(path).alias("archive")).distinct()
+    return listed.mapInPandas(run, ", ".join(f"`{c}` string" for c in names))
 
-    def partitions(self) -> list[_Range]:
-        out = []
-        for path in self.paths:
-            with zipfile.ZipFile(path) as z:
-                n = len(z.infolist())
-            out += [_Range(path, k, min(n, k + self.step)) for k in range(0, n, self.step)]
-        return out or [_Range("", 0, 0)]
 
-    def read(self, partition: _Range):
-        if not partition.path:
-            return
-        with zipfile.ZipFile(partition.path) as z:
-            for k, info in enumerate(z.infolist()[partition.start : partition.stop], partition.start):
-                if info.is_dir() or (self.wanted is not None and info.filename not in self.wanted):
-                    continue
-                yield partition.path, info.filename, info.file_size, k, z.read(info) if self.content else None
+def write_archives(entries: DataFrame, folder: str) -> DataFrame:
+    """Writes archive, entry and content (text or bytes) as zip archives to a shared folder; returns path and number of entries of each.
 
+    An archive is written by one task, entry by entry, under a name of its own that it gives up when complete, so a task may run again.
+    """
+    rows = entries.select("archive", "entry", F.col("content").cast("binary").alias("content"))
+    dealt = rows.repartition("archive").sortWithinPartitions("archive", "entry")
+    base = folder if ":" in folder else f"file://{folder}"
 
-class ZipEntries(DataSource):
-    """Options: path or paths (comma-joined, on storage that executors share), entries (per task), names (only these), content (true to read)."""
+    def run(batches):
+        system, at = fs.FileSystem.from_uri(base)
+        system.create_dir(at, recursive=True)
+        done, z, out, name, part, n = [], None, None, None, "", 0
 
-    @classmethod
-    def name(cls) -> str:
-        return "zip_entries"
+        def close():
+            z.close()
+            out.close()
+            system.move(part, posixpath.join(at, name))
+            done.append((f"{base}/{name}", n))
 
-    def schema(self) -> str:
-        return "archive string, entry string, size long, ordinal int, content binary"
+        for pdf in batches:
+            for archive, entry, content in pdf.itertuples(index=False):
+                if archive != name:
+                    if z:
+                        close()
+                    name, n, part = archive, 0, posixpath.join(at, f".{uuid.uuid4().hex}")
+                    out = system.open_output_stream(part)
+                    z = zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED)
+                z.writestr(entry, content or b"")
+                n += 1
+        if z:
+            close()
+        yield pd.DataFrame(done, columns=["path", "entries"])
 
-    def reader(self, schema) -> _Reader:
-        return _Reader(dict(self.options), self.options.get("content", "false").lower() == "true")
+    return dealt.mapInPandas(run, "path string, entries long")

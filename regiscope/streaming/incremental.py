@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from regiscope.functions.exprs import base_name
-from regiscope.operators.agg import latest
+
+BUCKETS = 256
 
 
 def new_inputs(listing: DataFrame, manifest: DataFrame, path: str = "path") -> DataFrame:
@@ -17,6 +19,16 @@ def new_inputs(listing: DataFrame, manifest: DataFrame, path: str = "path") -> D
     return listing.join(done, base_name(F.col(path)) == done["_name"], "left_anti")
 
 
+def stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """A table, or None where there is none yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def new_files(spark: SparkSession, folder: str, glob: str = "*.zip") -> DataFrame:
     """A stream of the folder's files: path, length and time, content not read."""
     spec = "path string, modificationTime timestamp, length long, content binary"
@@ -28,13 +40,40 @@ def run_once(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int]
     stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def upsert_latest(path: str, key: str, date: str) -> Callable[[DataFrame, int], None]:
-    """For run_once: keeps the latest rows per key of all batches in a new version of the table under path."""
+def upsert_latest(path: str, key: str, date: str, buckets: int = BUCKETS) -> Callable[[DataFrame, int], None]:
+    """For run_once: keeps what `latest_rows` needs of all batches in a table under path.
+
+    Of a key the rows of its latest date stay, one row with a NULL date, and its number of rows. Keys are dealt to buckets
+    by a hash, and a batch writes a new version of only those buckets that it has keys of; a batch that runs again writes
+    the same versions again.
+    """
 
     def each(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        if number:
-            batch = spark.read.parquet(f"{path}/version={number - 1}").unionByName(batch, allowMissingColumns=True)
-        latest(batch, key, date).write.mode("overwrite").parquet(f"{path}/version={number}")
+        rows = batch.withColumn("_rows", F.lit(1).cast("long")).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+        before = stored(batch.sparkSession, path)
+        if before is not None:
+            touched = [r[0] for r in rows.select("bucket").distinct().collect()]  # `buckets` numbers at most
+            before = before.where(F.col("version") < number).where(F.col("bucket").isin(touched))
+            rows = _newest(before).drop("version").unionByName(rows, allowMissingColumns=True)
+        w = Window.partitionBy(key)
+        kept = rows.withColumn("_all", F.sum("_rows").over(w)).withColumn("_max", F.max(date).over(w))
+        null = F.row_number().over(Window.partitionBy(key, F.col(date).isNull()).orderBy(F.desc("_rows")))
+        kept = kept.withColumn("_k", null).where((F.col(date) == F.col("_max")) | (F.col(date).isNull() & (F.col("_k") == 1)))
+        first = F.row_number().over(Window.partitionBy(key).orderBy(F.col(date).desc_nulls_last()))
+        kept = kept.withColumn("_rows", F.when(first == 1, F.col("_all")).otherwise(F.lit(0)).cast("long")).drop("_all", "_max", "_k")  # the number stands on one row
+        kept.withColumn("version", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "version").parquet(path)
 
     return each
+
+
+def _newest(table: DataFrame) -> DataFrame:
+    """The rows of each bucket's last version."""
+    last = table.groupBy("bucket").agg(F.max("version").alias("_last"))
+    return table.join(F.broadcast(last), "bucket").where("version = _last").drop("_last")  # a row a bucket
+
+
+def latest_rows(spark: SparkSession, path: str, key: str, date: str) -> DataFrame:
+    """As `agg.latest` of all rows so far: single rows, and of several rows per key those of the latest date, none if any date is NULL."""
+    w = Window.partitionBy(key)
+    rows = _newest(spark.read.parquet(path)).withColumn("_all", F.sum("_rows").over(w)).withColumn("_null", F.count_if(F.col(date).isNull()).over(w))
+    return rows.where("_all = 1 OR _null = 0").drop("_all", "_null", "_rows", "bucket", "version")

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from regiscope import queries
 from regiscope.functions import exprs as x
 from regiscope.operators import accounts, agg, geo, link, predicates, stats
-from regiscope.sources.zips import ZipEntries
+from regiscope.plans import pipelines
+from regiscope.sources import io, zips
 from regiscope.streaming import incremental
 
 
@@ -66,29 +67,107 @@ DOC = """<html><ix:nonNumeric name="frs-bus:EntityCurrentLegalOrRegisteredName">
 <ix:nonFraction name="core:AverageNumberEmployeesDuringPeriod" contextRef="c">12</ix:nonFraction><p><ix:nonFraction name="core:AverageNumberEmployeesDuringPeriod">1,034</ix:nonFraction>"""
 
 
-def test_accounts_from_zip(spark, tmp_path):
-    spark.dataSource.register(ZipEntries)
+def test_facts_of_odd_documents():
+    found, whole = accounts.facts_of(DOC)
+    assert whole and [f[:3] + (f[4],) for f in found] == [("nonNumeric", "frs-bus:EntityCurrentLegalOrRegisteredName", None, "A & B Ltd"), ("nonNumeric", "x:Inner", None, "Ltd"),
+        ("nonFraction", "core:AverageNumberEmployeesDuringPeriod", "c", "12"), ("nonFraction", "core:AverageNumberEmployeesDuringPeriod", None, "1,034")]
+    one = '<IX:nonNumeric contextRef=c1 title="a > b" data-name="z" name=\'q\'>x<!-- </ix:nonNumeric> --><br title="3 > 2"/> 1 < 2</ix:nonNumeric>'
+    assert accounts.facts_of(one) == ([("nonNumeric", "q", "c1", 0, "x 1 < 2")], True)
+    assert accounts.facts_of("<ix:nonNumeric name='a'>open <ix:nonFraction name='b'>7") == ([("nonNumeric", "a", None, 0, "open 7"), ("nonFraction", "b", None, 1, "7")], False)
+    assert accounts.facts_of("</ix:nonNumeric><ix:nonNumeric name='a'/>") == ([("nonNumeric", "a", None, 0, "")], False)
+    assert accounts.facts_of(None) == ([], True)
+
+
+def test_archives_are_listed_and_read_by_ranges(spark, tmp_path):
     path = str(tmp_path / "Accounts.zip")
     with zipfile.ZipFile(path, "w") as z:
         for k in range(5):
             z.writestr(f"Prod1_2_0000000{k}_{'' if k == 4 else '20240331'}.html", DOC if k != 2 else "")
-    read = spark.read.format("zip_entries").option("path", path).option("entries", "2")
-    assert read.load().count() == 5 and read.load().rdd.getNumPartitions() == 3
-    docs = accounts.file_keys(read.option("content", "true").load())
-    keys = ["companynumber", "accountcode"]
-    facts = accounts.shred(docs, keys)
-    got = rows(accounts.accounts(docs, facts, keys).select("companynumber", "company", "enddate", "employees_thisyear", "employees_lastyear"))
-    full = ("A & B Ltd", None, 12.0, None)
-    assert got == [("00000000", *full), ("00000001", *full), ("00000002", None, None, None, None), ("00000003", *full)]
-    assert accounts.search(facts, "ltd").count() == 6 and accounts.malformed(docs).count() == 0
-
-
-def test_polygons_of_any_shape():
-    ring = lambda *p: [{"x": a, "y": b} for a, b in p]
-    ell = [ring((0, 0), (2, 0), (2, 1), (1, 1), (1, 2), (0, 2))]
-    assert abs(geo.overlap_area(ell, [ring((0, 0), (0, 2), (2, 2), (2, 0))]) - 3) < 1e-9
-    holed = [ring((0, 0), (4, 0), (4, 4), (0, 4)), ring((1, 1), (3, 1), (3, 3), (1, 3))]
-    assert abs(geo.overlap_area(holed, [ring((0, 0), (2, 0), (2, 2), (0, 2))]) - 3) < 1e-9
+        z.mkdir("folder")
+    raw = bytearray(open(path, "rb").read())
+    raw[raw.index(b"A &amp;", raw.index(b"00000003"))] ^= 1  # one entry no longer fits its checksum
+    open(path, "wb").write(raw)
+    listed = zips.list_entries(io.list_archives(spark, str(tmp_path)))
+    assert rows(listed.select("ordinal", "size")) == [(0, len(DOC)), (1, len(DOC)), (2, 0), (3, len(DOC)), (4, len(DOC))]
+    read = zips.read_entries(accounts.file_keys(listed), 2)
+    assert rows(read.select("ordinal", F.col("error").isNull(), F.length("content"))) == [(0, True, len(DOC)), (1, True, len(DOC)), (2, True, 0), (3, False, None)]
+    got = rows(accounts.accounts(read, ["companynumber"]).select("companynumber", "company", "employees_thisyear", "employees_lastyear"))
+    full = ("A & B Ltd", 12.0, None)
+    assert got == [("00000000", *full), ("00000001", *full), ("00000002", None, None, None), ("00000003", None, None, None)]
+    assert zips.list_entries(io.list_archives(spark, str(tmp_path)).limit(0)).count() == 0
+
+
+def test_extracts_skip_what_is_there_and_keep_problems(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    docs = [(f"A{k % 2}.zip", f"P_2_{k:08d}_20240331.html", DOC if k % 3 else DOC + "<ix:nonNumeric>") for k in range(8)]
+    df = spark.createDataFrame(docs, "archive string, entry string, content string")
+    known = spark.createDataFrame([(f"{k:08d}",) for k in range(6)], "CompanyNumber string")
+    assert rows(zips.write_archives(df.where("archive = 'A0.zip'"), folder).select("entries")) == [(4,)]
+    pipelines.account_extracts(io.list_archives(spark, folder), out, known, "CompanyNumber")
+    first = {f: f.stat().st_mtime_ns for f in (tmp_path / "out" / "extracts").rglob("*.parquet")}
+    zips.write_archives(df, folder).collect()
+    pipelines.account_extracts(io.list_archives(spark, folder), out, known, "CompanyNumber")
+    assert all(f.stat().st_mtime_ns == at for f, at in first.items())  # the first archive was not read again
+    good, bad = pipelines.extracted(spark, out), pipelines.extracted(spark, out, problems=True)
+    assert rows(good.select("archive", "companynumber")) == [("A0.zip", "00000002"), ("A0.zip", "00000004"), ("A1.zip", "00000001"), ("A1.zip", "00000005")]
+    assert rows(bad.select("archive", "companynumber")) == [("A0.zip", "00000000"), ("A1.zip", "00000003")]
+    pipelines.account_extracts(io.list_archives(spark, folder), out, known, "CompanyNumber")
+    assert pipelines.extracted(spark, out).count() == 4
+
+
+def test_zipped_csv_with_quotes_and_missing_columns(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "r.zip", "w") as z:
+        z.writestr("r.csv", '\ufeffCompanyName, CompanyNumber,RegAddress.PostCode,Other\r\n"A, ""x""\nB",00012,,1\r\nshort\r\n\r\nC,3,S1 2AB,\r\n')
+        z.writestr("readme.txt", "no csv")
+    got = zips.read_zipped_csv(io.list_archives(spark, str(tmp_path)), ["CompanyNumber", "CompanyName", "RegAddress.PostCode", "URI"], rows=2)
+    assert got.columns == ["CompanyNumber", "CompanyName", "RegAddress_PostCode", "URI"]
+    assert rows(got) == sorted([("00012", 'A, "x"\nB', None, None), (None, "short", None, None), ("3", "C", "S1 2AB", None)], key=str)
+
+
+def _clip(subject, window):
+    """A convex polygon cut by a convex counter-clockwise one."""
+    for (ax, ay), (bx, by) in zip(window, window[1:] + window[:1]):
+        side = lambda p: (bx - ax) * (p[1] - ay) - (by - ay) * (p[0] - ax)  # noqa: B023, E731
+        out = []
+        for p, q in zip(subject, subject[1:] + subject[:1]):
+            if side(p) >= 0:
+                out.append(p)
+            if side(p) * side(q) < 0:
+                t = side(p) / (side(p) - side(q))
+                out.append((p[0] + t * (q[0] - p[0]), p[1] + t * (q[1] - p[1])))
+        subject = out
+    return subject
+
+
+def _area(ring):
+    return abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:] + ring[:1]))) / 2 if ring else 0.0
+
+
+SHAPES = "id int, parts array<array<array<struct<x:double,y:double>>>>"
+
+
+def test_overlaps_of_convex_polygons_equal_clipping(spark):
+    rng = np.random.default_rng(7)
+
+    def convex():
+        turn, centre, size = np.sort(rng.uniform(0, 2 * np.pi, rng.integers(3, 9))), rng.uniform(0, 30, 2), rng.uniform(1, 12)
+        return [(float(x), float(y)) for x, y in zip(centre[0] + size * np.cos(turn), centre[1] + size * np.sin(turn))]
+
+    large, small = [convex() for _ in range(20)], [convex() for _ in range(20)]
+    table = lambda shapes: spark.createDataFrame([(k, [[s if k % 2 else s[::-1] + s[-1:]]]) for k, s in enumerate(shapes)], SHAPES)
+    got = {(r.large, r.small): r.area for r in geo.overlaps(table(large), table(small), "id", "id", 4.0).collect()}
+    expected = {(i, j): _area(_clip(b, a)) for i, a in enumerate(large) for j, b in enumerate(small)}
+    assert len(got) > 50 and {k for k, v in expected.items() if v > 1e-6} <= set(got)
+    assert all(abs(got[k] - expected[k]) < 1e-6 for k in got)
+
+
+def test_overlaps_of_polygons_with_holes_and_islands(spark):
+    ell = [[[(0.0, 0.0), (2.0, 0.0), (2.0, 1.0), (1.0, 1.0), (1.0, 2.0), (0.0, 2.0)]]]
+    holed = [[[(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0)], [(1.0, 1.0), (3.0, 1.0), (3.0, 3.0), (1.0, 3.0)]], [[(1.5, 1.5), (1.5, 2.5), (2.5, 2.5), (2.5, 1.5)]]]
+    square = [[[(0.0, 0.0), (0.0, 2.0), (2.0, 2.0), (2.0, 0.0)]]]
+    df = spark.createDataFrame([(1, ell), (2, holed), (3, square)], SHAPES)
+    got = {(r.large, r.small): round(r.area, 9) for r in geo.overlaps(df, df, "id", "id", 1.5).collect()}
+    assert got == {(1, 1): 3.0, (1, 2): 3.0, (1, 3): 3.0, (2, 1): 3.0, (2, 2): 13.0, (2, 3): 3.25, (3, 1): 3.0, (3, 2): 3.25, (3, 3): 4.0}
 
 
 def test_square_grid_edges(spark):
@@ -145,13 +224,51 @@ def test_natural_breaks_match_a_direct_search(spark):
     import itertools
 
     v = [1, 1, 2, 3, 10, 11, 12, 30, 31, 50]
-    got = [r.upper for r in stats.natural_breaks(spark.createDataFrame([(float(i),) for i in v], "v double"), "v", 4).orderBy("class").collect()]
+    found = lambda v, classes: [r.upper for r in stats.natural_breaks(spark.createDataFrame([(float(i),) for i in v], "v double"), "v", classes).orderBy("class").collect()]
+    got = found(v, 4)
+    assert [x - 1e9 for x in found([1e9 + x for x in v], 4)] == got  # squares of large values do not cancel
+    assert found([5, 5, 7], 4) == [5.0, 7.0] and found([], 3) == []
+    rng = np.random.default_rng(2)
+    many = np.unique(np.round(np.exp(rng.normal(3, 2, 900)), 2))  # over 512 levels, skewed
+    d = many - many.mean()
+    s, ss = np.concatenate([[0], np.cumsum(d)]), np.concatenate([[0], np.cumsum(d * d)])
+    n = len(many)
+    cost = lambda i, j: ss[j] - ss[i] - (s[j] - s[i]) ** 2 / (j - i)
+    best, back = np.array([np.inf] + [cost(0, j) for j in range(1, n + 1)]), []
+    for _ in range(2):
+        total = [min((best[i] + cost(i, j), i) for i in range(1, j)) if j > 1 else (np.inf, 0) for j in range(n + 1)]
+        best = np.array([t[0] for t in total])
+        back.append([t[1] for t in total])
+    upper, j = [many[-1]], n
+    for b in reversed(back):
+        j = b[j]
+        upper.append(many[j - 1])
+    assert n > 512 and found(many, 3) == upper[::-1]
     levels = sorted(set(v))
     cost = lambda part: sum((i - np.mean(part)) ** 2 for i in part)
     best = min(itertools.combinations(levels[:-1], 3), key=lambda c: sum(cost([i for i in v if lo < i <= hi]) for lo, hi in zip((-1, *c), (*c, 99))))
     assert got == [*map(float, best), 50.0]
 
 
+def test_stream_keeps_the_latest_of_all_batches(spark, tmp_path):
+    """A group dropped for a NULL date stays dropped when later batches bring dates; a batch that runs again changes nothing."""
+    batches = [[("a", None), ("b", 1), ("c", 5)], [("a", 3), ("b", 2), ("d", None)], [("b", 2), ("c", 4), ("a", 9)]]
+    path, seen = str(tmp_path / "t"), []
+    each = incremental.upsert_latest(path, "k", "d", 3)
+    for n, batch in enumerate(batches):
+        seen += batch
+        for _ in range(2):
+            each(spark.createDataFrame(batch, "k string, d int"), n)
+        assert rows(incremental.latest_rows(spark, path, "k", "d")) == rows(agg.latest(spark.createDataFrame(seen, "k string, d int"), "k", "d"))
+
+
+def test_group_aggregates_join_back_with_null_keys(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 2.0), (None, 6.0), ("b", None)], "g string, v double")
+    assert rows(agg.share_of_group(df, ["g"], "v").select("g", "pct", "group_count")) == rows(spark.createDataFrame([("a", 25.0, 2), ("a", 75.0, 2), (None, 25.0, 2), (None, 75.0, 2), ("b", None, 1)], "g string, pct double, n long"))
+    assert rows(agg.repeated(df, ["g"]).select("v")) == [(1.0,), (2.0,), (3.0,), (6.0,)]
+    assert abs(df.agg(agg.median("v", True)).first()[0] - 2) <= 1
+
+
 def test_incremental_stream_sees_each_file_once(spark, tmp_path):
     folder, seen = tmp_path / "in", []
     folder.mkdir()
