@@ -56,11 +56,6 @@ def permuted_pairs(points: DataFrame, n1: Column | int, n2: Column | int, reps:
     return pair_distances(*sides, keys=["rep"])
 
 
-def permuted_distances(points: DataFrame, n1: Column | int, n2: Column | int, reps: int, key: str = "id", seed: str = "") -> DataFrame:
-    """(rep, mean_distance): mean distance of two samples without replacement, of n1 and n2 points, in each repetition."""
-    return permuted_pairs(points, n1, n2, reps, key, seed).groupBy("rep").agg(F.avg("distance").alias("mean_distance"))
-
-
 def colocation(points: DataFrame, group: str, first: str, second: str, reps: int = 1000, peaks: bool = True) -> DataFrame:
     """One row: observed mean distance of two groups, mean and deviation of the mean under permutation, z score.
 
