@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -12,20 +14,47 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Text is worked on in pieces of about so many bytes, so memory does not follow the batch size.
-PIECE = 1 << 21
+PIECE = 1 << 19
 
 
+_LIBC = ctypes.CDLL(None)
+if hasattr(_LIBC, "mallopt"):  # glibc: arrays from 4 MB on always go back to the system when they are freed (M_MMAP_THRESHOLD)
+    _LIBC.mallopt(-3, 1 << 22)
 #: Rows of a batch that are worked on together.
 ROWS = 1000
 #: Most keys that `join_by_count` broadcasts, and the fewest rows that make a key one of them.
 HEAVY_KEYS, HEAVY_ROWS = 100_000, 10_000
 
 
+def give_back() -> None:
+    """Hand memory that is free back to the system: Python workers stay for later stages."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):  # glibc
+        _LIBC.malloc_trim(0)
+
+
 def small(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut to so many rows (without copying), as working arrays are several times as large as the text."""
     for b in batches:
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)
+    give_back()
+
+
+def in_small_batches(f):
+    """For functions that run their Python stages before they return: Arrow batches have at most ROWS rows meanwhile; then the session's own setting comes back."""
+
+    @functools.wraps(f)
+    def run(df: DataFrame, *args, **kwargs):
+        conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+        before, now = conf.get(name, None), int(conf.get(name))
+        conf.set(name, str(min(ROWS, now) if now > 0 else ROWS))
+        try:
+            return f(df, *args, **kwargs)
+        finally:
+            conf.unset(name) if before is None else conf.set(name, before)
+
+    return run
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -56,12 +85,16 @@ def release(*tables: DataFrame) -> None:
         path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def join_by_count(df: DataFrame, table: DataFrame, on: list[str], rows: int, how: str = "inner", count: str = "n") -> DataFrame:
-    """Inner or left join of df (of `rows` rows, read twice) with a table of one row per key that also has the key's rows in df.
+def join_by_count(df: DataFrame, table: DataFrame, on: list[str], how: str = "inner", count: str = "n") -> DataFrame:
+    """Inner or left join of df with a table of one row per key that also has the key's rows in df.
 
-    Keys with many rows are broadcast, at most `HEAVY_KEYS` of them, so their rows stay where they are; the others are dealt by key.
+    Keys with many rows are broadcast, at most `HEAVY_KEYS` of them, so their rows stay where they are; the others are dealt
+    by key. df is then read twice; where no key has many rows, once.
     """
-    least = max(HEAVY_ROWS, rows // HEAVY_KEYS)
+    rows, most = table.agg(F.sum(count), F.max(count)).first()
+    least = max(HEAVY_ROWS, (rows or 0) // HEAVY_KEYS)
+    if (most or 0) <= least:
+        return df.join(table.drop(count), on, how)
     heavy = F.broadcast(table.where(F.col(count) > least).drop(count))
     light = table.where(F.col(count) <= least).drop(count)
     return df.join(heavy, on).unionByName(df.join(heavy.select(*on), on, "left_anti").join(light, on, how), allowMissingColumns=True)

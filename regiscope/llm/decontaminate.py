@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regiscope.llm.common import ALNUM, gram_hashes, hash_words, materialise, small, utf8
+from regiscope.llm.common import ALNUM, gram_hashes, hash_words, in_small_batches, join_by_count, materialise, small, utf8
 
 WINDOW = 13
 K = 6
@@ -121,6 +121,7 @@ def _found(docs: DataFrame, sizes: list[int], wanted: dict[int, np.ndarray] | No
     return materialise(docs.mapInArrow(run, f"doc_id long, n_words long, row string, hits {HITS}"))
 
 
+@in_small_batches
 def contamination(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", most_prints: int = PRINTS) -> DataFrame:
     """Per document: words, hit words, items found, the verdict, and the spans of hit words (first and last, from 0)."""
     docs = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -134,16 +135,24 @@ def contamination(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc
         wanted = {k: np.sort(kept["print"].to_numpy(np.int64)[kept["size"].to_numpy() == k].view(np.uint64)) for k in sizes}
     rows = _found(docs, sizes, wanted)
     hit = rows.where("row IS NOT NULL").select("row", F.explode("hits").alias("h")).select("row", "h.*")
-    hit = hit if few else hit.join(prints, ["size", "print"], "left_semi")
+    if not few:  # a print that very many documents have stays where it is
+        hit = _spread(hit, prints, ["size", "print"])
     windows = items.select("items", "size", _windows("words", "size")).groupBy("win", "size").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     windows = materialise(windows)
     small_enough = windows.agg(F.count("*"), F.sum(F.length("win") + 20 * F.size("items"))).first()
-    here = F.broadcast(windows) if small_enough[0] <= WINDOWS_BROADCAST and (small_enough[1] or 0) <= 1 << 25 else windows
-    at = (F.col("at") + F.col("ahead")).alias("at")
-    exact = materialise(hit.select("row", "at", "size", _windows("words", "size")).select("row", at, "size", "win").join(here, ["win", "size"]).select("row", "at", (F.col("at") + F.col("size")).alias("to"), "items"))
+    asked = hit.select("row", "at", "size", _windows("words", "size")).select("row", (F.col("at") + F.col("ahead")).alias("at"), "size", "win")
+    few = small_enough[0] <= WINDOWS_BROADCAST and (small_enough[1] or 0) <= 1 << 25
+    met = asked.join(F.broadcast(windows), ["win", "size"]) if few else _spread(materialise(asked), windows, ["win", "size"])
+    exact = materialise(met.select("row", "at", (F.col("at") + F.col("size")).alias("to"), "items"))
     return _verdicts(rows, exact)
 
 
+def _spread(df: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
+    """Join with a table of one row per key, whose keys may be very unequally frequent in df."""
+    counted = materialise(df.groupBy(*on).agg(F.count("*").alias("n")).join(table, on))
+    return join_by_count(df, counted, on)
+
+
 def _verdicts(rows: DataFrame, exact: DataFrame) -> DataFrame:
     """exact: row, at, to and items of every window found. Windows of one row are its own words, so a window over them is bounded by its text."""
     w = Window.partitionBy("row").orderBy("at", "to")

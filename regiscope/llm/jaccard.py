@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regiscope.llm.common import SPACED, _MULT, connected_components, gram_hashes, hash_words, join_by_count, materialise, mix, small, utf8
+from regiscope.llm.common import SPACED, _MULT, connected_components, gram_hashes, hash_words, in_small_batches, join_by_count, materialise, mix, small, utf8
 
 WIDTH = 5
 PERCENT = 75
@@ -359,6 +359,11 @@ def _ids(df: DataFrame, limit: int = BLOCKS_BROADCAST) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
+def _few(df: DataFrame, rows: int) -> DataFrame:
+    """For a join: broadcast where at most so many rows are known to be few."""
+    return F.broadcast(df) if rows <= BLOCKS_BROADCAST else df
+
+
 def _compare(docs: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) found in each cell. placed: of, s1, cells, probe, group (null: not known)."""
 
@@ -370,15 +375,16 @@ def _compare(docs: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(t, pa.binary())], names=[*names, "tokens"])
 
     names = ["s1", "cells", "probe", "group"]
-    texts = docs.join(_ids(placed.withColumnRenamed("of", "doc_id")), "doc_id").select("text", *names)
+    rows, cells = placed.agg(F.count("*"), F.sum(F.size("cells"))).first()
+    texts = docs.join(_few(placed.withColumnRenamed("of", "doc_id"), rows), "doc_id").select("text", *names)
     full = texts.mapInArrow(tokens, "s1 long, cells array<long>, probe boolean, group long, tokens binary").where("tokens IS NOT NULL")
-    packs = int(max(8, placed.agg(F.ceil(F.sum(F.size("cells")) / PART)).first()[0] or 0))
+    packs = max(8, -(-(cells or 0) // PART))
     dealt = full.withColumn("cell", F.explode("cells")).withColumn("pack", F.pmod("cell", F.lit(packs)))
     return materialise(dealt.select("pack", "cell", "s1", "tokens", "probe", "group").groupBy("pack").applyInPandas(_block_links(percent), "a long, b long"))
 
 
-def _cells(of: DataFrame, percent: int) -> DataFrame:
-    """of: of, s1, n, block, group, probe. Deals each block's probes and all its sets to cells of at most about PART by PART sets.
+def _cells(of: DataFrame, percent: int, large: int) -> DataFrame:
+    """of, with so many blocks: of, s1, n, block, group, probe. Deals each block's probes and all its sets to cells of at most about PART by PART sets.
 
     A band holds sizes within a factor of 100 / percent, so similar sets are in the same or neighbouring bands. A pair of a
     probe and a set meets in the cell of the probe's share of its band and the set's share of its band.
@@ -386,7 +392,7 @@ def _cells(of: DataFrame, percent: int) -> DataFrame:
     of = materialise(of.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.001 / percent))).cast("long")))
     bands = of.groupBy("block", "band").agg(F.ceil(F.count("*") / PART).alias("shares"), F.ceil(F.count_if("probe") / PART).alias("chunks"))
     near = bands.where("chunks > 0").select("block", F.col("band").alias("of_probe"), "chunks", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
-    near = _ids(materialise(near.join(bands.select("block", "band", "shares"), ["block", "band"])))  # a few rows for each block of more than PART sets
+    near = _few(near.join(bands.select("block", "band", "shares"), ["block", "band"]), 200 * large)  # sizes up to 2^27 have under 67 bands, each with three rows
     cell = lambda share, chunk: F.xxhash64("block", "band", "of_probe", share, chunk)
     upto = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
     share, chunk = F.pmod(F.xxhash64("s1"), F.col("shares")), F.pmod(F.xxhash64("s1", F.lit(1)), F.col("chunks"))
@@ -396,37 +402,40 @@ def _cells(of: DataFrame, percent: int) -> DataFrame:
     return materialise(both.groupBy("of", "s1", "group", "probe").agg(F.collect_list("cell").alias("cells")))
 
 
+@in_small_batches
 def similar_sets(documents: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(meta: doc_id, n, s1 (name of the set) of every row; links: a, b names of sets, enough to connect what is connected)."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     meta, sets, blocks = _blocks(docs, percent, SAMPLE)
 
-    def sized(blocks: DataFrame) -> DataFrame:
-        large = _ids(materialise(blocks.groupBy("block").agg(F.count("*").alias("size")).where(F.col("size") > PART)))
-        return materialise(blocks.join(large, "block", "left").withColumn("size", F.coalesce("size", F.lit(1))).join(sets.select("s1", "of", "n"), "s1"))
-
-    placed = sized(blocks)
-    large = placed.where(F.col("size") > PART)
-    if not large.isEmpty():  # again with all shingles of these sets in order, which parts what only frequent passages joined
+    def sized(blocks: DataFrame) -> tuple[DataFrame, int]:
+        """s1, block, size (1 if not large), of, n, own (a part) and every (part) of each set, and the number of large blocks."""
+        large = materialise(blocks.groupBy("block").agg(F.count("*").alias("size")).where(F.col("size") > PART))
+        many = large.count()
+        all_ = blocks.join(_few(large, many), "block", "left").withColumn("size", F.coalesce("size", F.lit(1))).join(sets.select("s1", "of", "n"), "s1")
+        count = F.ceil(F.col("size") / PART).cast("long")
+        return materialise(all_.withColumn("own", F.pmod(F.xxhash64("s1"), count)).withColumn("every", F.sequence(F.lit(0).cast("long"), count - 1))), many
+
+    placed, many = sized(blocks)
+    if many:  # again with all shingles of these sets in order, which parts what only frequent passages joined
+        large = placed.where(F.col("size") > PART)
         of = _ids(materialise(large.select(F.col("of").alias("doc_id")).distinct()))
         _, _, finer = _blocks(docs.join(of, "doc_id", "left_semi"), percent, 1.0)
-        finer = sized(finer.join(large.select("s1"), "s1", "left_semi"))
+        finer, many = sized(finer.join(large.select("s1"), "s1", "left_semi"))
         placed = placed.where(F.col("size") <= PART).unionByName(finer)
-    count = F.ceil(F.col("size") / PART).cast("long")
-    placed = materialise(placed.withColumn("own", F.pmod(F.xxhash64("s1"), count)).withColumn("every", F.sequence(F.lit(0).cast("long"), count - 1)))
     large = placed.where(F.col("size") > PART)
     some = large.groupBy("block", "own").agg(F.min("s1").alias("s1"))  # a set for each part
     hubs = some.withColumn("k", F.row_number().over(Window.partitionBy("block").orderBy("s1"))).where(F.col("k") <= SHARED).select("s1", F.lit(True).alias("hub"))
-    hubs = _ids(materialise(hubs))
     parts = F.when(F.col("hub"), F.col("every")).otherwise(F.array("own"))
-    plain = placed.join(hubs, "s1", "left").select("of", "s1", F.transform(parts, lambda p: F.xxhash64("block", p)).alias("cells"), F.lit(False).alias("probe"), F.lit(None).cast("long").alias("group"))
+    plain = placed.join(_few(hubs, SHARED * many), "s1", "left") if many else placed.withColumn("hub", F.lit(False))
+    plain = plain.select("of", "s1", F.transform(parts, lambda p: F.xxhash64("block", p)).alias("cells"), F.lit(False).alias("probe"), F.lit(None).cast("long").alias("group"))
     found = _compare(docs, materialise(plain), percent)
-    if not large.isEmpty():
+    if many:
         known = materialise(connected_components(found))
         of = large.join(known, large.s1 == known.node, "left").withColumn("group", F.coalesce("label", "s1")).select("of", "s1", "n", "block", "group")
         main = of.groupBy("block", "group").agg(F.count("*").alias("size")).groupBy("block").agg(F.max_by("group", F.struct("size", "group")).alias("main"))
-        of = of.join(_ids(materialise(main)), "block").withColumn("probe", F.col("group") != F.col("main")).drop("main")
-        again = _cells(of, percent)
+        of = of.join(_few(main, many), "block").withColumn("probe", F.col("group") != F.col("main")).drop("main")
+        again = _cells(of, percent, many)
         found = known.where("node <> label").select(F.col("label").alias("a"), F.col("node").alias("b"))  # as stars, which need few rounds
         if not again.isEmpty():
             found = found.unionByName(_compare(docs, again, percent))
@@ -439,9 +448,8 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     labels = materialise(connected_components(links)).withColumnRenamed("node", "s1")
     sets = meta.where("n > 0").groupBy("s1").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("rows"))
     sets = materialise(sets.join(labels, "s1", "left").withColumn("label", F.coalesce("label", "s1")))
-    count, rows = sets.agg(F.count("*"), F.sum("rows")).first()
     least = materialise(sets.groupBy("label").agg(F.min("class_id").alias("component_id"), F.count("*").alias("sets")))
-    sets = materialise(join_by_count(sets, least, ["label"], count, count="sets").drop("label"))
-    out = join_by_count(meta.where("n > 0").select("doc_id", "n", "s1"), sets, ["s1"], rows or 0, count="rows")
+    sets = materialise(join_by_count(sets, least, ["label"], count="sets").drop("label"))
+    out = join_by_count(meta.where("n > 0").select("doc_id", "n", "s1"), sets, ["s1"], count="rows")
     none = meta.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), "class_id", "component_id").unionByName(none)

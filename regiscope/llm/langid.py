@@ -27,14 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiscope.llm.common import first_by_hash, small
+from regiscope.llm.common import first_by_hash, in_small_batches, small
 
 DIM = 4096
 CLUSTERS = 4
 SAMPLE_PER_LANG = 1000
 REJECT = 0.002
 UNKNOWN = "und"
-_CHARS = 1 << 20
+_CHARS = 1 << 18
 _LEVELS, _STEPS = 64, 1000
 SCHEMA = "doc_id long, lang_pred string, score double, rejected boolean"
 
@@ -106,7 +106,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
     def run(batches):
         df, n = np.zeros(DIM, np.int64), 0
-        for b in small(batches):
+        for b in small(batches, 64):
             for _, part in _slices([t or "" for t in b.column("text").to_pylist()]):
                 df += (_counts(part)[0] > 0).sum(axis=0)
                 n += len(part)
@@ -177,6 +177,7 @@ class Model:
         return out
 
 
+@in_small_batches
 def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, clusters: int = CLUSTERS) -> Model:
     """docs: doc_id, text, lang of the rows to learn from."""
     docs = docs.where("lang IS NOT NULL AND text IS NOT NULL")
@@ -188,7 +189,7 @@ def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, clusters: int = CLUS
     sample = rows.join(F.broadcast(picked), "mark").dropDuplicates(["mark"]).select("lang", "text", half)  # per_lang marks a language, a row each
 
     def vectors(batches):
-        for b in small(batches):
+        for b in small(batches, 64):
             texts = [t or "" for t in b.column("text").to_pylist()]
             rows = [v.astype(np.float16).tobytes() for _, part in _slices(texts) for v in _vectors(_counts(part)[0], idf)]
             yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("half"), pa.array(rows, pa.binary())], names=["lang", "half", "v"])
@@ -215,7 +216,7 @@ def _cosines(docs: DataFrame, idf: np.ndarray, parts: list[np.ndarray]) -> np.nd
     def run(batches):
         weights, centroids = shared.value
         seen = np.zeros((_LEVELS, _STEPS + 1), np.int64)
-        for b in small(batches):
+        for b in small(batches, 64):
             halves = b.column("half").to_numpy()
             for at, part in _slices(b.column("text").to_pylist()):
                 counts, letters = _counts(part)
@@ -241,7 +242,7 @@ def identify(documents: DataFrame, model: Model, doc_id: str = "doc_id", text: s
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for b in small(batches):
+        for b in small(batches, 64):
             got = shared.value.predict(b.column("_text_").to_pylist())
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()), pa.array([g[2] for g in got], pa.bool_())], names=[*names, "lang_pred", "score", "rejected"])
 

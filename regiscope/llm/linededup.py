@@ -62,13 +62,13 @@ def _active(lines: DataFrame) -> tuple[DataFrame, int]:
     twice = _starts(lines.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1"), ["h1", "h2"])
     twice = materialise(twice.select("h1", "h2", F.col("n").alias("size"), "rank", F.col("n")))
     rows = twice.agg(F.sum("n")).first()[0] or 0
-    kept = join_by_count(lines, twice, ["h1", "h2"], rows)
+    kept = join_by_count(lines, twice, ["h1", "h2"])
     kept = kept.repartitionByRange("doc_id", "key").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "key", "o")
     kept = kept.withColumn("at", F.monotonically_increasing_id()).select("key", "line", (F.col("o") - F.col("at")).alias("run"), "at", "w", "rank", F.col("size").alias("n"))  # run: equal where neighbours follow each other
     return materialise(kept), rows
 
 
-def levels(active: DataFrame, rows: int, top: int) -> list[DataFrame]:
+def levels(active: DataFrame, top: int) -> list[DataFrame]:
     """Level k from 0 to top: key, run, at, rank and n of the suffixes whose first 2^k lines occur n > 1 times."""
     level = active.select("key", "run", "at", "rank", "n")
     out = [level]
@@ -77,7 +77,7 @@ def levels(active: DataFrame, rows: int, top: int) -> list[DataFrame]:
         pairs = level.select("key", "run", "at", F.col("rank").alias("r1"), F.max("rank").over(ahead).alias("r2")).where("r2 IS NOT NULL")
         twice = _starts(pairs.groupBy("r1", "r2").agg(F.count("*").alias("n")).where("n > 1"), ["r1", "r2"])
         twice = materialise(twice.select("r1", "r2", F.col("n").alias("size"), "rank", "n"))
-        level = materialise(join_by_count(pairs, twice, ["r1", "r2"], rows).select("key", "run", "at", "rank", F.col("size").alias("n")))
+        level = materialise(join_by_count(pairs, twice, ["r1", "r2"]).select("key", "run", "at", "rank", F.col("size").alias("n")))
         release(twice)
         out.append(level)
     return out
@@ -85,8 +85,8 @@ def levels(active: DataFrame, rows: int, top: int) -> list[DataFrame]:
 
 def suffix_array(documents: DataFrame, doublings: int) -> DataFrame:
     """key, line, at, rank, n: suffixes that share their first 2^doublings lines with others, by the interval they form."""
-    active, rows = _active(materialise(_lines(documents)))
-    return levels(active, rows, doublings)[-1].join(active.select("at", "line"), "at").select("key", "line", "at", "rank", "n")
+    active, _ = _active(materialise(_lines(documents)))
+    return levels(active, doublings)[-1].join(active.select("at", "line"), "at").select("key", "line", "at", "rank", "n")
 
 
 def _windows(active: DataFrame, rows: int, min_words: int) -> DataFrame:
@@ -121,7 +121,7 @@ def deleted_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
     windows = materialise(_windows(active, rows, min_words).withColumn("k", F.floor(F.log2("size")).cast("int")))
     top = windows.agg(F.max("k")).first()[0] or 0
     ranked = None
-    for k, level in enumerate(levels(active, rows, top)):
+    for k, level in enumerate(levels(active, top)):
         level = level.select(F.lit(k).alias("k"), "at", "rank")
         ranked = level if ranked is None else ranked.unionByName(level)
     first = ranked.select("k", "at", F.col("rank").alias("r1"))
@@ -129,7 +129,7 @@ def deleted_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
     keyed = windows.withColumn("tail", F.expr("at + size - shiftleft(1L, k)")).join(first, ["k", "at"]).join(last, ["k", "tail"])
     keyed = materialise(keyed.select("at", "size", "r1", "r2"))
     shared = materialise(keyed.groupBy("size", "r1", "r2").agg(F.min("at").alias("low"), F.count("*").alias("n")).where("n > 1"))
-    later = join_by_count(keyed, shared, ["size", "r1", "r2"], 2 * rows).where("at > low").select(F.explode(F.expr("sequence(at, at + size - 1)")).alias("at")).distinct()
+    later = join_by_count(keyed, shared, ["size", "r1", "r2"]).where("at > low").select(F.explode(F.expr("sequence(at, at + size - 1)")).alias("at")).distinct()
     return active.join(later, "at", "left_semi").select("key", "line")
 
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiscope.llm.common import small
+from regiscope.llm.common import in_small_batches, small
 
 SAMPLE = 1000
 SAMPLE_CHARS = 1 << 20
@@ -383,6 +383,7 @@ def fit(pages: list[str], rounds: int = 20, hold: float = 50.0) -> np.ndarray:
     return w
 
 
+@in_small_batches
 def train(pages: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     some = pages.where(F.length("html") <= SAMPLE_CHARS).select("page_id", F.xxhash64("page_id", "html").alias("mark"), "html")
     ids = some.select("page_id", "mark").distinct().orderBy("mark", "page_id").limit(sample)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiscope.llm.common import ALNUM, _MULT, first_by_hash, hash_words, mix, small, utf8
+from regiscope.llm.common import ALNUM, _MULT, first_by_hash, hash_words, in_small_batches, mix, small, utf8
 
 SAMPLE = 3000
 SUPPORT = 5
@@ -269,6 +269,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     return w
 
 
+@in_small_batches
 def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
     """documents: doc_id, text; labels: doc_id, toxic; both only of the rows to learn from."""
     marked = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))

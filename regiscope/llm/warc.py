@@ -3,8 +3,9 @@
 `archives` writes a record per page into archives that are each a single gzip stream. `normalise`
 inflates such a stream once, from start to end, writes every record as a gzip member of its own and
 notes offset and length of each member in a sidecar index. `records` reads members by that index.
-All of them are tables in the shared folder (archive name, bytes, index), so any executor can read
-what another has written; an archive is closed at `ARCHIVE_BYTES`, which bounds a task's memory.
+These are tables in the shared folder (archive name, bytes, index), so any executor can read what another
+has written; an archive is closed at `ARCHIVE_BYTES`, which bounds a task's memory. `normalise_files` does
+the same with files of any size and writes files and sidecar indexes.
 
 Of pages with equal payloads (empty ones too) that with the largest page_id is the response, the others
 are revisits of it; rows that share that page_id are all responses. A null html is an empty payload; a
@@ -18,17 +19,22 @@ from __future__ import annotations
 import base64
 import hashlib
 import io
+import json
+import posixpath
+import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiscope.llm.common import join_by_count, materialise, small
+from regiscope.llm.common import in_small_batches, join_by_count, materialise, small
 
 ARCHIVE_BYTES = 8 << 20
 LEVEL = 3
+INDEX_ROWS = 50_000
 OWNERS_BROADCAST = 500_000
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 RESULT = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -109,16 +115,14 @@ def with_owners(pages: DataFrame) -> DataFrame:
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
     p = p.withColumn("payload", F.sha1("html"))
     owners = materialise(p.groupBy("payload").agg(F.max("page_id").alias("owner"), F.count("*").alias("n")).where("n > 1"))
-    keys, rows = owners.agg(F.count("*"), F.sum("n")).first()
-    joined = p.join(F.broadcast(owners), "payload", "left") if keys <= OWNERS_BROADCAST else join_by_count(p, owners, ["payload"], rows, "left")
+    joined = p.join(F.broadcast(owners.drop("n")), "payload", "left") if owners.count() <= OWNERS_BROADCAST else join_by_count(p, owners, ["payload"], "left")
     return joined.select("page_id", "url", "html", F.when(~F.col("page_id").eqNullSafe(F.col("owner")), F.col("owner")).alias("refers_to"))
 
 
+@in_small_batches
 def archives(pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """(archive, data): archives that are one gzip stream each, in the shared folder."""
     def run(batches):
-        import uuid
-
         pack, parts, size = None, [], 0
 
         def close():
@@ -141,6 +145,7 @@ def archives(pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     return materialise(with_owners(pages).mapInArrow(run, "archive string, data binary"))
 
 
+@in_small_batches
 def normalised(monolithic: DataFrame) -> DataFrame:
     """(archive, data, index): every record a member of its own, with the sidecar index, in the shared folder."""
     def run(batches):
@@ -177,6 +182,44 @@ def records(members: DataFrame) -> DataFrame:
     return members.mapInArrow(run, RESULT)
 
 
+def normalise_files(files: DataFrame, folder: str) -> DataFrame:
+    """Normalises WARC files (column path, as of a binaryFile listing) of any size; a row per record: file, offset, length, record_id.
+
+    A file is read once, as a stream, by one task, which holds one record at a time. It writes the file of the same name in
+    `folder`, with every record a gzip member, and beside it `<name>.index`, a JSON object of offset, length and record_id
+    in each line. Both get their names when they are complete, so a task may run again. Paths are opened with pyarrow's
+    file systems (local, HDFS, S3 and the like). A damaged file raises EOFError or zlib.error and leaves nothing.
+    """
+    base = folder if ":" in folder else f"file://{folder}"
+
+    def run(batches):
+        out, at = fs.FileSystem.from_uri(base)
+        out.create_dir(at, recursive=True)
+        for b in batches:
+            for path in b.column("path").to_pylist():
+                system, name = fs.FileSystem.from_uri(path if ":" in path else f"file://{path}")
+                to, part = posixpath.join(at, posixpath.basename(name)), posixpath.join(at, f".{uuid.uuid4().hex}")
+                with system.open_input_stream(name, compression=None) as raw, out.open_output_stream(part, compression=None) as new, out.open_output_stream(part + ".index", compression=None) as index:
+                    rows = []
+                    for offset, length, record_id in normalise(raw.read, new.write):
+                        rows.append((offset, length, record_id))
+                        if len(rows) == INDEX_ROWS:
+                            yield _indexed(to, rows, index)
+                            rows = []
+                    yield _indexed(to, rows, index)
+                out.move(part, to)
+                out.move(part + ".index", to + ".index")
+
+    return materialise(files.select("path").distinct().mapInArrow(run, "file string, offset long, length long, record_id string"))
+
+
+def _indexed(file: str, rows: list[tuple], index) -> pa.RecordBatch:
+    """Writes lines of a sidecar index; the same as a batch."""
+    index.write("".join(json.dumps(dict(zip(("offset", "length", "record_id"), r))) + "\n" for r in rows).encode())
+    cols = list(zip(*rows)) or [(), (), ()]
+    return pa.RecordBatch.from_arrays([pa.array([file] * len(rows), pa.string()), *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.string())))], names=["file", "offset", "length", "record_id"])
+
+
 def round_trip(pages: DataFrame) -> DataFrame:
     """Write, normalise and read back."""
     return records(normalised(archives(pages)))

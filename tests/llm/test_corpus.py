@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import io
 import itertools
+import json
 import random
 import re
 import time
@@ -67,6 +68,22 @@ def test_warc_repeated_ids_and_clashing_columns(spark, monkeypatch):
         assert sorted([(r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in warc.round_trip(pages).collect()], key=str) == expected
 
 
+def test_warc_files_are_normalised_with_sidecars(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "INDEX_ROWS", 3)
+    raw = {f"a{n}.warc.gz": [warc.record(k, "http://x", b"<p>%d</p>" % k * (k + n), None if k % 3 else 7) for k in range(n)] for n in (0, 5, 8)}
+    (tmp_path / "in").mkdir()
+    for name, records in raw.items():
+        (tmp_path / "in" / name).write_bytes(gzip.compress(b"".join(records)))
+    files = spark.read.format("binaryFile").load(str(tmp_path / "in")).select("path")
+    rows = warc.normalise_files(files, str(tmp_path / "out")).collect()
+    assert len(rows) == 13
+    for name, records in raw.items():
+        data, index = (tmp_path / "out" / name).read_bytes(), [json.loads(x) for x in (tmp_path / "out" / f"{name}.index").read_text().splitlines()]
+        assert [gzip.decompress(data[i["offset"] : i["offset"] + i["length"]]) for i in index] == records
+        assert sorted((r.offset, r.length, r.record_id) for r in rows if r.file.endswith("/" + name)) == sorted((i["offset"], i["length"], i["record_id"]) for i in index)
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == sorted([*raw, *(f"{n}.index" for n in raw)])
+
+
 def test_operators_leave_the_session_as_it_is(spark):
     before = dict(spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jsparkSession.conf().getAll()))
     warc.round_trip(queries.table(spark, DIR, "pages")).count()
@@ -422,8 +439,10 @@ def brute_contamination(text, items):
 
 
 @pytest.mark.parametrize("bound", [10**9, 0])
-def test_decontamination_equals_brute_force(spark, edge, bound):
-    """The same columns, spans too, whether items' fingerprints are broadcast or documents' are dealt."""
+def test_decontamination_equals_brute_force(spark, edge, monkeypatch, bound):
+    """The same columns, spans too, whether items' fingerprints and windows are broadcast or documents' are dealt, the frequent ones apart."""
+    monkeypatch.setattr(decontaminate, "WINDOWS_BROADCAST", bound)
+    monkeypatch.setattr(common, "HEAVY_ROWS", 4)
     rng = random.Random(5)
     words = [f"w{i}" for i in range(30)]
     items = [(k, " ".join(rng.choices(words, k=n))) for k, n in enumerate((3, 13, 14, 30, 13))] + [(9, None), (10, "")]
