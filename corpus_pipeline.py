@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiscope.llm import decontaminate, jaccard, langid, linededup, pieces
-from regiscope.llm.common import join_by_count, materialise, shared_dir
+from regiscope.llm.common import in_small_batches, join_by_count, materialise, shared_dir
 from regiscope.llm.queries import fold, model_path, table
 
 
@@ -40,17 +40,20 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def _without(keyed: DataFrame, docs: DataFrame, keys: DataFrame) -> DataFrame:
     """The rows of docs whose key isn't among the given ones."""
-    keys = materialise(keys)
     kept = keyed.join(F.broadcast(keys) if keys.count() <= jaccard.BLOCKS_BROADCAST else keys, "key", "left_anti")
     return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.train(docs.where(fold(3) != 1).select("doc_id", "text", "lang"))
-    plain = docs.select(*(F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(docs.columns)))  # no name can clash
-    at = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
-    named = langid.identify(plain, model, at["doc_id"], at["text"], keep=plain.columns)
-    return named.where("NOT rejected").select(*(F.col(v).alias(c) for c, v in at.items()))
+    keyed = _keyed(docs)
+    return _without(keyed, docs, _rejected(keyed, model))
+
+
+@in_small_batches
+def _rejected(keyed: DataFrame, model: langid.Model) -> DataFrame:
+    named = langid.identify(keyed.select(F.col("key").alias("doc_id"), "text"), model)
+    return materialise(named.where("rejected").select(F.col("doc_id").alias("key")).distinct())
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,14 +72,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     groups = jaccard.near_duplicates(named.select(F.col("key").alias("doc_id"), "text")).where("n_shingles > 0")
     groups = materialise(groups.select(F.col("doc_id").alias("key"), "component_id").distinct().join(named.select("key", "doc_id").distinct(), "key"))
     first = groups.groupBy("component_id").agg(F.min_by("key", F.struct("doc_id", "key")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    later = join_by_count(groups, materialise(first), ["component_id"], groups.count()).where("key <> first").select("key")
-    return _without(keyed, docs, later)
+    later = join_by_count(groups, materialise(first), ["component_id"]).where("key <> first").select("key")
+    return _without(keyed, docs, materialise(later))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed = _keyed(docs)
     found = decontaminate.contamination(keyed, table(spark, sf_dir, "benchmark"), doc_id="key")
-    return _without(keyed, docs, found.where("contaminated").select(F.col("doc_id").alias("key")).distinct())
+    return _without(keyed, docs, materialise(found.where("contaminated").select(F.col("doc_id").alias("key")).distinct()))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
