@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,46 +18,47 @@ from pyspark.sql import functions as F
 PIECE = 1 << 19
 
 
-_LIBC = ctypes.CDLL(None)
-if hasattr(_LIBC, "mallopt"):  # glibc: arrays from 4 MB on always go back to the system when they are freed (M_MMAP_THRESHOLD)
-    _LIBC.mallopt(-3, 1 << 22)
-#: Rows of a batch that are worked on together.
-ROWS = 1000
+#: Rows and bytes of a batch that are worked on together; a row of more bytes goes by itself.
+ROWS, BYTES = 1000, 1 << 22
 #: Most keys that `join_by_count` broadcasts, and the fewest rows that make a key one of them.
 HEAVY_KEYS, HEAVY_ROWS = 100_000, 10_000
 
 
+@functools.cache
+def _libc():
+    """The C library of a Python worker; glibc is told there that arrays from 4 MB on go back to the system when freed (M_MMAP_THRESHOLD)."""
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "mallopt"):
+        libc.mallopt(-3, 1 << 22)
+    return libc
+
+
 def give_back() -> None:
     """Hand memory that is free back to the system: Python workers stay for later stages."""
     pa.default_memory_pool().release_unused()
-    if hasattr(_LIBC, "malloc_trim"):  # glibc
-        _LIBC.malloc_trim(0)
+    if hasattr(_libc(), "malloc_trim"):  # glibc
+        _libc().malloc_trim(0)
 
 
-def small(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
-    """Arrow batches cut to so many rows (without copying), as working arrays are several times as large as the text."""
+def small(batches: Iterator[pa.RecordBatch], rows: int = ROWS, size: int = BYTES) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut to so many rows and bytes of text (without copying), as working arrays are several times as large as the text. For Python workers."""
+    _libc()
     for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)
+        ends = np.zeros(b.num_rows, np.int64)
+        for c in b.columns:
+            if pa.types.is_string(c.type) or pa.types.is_binary(c.type):
+                ends += pc.binary_length(c).fill_null(0).to_numpy(zero_copy_only=False)
+        ends = ends.cumsum()
+        at = 0
+        while at < b.num_rows:
+            fits = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right"))
+            to = min(at + rows, max(fits, at + 1), b.num_rows)
+            yield b.slice(at, to - at)
+            at = to
+        del b
     give_back()
 
 
-def in_small_batches(f):
-    """For functions that run their Python stages before they return: Arrow batches have at most ROWS rows meanwhile; then the session's own setting comes back."""
-
-    @functools.wraps(f)
-    def run(df: DataFrame, *args, **kwargs):
-        conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-        before, now = conf.get(name, None), int(conf.get(name))
-        conf.set(name, str(min(ROWS, now) if now > 0 else ROWS))
-        try:
-            return f(df, *args, **kwargs)
-        finally:
-            conf.unset(name) if before is None else conf.set(name, before)
-
-    return run
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (spark.checkpoint.dir); where none is set, a temporary one in local mode and an error on a cluster."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

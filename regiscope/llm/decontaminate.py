@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regiscope.llm.common import ALNUM, gram_hashes, hash_words, in_small_batches, join_by_count, materialise, small, utf8
+from regiscope.llm.common import ALNUM, gram_hashes, hash_words, join_by_count, materialise, small, utf8
 
 WINDOW = 13
 K = 6
@@ -121,7 +121,6 @@ def _found(docs: DataFrame, sizes: list[int], wanted: dict[int, np.ndarray] | No
     return materialise(docs.mapInArrow(run, f"doc_id long, n_words long, row string, hits {HITS}"))
 
 
-@in_small_batches
 def contamination(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", most_prints: int = PRINTS) -> DataFrame:
     """Per document: words, hit words, items found, the verdict, and the spans of hit words (first and last, from 0)."""
     docs = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))

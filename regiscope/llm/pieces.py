@@ -17,6 +17,7 @@ import functools
 import hashlib
 import itertools
 import re
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -30,9 +31,22 @@ MARK = "▁"
 END = 2
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<int>, decoded string"
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-CACHE = 300_000
-PAIRS = 300_000
+#: Segments whose ids are kept (in two generations of so many), and pairs of pieces whose compatibility is.
+CACHE = PAIRS = 1 << 17
+#: Texts are encoded and decoded in windows of about so many characters, each from the start of a run of space marks.
+WINDOW = 1 << 16
 _SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+_EDGE = re.compile(f"(?<=[^ {MARK}])[ {MARK}]")
+
+
+def windows(text: str, size: int = WINDOW) -> Iterator[str]:
+    """The text in stretches; a text without spaces is one."""
+    at = 0
+    while at < len(text):
+        edge = _EDGE.search(text, at + size) if len(text) - at > size else None
+        to = edge.start() if edge else len(text)
+        yield text[at:to]
+        at = to
 
 
 class Pieces:
@@ -61,8 +75,10 @@ class Pieces:
         self.pairs: dict[tuple[str, str], bool] = {}
         self.own = functools.lru_cache(1 << 16)(lambda piece: self.merge(piece) == [piece])
         self.shorter = functools.lru_cache(1 << 16)(self._shorter)
-        self.plain = {i: t.replace(MARK, " ") for i, t in self.text.items()}
-        self.cache: dict[str, str] = {}
+        self.plain = [self.text[i].replace(MARK, " ") if i in self.text else "" if i not in self.byte else None for i in range(sp.vocab_size())]
+        self.number = list(map(str, range(sp.vocab_size())))
+        self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merge(self, text: str) -> list[str]:
         """Merging from single characters: the best-scored adjacent pair first, the leftmost of equal ones."""
@@ -143,66 +159,81 @@ class Pieces:
             ids += [self.ids[p] for p in self.backtrack(run)] if known else [self.byte_id[b] for b in run.encode("utf-8", "replace")]
         return ids
 
-    def segment(self, text: str) -> str:
-        """Ids of one segment as text."""
-        return " ".join(map(str, self.segment_ids(text)))
-
-    def decode_ids(self, ids: list[int] | tuple[int, ...]) -> str:
-        """Text of ids before the leading space is dropped; runs of byte pieces are read as UTF-8."""
-        try:
-            return "".join([self.plain[i] for i in ids])
-        except KeyError:
-            pass
-        out, raw = [], bytearray()
-        for i in ids:
-            if i in self.byte:
-                raw.append(self.byte[i])
-                continue
-            if raw:
-                out.append(raw.decode("utf-8", "replace"))
-                raw.clear()
-            if i in self.plain:
-                out.append(self.plain[i])
-        if raw:
-            out.append(raw.decode("utf-8", "replace"))
-        return "".join(out)
-
-    def lookup(self, segment: str) -> str:
+    def lookup(self, segment: str) -> bytes:
+        """Ids of one segment as packed integers, which take less room in the cache than lists or text."""
         if (got := self.cache.get(segment)) is None:
-            got = self.segment(segment)
+            got = self.older.pop(segment, None) or array("i", self.segment_ids(segment)).tobytes()
             if len(segment) <= 64:
-                if len(self.cache) >= CACHE:
-                    self.cache.clear()
+                if len(self.cache) >= CACHE:  # segments not met since the last such turn are forgotten
+                    self.older, self.cache = self.cache, {}
                 self.cache[segment] = got
         return got
 
-    def segments(self, text: str) -> list[str]:
-        """The text's segments: each starts at the start of a run of space marks."""
-        marked = MARK + text.replace(" ", MARK)
+    def segments(self, text: str, first: bool = True) -> list[str]:
+        """A stretch's segments: each starts at the start of a run of space marks; the first stretch of a text has one mark more."""
+        marked = text.replace(" ", MARK)
+        marked = MARK + marked if first else marked
         if MARK * 2 in marked:
             return _SEGMENT.findall(marked)
         return [MARK + w for w in marked[1:].split(MARK)]
 
+    def stream(self, text: str | None) -> Iterator[list[int]]:
+        """The ids, without the end id, a window of the text at a time."""
+        for k, part in enumerate(windows(text or "")):
+            yield array("i", b"".join(map(self.lookup, self.segments(part, not k)))).tolist()
+
     def encode(self, text: str | None) -> list[int]:
-        ids = [i for s in self.segments(text) for i in self.segment_ids(s)] if text else []
-        return [*ids, END]
+        return [*itertools.chain.from_iterable(self.stream(text)), END]
 
     def decode(self, ids: list[int]) -> str:
-        text = self.decode_ids([i for i in ids if i != END])
-        return text[1:] if text.startswith(" ") else text
+        reader = Reader(self)
+        return reader.feed(ids) + reader.end()
 
     def digests(self, text: str | None) -> tuple[int, str, str]:
-        """Number of ids, SHA-256 of the ids and of the decoded text."""
-        if not text:
-            return 1, hashlib.sha256(str(END).encode()).hexdigest(), hashlib.sha256(b"").hexdigest()
-        segments = self.segments(text)
-        joined = " ".join(list(map(self.lookup, segments)))
-        if self.known.issuperset(text.replace(" ", MARK)):  # pieces of known characters are read as they are written
-            decoded = "".join(segments).replace(MARK, " ")
-        else:
-            decoded = "".join([s.replace(MARK, " ") if self.known.issuperset(s) else self.decode_ids(self.segment_ids(s)) for s in segments])
-        decoded = decoded[1:] if decoded[:1] == " " else decoded
-        return joined.count(" ") + 2, hashlib.sha256(f"{joined} {END}".encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+        """Number of ids, SHA-256 of the ids and of the text decoded from them; neither is held as a whole."""
+        n, numbers, decoded, reader = 1, hashlib.sha256(), hashlib.sha256(), Reader(self)
+        for ids in self.stream(text):
+            n += len(ids)
+            numbers.update((" ".join(map(self.number.__getitem__, ids)) + " ").encode())
+            decoded.update(reader.feed(ids).encode())
+        numbers.update(self.number[END].encode())
+        decoded.update((reader.feed([END]) + reader.end()).encode())
+        return n, numbers.hexdigest(), decoded.hexdigest()
+
+
+class Reader:
+    """Text of ids that arrive in stretches: byte pieces are held until their run ends and read as UTF-8, the text's leading space goes."""
+
+    def __init__(self, pieces: Pieces):
+        self.plain, self.byte, self.raw, self.begun = pieces.plain, pieces.byte, bytearray(), False
+
+    def _first(self, text: str) -> str:
+        if self.begun or not text:
+            return text
+        self.begun = True
+        return text[1:] if text[0] == " " else text
+
+    def feed(self, ids: list[int]) -> str:
+        if not self.raw:
+            try:
+                return self._first("".join(map(self.plain.__getitem__, ids)))
+            except TypeError:  # there are byte pieces
+                pass
+        out = []
+        for i in ids:
+            if (text := self.plain[i]) is None:
+                self.raw.append(self.byte[i])
+            elif text:
+                out += (self._run(), text)
+        return self._first("".join(out))
+
+    def _run(self) -> str:
+        text = self.raw.decode("utf-8", "replace")
+        self.raw.clear()
+        return text
+
+    def end(self) -> str:
+        return self._first(self._run())
 
 
 @functools.lru_cache(2)
@@ -215,7 +246,7 @@ def _column(batch: pa.RecordBatch) -> Iterator[str | None]:
 
 
 def encode_decode(documents: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text", full: bool = False) -> DataFrame:
-    """Digests of each text's ids and of the text decoded from them; with full, the ids and the text too."""
+    """Digests of each text's ids and of the text decoded from these ids; with full, the ids and the text too."""
     docs = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
     def run(batches):

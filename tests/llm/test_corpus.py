@@ -760,3 +760,15 @@ def brute_lines(docs, least=50):
         of[x].append(b)
     kept = {k: "\n".join(x for i, x in enumerate(t.split("\n")) if (k, i) not in gone) for k, t in docs}
     return {k: t for k, t in kept.items() if t == dict(docs)[k] or t.strip()}
+
+
+def test_decoded_text_comes_from_the_ids(monkeypatch):
+    """An encoder that is broken changes the decoded digest with the ids'; long texts go by windows."""
+    own = pieces.Pieces(queries.model_path())
+    text = "some words, ▁ more  words 🙂" * 300
+    whole = own.digests(text)
+    monkeypatch.setattr(pieces.windows, "__defaults__", (50,))
+    assert own.digests(text) == whole and "".join(pieces.windows(text)) == text and own.decode(own.encode(text)) == text.replace("▁", " ")
+    broken = pieces.Pieces(queries.model_path())
+    broken.segment_ids = lambda segment: [500, 501, 502]
+    assert all(a != b for a, b in zip(broken.digests(text)[1:], whole[1:]))
