@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiscope.llm import decontaminate, jaccard, kdtree, langid, linededup, mincut, pieces, pii, toxicity, warc
+from regiscope.llm import ballcodes, bytebpe, decontaminate, jaccard, kdtree, langid, linededup, mincut, pieces, pii, toxicity, turns, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,7 +71,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, chain).select("doc_id", F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_round_trip, op2_line_dedup, op3_jaccard_join, op4_top_k, op5_main_text, op6_language, op7_decontaminate, op8_personal_data, op9_pieces, op10_toxicity)}
+def op11_ball_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ballcodes.encode(table(spark, sf_dir, "embeddings"))
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repair(table(spark, sf_dir, "conversations"))
+
+
+def op13_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bytebpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc_round_trip, op2_line_dedup, op3_jaccard_join, op4_top_k, op5_main_text, op6_language, op7_decontaminate, op8_personal_data, op9_pieces, op10_toxicity, op11_ball_codes, op12_turn_repair, op13_byte_pairs)}
 
 _OP1 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
@@ -141,4 +155,72 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n.n, 0) AS n_hit, c
        coalesce(n.n, 0) > 0 AND 20 * coalesce(n.n, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN i USING (doc_id)"""
 
-ORACLE_SQL = {"op1_warc_round_trip": _OP1, "op2_line_dedup": _OP2, "op3_jaccard_join": _OP3, "op4_top_k": _OP4, "op7_decontaminate": _OP7}
+
+def _op11(rounds: int = 6) -> str:
+    """The rounds as steps of plain comparison with all entries."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""
+a{k} AS MATERIALIZED (SELECT vec_id, label, part, any_value(x) AS x, min(struct_pack(d := list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), e := e)) AS best
+    FROM p JOIN c{k} USING (part) GROUP BY vec_id, label, part)""")
+        if k < rounds:
+            steps.append(f"""
+m{k} AS (SELECT part, e, list(m ORDER BY pos) AS c FROM (SELECT part, best.e AS e, pos, CAST(floor(CAST(sum(x[pos]) AS DOUBLE) / count(*)) AS BIGINT) AS m
+    FROM (SELECT part, best, x, unnest(range(1, len(x) + 1)) AS pos FROM a{k}) GROUP BY ALL) GROUP BY part, e),
+c{k + 1} AS MATERIALIZED (SELECT c{k}.part, c{k}.e, coalesce(m{k}.c, c{k}.c) AS c FROM c{k} LEFT JOIN m{k} USING (part, e))""")
+    return f"""
+WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT vec_id, label, part, v[part * (len(v) // 8) + 1:(part + 1) * (len(v) // 8)] AS x FROM v, range(8) AS t(part)),
+c0 AS MATERIALIZED (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS e, x AS c FROM p QUALIFY e < 16),
+{",".join(steps)},
+b AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, e)) AS books FROM c{rounds}),
+r AS (SELECT vec_id, label, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id, label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, books AS codebooks_sha256 FROM r, b"""
+
+
+def _op12() -> str:
+    """Dynamic programming by rows in place of the search: the cheapest edits to each state, by cost, then audit."""
+
+    def way(state: str, cost: str, edit: str, line: str, when: str = "TRUE") -> str:
+        return f"CASE WHEN {state} IS NOT NULL AND {when} THEN struct_pack(c := {state}.c + {cost}, a := {state}.a || '{edit}', r := {state}.r || {line}) END"
+
+    def least(*ways: str) -> str:
+        return f"list_sort(list_filter([{', '.join(ways)}], lambda z: z IS NOT NULL))[1]"
+
+    user, assistant, own = "'user:' || chr(10)", "'assistant:' || chr(10)", "role || ':' || text || chr(10)"
+    changed = lambda role: f"'{role}:' || text || chr(10)"
+    stays, more = "fault <> 1", "CASE WHEN fault = 2 THEN 3 ELSE 0 END"
+    keep = lambda state, initial: way(state, more, "K", own, f"{stays} AND role[1] = '{initial}'")
+    rerole = lambda state, role: way(state, f"3 + {more}", "R", changed(role), stays)
+    go = lambda state: way(state, "4", "D", "''")
+    one, two = [way(f"x{k}", "3", "I", user) for k in (0, 1, 3)], [way(f"x{k}", "6", "II", f"{user} || {assistant}") for k in (0, 1)]
+    return f"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+v AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ord(x) AS BIGINT))),
+        lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 20 AS v FROM conversations, crc),
+d AS (SELECT conv_id, turn, CASE WHEN v = 4 THEN 'user' ELSE role END AS role, CASE v WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE v WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM v WHERE v <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM d),
+f AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS said, regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS bare, lag(role) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM o),
+g AS MATERIALIZED (SELECT conv_id, turn, role, text, i, CASE WHEN bare = '' THEN 'blank' WHEN said > 1 THEN 'duplicate' WHEN NOT contains('.!?', bare[-1]) THEN 'truncated' ELSE '' END AS name,
+    coalesce(before[1] || role[1] NOT IN ('su', 'ua', 'au'), FALSE) AS bad FROM f),
+h AS MATERIALIZED (SELECT *, CASE WHEN name IN ('blank', 'duplicate') THEN 1 WHEN name = 'truncated' THEN 2 ELSE 0 END AS fault FROM g),
+k AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (name = 'blank') AS blank, count(*) FILTER (name = 'duplicate') AS duplicate,
+    count(*) FILTER (name = 'truncated') AS truncated, count(*) FILTER (bad) AS illegal, count(*) AS n FROM h GROUP BY conv_id),
+w AS (SELECT conv_id, 0 AS pos, struct_pack(c := CAST(0 AS BIGINT), a := '', r := '') AS x0, CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, r VARCHAR)) AS x1, CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, r VARCHAR)) AS x2,
+        CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, r VARCHAR)) AS x3 FROM k
+    UNION ALL
+    SELECT conv_id, pos, {go("x0")}, {least(go("x1"), keep("x0", "s"))},
+        {least(go("y2"), keep("x0", "u"), keep("x1", "u"), keep("y3", "u"), rerole("x0", "user"), rerole("x1", "user"), rerole("y3", "user"))},
+        {least(go("y3"), keep("y2", "a"), rerole("y2", "assistant"))}
+    FROM (SELECT w.conv_id, i AS pos, role, text, fault, x0, x1, {least("x2", *one)} AS y2, {least("x3", way("x2", "3", "I", assistant), *two)} AS y3 FROM w JOIN h ON h.conv_id IS NOT DISTINCT FROM w.conv_id AND h.i = w.pos + 1)),
+z AS (SELECT w.conv_id, {least("x0", "x3", way("x2", "3", "I", assistant), way("x1", "6", "II", f"{user} || {assistant}"))} AS z, k.* EXCLUDE (conv_id, n)
+    FROM w JOIN k ON k.conv_id IS NOT DISTINCT FROM w.conv_id AND k.n = w.pos)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+    coalesce(z.c, 0) AS cost, coalesce(z.a, '') AS audit, sha256(coalesce(z.r[:-2], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
+
+ORACLE_SQL = {"op1_warc_round_trip": _OP1, "op2_line_dedup": _OP2, "op3_jaccard_join": _OP3, "op4_top_k": _OP4, "op7_decontaminate": _OP7, "op11_ball_codes": _op11(), "op12_turn_repair": _op12()}
