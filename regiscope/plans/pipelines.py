@@ -5,43 +5,48 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiscope.functions.exprs import age_in_years, base_name, label_number, normalise_postcode, parse_date, percent_change
+from regiscope.functions.exprs import age_in_years, label_number, normalise_postcode, parse_date, percent_change
 from regiscope.operators import accounts, agg, geo, link
 from regiscope.operators.predicates import both_positive, drop_matching, keep_matching
 from regiscope.sources import io, zips
-from regiscope.streaming.incremental import new_inputs, stored
+from regiscope.streaming.incremental import stored
 
 DORMANT_SIC = "99999"
 
 
 def register_snapshot(spark: SparkSession, archives: str, out: str, date: str) -> None:
     """The register from its zipped CSV files, pruned, as the snapshot of a date."""
-    io.write_snapshot(zips.read_zipped_csv(io.list_archives(spark, archives), io.REGISTER), out, date)
+    io.write_snapshot(zips.read_zipped_csv(zips.Archives(io.list_archives(spark, archives)), io.REGISTER), out, date)
 
 
 def account_extracts(listing: DataFrame, out: str, known: DataFrame | None = None, companynumber: str = "companynumber") -> None:
-    """Accounts of all listed archives (path) under `out`, a partition for each archive; those in its manifest are skipped.
+    """Accounts of all listed archives (path, length) under `out`, a partition for each archive; those in its manifest are skipped.
 
-    Entries without keys, and of companies not among the known ones if given, are never read. An entry that is damaged, or
-    in which a fact tag does not close, is kept with its `problem`. Partitions are replaced as wholes and the manifest is
-    written last, so a run that broke off is repeated.
+    Archives are told apart by their whole paths. Entries without keys, and of companies not among the known ones if given,
+    are never read. An archive or entry that is damaged, or in which a fact tag does not close, is kept with its `problem`.
+    Partitions are replaced as wholes and the manifest is written last, so a run that broke off is repeated.
     """
     spark = listing.sparkSession
     manifest = stored(spark, f"{out}/manifest")
-    fresh = listing.select("path") if manifest is None else new_inputs(listing.select("path"), manifest)
-    entries = accounts.file_keys(zips.list_entries(fresh))
+    fresh = listing.select("path", "length")
+    fresh = fresh if manifest is None else fresh.join(manifest.select("path").distinct(), "path", "left_anti")
+    archives = zips.Archives(fresh)
+    if not archives.files:
+        return
+    keyed = accounts.file_keys(archives.entries(content=known is None))
     if known is not None:
-        entries = link.members(entries, known, "companynumber", companynumber)
-    keys = ["archive", "entry", "companynumber", "accountcode", "error"]
-    made = accounts.accounts(zips.read_entries(entries), keys)
+        keyed = archives.read(link.members(keyed, known, "companynumber", companynumber))
+    made = accounts.accounts(keyed, ["archive", "entry", "companynumber", "accountcode", "error"])
     problem = F.coalesce("error", F.when(~F.col("whole"), F.lit("a fact tag does not close")))
-    io.write_partitioned(made.withColumn("archive", base_name(F.col("archive"))).withColumn("problem", problem).drop("error", "whole"), f"{out}/extracts")
-    fresh.write.mode("append").parquet(f"{out}/manifest")
+    unread = archives.entries().where("entry IS NULL").select("archive", F.col("error").alias("problem"))
+    rows = made.withColumn("problem", problem).drop("error", "whole").unionByName(unread, allowMissingColumns=True)
+    io.write_partitioned(rows.withColumn("folder", F.sha2("archive", 256)), f"{out}/extracts", "folder")
+    spark.createDataFrame([(p,) for p, _ in archives.files], "path string").write.mode("append").parquet(f"{out}/manifest")
 
 
 def extracted(spark: SparkSession, out: str, problems: bool = False) -> DataFrame:
-    """The accounts of `account_extracts`, or the entries with problems."""
-    rows = spark.read.parquet(f"{out}/extracts")
+    """The accounts of `account_extracts`, or the archives and entries with problems. `archive` is a whole path."""
+    rows = spark.read.parquet(f"{out}/extracts").drop("folder")
     return rows.where("problem IS NOT NULL").select("archive", "entry", "companynumber", "accountcode", "problem") if problems else rows.where("problem IS NULL").drop("problem")
 
 

@@ -602,7 +602,7 @@ def _archives(t, folder: str, rows: str = "true") -> DataFrame:
 
 @query("""SELECT 'Accounts-' || (c_custkey % 4) || '.zip' AS archive, 'Prod1_2_' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') || '_' || CASE WHEN c_custkey % 11 <> 0 THEN '20240331' ELSE '' END || '.html' AS entry FROM customer""")
 def archive_listing(t):
-    listed = zips.list_entries(_archives(t, scratch(t("nation").sparkSession)))
+    listed = zips.Archives(_archives(t, scratch(t("nation").sparkSession))).entries()
     return listed.where("size > 0").select(x.base_name(F.col("archive")).alias("archive"), "entry")
 
 
@@ -619,12 +619,12 @@ def _extracts_of_archives(t) -> str:
 @query(f"""SELECT 'Accounts-' || (c_custkey % 4) || '.zip' AS archive, lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS companynumber, '20240331' AS accountcode, c_name AS company, '31 March 2024' AS enddate,
  CASE WHEN c_custkey % 7 = 0 THEN 'true' ELSE 'false' END AS dormantstatus, CAST(c_custkey % 50 AS DOUBLE) AS employees_thisyear, {_LAST} FROM customer WHERE c_custkey % 11 <> 0 AND c_custkey % 3 <> 0 AND c_custkey % 13 <> 0""")
 def account_extracts(t):
-    return pipelines.extracted(t("nation").sparkSession, _extracts_of_archives(t)).drop("entry")
+    return pipelines.extracted(t("nation").sparkSession, _extracts_of_archives(t)).drop("entry").withColumn("archive", x.base_name(F.col("archive")))
 
 
 @query("""SELECT 'Accounts-' || (c_custkey % 4) || '.zip' AS archive, lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS companynumber, 'a fact tag does not close' AS problem FROM customer WHERE c_custkey % 11 <> 0 AND c_custkey % 3 <> 0 AND c_custkey % 13 = 0""")
 def account_problems(t):
-    return pipelines.extracted(t("nation").sparkSession, _extracts_of_archives(t), problems=True).select("archive", "companynumber", "problem")
+    return pipelines.extracted(t("nation").sparkSession, _extracts_of_archives(t), problems=True).select(x.base_name(F.col("archive")).alias("archive"), "companynumber", "problem")
 
 
 @query("""SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS CompanyNumber, 'Smith, ' || chr(10) || c_name AS CompanyName, CASE WHEN c_custkey % 9 <> 0 THEN c_address_line END AS RegAddress_AddressLine1, c_mktsegment AS CompanyStatus, DATE '2025-03-01' AS snapshot_date

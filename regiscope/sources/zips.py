@@ -1,104 +1,338 @@
-"""Zip archives as tables: entries are listed in tasks, and read by ranges, so one large archive feeds many tasks.
+"""Zip archives as tables. Archives are cut into splits by their bytes, and an entry belongs to the split its own header lies in.
 
-Archives are opened by their address with pyarrow's file systems (local, HDFS, S3 and the like), which read only what a
-task asks for: the directory at the end, then its own entries.
+`ZipEntries` is a data source whose partitions are these splits: they follow from the archives' lengths alone, so no directory
+is read before the tasks run, many small archives are as many tasks and one large one is many. A split's task reads the
+directory at the archive's end, and of the contents only its own entries, with filters on the company number applied before
+that. The CSV inside a zip is one compressed stream: it is passed over once for an index of checkpoints (see `inflate`), and
+then read by a task for each stretch between two of them. Archives are opened by their address with pyarrow's file systems
+(local, HDFS, S3 and the like), which read only what a task asks for.
 """
 
 from __future__ import annotations
 
 import csv
 import io
+import json
 import posixpath
+import struct
 import uuid
 import zipfile
+import zlib
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
 
-ENTRIES = "archive string, entry string, size long, ordinal int"
-PER_TASK = 500
+from regiscope.sources.io import scratch
+from regiscope.sources.inflate import Checkpoint, Inflater, checkpoints
+
+ENTRIES = "archive string, entry string, companynumber string, size long, ordinal int, split int, content binary, error string"
+#: Most and fewest bytes of a split, and splits for each core where archives are large enough.
+SPLIT, LEAST_SPLIT, PER_CORE = 1 << 26, 1 << 20, 3
 #: Contents are handed on in pieces of about so many bytes.
 PIECE = 1 << 24
+#: Bytes of text between checkpoints of a compressed CSV.
+SPAN = 1 << 24
+DAMAGED = (zipfile.BadZipFile, zlib.error, struct.error, pa.ArrowInvalid, OSError, EOFError, NotImplementedError, RuntimeError)
 
 
-def _open(path: str) -> zipfile.ZipFile:
+def _file(path: str) -> pa.NativeFile:
     system, name = fs.FileSystem.from_uri(path if ":" in path else f"file://{path}")
-    return zipfile.ZipFile(system.open_input_file(name))
+    return system.open_input_file(name)
+
+
+def _open(path: str) -> zipfile.ZipFile:
+    return zipfile.ZipFile(_file(path))
+
+
+class Split(InputPartition):
+    """Entries of one archive whose headers lie from byte `low` on, before `high` (None: to the end)."""
+
+    def __init__(self, number: int, path: str, low: int, high: int | None):
+        self.number, self.path, self.low, self.high = number, path, low, high
+
+
+def splits(files: list[tuple[str, int]], size: int) -> list[Split]:
+    """Splits of about `size` bytes of archives (path, length); a smaller archive is one split."""
+    cuts = [(path, k * size, (k + 1) * size if (k + 1) * size < length else None) for path, length in files for k in range(max(1, -(-length // size)))]
+    return [Split(k, *cut) for k, cut in enumerate(cuts)]
+
+
+def company_number(entry: str) -> str | None:
+    """The third token of names like Prod1_2_01234567_20240331.html."""
+    tokens = posixpath.basename(entry).split("_")
+    return tokens[2] if len(tokens) > 2 else None
+
+
+class ZipEntries(DataSource):
+    """Entries of zip archives. Options: archives, a JSON list of (path, length); size, bytes of a split; content, whether contents are read; pushdown, whether the session lets Python sources take filters."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "zip_entries"
+
+    def schema(self) -> str:
+        return ENTRIES
+
+    def reader(self, schema) -> "ZipReader":
+        return (FilteringReader if self.options.get("pushdown") == "true" else ZipReader)(self.options)
+
+
+class ZipReader(DataSourceReader):
+    def __init__(self, options):
+        self.files = [tuple(f) for f in json.loads(options.get("archives", "[]"))]
+        self.size, self.content, self.only = int(options.get("size", SPLIT)), options.get("content", "false") == "true", None
+
+    def partitions(self) -> list[Split]:
+        return splits(self.files, self.size)
+
+    def read(self, split: Split | None) -> Iterator[tuple]:
+        if split is None:
+            return
+        try:
+            z = _open(split.path)
+        except DAMAGED as e:
+            if not split.low and self.only is None:
+                yield split.path, None, None, None, None, split.number, None, f"not an archive: {e}"
+            return
+        with z:
+            for k, info in enumerate(z.infolist()):
+                number = company_number(info.filename)
+                if info.is_dir() or info.header_offset < split.low or (split.high is not None and info.header_offset >= split.high) or (self.only is not None and number not in self.only):
+                    continue
+                yield split.path, info.filename, number, info.file_size, k, split.number, *(_content(z, k) if self.content else (None, None))
+
+
+class FilteringReader(ZipReader):
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        """Company numbers are looked for in the directory; other filters are Spark's."""
+        for f in filters:
+            if isinstance(f, (EqualTo, In)) and f.attribute == ("companynumber",):
+                wanted = {f.value} if isinstance(f, EqualTo) else set(f.value)
+                self.only = wanted if self.only is None else self.only & wanted
+            else:
+                yield f
+
+
+def _content(z: zipfile.ZipFile, ordinal: int) -> tuple[bytes | None, str | None]:
+    try:
+        return z.read(z.infolist()[ordinal]), None
+    except DAMAGED as e:
+        return None, str(e)
+
+
+class Archives:
+    """Archives of a listing (path, length), cut into splits for this session's cores."""
+
+    def __init__(self, listing: DataFrame, path: str = "path", length: str = "length", size: int | None = None):
+        self.spark = listing.sparkSession
+        self.files = sorted({(r[0], r[1]) for r in listing.select(path, length).collect()})  # a row an archive, as any file listing
+        total = sum(n for _, n in self.files)
+        self.size = size or max(LEAST_SPLIT, min(SPLIT, total // (PER_CORE * self.spark.sparkContext.defaultParallelism)))
+        self.count = len(splits(self.files, self.size))
+
+    def entries(self, content: bool = False) -> DataFrame:
+        """archive, entry, companynumber, size, ordinal and split of every entry, with content (bytes) if asked for; `error` says why one has none. An archive that can't be opened is one row without entry."""
+        if not self.files:
+            return self.spark.createDataFrame([], ENTRIES)
+        self.spark.dataSource.register(ZipEntries)
+        pushdown = self.spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
+        return self.spark.read.format("zip_entries").options(archives=json.dumps(self.files), size=str(self.size), content=str(content).lower(), pushdown=pushdown).load()
 
+    def read(self, entries: DataFrame) -> DataFrame:
+        """The given ones of `entries()` with their content. They go back to their splits, one task for each, whatever joins they went through."""
+        if not self.files:
+            return entries
+        rows = entries.drop("content", "error")
+        dealt = rows.repartitionById(self.count, F.col("split")).sortWithinPartitions("archive", "ordinal")
+        kinds = ", ".join(f"`{c}` {t}" for c, t in dealt.dtypes)
 
-def list_entries(archives: DataFrame, path: str = "path") -> DataFrame:
-    """archive, entry, size and ordinal of every entry of the archives of a listing. An archive is opened in a task of its own."""
+        def run(batches):
+            z, name, out, size = None, None, [], 0
+            for pdf in batches:
+                columns = [*pdf.columns, "content", "error"]
+                for row in pdf.itertuples(index=False):
+                    if row.archive != name:
+                        z, name = _open(row.archive), row.archive
+                    content, error = _content(z, row.ordinal)
+                    out.append((*row, content, error))
+                    size += len(content or b"")
+                    if size >= PIECE:
+                        yield pd.DataFrame(out, columns=columns)
+                        out, size = [], 0
+                if out:
+                    yield pd.DataFrame(out, columns=columns)
+                    out, size = [], 0
+
+        return dealt.mapInPandas(run, kinds + ", content binary, error string")
+
+
+# ---------------------------------------------------------------- CSV inside archives
+
+POINTS = "archive string, entry string, method int, data long, packed long, k long, at long, bits int, out long, window binary, inside boolean, clean boolean, next_out long, next_inside boolean, next_clean boolean, header array<string>"
+
+
+def _data_start(file, info: zipfile.ZipInfo) -> int:
+    """Where an entry's data begins: after its own header, name and extra field."""
+    file.seek(info.header_offset)
+    name, extra = struct.unpack("<HH", file.read(30)[26:30])
+    return info.header_offset + 30 + name + extra
+
+
+class _Quotes:
+    """What one pass over a CSV sees: the check sum, whether the place is inside quotes or just after a line, and the first record."""
+
+    def __init__(self):
+        self.crc, self.inside, self.clean, self.first, self.known = 0, False, True, b"", False
+
+    def __call__(self, piece: bytes) -> None:
+        if not self.known:
+            self.first += piece
+            end = record_start(self.first, 0, False)
+            self.known = end is not None
+            self.first = self.first[:end]
+        self.crc = zlib.crc32(piece, self.crc)
+        if piece:
+            self.inside ^= bool(piece.count(b'"') % 2)
+            self.clean = not self.inside and piece.endswith(b"\n")
+
+
+def record_start(text: bytes, at: int, inside: bool) -> int | None:
+    """The place after the first line end outside quotes; None if there is none."""
+    while True:
+        if inside:
+            if (at := text.find(b'"', at) + 1) == 0:
+                return None
+            inside = False
+        line = text.find(b"\n", at)
+        quote = text.find(b'"', at, line if line >= 0 else len(text))
+        if quote < 0:
+            return line + 1 if line >= 0 else None
+        at, inside = quote + 1, True
+
+
+def _header(record: bytes) -> list[str]:
+    return [h.strip() for h in next(csv.reader(io.StringIO(record.decode("utf-8-sig", "replace"), newline=""), skipinitialspace=True), [])]
+
+
+def csv_points(archives: Archives, span: int = SPAN) -> DataFrame:
+    """Where the CSV files inside archives can be entered, about every `span` bytes of their text; one pass over each file, and 32 KB for each place."""
+
+    def points(path: str, info: zipfile.ZipInfo) -> list[tuple]:
+        with _file(path) as file:
+            start = _data_start(file, info)
+            file.seek(start)
+            left, seen, found = info.compress_size, _Quotes(), []
+
+            def read(n: int) -> bytes:
+                nonlocal left
+                got = file.read(min(n, left))
+                left -= len(got)
+                return got
+
+            if info.compress_type == zipfile.ZIP_DEFLATED:
+                for p in checkpoints(read, span, seen):
+                    found.append((p, seen.inside, seen.clean))
+            elif info.compress_type == zipfile.ZIP_STORED:
+                out = 0
+                while True:
+                    found.append((Checkpoint(out, 0, out, b""), seen.inside, seen.clean))
+                    upto = min(out + span, info.file_size)
+                    while out < upto and (piece := read(min(PIECE, upto - out))):
+                        seen(piece)
+                        out += len(piece)
+                    if out >= info.file_size or out < upto:
+                        break
+            else:
+                raise NotImplementedError(f"{path}: {info.filename} is packed in another way than deflate")
+        if seen.crc != info.CRC:
+            raise zipfile.BadZipFile(f"{path}: {info.filename} is damaged")
+        header = _header(seen.first)
+        ends = [(p.out, inside, clean) for p, inside, clean in found[1:]] + [(None, None, None)]
+        return [(path, info.filename, info.compress_type, start, info.compress_size, k, p.at, p.bits, p.out, p.window, inside, clean, *end, header) for k, ((p, inside, clean), end) in enumerate(zip(found, ends))]
+
+    names = [c.split()[0] for c in POINTS.split(", ")]
 
     def run(batches):
         for pdf in batches:
-            for archive in pdf["archive"]:
+            for archive, ordinal in zip(pdf["archive"], pdf["ordinal"]):
                 with _open(archive) as z:
-                    found = [(archive, info.filename, info.file_size, k) for k, info in enumerate(z.infolist()) if not info.is_dir()]
-                yield pd.DataFrame(found, columns=["archive", "entry", "size", "ordinal"])
+                    yield pd.DataFrame(points(archive, z.infolist()[ordinal]), columns=names).astype({"next_out": "Int64", "next_inside": "boolean", "next_clean": "boolean"})
 
-    names = archives.select(F.col(path).alias("archive")).distinct()
-    return names.mapInPandas(run, ENTRIES)
+    return archives.entries().where(F.lower("entry").endswith(".csv")).select("archive", "ordinal").mapInPandas(run, POINTS)
 
 
-def read_entries(entries: DataFrame, per_task: int = PER_TASK) -> DataFrame:
-    """The entries with their content (bytes); NULL and an error where an entry is damaged. Neighbours are read by one task."""
-    tasks = entries.withColumn("_range", F.floor(F.col("ordinal") / per_task))
-    dealt = tasks.repartition("archive", "_range").drop("_range").sortWithinPartitions("archive", "ordinal")
+def _stretch(p) -> bytes:
+    """The records that begin between a place and the next one; the last of them may end after that."""
+    with _file(p.archive) as file:
+        file.seek(p.data + p.at - bool(p.bits))
+        before, left = file.read(1)[0] if p.bits else 0, p.packed - p.at
 
-    def run(batches):
-        z, name, rows, size = None, None, [], 0
-        for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                if row.archive != name:
-                    z, name = _open(row.archive), row.archive
-                try:
-                    content, error = z.read(z.infolist()[row.ordinal]), None
-                except (zipfile.BadZipFile, OSError, EOFError, NotImplementedError, RuntimeError) as e:
-                    content, error = None, str(e)
-                rows.append((*row, content, error))
-                size += len(content or b"")
-                if size >= PIECE:
-                    yield pd.DataFrame(rows, columns=[*pdf.columns, "content", "error"])
-                    rows, size = [], 0
-            if rows:
-                yield pd.DataFrame(rows, columns=[*pdf.columns, "content", "error"])
-                rows, size = [], 0
-
-    kinds = ", ".join(f"`{c}` {t}" for c, t in dealt.dtypes)
-    return dealt.mapInPandas(run, kinds + ", content binary, error string")
-
-
-def read_zipped_csv(archives: DataFrame, columns: list[str], path: str = "path", rows: int = 20_000) -> DataFrame:
+        def read(n: int) -> bytes:
+            nonlocal left
+            got = file.read(min(n, left))
+            left -= len(got)
+            return got
+
+        inflater = Inflater(read, Checkpoint(p.at, p.bits, p.out, p.window), before) if p.method == zipfile.ZIP_DEFLATED else None
+        pieces, text = iter(inflater or iter(lambda: read(PIECE), b"")), bytearray()
+        size = None if pd.isna(p.next_out) else int(p.next_out) - p.out
+        try:
+            for piece in pieces:
+                text += piece
+                if size is not None and len(text) >= size:
+                    break
+            begin = 0 if p.clean else record_start(text, 0, p.inside)
+            if begin is None or (size is not None and begin >= size):  # a record that began before runs over all of it
+                return b""
+            end = size
+            if size is not None and not p.next_clean:
+                while (end := record_start(text, size, bool(p.next_inside))) is None and (piece := next(pieces, b"")):
+                    text += piece
+            return bytes(memoryview(text)[begin:end])
+        finally:
+            if inflater:
+                inflater.close()
+
+
+def read_zipped_csv(archives: Archives, columns: list[str], rows: int = 20_000, span: int = SPAN) -> DataFrame:
     """The given columns, as text, of the CSV files inside archives; a column that a file lacks is NULL, so is an empty field.
 
-    A compressed stream can't be divided, so an archive is one task, which holds `rows` rows at a time. Quoted fields may hold line breaks.
+    A file is read by a task for each stretch of about `span` bytes. Records end at a line end outside quotes, so quoted
+    fields may hold line breaks, also where two stretches meet; the rows are the same for stretches of any length. A damaged file raises an error.
     """
+    spark, path = archives.spark, scratch(archives.spark)
+    names = [c.replace(".", "_") for c in columns]
+    schema = ", ".join(f"`{c}` string" for c in names)
+    if not archives.files:
+        return spark.createDataFrame([], schema)
+    csv_points(archives, span).write.parquet(path)
+    points = spark.read.schema(POINTS).parquet(path)
+    n = max(1, points.count())
+    dealt = points.repartitionById(n, F.pmod(F.hash("archive", "entry").cast("long") + F.col("k"), F.lit(n)).cast("int"))  # neighbours go to different tasks
 
     def run(batches):
+        csv.field_size_limit(1 << 30)
         for pdf in batches:
-            for archive in pdf["archive"]:
-                with _open(archive) as z:
-                    for info in z.infolist():
-                        if not info.filename.lower().endswith(".csv"):
-                            continue
-                        with z.open(info) as raw:
-                            lines = csv.reader(io.TextIOWrapper(raw, "utf-8-sig", "replace", newline=""), skipinitialspace=True)
-                            header = [h.strip() for h in next(lines, [])]
-                            at = [header.index(c) if c in header else -1 for c in columns]
-                            held = []
-                            for line in lines:
-                                if line:
-                                    held.append([(line[k] or None) if 0 <= k < len(line) else None for k in at])
-                                if len(held) == rows:
-                                    yield pd.DataFrame(held, columns=names, dtype=object)
-                                    held = []
-                            yield pd.DataFrame(held, columns=names, dtype=object)
+            for p in pdf.itertuples(index=False):
+                header = list(p.header)
+                at = [header.index(c) if c in header else -1 for c in columns]
+                held, lines = [], csv.reader(io.StringIO(_stretch(p).decode("utf-8-sig" if p.k == 0 else "utf-8", "replace"), newline=""), skipinitialspace=True)
+                if p.k == 0:
+                    next(lines, None)
+                for line in lines:
+                    if line:
+                        held.append([(line[k] or None) if 0 <= k < len(line) else None for k in at])
+                    if len(held) == rows:
+                        yield pd.DataFrame(held, columns=names, dtype=object)
+                        held = []
+                yield pd.DataFrame(held, columns=names, dtype=object)
 
-    names = [c.replace(".", "_") for c in columns]
-    listed = archives.select(F.col(path).alias("archive")).distinct()
-    return listed.mapInPandas(run, ", ".join(f"`{c}` string" for c in names))
+    return dealt.mapInPandas(run, schema)
 
 
 def write_archives(entries: DataFrame, folder: str) -> DataFrame:

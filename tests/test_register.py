@@ -1,11 +1,18 @@
 """Null rules, traps and small fixtures of the register operators."""
 
+import csv
 import datetime as dt
 import hashlib
+import json
+import random
+import time
 import zipfile
+from io import StringIO
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import EqualTo
 
 from regiscope import queries
 from regiscope.functions import exprs as x
@@ -78,6 +85,21 @@ def test_facts_of_odd_documents():
     assert accounts.facts_of(None) == ([], True)
 
 
+def test_odd_documents_take_linear_time():
+    """5 MB of what never closes, and deep nesting: some seconds, and texts of a few times the document's length at most."""
+    for part in ("<ix:nonNumeric name='a'>x", "<!--", "<a ", "<a \"", "<ix:nonFraction name=\"", "<ix:nonNumeric>y</ix:nonFraction>", "<a 'b\" ", "<ix:nonNumeric name='a'>x<!-- "):
+        document = part * (5_000_000 // len(part))
+        at = time.process_time()
+        found, whole = accounts.facts_of(document)
+        assert time.process_time() - at < 8 and sum(len(f[4] or "") for f in found) <= 4 * len(document) + (1 << 16) and (not whole or not found)
+    nested = "<ix:nonNumeric name='n'>ab" * 3000 + "</ix:nonNumeric>" * 3000
+    found, whole = accounts.facts_of(nested)
+    assert not whole and found[-1][4] == "ab" and found[0][4] is None
+    assert accounts.facts_of("<!-- <ix:nonNumeric name='a'>1</ix:nonNumeric>") == ([("nonNumeric", "a", None, 0, "1")], True)
+    odd = "<p \"x <ix:nonNumeric name='a'>1 <b>2</b></ix:nonNumeric>"
+    assert [f[4] for f in accounts.facts_of(odd)[0]] == ["1 2"]
+
+
 def test_archives_are_listed_and_read_by_ranges(spark, tmp_path):
     path = str(tmp_path / "Accounts.zip")
     with zipfile.ZipFile(path, "w") as z:
@@ -87,14 +109,17 @@ def test_archives_are_listed_and_read_by_ranges(spark, tmp_path):
     raw = bytearray(open(path, "rb").read())
     raw[raw.index(b"A &amp;", raw.index(b"00000003"))] ^= 1  # one entry no longer fits its checksum
     open(path, "wb").write(raw)
-    listed = zips.list_entries(io.list_archives(spark, str(tmp_path)))
-    assert rows(listed.select("ordinal", "size")) == [(0, len(DOC)), (1, len(DOC)), (2, 0), (3, len(DOC)), (4, len(DOC))]
-    read = zips.read_entries(accounts.file_keys(listed), 2)
+    archives = zips.Archives(io.list_archives(spark, str(tmp_path)), size=400)
+    listed = archives.entries()
+    assert archives.count > 1 and rows(listed.select("ordinal", "size")) == [(0, len(DOC)), (1, len(DOC)), (2, 0), (3, len(DOC)), (4, len(DOC))]
+    read = archives.read(accounts.file_keys(listed))
     assert rows(read.select("ordinal", F.col("error").isNull(), F.length("content"))) == [(0, True, len(DOC)), (1, True, len(DOC)), (2, True, 0), (3, False, None)]
     got = rows(accounts.accounts(read, ["companynumber"]).select("companynumber", "company", "employees_thisyear", "employees_lastyear"))
     full = ("A & B Ltd", 12.0, None)
     assert got == [("00000000", *full), ("00000001", *full), ("00000002", None, None, None), ("00000003", None, None, None)]
-    assert zips.list_entries(io.list_archives(spark, str(tmp_path)).limit(0)).count() == 0
+    assert rows(accounts.file_keys(archives.entries(content=True)).select("ordinal", F.col("error").isNull(), F.length("content"))) == rows(read.select("ordinal", F.col("error").isNull(), F.length("content")))
+    none = zips.Archives(io.list_archives(spark, str(tmp_path)).limit(0))
+    assert none.entries().count() == 0 and none.read(none.entries()).count() == 0
 
 
 def test_extracts_skip_what_is_there_and_keep_problems(spark, tmp_path):
@@ -108,7 +133,7 @@ def test_extracts_skip_what_is_there_and_keep_problems(spark, tmp_path):
     zips.write_archives(df, folder).collect()
     pipelines.account_extracts(io.list_archives(spark, folder), out, known, "CompanyNumber")
     assert all(f.stat().st_mtime_ns == at for f, at in first.items())  # the first archive was not read again
-    good, bad = pipelines.extracted(spark, out), pipelines.extracted(spark, out, problems=True)
+    good, bad = (pipelines.extracted(spark, out, p).withColumn("archive", x.base_name(F.col("archive"))) for p in (False, True))
     assert rows(good.select("archive", "companynumber")) == [("A0.zip", "00000002"), ("A0.zip", "00000004"), ("A1.zip", "00000001"), ("A1.zip", "00000005")]
     assert rows(bad.select("archive", "companynumber")) == [("A0.zip", "00000000"), ("A1.zip", "00000003")]
     pipelines.account_extracts(io.list_archives(spark, folder), out, known, "CompanyNumber")
@@ -119,9 +144,86 @@ def test_zipped_csv_with_quotes_and_missing_columns(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "r.zip", "w") as z:
         z.writestr("r.csv", '\ufeffCompanyName, CompanyNumber,RegAddress.PostCode,Other\r\n"A, ""x""\nB",00012,,1\r\nshort\r\n\r\nC,3,S1 2AB,\r\n')
         z.writestr("readme.txt", "no csv")
-    got = zips.read_zipped_csv(io.list_archives(spark, str(tmp_path)), ["CompanyNumber", "CompanyName", "RegAddress.PostCode", "URI"], rows=2)
-    assert got.columns == ["CompanyNumber", "CompanyName", "RegAddress_PostCode", "URI"]
-    assert rows(got) == sorted([("00012", 'A, "x"\nB', None, None), (None, "short", None, None), ("3", "C", "S1 2AB", None)], key=str)
+    for span in (5, 40, zips.SPAN):
+        got = zips.read_zipped_csv(zips.Archives(io.list_archives(spark, str(tmp_path))), ["CompanyNumber", "CompanyName", "RegAddress.PostCode", "URI"], rows=2, span=span)
+        assert got.columns == ["CompanyNumber", "CompanyName", "RegAddress_PostCode", "URI"]
+        assert rows(got) == sorted([("00012", 'A, "x"\nB', None, None), (None, "short", None, None), ("3", "C", "S1 2AB", None)], key=str)
+
+
+def test_archives_are_read_by_many_tasks(spark, tmp_path):
+    """Small archives are a task each, a large one is many; joins in between change nothing, nor do joined partitions; filters reach the directory."""
+    for k in range(24):
+        with zipfile.ZipFile(tmp_path / f"A{k}.zip", "w") as z:
+            for j in range(20):
+                z.writestr(f"P_2_{j:08d}_20240331.html", "x" * 50)
+    archives = zips.Archives(io.list_archives(spark, str(tmp_path)))
+    task = F.spark_partition_id().alias("task")
+    assert archives.count == 24 and archives.entries().select("archive", task).distinct().count() == archives.entries(content=True).select(task).distinct().count() == 24
+    some = link.members(archives.entries(), spark.createDataFrame([("00000003",), ("00000007",)], "companynumber string").hint("shuffle_hash"), "companynumber", "companynumber")
+    assert archives.read(some).select("archive", task).distinct().groupBy("task").count().count() == 24 and archives.read(some).count() == 48
+    (tmp_path / "large").mkdir()
+    with zipfile.ZipFile(tmp_path / "large" / "L.zip", "w") as z:
+        for j in range(400):
+            z.writestr(f"P_2_{j:08d}_20240331.html", str(j) * 2000)
+    large = zips.Archives(io.list_archives(spark, str(tmp_path / "large")), size=100_000)
+    got = large.entries(content=True).select("entry", task, F.length("content").alias("n"))
+    assert got.select("task").distinct().count() > 10 and got.count() == got.select("entry").distinct().count() == 400
+    reader = zips.FilteringReader({"archives": json.dumps(large.files), "content": "true"})
+    assert list(reader.pushFilters([EqualTo(("companynumber",), "00000005"), EqualTo(("size",), 1)])) == [EqualTo(("size",), 1)]
+    assert [r[1] for s in reader.partitions() for r in reader.read(s)] == ["P_2_00000005_20240331.html"]
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        assert rows(large.entries(content=True).where("companynumber IN ('00000005', '00000399')").select("companynumber")) == [("00000005",), ("00000399",)]
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+
+
+def test_archives_of_one_name_and_broken_archives(spark, tmp_path):
+    """Archives in two folders do not overwrite each other; one that can't be opened is a problem of its own."""
+    out = str(tmp_path / "out")
+    for k, folder in enumerate(("a", "b")):
+        (tmp_path / "in" / folder).mkdir(parents=True)
+        with zipfile.ZipFile(tmp_path / "in" / folder / "same.zip", "w") as z:
+            z.writestr(f"P_2_{k:08d}_20240331.html", DOC)
+    (tmp_path / "in" / "a" / "broken.zip").write_bytes(b"PK no archive")
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(str(tmp_path / "in")).select("path", "length")
+    for known in (None, spark.createDataFrame([("00000000",), ("00000001",)], "companynumber string")):
+        pipelines.account_extracts(listing, out + str(known is None), known)
+        assert rows(pipelines.extracted(spark, out + str(known is None)).select("companynumber")) == [("00000000",), ("00000001",)]
+        (bad,) = pipelines.extracted(spark, out + str(known is None), problems=True).collect()
+        assert bad.archive.endswith("a/broken.zip") and bad.problem.startswith("not an archive")
+        pipelines.account_extracts(listing, out + str(known is None), known)
+        assert pipelines.extracted(spark, out + str(known is None)).count() == 2
+
+
+def test_compressed_csv_is_read_by_stretches(spark, tmp_path):
+    """The same rows for any number of stretches, also where quoted line breaks, long fields or the last line without end lie on their borders; packed and stored."""
+    rng = random.Random(8)
+    out = StringIO(newline="")
+    writer = csv.writer(out, lineterminator="\r\n")
+    writer.writerow(["CompanyName", "CompanyNumber"])
+    want = [("".join(rng.choices("abcdef ,\"\n\r", k=rng.choice([3, 30, 200]))).strip(" ") or None, f"{k:08d}") for k in range(4000)]
+    want[1000] = ('"\n' * 60_000 + "long", "00001000")
+    writer.writerows(want)
+    text = out.getvalue().rstrip("\r\n").encode()
+    for name, kind in (("a.zip", zipfile.ZIP_DEFLATED), ("b.zip", zipfile.ZIP_STORED)):
+        folder = tmp_path / name[0]
+        folder.mkdir()
+        with zipfile.ZipFile(folder / name, "w", kind, compresslevel=6) as z:
+            z.writestr("readme.txt", "x")
+            z.writestr("Basic.csv", text)
+        for span in (1, 5_000, 60_000, 1 << 24):
+            archives = zips.Archives(io.list_archives(spark, str(folder)))
+            points = zips.csv_points(archives, max(span, 500)).count()
+            got = zips.read_zipped_csv(archives, ["CompanyNumber", "CompanyName"], span=max(span, 500)).withColumn("task", F.spark_partition_id()).collect()
+            assert sorted((r.CompanyNumber, r.CompanyName) for r in got) == [(n, c) for c, n in want]
+            assert points > 3 or span > 5_000
+            assert len({r.task for r in got}) > 3 or points < 8
+    raw = bytearray((tmp_path / "a" / "a.zip").read_bytes())
+    raw[len(raw) // 2] ^= 64
+    (tmp_path / "a" / "a.zip").write_bytes(raw)
+    with pytest.raises(Exception):
+        zips.read_zipped_csv(zips.Archives(io.list_archives(spark, str(tmp_path / "a"))), ["CompanyNumber"]).count()
 
 
 def _clip(subject, window):
