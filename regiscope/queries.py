@@ -838,11 +838,11 @@ def pipe_app(t):
  SELECT o_custkey, o_orderkey, d FROM w WHERE n = 1 OR (z = 0 AND d = m)""")
 def stream_latest(t):
     """Accounts that arrive in three files of a stream, one file a batch: the latest of each company as of the last batch."""
-    spark = t("nation").sparkSession
-    source, out, checkpoint = scratch(spark), scratch(spark), scratch(spark)
+    spark = incremental.stateful_session(t("nation").sparkSession, 8)
+    source, checkpoint = scratch(spark), scratch(spark)
     rows = _extracts(t, 17)
     for k in range(3):
         rows.where(f"o_orderkey % 3 = {k}").coalesce(1).write.mode("append").parquet(source)
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    incremental.run_once(stream, checkpoint, incremental.upsert_latest(out, "o_custkey", "d", 4))
-    return incremental.latest_rows(spark, out, "o_custkey", "d")
+    incremental.keep_latest(stream, "o_custkey", "d", checkpoint)
+    return incremental.latest_rows(t("nation").sparkSession, checkpoint)

@@ -1,17 +1,17 @@
-"""Work on new inputs only: against a manifest, or as a file stream that stops when it has caught up."""
+"""Work on new inputs only: against a manifest, or as a file stream that stops when it has caught up, with keyed state."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from regiscope.functions.exprs import base_name
 
-BUCKETS = 256
-
 
 def new_inputs(listing: DataFrame, manifest: DataFrame, path: str = "path") -> DataFrame:
     """Rows of a listing whose base name no manifest row has (repeated ones stay)."""
@@ -40,40 +40,57 @@ def run_once(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int]
     stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def upsert_latest(path: str, key: str, date: str, buckets: int = BUCKETS) -> Callable[[DataFrame, int], None]:
-    """For run_once: keeps what `latest_rows` needs of all batches in a table under path.
+def stateful_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+    """A session of its own for streams with keyed state: RocksDB holds the state, two versions of it stay.
 
-    Of a key the rows of its latest date stay, one row with a NULL date, and its number of rows. Keys are dealt to buckets
-    by a hash, and a batch writes a new version of only those buckets that it has keys of; a batch that runs again writes
-    the same versions again.
+    `partitions` is the number of state partitions, which a stream keeps from its first start on; else that of the session's shuffles.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    session.conf.set("spark.sql.streaming.minBatchesToRetain", "2")
+    session.conf.set("spark.sql.shuffle.partitions", str(partitions or spark.conf.get("spark.sql.shuffle.partitions")))
+    return session
+
+
+class Latest(StatefulProcessor):
+    """Keeps of each key what `agg.latest` of all its rows so far would give: the rows of its latest date, its only row whatever the date, nothing once one of several has no date."""
+
+    def __init__(self, date: str, row: StructType):
+        self.date, self.row, self.when = date, row, StructType([StructField("n", LongType()), StructField("undated", BooleanType()), StructField("latest", row[date].dataType)])
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.known, self.rows = handle.getValueState("known", self.when), handle.getListState("rows", self.row)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timers) -> Iterator[Row]:
+        n, undated, latest = self.known.get() or (0, False, None)
+        for row in rows:
+            date, n = row[self.date], n + 1
+            undated |= date is None
+            if n > 1 and undated:
+                self.rows.clear()
+            elif n == 1 or date > latest:
+                self.rows.put([tuple(row)])
+                latest = date
+            elif date == latest:
+                self.rows.appendValue(tuple(row))
+        self.known.update((n, undated, latest))
+        yield Row(n=n, undated=undated, latest=latest)
+
+    def close(self) -> None:
+        pass
+
+
+def keep_latest(stream: DataFrame, key: str, date: str, checkpoint: str) -> None:
+    """Takes all that is new in a stream of a `stateful_session` into the state under the checkpoint, and stops.
+
+    The state has a count, a flag, a date and the latest rows of each key, so it grows with the keys, not with the batches.
+    A batch that broke off runs again from the state before it.
     """
+    processor = Latest(date, stream.schema)
+    kept = stream.groupBy(key).transformWithState(processor, processor.when, "Update", "None")
+    kept.writeStream.format("noop").outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
 
-    def each(batch: DataFrame, number: int) -> None:
-        rows = batch.withColumn("_rows", F.lit(1).cast("long")).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-        before = stored(batch.sparkSession, path)
-        if before is not None:
-            touched = [r[0] for r in rows.select("bucket").distinct().collect()]  # `buckets` numbers at most
-            before = before.where(F.col("version") < number).where(F.col("bucket").isin(touched))
-            rows = _newest(before).drop("version").unionByName(rows, allowMissingColumns=True)
-        w = Window.partitionBy(key)
-        kept = rows.withColumn("_all", F.sum("_rows").over(w)).withColumn("_max", F.max(date).over(w))
-        null = F.row_number().over(Window.partitionBy(key, F.col(date).isNull()).orderBy(F.desc("_rows")))
-        kept = kept.withColumn("_k", null).where((F.col(date) == F.col("_max")) | (F.col(date).isNull() & (F.col("_k") == 1)))
-        first = F.row_number().over(Window.partitionBy(key).orderBy(F.col(date).desc_nulls_last()))
-        kept = kept.withColumn("_rows", F.when(first == 1, F.col("_all")).otherwise(F.lit(0)).cast("long")).drop("_all", "_max", "_k")  # the number stands on one row
-        kept.withColumn("version", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "version").parquet(path)
-
-    return each
-
-
-def _newest(table: DataFrame) -> DataFrame:
-    """The rows of each bucket's last version."""
-    last = table.groupBy("bucket").agg(F.max("version").alias("_last"))
-    return table.join(F.broadcast(last), "bucket").where("version = _last").drop("_last")  # a row a bucket
-
-
-def latest_rows(spark: SparkSession, path: str, key: str, date: str) -> DataFrame:
-    """As `agg.latest` of all rows so far: single rows, and of several rows per key those of the latest date, none if any date is NULL."""
-    w = Window.partitionBy(key)
-    rows = _newest(spark.read.parquet(path)).withColumn("_all", F.sum("_rows").over(w)).withColumn("_null", F.count_if(F.col(date).isNull()).over(w))
-    return rows.where("_all = 1 OR _null = 0").drop("_all", "_null", "_rows", "bucket", "version")
+def latest_rows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The rows of `agg.latest` of all that `keep_latest` has taken in, read from its state."""
+    return spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "rows").load().select("list_element.*")

@@ -353,15 +353,20 @@ def test_natural_breaks_match_a_direct_search(spark):
 
 
 def test_stream_keeps_the_latest_of_all_batches(spark, tmp_path):
-    """A group dropped for a NULL date stays dropped when later batches bring dates; a batch that runs again changes nothing."""
-    batches = [[("a", None), ("b", 1), ("c", 5)], [("a", 3), ("b", 2), ("d", None)], [("b", 2), ("c", 4), ("a", 9)]]
-    path, seen = str(tmp_path / "t"), []
-    each = incremental.upsert_latest(path, "k", "d", 3)
-    for n, batch in enumerate(batches):
+    """After every batch as the batch form of all rows so far; each run starts from the checkpoint. A group dropped for a NULL date stays dropped; ties and values stay as they are."""
+    batches = [[("a", None, 1), ("b", 1, 2), ("c", 5, None), (None, 1, 3)], [("a", 3, 4), ("b", 2, 5), ("d", None, 2**53 + 1), ("c", 5, 6)], [("b", 2, 7), ("c", 4, 8), ("a", 9, 9), (None, 2, 10)], [("b", 1, k) for k in range(500)]]
+    schema, source, checkpoint, seen = "k string, d int, v long", str(tmp_path / "in"), str(tmp_path / "cp"), []
+    session = incremental.stateful_session(spark, 3)
+    stored = []
+    for batch in batches:
         seen += batch
-        for _ in range(2):
-            each(spark.createDataFrame(batch, "k string, d int"), n)
-        assert rows(incremental.latest_rows(spark, path, "k", "d")) == rows(agg.latest(spark.createDataFrame(seen, "k string, d int"), "k", "d"))
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(source)
+        incremental.keep_latest(session.readStream.schema(schema).parquet(source), "k", "d", checkpoint)
+        got = incremental.latest_rows(spark, checkpoint)
+        assert got.columns == ["k", "d", "v"] and rows(got) == rows(agg.latest(spark.createDataFrame(seen, schema), "k", "d"))
+        stored.append(got.count())
+    assert stored[3] == stored[2] and spark.conf.get("spark.sql.shuffle.partitions") == "4"  # 500 older rows store nothing
+    assert incremental.latest_rows(spark, checkpoint).where("k = 'd'").first().v == 2**53 + 1
 
 
 def test_group_aggregates_join_back_with_null_keys(spark):
