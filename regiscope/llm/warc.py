@@ -27,7 +27,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regiscope.llm.common import join_by_count, materialise, small
@@ -183,32 +183,44 @@ def records(members: DataFrame) -> DataFrame:
 def normalise_files(files: DataFrame, folder: str) -> DataFrame:
     """Normalises WARC files (column path, as of a binaryFile listing) of any size; a row per record: file, offset, length, record_id.
 
-    A file is read once, as a stream, by one task, which holds one record at a time. It writes the file of the same name in
-    `folder`, with every record a gzip member, and beside it `<name>.index`, a JSON object of offset, length and record_id
-    in each line. Both get their names when they are complete, so a task may run again. Paths are opened with pyarrow's
-    file systems (local, HDFS, S3 and the like). A damaged file raises EOFError or zlib.error and leaves nothing.
+    A file is read once, as a stream, by a task of its own, which holds one record at a time. It writes the file of the same
+    name in `folder`, with every record a gzip member, and beside it `<name>.index`, a JSON object of offset, length and
+    record_id in each line. Files of one name in different folders are `<16 digits of the path's SHA-256>-<name>` there.
+    Both files get their names when they are complete, the index first, so an archive never stands without its index, and a
+    task may run again. Paths are opened with pyarrow's file systems (local, HDFS, S3 and the like). A damaged file raises
+    EOFError or zlib.error and leaves nothing; no rows of any file are given then.
     """
     base = folder if ":" in folder else f"file://{folder}"
+    name = F.element_at(F.split("path", "/"), -1)
+    listed = files.select("path").distinct().withColumn("name", name)
+    listed = listed.withColumn("name", F.when(F.count("*").over(Window.partitionBy("name")) > 1, F.concat(F.substring(F.sha2("path", 256), 1, 16), F.lit("-"), "name")).otherwise(F.col("name")))
+    listed = materialise(listed.withColumn("task", F.row_number().over(Window.orderBy("path")) - 1))  # a listing: a row a file
+    dealt = listed.repartitionById(max(1, listed.count()), F.col("task"))
 
     def run(batches):
         out, at = fs.FileSystem.from_uri(base)
         out.create_dir(at, recursive=True)
         for b in batches:
-            for path in b.column("path").to_pylist():
-                system, name = fs.FileSystem.from_uri(path if ":" in path else f"file://{path}")
-                to, part = posixpath.join(at, posixpath.basename(name)), posixpath.join(at, f".{uuid.uuid4().hex}")
-                with system.open_input_stream(name, compression=None) as raw, out.open_output_stream(part, compression=None) as new, out.open_output_stream(part + ".index", compression=None) as index:
-                    rows = []
-                    for offset, length, record_id in normalise(raw.read, new.write):
-                        rows.append((offset, length, record_id))
-                        if len(rows) == INDEX_ROWS:
-                            yield _indexed(to, rows, index)
-                            rows = []
-                    yield _indexed(to, rows, index)
-                out.move(part, to)
-                out.move(part + ".index", to + ".index")
-
-    return materialise(files.select("path").distinct().mapInArrow(run, "file string, offset long, length long, record_id string"))
+            for path, name in zip(b.column("path").to_pylist(), b.column("name").to_pylist()):
+                system, source = fs.FileSystem.from_uri(path if ":" in path else f"file://{path}")
+                to, part = posixpath.join(at, name), posixpath.join(at, f".{uuid.uuid4().hex}")
+                try:
+                    with system.open_input_stream(source, compression=None) as raw, out.open_output_stream(part, compression=None) as new, out.open_output_stream(part + ".index", compression=None) as index:
+                        rows = []
+                        for offset, length, record_id in normalise(raw.read, new.write):
+                            rows.append((offset, length, record_id))
+                            if len(rows) == INDEX_ROWS:
+                                yield _indexed(to, rows, index)
+                                rows = []
+                        yield _indexed(to, rows, index)
+                    out.move(part + ".index", to + ".index")
+                    out.move(part, to)
+                finally:
+                    for left in (part, part + ".index"):
+                        if out.get_file_info(left).type != fs.FileType.NotFound:
+                            out.delete_file(left)
+
+    return materialise(dealt.mapInArrow(run, "file string, offset long, length long, record_id string"))
 
 
 def _indexed(file: str, rows: list[tuple], index) -> pa.RecordBatch:

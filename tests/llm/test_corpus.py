@@ -84,6 +84,28 @@ def test_warc_files_are_normalised_with_sidecars(spark, tmp_path, monkeypatch):
     assert sorted(p.name for p in (tmp_path / "out").iterdir()) == sorted([*raw, *(f"{n}.index" for n in raw)])
 
 
+def test_warc_files_of_one_name_and_damaged_ones(spark, tmp_path):
+    """No archive is lost, each file has a task, and a damaged one leaves nothing behind."""
+    raw = [warc.record(k, "http://x", b"<p>%d</p>" % k, None) for k in range(6)]
+    for k in range(12):
+        (tmp_path / "in" / f"w{k}").mkdir(parents=True)
+        (tmp_path / "in" / f"w{k}" / ("same.warc.gz" if k < 3 else f"{k}.warc.gz")).write_bytes(gzip.compress(b"".join(raw[: k % 5 + 1])))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(str(tmp_path / "in")).select("path")
+    got = warc.normalise_files(files, str(tmp_path / "out"))
+    assert got.count() == sum(k % 5 + 1 for k in range(12)) and got.inputFiles() and len(got.inputFiles()) == 12  # a part file a task
+    names = sorted(p.name for p in (tmp_path / "out").iterdir())
+    assert len(names) == 24 and sum(n.endswith("-same.warc.gz") for n in names) == 3
+    for r in got.collect():
+        data = open(r.file, "rb").read()
+        assert json.loads(open(r.file + ".index").readline())["offset"] == 0 and warc.parse(gzip.decompress(data[r.offset : r.offset + r.length]))[0]["warc-record-id"] == r.record_id
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "b.warc.gz").write_bytes(gzip.compress(b"".join(raw))[:-40])
+    with pytest.raises(Exception):
+        warc.normalise_files(spark.read.format("binaryFile").load(str(tmp_path / "bad")).select("path"), str(tmp_path / "none")).count()
+    assert list((tmp_path / "none").iterdir()) == []
+    assert warc.normalise_files(files.limit(0), str(tmp_path / "none")).count() == 0
+
+
 def test_operators_leave_the_session_as_it_is(spark):
     before = dict(spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jsparkSession.conf().getAll()))
     warc.round_trip(queries.table(spark, DIR, "pages")).count()
