@@ -56,11 +56,15 @@ def arg_max(df: DataFrame, keys: list[str], value: str, tie: str) -> DataFrame:
     return first_rows(df, keys, [F.desc(value), F.asc(tie)])
 
 
-def with_group(df: DataFrame, keys: list[str], **values: Column) -> DataFrame:
+def with_group(df: DataFrame, keys: list[str], few: bool = False, **values: Column) -> DataFrame:
     """Adds aggregates of each row's group (NULL keys are a group of their own).
 
     Groups are summed before the shuffle and joined back, so a group of any size is never gathered in one task as by a window.
+    With `few` the caller says that a group's rows are few by nature (the lines of an order): then it is a window, one scan and one shuffle.
     """
+    if few:
+        w = Window.partitionBy(*keys)
+        return df.withColumns({n: c.over(w) for n, c in values.items()})
     sums = df.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(*(c.alias(n) for n, c in values.items()))
     if not keys:
         return df.crossJoin(F.broadcast(sums))  # one row
@@ -85,8 +89,8 @@ def latest(df: DataFrame, key: str, date: str) -> DataFrame:
     return out.where((F.col("_n") == 1) | ((F.col("_null") == 0) & (F.col(date) == F.col("_max")))).drop("_n", "_max", "_null")
 
 
-def share_of_group(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    out = with_group(df, keys, _total=F.sum(value), group_count=F.count("*"))
+def share_of_group(df: DataFrame, keys: list[str], value: str, few: bool = False) -> DataFrame:
+    out = with_group(df, keys, few, _total=F.sum(value), group_count=F.count("*"))
     return out.withColumn("pct", F.col(value) / F.col("_total") * 100).drop("_total")
 
 

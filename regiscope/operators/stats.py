@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from regiscope.functions.exprs import log10
 from regiscope.operators.geo import distance
-from regiscope.sources.io import scratch
+from regiscope.sources.io import written
 
 
 def ols_by_group(df: DataFrame, keys: list[str], y: str, x: str) -> DataFrame:
@@ -52,7 +52,7 @@ def permuted_pairs(points: DataFrame, n1: Column | int, n2: Column | int, reps:
         near = h.join(F.broadcast(last), "rep").where("_b <= _last")  # `reps` rows
         whole = near.where("_b < _last").select("rep", "x", "y")
         rank = F.row_number().over(Window.partitionBy("rep").orderBy("_h", key))
-        sides.append(whole.unionByName(near.where("_b = _last").withColumn("_k", rank).where("_k <= _room").select("rep", "x", "y")))
+        sides.append(written(whole.unionByName(near.where("_b = _last").withColumn("_k", rank).where("_k <= _room").select("rep", "x", "y"))))  # drawn once, whatever passes over the pairs
     return pair_distances(*sides, keys=["rep"])
 
 
@@ -65,7 +65,11 @@ def colocation(points: DataFrame, group: str, first: str, second: str, reps: int
     n1, n2 = a.count(), b.count()
     seen = pair_distances(a.select("x", "y"), b.select("x", "y")).withColumn("rep", F.lit(-1).cast("long"))  # the observed pairs as one more repetition
     pairs = seen.unionByName(permuted_pairs(points.select("id", "x", "y"), n1, n2, reps))
-    each = distance_peaks(pairs, "rep") if peaks else pairs.groupBy("rep").agg(F.avg("distance").alias("mean_distance"))
+    return _scores(distance_peaks(pairs, "rep") if peaks else pairs.groupBy("rep").agg(F.avg("distance").alias("mean_distance")), peaks)
+
+
+def _scores(each: DataFrame, peaks: bool) -> DataFrame:
+    """Observed value (rep -1), mean, deviation and z score over the other repetitions."""
     found = []
     for c, end in (("mean_distance", ""), ("peak", "_peak"))[: 1 + peaks]:
         drawn = F.when(F.col("rep") >= 0, F.col(c))
@@ -88,17 +92,99 @@ def distance_peaks(pairs: DataFrame, key: str, points: int = 512, bins: int = 40
 
     def peak(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("b")
-        one, m, w = pdf.iloc[0], pdf.m.to_numpy(), pdf.w.to_numpy()
-        q1, q3 = m[np.searchsorted(w.cumsum(), (0.25 * one.n, 0.75 * one.n))]
-        spread = min(one.sd, (q3 - q1) / 1.34) if one.n > 1 else 0.0
-        width = 0.9 * (spread or (one.sd if one.n > 1 and one.sd > 0 else 1.0)) * one.n**-0.2
-        grid = np.linspace(one.lo - 3 * width, one.hi + 3 * width, points)
-        high = np.exp(-0.5 * ((grid[:, None] - m) / width) ** 2) @ w
-        return pd.DataFrame({key: [int(one[key])], "mean_distance": [one.mean_distance], "peak": [grid[high.argmax()]]})
+        one = pdf.iloc[0]
+        return pd.DataFrame({key: [int(one[key])], "mean_distance": [one.mean_distance], "peak": [_peak(pdf.m.to_numpy(), pdf.w.to_numpy(), one.n, one.lo, one.hi, one.sd, points)]})
 
     return binned.groupBy(key).applyInPandas(peak, f"{key} long, mean_distance double, peak double")
 
 
+def _peak(m: np.ndarray, w: np.ndarray, n: float, lo: float, hi: float, sd: float, points: int = 512) -> float:
+    """Density peak of n values in bins of ascending means m and counts w."""
+    q1, q3 = m[np.searchsorted(w.cumsum(), (0.25 * n, 0.75 * n))]
+    spread = min(sd, (q3 - q1) / 1.34) if n > 1 else 0.0
+    width = 0.9 * (spread or (sd if n > 1 and sd > 0 else 1.0)) * n**-0.2
+    grid = np.linspace(lo - 3 * width, hi + 3 * width, points)
+    return grid[(np.exp(-0.5 * ((grid[:, None] - m) / width) ** 2) @ w).argmax()]
+
+
+#: Most points that numpy draws from without replacement; of more, draws are with replacement, which differs by less than any sample can show.
+DRAWN = 10**9
+
+
+def colocation_by_grid(points: DataFrame, group: str, first: str, second: str, reps: int = 1000, cells: int = 512, seed: int = 0) -> DataFrame:
+    """`colocation` with peaks, by how many points each cell of a square grid over all points holds; and `within`, the cell's diagonal.
+
+    One pass counts the points and both groups by cell: `cells` squared rows at most, whatever the table's size. A repetition
+    draws both samples' counts by cell (of the cells' counts, without replacement: the same distribution as drawing points),
+    and the numbers of pairs by offset between cells are the cross-correlation of the two, by Fourier transform: no point and no
+    pair is made again. A pair's distance is taken as the mean over its two cells, so every distance, and with it a mean, is
+    within the diagonal of that of the points. Points without finite coordinates are left out; a group without points gives nulls.
+    """
+    spark = points.sparkSession
+    p = points.where(" AND ".join(f"{c} IS NOT NULL AND NOT isnan({c}) AND abs({c}) < double('infinity')" for c in ("x", "y")))
+    low_x, high_x, low_y, high_y = p.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
+    size = (max(high_x - low_x, high_y - low_y) / cells or 1.0) if low_x is not None else 1.0
+    at = lambda c, low: F.least(F.floor((F.col(c) - F.lit(low)) / F.lit(size)), F.lit(cells - 1)).cast("int")
+    counts = p.groupBy(at("x", low_x).alias("i"), at("y", low_y).alias("j")).agg(F.count("*").alias("n"), F.count_if(F.col(group) == first).alias("a"), F.count_if(F.col(group) == second).alias("b")).toPandas()
+    i, j, n, a, b = (counts[c].to_numpy() for c in ("i", "j", "n", "a", "b"))
+
+    def run(batches):
+        away = _cell_distances(cells)
+        for pdf in batches:
+            out = []
+            for rep in pdf["rep"]:
+                rng = np.random.default_rng([seed, rep + 1])
+                draw = lambda k: rng.multivariate_hypergeometric(n, k, method="marginals") if n.sum() < DRAWN else rng.multinomial(k, n / n.sum())
+                left, right = (a, b) if rep < 0 else (draw(a.sum()), draw(b.sum()))
+                out.append((rep, *_mean_and_peak(_offsets(i, j, left, right, cells), away, size)))
+            yield pd.DataFrame(out, columns=["rep", "mean_distance", "peak"])
+
+    tasks = min(reps + 1, 4 * spark.sparkContext.defaultParallelism)
+    each = spark.range(-1, reps, 1, tasks).withColumnRenamed("id", "rep")
+    none = len(counts) == 0 or not a.sum() or not b.sum()
+    each = each.select("rep", F.lit(None).cast("double").alias("mean_distance"), F.lit(None).cast("double").alias("peak")) if none else each.mapInPandas(run, "rep long, mean_distance double, peak double")
+    return _scores(each, True).withColumn("within", F.lit(size * math.sqrt(2)))
+
+
+def _cell_distances(cells: int, parts: int = 8) -> np.ndarray:
+    """Mean distance, in cells, of points spread evenly over two cells, by the offset between them; cells are taken as `parts` by `parts` points."""
+    k = np.arange(1 - parts, parts)
+    weight, shift, at = (parts - np.abs(k)) / parts**2, k / parts, np.arange(cells)
+    out = np.zeros((cells, cells))
+    for wx, sx in zip(weight, shift):
+        for wy, sy in zip(weight, shift):
+            out += wx * wy * np.hypot((at + sx)[:, None], (at + sy)[None])
+    return out
+
+
+def _offsets(i: np.ndarray, j: np.ndarray, left: np.ndarray, right: np.ndarray, cells: int) -> np.ndarray:
+    """Numbers of pairs by offset between their cells, without its sign."""
+    grids = []
+    for w in (left, right):
+        g = np.zeros((cells, cells))
+        g[i, j] = w
+        grids.append(np.fft.rfft2(g, (2 * cells, 2 * cells)))
+    pairs = np.rint(np.fft.irfft2(grids[0] * grids[1].conj(), (2 * cells, 2 * cells)))
+    for axis in (0, 1):  # offsets d and -d together
+        pairs = pairs.swapaxes(0, axis)
+        folded = pairs[:cells].copy()
+        folded[1:] += pairs[: cells : -1]
+        pairs = folded.swapaxes(0, axis)
+    return np.maximum(pairs, 0)
+
+
+def _mean_and_peak(pairs: np.ndarray, away: np.ndarray, size: float, bins: int = 4096) -> tuple[float, float]:
+    met = pairs > 0
+    d, w = away[met] * size, pairs[met]
+    n, mean = w.sum(), np.average(d, weights=w)
+    lo, hi = d.min(), d.max()
+    sd = math.sqrt((w * (d - mean) ** 2).sum() / (n - 1)) if n > 1 else math.nan
+    b = np.minimum((d - lo) / max((hi - lo) / bins, 1e-300), bins - 1).astype(np.int64)
+    by, sums = np.bincount(b, w, bins), np.bincount(b, w * d, bins)
+    held = by > 0
+    return float(mean), float(_peak(sums[held] / by[held], by[held], n, lo, hi, sd))
+
+
 def density(df: DataFrame, group: str, value: str, points: int = 512, bins: int = 2048) -> DataFrame:
     """(group, x, density): Gaussian kernel density on a grid over the range and three bandwidths beyond.
 
@@ -157,42 +243,54 @@ def log_density(df: DataFrame, group: str, value: str, points: int = 512) -> Dat
     return density(df.select(group, log10(F.col(value)).alias("_log")), group, "_log", points)
 
 
+#: Up to so many levels the breaks are searched in two steps; of more, each step is FAN times as fine as the one before.
+TWO_STEPS, FAN = 1 << 16, 16
+
+
 def natural_breaks(df: DataFrame, value: str, classes: int) -> DataFrame:
     """Upper bounds of `classes` classes of least squared deviation: an exact dynamic program over all distinct values.
 
-    Of n levels the best last break before a level never lies lower than that of a lower level. So for each class every
-    s-th level (s about the root of n) is tried against all levels, and the levels between two of those only against the
-    levels between their breaks: n * s pairs a class instead of n * n, as equality joins on blocks of s levels. Values are
-    centred first, so squares of large values do not cancel. Equal costs take the lower breaks.
+    Of n levels the best last break before a level never lies lower than that of a lower level. So for each class a few
+    levels are tried against all, then FAN times as many between those, each only against the levels between the breaks of
+    its neighbours, and so on: about FAN n log n pairs a class, as equality joins on blocks of levels. Values are centred
+    first, so squares of large values do not cancel. Equal costs take the lower breaks.
     """
     v = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
     levels = v.groupBy("v").agg(F.count("*").alias("w"))
     n, mean = levels.agg(F.count("*"), F.sum(F.col("v") * F.col("w")) / F.sum("w")).first()
     if not n:
         return v.select(F.lit(0).alias("class"), F.col("v").alias("upper"))
-    size, classes = max(1, math.isqrt(n)), min(classes, n)
-    c = _levels(levels, mean).withColumn("block", F.floor((F.col("i") - 1) / size))
-    c = _written(c)
+    root, classes = max(2, math.isqrt(n)), min(classes, n)
+    fan = root if n <= TWO_STEPS else FAN
+    strides = [1]
+    while strides[-1] * fan < n:
+        strides.append(strides[-1] * fan)
+    c = written(_levels(levels, mean))
     best = c.select("i", (F.col("ss") - F.col("s") * F.col("s") / F.col("n")).alias("cost"), F.array("v").alias("breaks"))
     for _ in range(classes - 1):
-        left = best.join(c, "i").select("block", F.col("i").alias("j"), "cost", "breaks", F.col("n").alias("n0"), F.col("s").alias("s0"), F.col("ss").alias("ss0"))
-        left = _written(left)
-        blocks = F.explode(F.sequence(F.col("from"), F.col("to"))).alias("block")
-        some = c.where((F.col("i") % size == 0) | (F.col("i") == n)).withColumn("_low", F.lit(1).cast("long")).withColumn("_high", F.col("i") - 1)
-        coarse = _written(_best_break(some, left, blocks, size))
-        known = coarse.select(F.col("i").alias("_i"), F.col("j").alias("_j"))
-        rest = c.where((F.col("i") % size != 0) & (F.col("i") != n))
-        before, after = known.select(F.floor(F.col("_i") / size).alias("_at"), F.col("_j").alias("_low")).where(F.col("_i") % size == 0), known.select(F.ceil(F.col("_i") / size).alias("_at"), F.col("_j").alias("_high"))
-        rest = rest.withColumn("_at", F.floor(F.col("i") / size)).join(before, "_at", "left")
-        rest = rest.withColumn("_at", F.col("_at") + 1).join(after, "_at", "left").drop("_at")
-        rest = rest.withColumn("_low", F.coalesce("_low", F.lit(1))).withColumn("_high", F.least(F.coalesce("_high", F.col("i") - 1), F.col("i") - 1))
-        best = _written(coarse.drop("j").unionByName(_best_break(rest, left, blocks, size).drop("j")))
+        left = written(best.join(c, "i").select(F.col("i").alias("j"), "cost", "breaks", F.col("n").alias("n0"), F.col("s").alias("s0"), F.col("ss").alias("ss0")))
+        found, wide = None, 0
+        for stride in reversed(strides):
+            if found is None:
+                rows = c.where((F.col("i") % stride == 0) | (F.col("i") == n)).withColumn("_low", F.lit(1).cast("long")).withColumn("_high", F.col("i") - 1)
+            else:
+                known = found.select(F.col("i").alias("_i"), F.col("j").alias("_j"))
+                last = known.where(F.col("_i") == n).select(F.col("_j").alias("_last"))  # one row
+                below = known.where(F.col("_i") % wide == 0).select((F.col("_i") / wide).cast("long").alias("_at"), F.col("_j").alias("_low"))
+                above = below.select((F.col("_at") - 1).alias("_at"), F.col("_low").alias("_high"))
+                rows = c.where((F.col("i") % stride == 0) & (F.col("i") % wide != 0) & (F.col("i") != n)).withColumn("_at", F.floor(F.col("i") / wide))
+                rows = rows.join(below, "_at", "left").join(above, "_at", "left").crossJoin(F.broadcast(last)).drop("_at")
+                rows = rows.withColumn("_low", F.coalesce("_low", F.lit(1))).withColumn("_high", F.least(F.coalesce("_high", "_last"), F.col("i") - 1)).drop("_last")
+            block = max(fan, min(stride * fan, 4 * root))
+            step = written(_best_break(rows, left, block))
+            found, wide = step if found is None else found.unionByName(step), stride
+        best = found.drop("j")
     return best.where(F.col("i") == n).select(F.posexplode("breaks").alias("class", "upper"))
 
 
 def _levels(levels: DataFrame, mean: float) -> DataFrame:
     """v, its rank i from 1, and sums over all levels up to it: n of weights, s of centred values, ss of their squares. Sorted by ranges, no task holds all."""
-    part = _written(levels.repartitionByRange("v").withColumn("_p", F.spark_partition_id()).withColumn("d", F.col("v") - F.lit(mean)))
+    part = written(levels.repartitionByRange("v").withColumn("_p", F.spark_partition_id()).withColumn("d", F.col("v") - F.lit(mean)))
     upto = Window.partitionBy("_p").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     sums = {"i": F.lit(1), "n": F.col("w"), "s": F.col("d") * F.col("w"), "ss": F.col("d") * F.col("d") * F.col("w")}
     totals = part.groupBy("_p").agg(*(F.sum(x).alias(f"_{k}") for k, x in sums.items()))
@@ -201,16 +299,10 @@ def _levels(levels: DataFrame, mean: float) -> DataFrame:
     return part.join(F.broadcast(totals), "_p").select("v", *((F.col(f"_{k}") + F.sum(x).over(upto)).alias(k) for k, x in sums.items()))
 
 
-def _best_break(at: DataFrame, left: DataFrame, blocks: Column, size: int) -> DataFrame:
-    """i, j, cost and breaks of the best last break j from _low to _high of each level."""
-    ranged = at.where("_low <= _high").withColumn("from", F.floor((F.col("_low") - 1) / size)).withColumn("to", F.floor((F.col("_high") - 1) / size)).drop("block")
-    pairs = ranged.select("i", "v", "n", "s", "ss", "_low", "_high", blocks).join(left, "block").where("j BETWEEN _low AND _high")
+def _best_break(at: DataFrame, left: DataFrame, block: int) -> DataFrame:
+    """i, j, cost and breaks of the best last break j from _low to _high of each level; the two meet in blocks of `block` levels."""
+    of = lambda c: F.floor((F.col(c) - 1) / block)
+    ranged = at.where("_low <= _high").select("i", "v", "n", "s", "ss", "_low", "_high", F.explode(F.sequence(of("_low"), of("_high"))).alias("block"))
+    pairs = ranged.join(left.withColumn("block", of("j")), "block").where("j BETWEEN _low AND _high")
     n, s, ss = F.col("n") - F.col("n0"), F.col("s") - F.col("s0"), F.col("ss") - F.col("ss0")
     return pairs.withColumn("total", F.col("cost") + ss - s * s / n).groupBy("i", "v").agg(F.min("total").alias("cost"), F.min_by(F.struct("j", "breaks"), F.struct("total", "j")).alias("b")).select("i", F.col("b.j").alias("j"), "cost", F.concat("b.breaks", F.array("v")).alias("breaks"))
-
-
-def _written(df: DataFrame) -> DataFrame:
-    """Cuts lineage through the shared folder."""
-    path = scratch(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

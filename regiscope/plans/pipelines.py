@@ -79,7 +79,7 @@ def quality_report(register: DataFrame, located: DataFrame, extracts: DataFrame,
     hits = located.select(F.col(key).alias("_key")).distinct().withColumn("_hit", F.lit(True))
     flags = register.join(hits, register[key].eqNullSafe(hits["_key"]), "left").withColumn("_dormant", F.col(sic).startswith(DORMANT_SIC))
     miss = F.col("_hit").isNull()
-    g = flags.groupBy(F.col(status).alias("category"), F.col("_dormant").alias("dormant")).agg(F.count("*").alias("n"), F.count_if(miss).alias("miss"), F.count_if(miss & F.col(postcode).isNull() & F.col(address).isNotNull()).alias("bare"))
+    g = io.written(flags.groupBy(F.col(status).alias("category"), F.col("_dormant").alias("dormant")).agg(F.count("*").alias("n"), F.count_if(miss).alias("miss"), F.count_if(miss & F.col(postcode).isNull() & F.col(address).isNotNull()).alias("bare")))  # two rows a status
     out = None
 
     def add(df: DataFrame, measure: str, category: Column, other: Column, value: Column) -> None:
@@ -93,7 +93,7 @@ def quality_report(register: DataFrame, located: DataFrame, extracts: DataFrame,
     add(whole, "no match but address", none, none, F.col("bare") * 100.0 / F.col("n"))
     by_status = agg.with_group(g.where("category IS NOT NULL").groupBy("category").agg(F.sum("n").alias("n")), [], total=F.sum("n"))
     add(by_status, "status", F.col("category"), none, F.col("n") * 100.0 / F.col("total"))
-    by_both = agg.with_group(g.where("category IS NOT NULL AND dormant IS NOT NULL"), ["category"], total=F.sum("n"))
+    by_both = agg.with_group(g.where("category IS NOT NULL AND dormant IS NOT NULL"), ["category"], few=True, total=F.sum("n"))
     add(by_both, "dormant within status", F.col("category"), F.col("dormant"), F.col("n") * 100.0 / F.col("total"))
     add(agg.count_histogram(extracts, account_key), "accounts per company", F.col("rows_per_key"), none, F.col("keys"))
     add(agg.frequency(extracts.withColumn("_has", F.col(employees).isNotNull()), "_has"), "has employees", F.col("_has"), none, F.col("n"))

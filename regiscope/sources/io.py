@@ -25,6 +25,13 @@ def scratch(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/regiscope-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read back: computed once, and without its lineage."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_register(spark: SparkSession, path: str) -> DataFrame:
     """All columns as text by their header, pruned to those kept, dots in names as underscores."""
     raw = spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True).option("inferSchema", False).csv(path)

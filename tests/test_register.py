@@ -317,12 +317,32 @@ def test_colocation_scores_means_and_peaks(spark):
 
 def test_colocation_query_takes_all_repetitions(spark, monkeypatch):
     called = {}
-    monkeypatch.setattr(stats, "permuted_pairs", lambda points, n1, n2, reps, *a, real=stats.permuted_pairs: real(points, n1, n2, called.setdefault("reps", reps), *a))
+    monkeypatch.setattr(stats, "_scores", lambda each, peaks, real=stats._scores: called.setdefault("reps", each.count() - 1) and real(each, peaks))
     out = queries.QUERIES["colocation_z"](spark, "/root/testdata/sf0.001")
     assert called == {"reps": 1000} and {"z", "z_peak", "observed_peak"} <= set(out.columns)
 
 
-def test_natural_breaks_match_a_direct_search(spark):
+def test_grid_distances_are_within_a_cell_of_the_points(spark):
+    """Means and peaks of two groups, observed and drawn, beside those of all pairs; a finer grid is nearer."""
+    rng = np.random.default_rng(5)
+    data = [(i, int(i % 3), float(x + (i % 3 == 1)), float(y)) for i, (x, y) in enumerate(rng.normal(size=(1200, 2)))]
+    df = spark.createDataFrame([*data, (9999, 1, None, 1.0), (9998, 2, float("nan"), 1.0)], "id long, label int, x double, y double")
+    at, label = np.array([r[2:] for r in data]), np.array([r[1] for r in data])
+    d = np.sqrt(((at[label == 1][:, None] - at[label == 2][None]) ** 2).sum(axis=2)).ravel()
+    q1, q3 = np.quantile(d, (0.25, 0.75))
+    w = 0.9 * min(d.std(ddof=1), (q3 - q1) / 1.34) * len(d) ** -0.2
+    grid = np.linspace(d.min() - 3 * w, d.max() + 3 * w, 512)
+    peak = grid[sum(np.exp(-0.5 * ((grid[:, None] - part) / w) ** 2).sum(axis=1) for part in np.array_split(d, 50)).argmax()]
+    rough, fine = (stats.colocation_by_grid(df, "label", 1, 2, 40, cells).first() for cells in (32, 256))
+    for got in (rough, fine):
+        assert abs(got.observed - d.mean()) < got.within and abs(got.observed_peak - peak) < got.within + 0.05
+    assert abs(fine.observed - d.mean()) < 0.02 * fine.within < 0.02 * rough.within
+    null = [np.sqrt(((at[rng.permutation(1200)[:400]][:, None] - at[rng.permutation(1200)[:400]][None]) ** 2).sum(axis=2)).mean() for _ in range(300)]
+    assert abs(fine.expected - np.mean(null)) < 5 * np.std(null) / 40**0.5 and 0.6 < fine.sd / np.std(null) < 1.5 and fine.z > 2
+    assert stats.colocation_by_grid(df, "label", 1, 7, 3).first().z is None and stats.colocation_by_grid(df.limit(0), "label", 1, 2, 3).first().observed is None
+
+
+def test_natural_breaks_match_a_direct_search(spark, monkeypatch):
     import itertools
 
     v = [1, 1, 2, 3, 10, 11, 12, 30, 31, 50]
@@ -346,6 +366,9 @@ def test_natural_breaks_match_a_direct_search(spark):
         j = b[j]
         upper.append(many[j - 1])
     assert n > 512 and found(many, 3) == upper[::-1]
+    monkeypatch.setattr(stats, "TWO_STEPS", 1)
+    monkeypatch.setattr(stats, "FAN", 4)
+    assert found(many, 3) == upper[::-1]  # in many steps
     levels = sorted(set(v))
     cost = lambda part: sum((i - np.mean(part)) ** 2 for i in part)
     best = min(itertools.combinations(levels[:-1], 3), key=lambda c: sum(cost([i for i in v if lo < i <= hi]) for lo, hi in zip((-1, *c), (*c, 99))))
