@@ -2,7 +2,7 @@
 
 Candidates are the spans of four kinds (email, ip, card, phone) by their base patterns, and looser ones that these miss:
 spelt-out addresses, IPv6 addresses, card numbers that run into other numbers, phone numbers without a country code or
-followed by more digits, and secrets (keys and tokens), a kind without base pattern. Three labelers vote on each candidate:
+followed by more digits, and secrets (keys and tokens), a kind of its own without base pattern and beside the four. Three labelers vote on each candidate:
 the pattern with its checks, a gazetteer (top-level domains, address ranges, issuers, country codes, key prefixes), and the
 words before it. Expectation-maximisation over the counts of vote patterns estimates how reliable each labeler is and how
 likely each candidate is personal data. On these probabilities a logistic span classifier is trained that sees the span
@@ -52,11 +52,16 @@ CONTEXT = {
     "secret": r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_ -]?key|access[_ -]?key|private[_ -]?key|auth|bearer|credentials?)\W{0,6}$",
 }
 AGAINST = {"secret": r"(?i)(?:commit|sha-?[0-9]*|md5|checksum|digest|hash|uuid|https?|www|version)\W{0,4}(?:\w+\W{1,2})?$", "card": r"(?i)(?:isbn|order|invoice|tracking|serial|nr|no)\W{0,4}$", "phone": r"(?i)(?:isbn|order|invoice|tracking|serial)\W{0,4}$"}
+# Public registries: generic top-level domains and any country code; addresses that no special-purpose range holds; issuers' first digits; country calling codes.
+GENERIC = "com org net edu gov mil int info biz name pro aero coop museum jobs mobi travel tel cat asia post arpa app dev page cloud online site shop store blog tech xyz club live news email company agency".split()
+SPECIAL = (r"0|10|127|22[4-9]|23[0-9]|24[0-9]|25[0-5]", r"100\.(?:6[4-9]|[7-9][0-9]|1[01][0-9]|12[0-7])|169\.254|172\.(?:1[6-9]|2[0-9]|3[01])|192\.168|198\.1[89]", r"192\.0\.[02]|192\.88\.99|198\.51\.100|203\.0\.113")
+ISSUERS = r"4|5[0-8]|2(?:22[1-9]|2[3-9]|[3-6]|7[01]|720)|3[47]|3(?:0[0-59]|[689])|35(?:2[89]|[3-8])|6"
+CALLING = (r"1|7|20|27|3[0-4]|36|39|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|21[1-368]|22[0-9]|23[0-9]|24[0-9]|25[0-8]|26[0-9]|29[0178-9]|35[0-9]|37[0-9]|38[0-35-79]|42[013]|50[0-9]|59[0-9]|67[02-9]|68[0-35-9]|69[0-2]|80[08]|85[02356]|87[08]|88[01368]|96[0-8]|97[0-79]|99[2-68]")
 GAZETTEER = {
-    "email": r"(?i)[. \])](?:com|org|net|edu|gov|info|io|de|fr|es|uk|eu|it|nl|ch|at|us)$",
-    "ip": r"^(?!0|10\.|127\.|255|224|22[5-9]|23[0-9]|24[0-9]|25[0-9])[0-9]+\.",
-    "card": r"^(?:4|5[ -]?[1-5]|3[ -]?[47]|6[ -]?0[ -]?1[ -]?1|6[ -]?5|2[ -]?[2-7])",
-    "phone": r"^\+(?:1|20|27|3[0-4469]|4[013-9]|5[1-8]|6[0-6]|7|8[1246]|9[0-58])[ ().0-9-]|^\(?[2-9][0-9]{2}\)?[ .-]",
+    "email": rf"(?i)[. \])](?:[a-z]{{2}}|{'|'.join(GENERIC)})$",
+    "ip": rf"^(?!0*(?:{'|'.join(SPECIAL)})\.)[0-9A-Fa-f]+[.:]",
+    "card": rf"^(?:{ISSUERS})",
+    "phone": rf"^\+(?:{CALLING})|^\(?[2-9][0-9]{{2}}\)?[ .-]",
     "secret": r"^(?:AKIA|ASIA|gh[pousr]_|github_pat_|sk-|sk_|pk_|xox[abp]-|AIza|eyJ|glpat-|ya29)|^(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{64})$",
 }
 ROUNDS = 25
@@ -154,7 +159,8 @@ def _votes(kind: str, base: bool, span: Column) -> Column:
     before = _before(span)
     pattern = F.lit("1") if base else F.when(_check(kind, span), "1").otherwise("-1")
     miss = F.lit("0") if kind == "secret" else F.lit("-1")
-    gazetteer = F.when(span.value.rlike(GAZETTEER[kind]), "1").otherwise(miss)
+    bare = F.regexp_replace(span.value, "[ -]", "") if kind == "card" else span.value
+    gazetteer = F.when(bare.rlike(GAZETTEER[kind]), "1").otherwise(miss)
     against = F.when(before.rlike(AGAINST[kind]), "-1").otherwise("0") if kind in AGAINST else F.lit("0")
     context = F.when(before.rlike(CONTEXT[kind]), "1").otherwise(against)
     return F.concat_ws(":", F.lit(kind), F.lit(int(base)).cast("string"), pattern, gazetteer, context)
@@ -232,7 +238,7 @@ def span_classifier(soft: dict[str, tuple[int, float]], rounds: int = 200, rate:
 
 
 def find(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_<kind>, base_sha256, spans (all, as kind:start:end), n_spans, and found (array of kind, start, end, value)."""
+    """doc_id, n_<kind>, base_sha256, spans (all of the four kinds, as kind:start:end), n_spans, secrets (start:end), n_secrets, and found (array of kind, start, end, value; secrets too)."""
     found = candidates(documents, doc_id, text)
     likely = [f for f, p in learn(found).items() if p >= 0.5]
     empty = F.expr("cast(array() as array<struct<start:int,k:int,end:int,kind:string,value:string>>)")
@@ -245,5 +251,7 @@ def find(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     more = F.concat(*(tagged(f"loose_{k}", k, True) for k in ALL_KINDS)) if likely else empty
     joined = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
     out = found.withColumn("_base", base).withColumn("found", F.array_sort(F.concat("_base", more)))
-    return out.select("doc_id", *(F.size(f"base_{k}").cast("long").alias(f"n_{k}") for k in KINDS), F.sha2(joined("_base"), 256).alias("base_sha256"), joined("found").alias("spans"), F.size("found").cast("long").alias("n_spans"),
+    four, secrets = F.filter("found", lambda s: s.kind != "secret"), F.filter("found", lambda s: s.kind == "secret")
+    places = F.array_join(F.transform(secrets, lambda s: F.concat_ws(":", s.start.cast("string"), s.end.cast("string"))), ",")
+    return out.select("doc_id", *(F.size(f"base_{k}").cast("long").alias(f"n_{k}") for k in KINDS), F.sha2(joined("_base"), 256).alias("base_sha256"), joined(four).alias("spans"), F.size(four).cast("long").alias("n_spans"), places.alias("secrets"), F.size(secrets).cast("long").alias("n_secrets"),
                       F.transform("found", lambda s: F.struct(s.kind.alias("kind"), s.start.alias("start"), s.end.alias("end"), s.value.alias("value"))).alias("found"))

@@ -556,7 +556,15 @@ def test_looser_personal_data_is_added_and_decoys_are_not(spark):
     second = {p for p in planted if p in added}
     extra = {a for a in added if a not in planted and not any(a[0] == p[0] for p in planted)}  # in a document without any planted span
     assert len(second) / len(planted) > 0.9 and len(extra) / len(added) < 0.05
-    assert all(r.n_spans == len(r.found) == len([x for x in r.spans.split(",") if x]) for r in got)
+    assert all(r.n_spans == len([s for s in r.found if s.kind != "secret"]) == len([x for x in r.spans.split(",") if x]) for r in got)
+    assert all(r.n_secrets == len([s for s in r.found if s.kind == "secret"]) == len([x for x in r.secrets.split(",") if x]) and "secret" not in r.spans for r in got) and any(r.n_secrets for r in got)
+
+
+def test_gazetteers():
+    yes = {"email": ["a@b.com", "a@b.museum", "x [at] y.za", "a@b.co"], "ip": ["8.8.8.8", "172.32.0.1", "100.128.0.1", "11.0.0.1"], "card": ["4111", "2221", "2720", "5500", "3528", "6011", "3600"], "phone": ["+49 30", "+380 44", "+1 555", "+971 4", "(555) 1"]}
+    no = {"email": ["a@b.local", "a@b.c"], "ip": ["10.1.1.1", "172.16.0.1", "172.31.9.9", "192.168.0.1", "100.64.0.1", "127.0.0.1", "203.0.113.9", "224.0.0.1", "000.1.1.1"], "card": ["1234", "2220", "2721", "0000", "9999"], "phone": ["+0 12", "+999 1", "+210 1", "123 456"]}
+    for kind in yes:
+        assert all(re.search(pii.GAZETTEER[kind], v) for v in yes[kind]) and not any(re.search(pii.GAZETTEER[kind], v) for v in no[kind]), kind
 
 
 def test_reliabilities_find_the_better_labeler():
