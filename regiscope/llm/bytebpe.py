@@ -20,6 +20,8 @@ import functools
 import hashlib
 import heapq
 import json
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +40,8 @@ CACHE, KEPT = 1 << 17, 64
 WINDOW, STEP = 1 << 16, 1 << 10
 #: Characters at the end of what was read that may still turn into a contraction or the special token.
 BACK = 16
+#: More than the rank of any pair.
+NONE = 1 << 62
 # The words of a byte-level pre-tokenizer, and the kinds of characters in them.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 KINDS = [regex.compile(k) for k in (r"\p{L}+", r"\p{N}+", r"\s+", r"[^\s\p{L}\p{N}]+")]
@@ -86,7 +90,7 @@ class Model:
         merges = [tuple(map(to_bytes, m.split(" ") if isinstance(m, str) else m)) for m in spec["model"]["merges"]]
         self.lookahead = sufficient_lookahead(merges)
         self.byte = [ids[bytes([b])] for b in range(256)]
-        self.pairs = {(ids[a], ids[b]): (rank, ids[a + b]) for rank, (a, b) in enumerate(merges)}
+        self.pairs = {(ids[a], ids[b]): rank << 32 | ids[a + b] for rank, (a, b) in enumerate(merges)}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         if any(len(t) > BACK or regex.search(r"\s", t) for t in self.special):
             raise ValueError("a special token is longer than the text held back, or has a space")
@@ -94,58 +98,74 @@ class Model:
         for raw, i in [*ids.items(), *((c.encode(), i) for c, i in self.special.items())]:
             self.bytes[i] = raw
         self.divide = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.cache: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.words = Words(self)
 
     def merge(self, raw: bytes) -> list[int]:
         """Ids of bytes: the first pair of the list at each time, the leftmost of equal ones."""
         ids = [self.byte[b] for b in raw]
         if len(ids) > KEPT:
             return self._merge_many(ids)
-        pairs, none = self.pairs, (len(self.pairs), -1)
-        while len(ids) > 1:
-            found = [pairs.get(p, none) for p in zip(ids, ids[1:])]
-            (rank, made) = best = min(found)
-            if made < 0:
-                break
-            k = found.index(best)
-            ids[k : k + 2] = [made]
+        find = self.pairs.get
+        ranks = [find(p, NONE) for p in zip(ids, ids[1:])]
+        while ranks and (best := min(ranks)) != NONE:
+            k = ranks.index(best)
+            ids[k] = best & 0xFFFFFFFF
+            del ids[k + 1], ranks[k]
+            if k:
+                ranks[k - 1] = find((ids[k - 1], ids[k]), NONE)
+            if k < len(ranks):
+                ranks[k] = find((ids[k], ids[k + 1]), NONE)
         return ids
 
     def _merge_many(self, ids: list[int]) -> list[int]:
         """The same with a heap of pairs and links between neighbours."""
         n, pairs = len(ids), self.pairs
         after, before = [*range(1, n), -1], [*range(-1, n - 1)]
-        heap = [(*p, k, ids[k], ids[k + 1]) for k in range(n - 1) if (p := pairs.get((ids[k], ids[k + 1])))]
+        heap = [(p, k, ids[k], ids[k + 1]) for k in range(n - 1) if (p := pairs.get((ids[k], ids[k + 1])))]
         heapq.heapify(heap)
         while heap:
-            _, made, k, a, b = heapq.heappop(heap)
+            p, k, a, b = heapq.heappop(heap)
             j = after[k]
             if ids[k] != a or j < 0 or ids[j] != b:
                 continue
-            ids[k], ids[j], after[k] = made, -1, after[j]
+            ids[k], ids[j], after[k] = p & 0xFFFFFFFF, -1, after[j]
             if after[j] >= 0:
                 before[after[j]] = k
             for left, right in ((before[k], k), (k, after[k])):
                 if left >= 0 and right >= 0 and (p := pairs.get((ids[left], ids[right]))):
-                    heapq.heappush(heap, (*p, left, ids[left], ids[right]))
+                    heapq.heappush(heap, (p, left, ids[left], ids[right]))
         return [i for i in ids if i >= 0]
 
-    def word(self, word: str) -> bytes:
-        """Packed ids of a word."""
-        if (got := self.cache.get(word)) is None:
-            if (got := self.older.pop(word, None)) is None:
-                t = Transducer(self)
-                got = pack(t.feed(word.encode()) + t.end())
-            if len(word) <= KEPT:
-                if len(self.cache) >= CACHE:  # words not met since the last such turn are forgotten
-                    self.older, self.cache = self.cache, {}
-                self.cache[word] = got
+
+class Words(dict):
+    """Packed ids by word, made when they are first asked for; in two generations of CACHE words each."""
+
+    def __init__(self, model: Model):
+        super().__init__()
+        self.model, self.older = model, {}
+
+    def __missing__(self, word: str) -> bytes:
+        if (got := self.older.get(word)) is None:
+            raw = word.encode()
+            if len(raw) > STEP:
+                t = Transducer(self.model)
+                got = pack(t.feed(raw) + t.end())
+            else:  # one step of the transducer and its end
+                got = pack(self.model.merge(raw))
+        if len(word) <= KEPT:
+            if len(self) >= CACHE:  # words not met since the last such turn are forgotten
+                self.older = dict(self)
+                self.clear()
+            self[word] = got
         return got
 
 
 def pack(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+    """Little-endian unsigned 32-bit integers."""
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
 
 
 class Transducer:
@@ -206,10 +226,10 @@ class Encoder:
     def _words(self, text: str) -> bytes:
         """Ids of text that ends where words part."""
         parts = self.model.divide.split(text) if self.model.divide else [text]
-        out = list(map(self.model.word, WORDS.findall(parts[0])))
+        out = list(map(self.model.words.__getitem__, WORDS.findall(parts[0])))
         for token, part in zip(parts[1::2], parts[2::2]):
             out.append(pack([self.model.special[token]]))
-            out += map(self.model.word, WORDS.findall(part))
+            out += map(self.model.words.__getitem__, WORDS.findall(part))
         return b"".join(out)
 
     def _special(self) -> int:
@@ -227,7 +247,7 @@ class Encoder:
         for m in WORDS.finditer(self.held):
             if m.end() > known:
                 break
-            out += self.model.word(m.group())
+            out += self.model.words[m.group()]
             done = m.end()
         self.held = self.held[done:]
         if len(self.held) > WINDOW // 2:
