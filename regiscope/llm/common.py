@@ -102,19 +102,24 @@ def join_by_count(df: DataFrame, table: DataFrame, on: list[str], how: str = "in
     return df.join(heavy, on).unionByName(df.join(heavy.select(*on), on, "left_anti").join(light, on, how), allowMissingColumns=True)
 
 
-def first_by_hash(df: DataFrame, group: str, n: int, mark: str = "mark") -> DataFrame:
+def first_by_hash(df: DataFrame, group: str, n: int, mark: str = "mark", size: str | None = None, total: int = 0) -> DataFrame:
     """At most n rows of each group: those with the smallest `mark`, a 64-bit hash, one row for each mark.
 
+    With `size`, only as many of these as have `total` of it together in the order of the hash, and the first in any case.
     Rows are counted by 2^16 ranges of the hash, and only those up to the range that holds the n-th are ranked, so no task
     gets a whole group. The groups are few (labels, languages).
     """
-    rows = df.select(group, mark).distinct().withColumn("_range", F.shiftright(mark, 48))
+    names = [group, mark] + ([size] if size else [])
+    rows = df.select(*names).distinct().withColumn("_range", F.shiftright(mark, 48))
     upto = Window.partitionBy(group).orderBy("_range")
     counts = rows.groupBy(group, "_range").agg(F.count("*").alias("_n")).withColumn("_to", F.sum("_n").over(upto))
     last = counts.where(F.col("_to") - F.col("_n") < n).groupBy(group).agg(F.max("_range").alias("_last"))
     near = rows.join(F.broadcast(last), group).where("_range <= _last")
-    ranked = near.withColumn("_k", F.row_number().over(Window.partitionBy(group).orderBy(mark))).where(F.col("_k") <= n)
-    return ranked.select(group, mark)
+    w = Window.partitionBy(group).orderBy(mark)
+    ranked = near.withColumn("_k", F.row_number().over(w))
+    if size:
+        ranked = ranked.withColumn("_sum", F.sum(F.col(size).cast("long")).over(w)).where((F.col("_sum") <= total) | (F.col("_k") == 1))
+    return ranked.where(F.col("_k") <= n).select(group, mark)
 
 
 def is_set(column) -> "F.Column":

@@ -12,6 +12,8 @@ of the shard.
 Components become floor(64 * x). Vectors that are null or hold null or non-finite components take no part,
 nor do rows with a null id; a shorter vector counts as ending in zeros, an empty one as all zeros. Repeated
 ids and rows are rows of their own. Equal scores rank by the smaller id. Other columns, whatever their names, are ignored.
+Products are sums of 64-bit floats where the largest component allows none beyond 2^53, else of 64-bit integers, so scores
+are exact; components that allow scores beyond 64 bits raise an error.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ QUERIES = 16384
 LEAF = 256
 BLOCK = 128
 CELLS, SPLIT, SPLIT_BYTES = 1024, 20_000, 1 << 25
+#: In place of a k-th score where there are fewer.
+NO_SCORE = -(1 << 63)
 FOUND = "query long, query_id long, row long, vec_id long, score long"
 
 
@@ -69,8 +73,8 @@ def _top(scores: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> np.nd
 
 def search(tree: Tree, ids: np.ndarray, rows: np.ndarray, q: np.ndarray, own: np.ndarray, kth: np.ndarray, k: int):
     """Per query of a block (score, id, row) of what may be among its k best; own: its row, kth: a score that k others reach."""
-    best = [(np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in q]
-    kth = kth.astype(float).copy()
+    best = [(np.zeros(0, q.dtype), np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in q]
+    kth, none = kth.copy(), _least(q.dtype)
     plus, minus = np.maximum(q, 0), np.minimum(q, 0)
 
     def bound(node: int) -> np.ndarray:
@@ -90,9 +94,9 @@ def search(tree: Tree, ids: np.ndarray, rows: np.ndarray, q: np.ndarray, own: np
             continue
         here = tree.rows[node]
         scores = q[active] @ tree.x[here].T
-        scores[own[active][:, None] == rows[here][None, :]] = -np.inf
+        scores[own[active][:, None] == rows[here][None, :]] = none
         for a, s in zip(active, scores):
-            ok = np.flatnonzero(s >= max(kth[a], -1e300))
+            ok = np.flatnonzero((s >= kth[a]) & (s > none))
             if not len(ok):
                 continue
             s0, i0, r0 = best[a]
@@ -106,24 +110,42 @@ def search(tree: Tree, ids: np.ndarray, rows: np.ndarray, q: np.ndarray, own: np
     return best
 
 
-def _matrix(column: pd.Series, width: int) -> np.ndarray:
-    out = np.zeros((len(column), width))
+def _least(kind) -> float | int:
+    """Less than any score."""
+    return np.iinfo(np.int64).min if kind == np.int64 else -np.inf
+
+
+def _kind(width: int, top: float):
+    """The numbers that hold all scores of such components exactly."""
+    most = width * int(top) ** 2
+    if most >= 1 << 63:
+        raise ValueError("scores of such components do not fit 64 bits")
+    return np.float64 if most < 1 << 53 else np.int64
+
+
+def _kth(column: pd.Series, kind) -> np.ndarray:
+    x = column.to_numpy(np.int64)
+    return np.where(x == NO_SCORE, _least(kind), x.astype(kind))
+
+
+def _matrix(column: pd.Series, width: int, kind=np.float64) -> np.ndarray:
+    out = np.zeros((len(column), width), kind)
     for row, v in zip(out, column):
         row[: len(v)] = v
     return out
 
 
-def _visit(k: int):
+def _visit(k: int, kind):
     def run(key, queries: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
         cols: dict[str, list] = {c: [] for c in ("query", "query_id", "row", "vec_id", "score")}
         if len(queries) and len(shard):
             width = max(1, int(max(queries["v"].map(len).max(), shard["v"].map(len).max())))
             shard = shard.sort_values("row")
-            tree, ids, rows = Tree(_matrix(shard["v"], width)), shard["vec_id"].to_numpy(), shard["row"].to_numpy()
+            tree, ids, rows = Tree(_matrix(shard["v"], width, kind)), shard["vec_id"].to_numpy(), shard["row"].to_numpy()
             queries = queries.sort_values("row")
             for at in range(0, len(queries), BLOCK):
                 part = queries.iloc[at : at + BLOCK]
-                got = search(tree, ids, rows, _matrix(part["v"], width), part["row"].to_numpy(), part["kth"].fillna(-np.inf).to_numpy(), k)
+                got = search(tree, ids, rows, _matrix(part["v"], width, kind), part["row"].to_numpy(), _kth(part["kth"], kind), k)
                 for q, q_id, (s, i, r) in zip(part["row"], part["vec_id"], got):
                     cols["query"] += [q] * len(s)
                     cols["query_id"] += [q_id] * len(s)
@@ -217,14 +239,15 @@ def _boxes(rows: DataFrame, width: int) -> pd.DataFrame:
 
 def _routed(queries: DataFrame, boxes: pd.DataFrame, width: int) -> DataFrame:
     """Each query once for every other shard of the cells whose box allows its k-th score."""
-    shared = queries.sparkSession.sparkContext.broadcast((np.stack(boxes["low"]), np.stack(boxes["high"]), boxes["cell"].to_numpy(), boxes["shards"].to_numpy()))
+    kind = _kind(width, max(np.abs(np.stack(boxes[c])).max() for c in ("low", "high")))
+    shared = queries.sparkSession.sparkContext.broadcast((np.stack(boxes["low"]).astype(kind), np.stack(boxes["high"]).astype(kind), boxes["cell"].to_numpy(), boxes["shards"].to_numpy()))
 
     def run(batches):
         low, high, cells, shards = shared.value
         for pdf in batches:
-            q = _matrix(pdf["v"], width)
+            q = _matrix(pdf["v"], width, kind)
             most = np.maximum(q, 0) @ high.T + np.minimum(q, 0) @ low.T
-            at, box = np.nonzero(most >= pdf["kth"].fillna(-np.inf).to_numpy()[:, None])
+            at, box = np.nonzero(most >= _kth(pdf["kth"], kind)[:, None])
             n = shards[box]
             at, cell = np.repeat(at, n), np.repeat(cells[box], n)
             part = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
@@ -233,14 +256,15 @@ def _routed(queries: DataFrame, boxes: pd.DataFrame, width: int) -> DataFrame:
                 pick = np.flatnonzero(other)[lo : lo + 20_000]
                 yield pdf.iloc[at[pick]].assign(cell=cell[pick], part=part[pick])
 
-    return queries.mapInPandas(run, "row long, vec_id long, v array<double>, kth double, cell long, part long")
+    return queries.mapInPandas(run, "row long, vec_id long, v array<double>, kth long, cell long, part long")
 
 
 def top_k(embeddings: DataFrame, is_query: str = "vec_id % 20 = 0", k: int = K) -> DataFrame:
     """query_id, rank, vec_id, score: each query row's k best other rows."""
     rows = vectors(embeddings)
-    count, width = rows.agg(F.count("*"), F.max(F.size("v"))).first()
+    count, width, top = rows.agg(F.count("*"), F.max(F.size("v")), F.max(F.array_max(F.transform("v", F.abs)))).first()
     width = max(1, width or 0)
+    kind = _kind(width, top or 0)
     if not count:
         return rows.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.col("row").alias("score"))
     rows = materialise(_celled(rows, width, -(-count // SHARD)))
@@ -248,18 +272,18 @@ def top_k(embeddings: DataFrame, is_query: str = "vec_id % 20 = 0", k: int = K)
     boxes["shards"] = -(-boxes["n"].to_numpy() // SHARD)
     sizes = F.broadcast(rows.sparkSession.createDataFrame(boxes[["cell", "shards"]]))  # at most CELLS rows
     rows = rows.join(sizes, "cell").withColumn("part", F.pmod(F.xxhash64("row"), F.col("shards"))).drop("shards")
-    queries = rows.where(is_query).select(*(F.col(c).alias(c) for c in rows.columns), F.lit(None).cast("double").alias("kth"))
-    near = materialise(queries.groupBy("cell", "part").cogroup(rows.groupBy("cell", "part")).applyInPandas(_visit(k), FOUND))  # a shard's own queries are fewer than its rows
+    queries = rows.where(is_query).select(*(F.col(c).alias(c) for c in rows.columns), F.lit(NO_SCORE).alias("kth"))
+    near = materialise(queries.groupBy("cell", "part").cogroup(rows.groupBy("cell", "part")).applyInPandas(_visit(k, kind), FOUND))  # a shard's own queries are fewer than its rows
     found = near
     if len(boxes) > 1 or boxes["shards"].max() > 1:
-        kth = near.groupBy("query").agg(F.min("score").cast("double").alias("kth"), F.count("*").alias("n")).select(F.col("query").alias("row"), F.when(F.col("n") >= k, F.col("kth")).alias("kth"))
-        far = _routed(queries.drop("kth").join(kth, "row", "left").select("row", "vec_id", "v", "kth", "cell", "part"), boxes, width)
+        kth = near.groupBy("query").agg(F.min("score").alias("kth"), F.count("*").alias("n")).select(F.col("query").alias("row"), F.when(F.col("n") >= k, F.col("kth")).alias("kth"))
+        far = _routed(queries.drop("kth").join(kth, "row", "left").withColumn("kth", F.coalesce("kth", F.lit(NO_SCORE))).select("row", "vec_id", "v", "kth", "cell", "part"), boxes, width)
         far = materialise(far)
         blocks = far.groupBy("cell", "part").agg(F.ceil(F.count("*") / QUERIES).alias("blocks"))
         blocks = materialise(blocks)
         asked = far.join(blocks, ["cell", "part"]).withColumn("block", F.pmod(F.xxhash64("row", F.lit(1)), F.col("blocks"))).drop("blocks")
         held = rows.join(blocks.withColumnRenamed("blocks", "copies"), ["cell", "part"]).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))).select("cell", "part", "block", "row", "vec_id", "v")
-        found = near.unionByName(asked.groupBy("cell", "part", "block").cogroup(held.groupBy("cell", "part", "block")).applyInPandas(_visit(k), FOUND))
+        found = near.unionByName(asked.groupBy("cell", "part", "block").cogroup(held.groupBy("cell", "part", "block")).applyInPandas(_visit(k, kind), FOUND))
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -8,7 +8,7 @@ tree (none beyond `FAR` steps; the border of a marked advert, menu or the like c
 their edges are decided beforehand, which leaves the optimum as it is. So a short or plain block takes the side of what
 surrounds it, while a footer or notice inside an article stays out.
 
-The classifier is fitted on at most `SAMPLE` distinct pages of up to `SAMPLE_CHARS` characters in the order of a hash,
+The classifier is fitted on at most `SAMPLE` distinct pages of up to `SAMPLE_CHARS` characters, `SAMPLE_TOTAL` together, in the order of a hash,
 with blocks inside article or main as content and those inside nav, footer, aside or form as boilerplate; it is held near
 given weights, which also serve alone where no page has both kinds.
 
@@ -30,10 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiscope.llm.common import small
+from regiscope.llm.common import first_by_hash, small
 
 SAMPLE = 1000
-SAMPLE_CHARS = 1 << 20
+#: Characters of a page that the fit takes, and of all its pages together.
+SAMPLE_CHARS, SAMPLE_TOTAL = 1 << 20, 1 << 25
 EDGE = 1.5
 FAR = 16
 BORDER = 8
@@ -385,8 +386,9 @@ def fit(pages: list[str], rounds: int = 20, hold: float = 50.0) -> np.ndarray:
 
 def train(pages: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     some = pages.where(F.length("html") <= SAMPLE_CHARS).select("page_id", F.xxhash64("page_id", "html").alias("mark"), "html")
-    ids = some.select("page_id", "mark").distinct().orderBy("mark", "page_id").limit(sample)
-    some = some.join(F.broadcast(ids.select("mark")), "mark").dropDuplicates(["mark"]).select("html")  # at most `sample` marks, a page each
+    sized = some.select(F.lit(0).alias("all"), "mark", F.length("html").alias("size"))
+    picked = first_by_hash(sized, "all", sample, size="size", total=SAMPLE_TOTAL)
+    some = some.join(F.broadcast(picked.select("mark")), "mark").dropDuplicates(["mark"]).select("html")  # at most `sample` marks, a page each
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"w": [fit(sorted(pdf["html"]))[:].tolist()]})

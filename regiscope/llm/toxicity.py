@@ -9,8 +9,8 @@ with the word before, and of transitions). Forward-backward marginals of every w
 over all texts of a batch as products of 2 x 2 matrices, give offending spans and the document's score:
 a logistic function of the expected number of toxic words, the largest marginal and the length.
 
-The model is fitted on at most `SAMPLE` distinct labelled rows of each class with at most `SAMPLE_CHARS` characters, in the
-order of a hash of doc_id and text; each gives all its words to the counts, and windows around labelled words, and evenly
+The model is fitted on at most `SAMPLE` distinct labelled rows of each class with at most `SAMPLE_CHARS` characters each and
+`SAMPLE_TOTAL` together, in the order of a hash of doc_id and text; each gives all its words to the counts, and windows around labelled words, and evenly
 spread ones, to the chain. Scoring reads text alone and takes a text of any length a stretch of `STRETCH` words at a time.
 Null and empty texts have no words and get the score of no evidence. Without labelled rows of both classes every score is
 0. Rows are scored one by one, repeated rows alike; rows with a null doc_id are not learned from; other columns, whatever
@@ -34,7 +34,8 @@ SUPPORT = 5
 WEIGHTS = 1 << 16
 SPAN = 32
 STRETCH = 1 << 17
-SAMPLE_CHARS = 1 << 20
+#: Characters of a row that is learned from, and of all rows of a class together.
+SAMPLE_CHARS, SAMPLE_TOTAL = 1 << 20, 1 << 25
 PREFIXES = (5, 7)
 TOXIC_AT = 0.5
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -273,7 +274,8 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chai
     """documents: doc_id, text; labels: doc_id, toxic; both only of the rows to learn from."""
     marked = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     rows = documents.where(F.coalesce(F.length("text"), F.lit(0)) <= SAMPLE_CHARS).select("doc_id", "text", F.xxhash64("doc_id", "text").alias("mark"))
-    picked = first_by_hash(rows.select("doc_id", "mark").join(marked, "doc_id"), "toxic", sample)
+    sized = rows.select("doc_id", "mark", F.coalesce(F.length("text"), F.lit(0)).alias("size"))
+    picked = first_by_hash(sized.join(marked, "doc_id"), "toxic", sample, size="size", total=SAMPLE_TOTAL)
     rows = rows.join(F.broadcast(picked), "mark").dropDuplicates(["mark"]).drop("mark")  # at most 2 * sample marks, a row each
     import pickle
 
