@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regiscope.functions.exprs import log10
+from regiscope.operators import agg
 from regiscope.operators.geo import distance
 from regiscope.sources.io import written
 
@@ -185,14 +186,18 @@ def _mean_and_peak(pairs: np.ndarray, away: np.ndarray, size: float, bins: int =
     return float(mean), float(_peak(sums[held] / by[held], by[held], n, lo, hi, sd))
 
 
-def density(df: DataFrame, group: str, value: str, points: int = 512, bins: int = 2048) -> DataFrame:
+def density(df: DataFrame, group: str, value: str, points: int = 512, bins: int = 2048, large: bool = False) -> DataFrame:
     """(group, x, density): Gaussian kernel density on a grid over the range and three bandwidths beyond.
 
-    Values are binned first, so the work beyond one pass is bins x points per group.
+    Values are binned first, so the work beyond one pass is bins x points per group. With `large` the quartiles of its
+    bandwidth come by refinement (`agg.quantiles`), which holds no group's values.
     """
     v = df.where(F.col(value).isNotNull()).select(F.col(group).alias("g"), F.col(value).cast("double").alias("v"))
     q = F.percentile("v", F.array(F.lit(0.25), F.lit(0.75)))
-    s = v.groupBy("g").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.stddev_samp("v").alias("sd"), q.alias("q"))
+    s = v.groupBy("g").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.stddev_samp("v").alias("sd"), *([] if large else [q.alias("q")]))
+    if large:
+        q = agg.quantiles(v, ["g"], "v", [0.25, 0.75]).select(F.col("g").alias("_g"), F.col("quantiles").alias("q"))
+        s = s.join(q, s["g"].eqNullSafe(q["_g"])).drop("_g")
     spread = F.least("sd", (F.col("q")[1] - F.col("q")[0]) / 1.34)
     spread = F.when(spread > 0, spread).when(F.col("sd") > 0, F.col("sd")).otherwise(F.lit(1.0))
     s = s.withColumn("bw", 0.9 * spread * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
@@ -205,8 +210,8 @@ def density(df: DataFrame, group: str, value: str, points: int = 512, bins: int
     return summed.select(F.col("g").alias(group), "x", (F.col("s") / (F.col("n") * F.col("bw") * math.sqrt(2 * math.pi))).alias("density"))
 
 
-def density_peak(df: DataFrame, group: str, value: str) -> DataFrame:
-    return density(df, group, value).groupBy(group).agg(F.max_by("x", F.struct("density", -F.col("x"))).alias("peak"))
+def density_peak(df: DataFrame, group: str, value: str, large: bool = False) -> DataFrame:
+    return density(df, group, value, large=large).groupBy(group).agg(F.max_by("x", F.struct("density", -F.col("x"))).alias("peak"))
 
 
 def histogram(df: DataFrame, value: str, bins: int = 30, facet: list[str] | None = None) -> DataFrame:
@@ -228,9 +233,12 @@ def month_counts(df: DataFrame, date: str) -> DataFrame:
     return months.join(m, "month", "left").select("month", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def box_plot(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Quartiles, whiskers at most 1.5 quartile ranges away, and the group's rank by median."""
-    q = df.where(F.col(value).isNotNull()).groupBy(group).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
+def box_plot(df: DataFrame, group: str, value: str, large: bool = False) -> DataFrame:
+    """Quartiles, whiskers at most 1.5 quartile ranges away, and the group's rank by median. With `large` the quartiles come by refinement."""
+    if large:
+        q = agg.quantiles(df, [group], value, [0.25, 0.5, 0.75]).withColumnRenamed("quantiles", "q")
+    else:
+        q = df.where(F.col(value).isNotNull()).groupBy(group).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
     q = q.select(group, *(F.col("q")[i].alias(n) for i, n in enumerate(("q1", "median", "q3"))))
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.when(F.col(value).between(F.col("q1") - reach, F.col("q3") + reach), F.col(value))

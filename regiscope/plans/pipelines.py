@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiscope.functions.exprs import age_in_years, label_number, normalise_postcode, parse_date, percent_change
+from regiscope.functions.exprs import DATE_FORMATS, age_in_years, label_number, normalise_postcode, parse_date, percent_change
 from regiscope.operators import accounts, agg, geo, link
 from regiscope.operators.predicates import both_positive, drop_matching, keep_matching
 from regiscope.sources import io, zips
@@ -56,10 +56,14 @@ def geocoded(register: DataFrame, postcodes: DataFrame, postcode: str = "RegAddr
     return link.located(register.withColumn("postcode", normalise_postcode(F.col(postcode))), lookup, "postcode", "easting", "northing")
 
 
-def latest_accounts(extracts: DataFrame, order: list[str], key: str = "companynumber", code: str = "accountcode", date: str = "enddate") -> DataFrame:
-    """Each account once (its first row in `order`), its date parsed, and each company's latest."""
-    once = agg.first_rows(extracts.repartition(key), [code, key], order)  # dealt by company once, for both windows
-    return agg.latest(once.withColumn(date, parse_date(F.col(date))), key, date)
+def latest_accounts(extracts: DataFrame, order: list[str], key: str = "companynumber", code: str = "accountcode", date: str = "enddate", formats: tuple[str, ...] = DATE_FORMATS, bucketed: bool = False) -> DataFrame:
+    """Each account once (its first row in `order`), its date parsed, and each company's latest.
+
+    `formats` are the date orders, as `exprs.date_orders` learns them from the column; `bucketed` says that the extracts are stored in buckets of companies.
+    """
+    dealt = extracts if bucketed else extracts.repartition(key)  # by company once, for both windows
+    once = agg.first_rows(dealt, [key, code], order)
+    return agg.latest(once.withColumn(date, parse_date(F.col(date), formats)), key, date)
 
 
 def linked(register: DataFrame, accounts: DataFrame, key: str, account_key: str, active: Column) -> DataFrame:

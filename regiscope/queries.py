@@ -5,13 +5,14 @@ Roles: register = customer, lookup = nation and region, account extracts = order
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from regiscope.functions import exprs as x
-from regiscope.operators import accounts, agg, geo, link, predicates, stats
+from regiscope.operators import accounts, agg, factindex, geo, link, predicates, stats
 from regiscope.plans import pipelines
 from regiscope.sources import io, zips
 from regiscope.sources.io import scratch
@@ -146,6 +147,18 @@ def link_latest_accounts(t):
     return pipelines.linked(t("customer"), last, "c_custkey", "o_custkey", F.col("c_mktsegment") != "BUILDING").select("c_custkey", "c_name", "o_orderkey", "enddate")
 
 
+@query("""SELECT c_custkey, c_name, o_orderkey, CAST(o_orderdate AS DATE) AS enddate FROM customer JOIN
+ (SELECT *, max(CAST(o_orderdate AS DATE)) OVER (PARTITION BY o_custkey) AS m FROM orders) o ON o_custkey = c_custkey WHERE CAST(o_orderdate AS DATE) = m AND c_mktsegment <> 'BUILDING'""")
+def link_bucketed_accounts(t):
+    """link_latest_accounts of stored tables in buckets of companies, with month-first dates: no exchange after they are written."""
+    spark = t("nation").sparkSession
+    e = _extracts(t).withColumn("enddate", F.date_format("d", "MM/dd/yyyy"))
+    formats = x.date_orders(e, "enddate")
+    stored = [io.write_bucketed(df, f"regiscope_{uuid.uuid4().hex}", key, 8, scratch(spark)) for df, key in ((t("customer"), "c_custkey"), (e, "o_custkey"))]
+    last = pipelines.latest_accounts(stored[1], [F.col("enddate")], "o_custkey", "o_orderkey", "enddate", formats, bucketed=True)
+    return pipelines.linked(stored[0], last, "c_custkey", "o_custkey", F.col("c_mktsegment") != "BUILDING").select("c_custkey", "c_name", "o_orderkey", "enddate")
+
+
 @query(_LATEST + " SELECT o_custkey, o_orderkey, d FROM w WHERE n = 1 OR (z = 0 AND d = m)")
 def latest_null_date_group(t):
     return agg.latest(_extracts(t, 17), "o_custkey", "d")
@@ -361,6 +374,14 @@ def parse_mixed_dates(t):
     return t("orders").select("o_orderkey", x.parse_date(text).alias("d"))
 
 
+@query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS month_first, CASE WHEN o_orderkey % 9 > 0 THEN CAST(o_orderdate AS DATE) END AS day_first FROM orders")
+def dates_in_trained_orders(t):
+    """One column has its months first, the other its days: each is read in its own order."""
+    d = F.col("o_orderdate").cast("date")
+    texts = t("orders").select("o_orderkey", F.date_format(d, "M/d/yyyy").alias("month_first"), F.when(F.col("o_orderkey") % 9 > 0, F.date_format(d, "dd.MM.yyyy")).otherwise(F.lit("none")).alias("day_first"))
+    return x.with_trained_dates(x.with_trained_dates(texts, "month_first"), "day_first")
+
+
 @query("SELECT o_orderkey, round(datediff('day', CAST(o_orderdate AS DATE), DATE '2025-03-01') / 365.0, 4) AS age FROM orders")
 def age_years(t):
     return t("orders").select("o_orderkey", r4(x.age_in_years(F.col("o_orderdate").cast("date"), F.lit("2025-03-01").cast("date")), "age"))
@@ -571,6 +592,23 @@ def natural_breaks_of_many_levels(t):
     return stats.natural_breaks(t("customer").select(F.round("c_acctbal").alias("v")), "v", 4)
 
 
+@query("""SELECT l_returnflag, l_linestatus, count(*) AS n, round(quantile_cont(l_extendedprice, 0.1), 4) AS p10, round(quantile_cont(l_extendedprice, 0.5), 4) AS median, round(quantile_cont(l_extendedprice, 0.999), 4) AS p999 FROM lineitem GROUP BY ALL""")
+def quantiles_by_refinement(t):
+    out = agg.quantiles(t("lineitem"), ["l_returnflag", "l_linestatus"], "l_extendedprice", [0.1, 0.5, 0.999])
+    return out.select("l_returnflag", "l_linestatus", "n", *(F.round(F.col("quantiles")[k], 4).alias(name) for k, name in enumerate(("p10", "median", "p999"))))
+
+
+@query(SQL["boxplot_stats"])
+def boxplot_of_large_groups(t):
+    b = stats.box_plot(t("events"), "event_type", "value", large=True)
+    return b.select("event_type", *(r4(c, c) for c in ("q1", "median", "q3", "low", "high")), "rank")
+
+
+@query(SQL["kde_peak"])
+def kde_peak_of_large_groups(t):
+    return stats.density_peak(t("events"), "event_type", "value", large=True).select("event_type", r4("peak", "peak"))
+
+
 @query(_KDE.replace("SELECT event_type AS g, value AS v FROM events WHERE value IS NOT NULL", "SELECT event_type AS g, log10(value) AS v FROM events WHERE value > 0") + " SELECT g AS event_type, round(x, 4) AS x, round(d, 4) AS density FROM r")
 def density_curve(t):
     return stats.log_density(t("events"), "event_type", "value").select("event_type", r4("x", "x"), r4("density", "density"))
@@ -612,6 +650,15 @@ def ixbrl_search(t):
     return accounts.search(facts, "dormant.* true").select("companynumber", "name", "value")
 
 
+@query(SQL["ixbrl_search"])
+def ixbrl_indexed_search(t):
+    """ixbrl_search by an index to which archives are added one after the other."""
+    facts, path = accounts.shred(accounts.file_keys(_documents(t)), ["archive", "companynumber"]), scratch(t("nation").sparkSession)
+    for some in (("Accounts-0.zip", "Accounts-3.zip"), ("Accounts-1.zip",), ("Accounts-2.zip", "Accounts-3.zip")):
+        factindex.add(facts.where(F.col("archive").isin(*some)), path)
+    return factindex.search(t("nation").sparkSession, path, "dormant.* true").select("companynumber", "name", "value")
+
+
 def _archives(t, folder: str, rows: str = "true") -> DataFrame:
     """The documents as zip archives in a folder; a listing of it."""
     zips.write_archives(_documents(t).where(rows), folder).collect()  # a row an archive

@@ -32,6 +32,12 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a folder or file, if it is there, in whatever store it lies."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def read_register(spark: SparkSession, path: str) -> DataFrame:
     """All columns as text by their header, pruned to those kept, dots in names as underscores."""
     raw = spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True).option("inferSchema", False).csv(path)
@@ -52,9 +58,16 @@ def write_snapshot(df: DataFrame, path: str, date: str) -> None:
     df.withColumn("snapshot_date", F.lit(date)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, key: str = "archive") -> None:
-    """A folder per archive; a rerun replaces only the archives it holds."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+def write_partitioned(df: DataFrame, path: str, key: str | list[str] = "archive") -> None:
+    """A folder per archive (or for each combination of several keys); a rerun replaces only those that it writes."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*([key] if isinstance(key, str) else key)).parquet(path)
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> DataFrame:
+    """A table of the catalog in buckets of a key, a sorted file each; tables of one number of buckets join, and group, by the key without a shuffle. Its files lie under `path`, if given."""
+    writer = df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    return df.sparkSession.table(table)
 
 
 def list_archives(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:

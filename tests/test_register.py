@@ -16,7 +16,7 @@ from pyspark.sql.datasource import EqualTo
 
 from regiscope import queries
 from regiscope.functions import exprs as x
-from regiscope.operators import accounts, agg, geo, link, predicates, stats
+from regiscope.operators import accounts, agg, factindex, geo, link, predicates, stats
 from regiscope.plans import pipelines
 from regiscope.sources import io, zips
 from regiscope.streaming import incremental
@@ -392,6 +392,58 @@ def test_stream_keeps_the_latest_of_all_batches(spark, tmp_path):
     assert incremental.latest_rows(spark, checkpoint).where("k = 'd'").first().v == 2**53 + 1
 
 
+def test_quantiles_by_refinement_equal_percentiles(spark):
+    """Ties, extreme ranges, infinities, NULL groups, single values; with few parts, many rounds."""
+    rng = np.random.default_rng(9)
+    data = [("even", float(x)) for x in rng.normal(size=700)] + [("tied", float(x)) for x in rng.integers(0, 4, 300)] + [("wide", float(x)) for x in 10.0 ** rng.integers(-300, 300, 200)] + [("wide", -1e-310), ("wide", 5e-324)]
+    data += [("one", 7.0), ("same", 2.0), ("same", 2.0), (None, 1.0), (None, 3.0), ("void", None), ("ends", float("-inf")), ("ends", float("inf")), *(("ends", float(k)) for k in range(20)), ("huge", 1.7e308), ("huge", -1.7e308), ("huge", 0.0), ("huge", 1.0)]
+    df = spark.createDataFrame(data, "v string, _k double").withColumnRenamed("_k", "k")
+    ps = [0.0, 0.1, 0.25, 0.5, 0.99, 1.0]
+    want = {r.v: list(r.q) for r in df.where("k IS NOT NULL").groupBy("v").agg(F.percentile("k", F.array(*map(F.lit, ps))).alias("q")).collect()}
+    for parts, few in ((1024, 1000), (1024, 1), (4, 3)):
+        got = {r.v: list(r.quantiles) for r in agg.quantiles(df, ["v"], "k", ps, parts, few).collect()}
+        assert got.keys() == want.keys() and all(np.allclose(got[g], want[g], rtol=1e-12, atol=0, equal_nan=True) for g in want)
+    whole = agg.quantiles(df.where("v = 'even'"), [], "k", [0.5], 16, 5).first()
+    assert (whole.n, whole.quantiles) == (700, [want["even"][3]]) and agg.quantiles(df.limit(0), ["v"], "k", [0.5]).count() == 0
+
+
+def test_date_orders_are_learned_from_the_column(spark):
+    us = spark.createDataFrame([("03/04/2024",), ("12/31/2023",), ("1/15/2024",), (None,), ("x",)], "d string")
+    assert [r.d for r in x.with_trained_dates(us, "d").collect()] == [dt.date(2024, 3, 4), dt.date(2023, 12, 31), dt.date(2024, 1, 15), None, None]
+    uk = spark.createDataFrame([("03/04/2024",), ("31/12/2023",), ("03/04/2024",)], "d string")
+    assert [r.d for r in x.with_trained_dates(uk, "d").collect()] == [dt.date(2024, 4, 3), dt.date(2023, 12, 31), dt.date(2024, 4, 3)]
+    assert x.date_orders(us.limit(0), "d") == x.DATE_FORMATS
+
+
+def test_bucketed_tables_join_without_an_exchange(spark):
+    out = queries.QUERIES["link_bucketed_accounts"](spark, "/root/testdata/sf0.001")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = queries.QUERIES["link_bucketed_accounts"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in plan and "Window" in plan and "SortMergeJoin" in plan and out.count() > 0
+
+
+def test_indexed_search_equals_a_scan(spark, tmp_path):
+    """Patterns with and without sure runs of characters, NULLs, archives added again; few files are read."""
+    rng, path = random.Random(11), str(tmp_path / "index")
+    words = ["Dormant", "true", "Turnover", "ÉTÉ", "a|b", "x.y", "Straße", "employees (average)"]
+    data = [(f"A{k % 3}", f"frs:{rng.choice(words)}{k % 40}", rng.choice([None, "", "12", " ".join(rng.choices(words, k=4))])) for k in range(600)]
+    df = spark.createDataFrame(data, "archive string, name string, value string").withColumn("gram", F.lit("x"))
+    factindex.add(df.where("archive <> 'A2'"), path)
+    factindex.add(df.where("archive <> 'A0'").withColumn("name", F.lit("only turnover")), path)
+    factindex.add(df.where("archive <> 'A0'"), path)  # A1 and A2 again: nothing of before stays
+    for pattern in ("dormant.* true", "turn", "TURNOVER1.*turn", "no such thing", "12", "tru?e", "(true|dorm)", "x\\.y", "employees \\(av", "^frs:Dorm", "[a-z]{3}mant", "été", "straße", "true.*(dormant)? turn", "tur{2}n", "frs:.+7 .*ee"):
+        want = rows(accounts.search(df, pattern))
+        got = factindex.search(spark, path, pattern)
+        assert rows(got.select(*df.columns)) == want, pattern
+    hits = spark.read.parquet(f"{path}/postings").where(F.col("_range").isin([1]))
+    assert 0 < len(hits.inputFiles()) and factindex.literals("dormant.* true") == ["dormant", " true"] and factindex.literals("a.b") is None and factindex.literals("(abc)*x") is None
+    plan = factindex.search(spark, path, "turnover1.*turn")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [_range" in plan or "_range#" in plan.split("PartitionFilters", 1)[1]
+
+
 def test_group_aggregates_join_back_with_null_keys(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 2.0), (None, 6.0), ("b", None)], "g string, v double")
     assert rows(agg.share_of_group(df, ["g"], "v").select("g", "pct", "group_count")) == rows(spark.createDataFrame([("a", 25.0, 2), ("a", 75.0, 2), (None, 25.0, 2), (None, 75.0, 2), ("b", None, 1)], "g string, pct double, n long"))
