@@ -13,12 +13,13 @@ repeated rows give repeated results, other columns are ignored.
 
 from __future__ import annotations
 
+import codecs
 import functools
 import hashlib
 import itertools
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import pyarrow as pa
@@ -31,8 +32,10 @@ MARK = "▁"
 END = 2
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<int>, decoded string"
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-#: Segments whose ids are kept (in two generations of so many), and pairs of pieces whose compatibility is.
-CACHE = PAIRS = 1 << 17
+#: Segments whose ids are kept, and pairs of pieces whose compatibility is, in two generations of so many.
+CACHE, PAIRS = 1 << 17, 1 << 16
+#: More than the rank of any piece.
+NONE = 1 << 62
 #: Texts are encoded and decoded in windows of about so many characters, each from the start of a run of space marks.
 WINDOW = 1 << 16
 _SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -49,6 +52,24 @@ def windows(text: str, size: int = WINDOW) -> Iterator[str]:
         at = to
 
 
+class Made(dict):
+    """Values made when they are first asked for, in two generations of so many; those of keys longer than `longest` aren't kept."""
+
+    def __init__(self, make: Callable, most: int, longest: int | None = None):
+        super().__init__()
+        self.make, self.most, self.longest, self.older = make, most, longest, {}
+
+    def __missing__(self, key):
+        if (got := self.older.get(key)) is None:
+            got = self.make(key)
+        if self.longest is None or len(key) <= self.longest:
+            if len(self) >= self.most:  # keys not met since the last such turn are forgotten
+                self.older = dict(self)
+                self.clear()
+            self[key] = got
+        return got
+
+
 class Pieces:
     """The model's vocabulary and the encoder over it."""
 
@@ -67,108 +88,118 @@ class Pieces:
                 self.text[i] = piece
         self.byte_id = {v: k for k, v in self.byte.items()}
         self.known = {c for p in self.ids for c in p}
-        self.width = max(map(len, self.ids))
+        order = sorted(self.ids, key=lambda p: -self.score[p])
+        self.rank, k = {}, -1
+        for before, piece in zip([None, *order], order):  # pieces of one score have one rank
+            k += before is None or self.score[before] != self.score[piece]
+            self.rank[piece] = k
+        whole = {p: i for p, i in self.ids.items() if self.merge(p) == [p]}  # others never stand in an encoding
         self.automaton = ahocorasick.Automaton()
-        for piece in self.ids:
-            self.automaton.add_word(piece, piece)
+        self.size, self.shorter = [0] * sp.vocab_size(), [-1] * sp.vocab_size()
+        for piece, i in whole.items():
+            self.automaton.add_word(piece, (len(piece) - 1, i))
+            self.size[i], self.shorter[i] = len(piece), next((whole[piece[:k]] for k in range(len(piece) - 1, 0, -1) if piece[:k] in whole), -1)
         self.automaton.make_automaton()
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.own = functools.lru_cache(1 << 16)(lambda piece: self.merge(piece) == [piece])
-        self.shorter = functools.lru_cache(1 << 16)(self._shorter)
-        self.plain = [self.text[i].replace(MARK, " ") if i in self.text else "" if i not in self.byte else None for i in range(sp.vocab_size())]
+        self.edges = Made(self._edges, PAIRS)
+        self.pairs = Made(lambda pair: self.compatible(self.text[pair >> 32], self.text[pair & 0xFFFFFFFF]), PAIRS)  # by both ids in one number
+        self.bytes = [self.text[i].replace(MARK, " ").encode() if i in self.text else bytes([self.byte[i]]) if i in self.byte else b"" for i in range(sp.vocab_size())]
         self.number = list(map(str, range(sp.vocab_size())))
-        self.cache: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.words = Made(lambda segment: array("i", self.segment_ids(segment)).tobytes(), CACHE, 64)  # packed ids take less room than lists or text
 
     def merge(self, text: str) -> list[str]:
         """Merging from single characters: the best-scored adjacent pair first, the leftmost of equal ones."""
-        parts = list(text)
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                s = self.score.get(parts[i] + parts[i + 1])
-                if s is not None and (best is None or s > best):
-                    best, at = s, i
-            if best is None:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        parts, find = list(text), self.rank.get
+        ranks = [find(a + b, NONE) for a, b in zip(parts, parts[1:])]
+        while ranks and (best := min(ranks)) != NONE:
+            k = ranks.index(best)
+            parts[k] += parts[k + 1]
+            del parts[k + 1], ranks[k]
+            if k:
+                ranks[k - 1] = find(parts[k - 1] + parts[k], NONE)
+            if k < len(ranks):
+                ranks[k] = find(parts[k] + parts[k + 1], NONE)
         return parts
 
+    def _edges(self, piece: str) -> tuple | None:
+        """What stands at the left and at the right end of a piece while it is merged: for each end (text, rank it is made at), and a rank after all. None if ranks do not rise."""
+        parts, find, left, right = list(piece), self.rank.get, [(piece[0], -1)], [(piece[-1], -1)]
+        while len(parts) > 1:
+            ranks = [find(a + b, NONE) for a, b in zip(parts, parts[1:])]
+            k = ranks.index(best := min(ranks))
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+            if k == 0:
+                left.append((parts[0], best))
+            if k == len(parts) - 1:
+                right.append((parts[-1], best))
+        for end in (left, right):
+            if any(a[1] >= b[1] for a, b in zip(end, end[1:])):
+                return None
+            end.append(("", NONE))
+        return left, right
+
     def compatible(self, left: str, right: str) -> bool:
-        """Whether re-merging the two pieces' characters gives back the two."""
-        if (ok := self.pairs.get((left, right))) is None:
-            if len(self.pairs) >= PAIRS:
-                self.pairs.clear()
-            ok = self.pairs[left, right] = self.merge(left + right) == [left, right]
-        return ok
-
-    def _shorter(self, piece: str) -> str | None:
-        """The longest shorter piece that begins this piece."""
-        for k in range(len(piece) - 1, 0, -1):
-            if piece[:k] in self.ids:
-                return piece[:k]
-        return None
-
-    def longest(self, text: str, at: int) -> str | None:
-        """The longest piece that begins at a place."""
-        for k in range(min(self.width, len(text) - at), 0, -1):
-            if (piece := text[at : at + k]) in self.ids:
-                return piece
-        return None
-
-    def backtrack(self, text: str) -> list[str]:
-        """Pieces of a text whose every character is in the vocabulary.
-
-        The automaton's longest matches are taken as far as they are compatible; from the first that is
-        not, shorter pieces and earlier places are tried, and the bit field holds the places that failed.
+        """Whether re-merging two pieces gives back just these two.
+
+        They merge as each does by itself until what stands on both sides of the border makes a piece before either side's
+        next merge at the border (on the left side at the same rank at the latest, as the leftmost goes first), so only the two ends are merged again.
         """
-        out: list[str] = []
-        n, at, piece = len(text), 0, None
-        for _, piece in self.automaton.iter_long(text):
-            if not self.own(piece) or (out and not self.compatible(out[-1], piece)):
-                break
-            out.append(piece)
-            at += len(piece)
-        failed = bytearray(n // 8 + 1) if at < n else b""
+        first, second = self.edges[left], self.edges[right]
+        if first is None or second is None:
+            return self.merge(left + right) == [left, right]
+        ends, starts, find, i, j = first[1], second[0], self.rank.get, 0, 0
+        while True:
+            rank, before, after = find(ends[i][0] + starts[j][0], NONE), ends[i + 1][1], starts[j + 1][1]
+            if rank < before and rank <= after:
+                return False
+            if before == after == NONE:
+                return True
+            if before <= after:
+                i += 1
+            else:
+                j += 1
+
+    def backtrack(self, text: str) -> list[int]:
+        """Ids of a text whose every character is in the vocabulary.
+
+        The automaton gives the longest piece at every place. From the left, the longest one that is compatible with the one
+        before it is taken; where none is, the place is marked in the bit field and the piece before it gives way to its next shorter one.
+        """
+        n = len(text)
+        longest = [-1] * (n + 1)
+        for end, (k, i) in self.automaton.iter(text):  # longer ones from one place end later
+            longest[end - k] = i
+        out: list[int] = []
+        at, i, last, failed, pairs, shorter, size = 0, longest[0], -1, None, self.pairs, self.shorter, self.size
         while at < n:
-            while piece is not None:
-                to = at + len(piece)
-                if not failed[to >> 3] >> (to & 7) & 1 and self.own(piece) and (not out or self.compatible(out[-1], piece)):
-                    break
-                piece = self.shorter(piece)
-            if piece is not None:
-                out.append(piece)
-                at += len(piece)
-                piece = self.longest(text, at)
+            while i >= 0:
+                if last < 0 or pairs[last << 32 | i]:
+                    to = at + size[i]
+                    if failed is None or not failed[to >> 3] >> (to & 7) & 1:
+                        break
+                i = shorter[i]
+            else:
+                if failed is None:
+                    failed = bytearray(n // 8 + 1)
+                failed[at >> 3] |= 1 << (at & 7)
+                if not out:
+                    raise ValueError("the vocabulary does not hold every character of the text")
+                at -= size[out.pop()]
+                i, last = shorter[last], out[-1] if out else -1
                 continue
-            failed[at >> 3] |= 1 << (at & 7)
-            if not out:
-                raise ValueError("the vocabulary does not hold every character of the text")
-            last = out.pop()
-            at -= len(last)
-            piece = self.shorter(last)
+            out.append(i)
+            at, last, i = to, i, longest[to]
         return out
 
     def segment_ids(self, text: str) -> list[int]:
         """Ids of one segment; characters outside the vocabulary become their bytes' pieces."""
         if self.known.issuperset(text):
-            return [self.ids[p] for p in self.backtrack(text)]
+            return self.backtrack(text)
         ids: list[int] = []
         for known, run in itertools.groupby(text, self.known.__contains__):
             run = "".join(run)
-            ids += [self.ids[p] for p in self.backtrack(run)] if known else [self.byte_id[b] for b in run.encode("utf-8", "replace")]
+            ids += self.backtrack(run) if known else [self.byte_id[b] for b in run.encode("utf-8", "replace")]
         return ids
 
-    def lookup(self, segment: str) -> bytes:
-        """Ids of one segment as packed integers, which take less room in the cache than lists or text."""
-        if (got := self.cache.get(segment)) is None:
-            got = self.older.pop(segment, None) or array("i", self.segment_ids(segment)).tobytes()
-            if len(segment) <= 64:
-                if len(self.cache) >= CACHE:  # segments not met since the last such turn are forgotten
-                    self.older, self.cache = self.cache, {}
-                self.cache[segment] = got
-        return got
-
     def segments(self, text: str, first: bool = True) -> list[str]:
         """A stretch's segments: each starts at the start of a run of space marks; the first stretch of a text has one mark more."""
         marked = text.replace(" ", MARK)
@@ -180,7 +211,7 @@ class Pieces:
     def stream(self, text: str | None) -> Iterator[list[int]]:
         """The ids, without the end id, a window of the text at a time."""
         for k, part in enumerate(windows(text or "")):
-            yield array("i", b"".join(map(self.lookup, self.segments(part, not k)))).tolist()
+            yield array("i", b"".join(map(self.words.__getitem__, self.segments(part, not k)))).tolist()
 
     def encode(self, text: str | None) -> list[int]:
         return [*itertools.chain.from_iterable(self.stream(text)), END]
@@ -202,10 +233,10 @@ class Pieces:
 
 
 class Reader:
-    """Text of ids that arrive in stretches: byte pieces are held until their run ends and read as UTF-8, the text's leading space goes."""
+    """Text of ids that arrive in stretches: byte pieces are read as UTF-8, whole runs of them, broken ones become U+FFFD; the text's leading space goes."""
 
     def __init__(self, pieces: Pieces):
-        self.plain, self.byte, self.raw, self.begun = pieces.plain, pieces.byte, bytearray(), False
+        self.bytes, self.state, self.begun = pieces.bytes, codecs.getincrementaldecoder("utf-8")("replace"), False
 
     def _first(self, text: str) -> str:
         if self.begun or not text:
@@ -214,26 +245,10 @@ class Reader:
         return text[1:] if text[0] == " " else text
 
     def feed(self, ids: list[int]) -> str:
-        if not self.raw:
-            try:
-                return self._first("".join(map(self.plain.__getitem__, ids)))
-            except TypeError:  # there are byte pieces
-                pass
-        out = []
-        for i in ids:
-            if (text := self.plain[i]) is None:
-                self.raw.append(self.byte[i])
-            elif text:
-                out += (self._run(), text)
-        return self._first("".join(out))
-
-    def _run(self) -> str:
-        text = self.raw.decode("utf-8", "replace")
-        self.raw.clear()
-        return text
+        return self._first(self.state.decode(b"".join(map(self.bytes.__getitem__, ids))))
 
     def end(self) -> str:
-        return self._first(self._run())
+        return self._first(self.state.decode(b"", True))
 
 
 @functools.lru_cache(2)

@@ -260,6 +260,22 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     assert kdtree.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_top_k_of_large_components_is_exact(spark, monkeypatch):
+    """Products beyond 2^53 that floats would round, in one shard and in several."""
+    rng = np.random.default_rng(12)
+    data = [(k, [float(x) for x in rng.integers(-4_000_000, 4_000_000, 16)]) for k in range(300)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    want = []
+    for q, v in data[::20]:
+        scores = sorted((-sum(int(64 * a) * int(64 * b) for a, b in zip(v, w)), k) for k, w in data if k != q)[:5]
+        want += [(q, r + 1, k, -s) for r, (s, k) in enumerate(scores)]
+    for shard in (8192, 40):
+        monkeypatch.setattr(kdtree, "SHARD", shard)
+        assert sorted(map(tuple, kdtree.top_k(df, k=5).collect())) == sorted(want)
+    with pytest.raises(ValueError):
+        kdtree.top_k(spark.createDataFrame([(0, [1e30]), (1, [1e30])], df.schema))
+
+
 def test_top_k_of_clusters_repeated_ids_and_clashing_columns(spark, monkeypatch):
     """Cells far away are ruled out; repeated ids are rows of their own; equal vectors rank by id; very unequal lengths."""
     for name, n in (("SHARD", 40), ("QUERIES", 5), ("LEAF", 8), ("SPLIT", 100)):
@@ -342,6 +358,15 @@ def test_main_text():
     assert mincut.main_text("<main><p>3 <4 and 5< 6; a<b>c</b>d. &lt;p&gt; &#233;</p></main>")[0] == "3 <4 and 5< 6; acd. <p> é"
 
 
+def test_main_text_without_tags_that_tell_and_with_hidden_parts():
+    plain = "<div id=wrap><h1>Title</h1><p>Hello world, this is text. It has many words, indeed. Fine.</p></div>"
+    assert mincut.main_text(plain)[0] == "Title Hello world, this is text. It has many words, indeed. Fine."
+    page = ("<article><h2 class='body-header'>Head</h2><p>First words here, a sentence.</p><p class='main-nav-note'>Second one here, a sentence.</p><p hidden>no</p><div style='display:none'>gone text</div>"
+            "<div class='overflow x' style=\"overflow:hidden\">Kept sentence is here.</div><div aria-hidden=true>gone</div><div title='hidden'>Also kept, this one.</div></article>"
+            "<div class=user-reviews><p>I liked it. Very good. Indeed.</p></div><div class='reader-responses'><p>I hated it. Very bad. Indeed.</p></div>")
+    assert mincut.main_text(page)[0] == "Head First words here, a sentence. Second one here, a sentence. Kept sentence is here. Also kept, this one."
+
+
 def test_pages_that_never_close_take_linear_time():
     at = time.time()
     for page in ("<a " * 400_000, "<a title='" * 100_000, "<div>" * 200_000 + "x" + "</b>" * 200_000, "".join(f"<div>w{i} " for i in range(50_000)), "<title>" * 100_000, "<ul>" + "<div>" * 50_000 + "<li>x</li>" * 50_000, "<p>word text here. " * 50_000, "<!-- " * 100_000):
@@ -692,6 +717,13 @@ def test_samples_for_fits_stay_bounded_whatever_repeats(spark):
     for r in df.select("lang", "mark").distinct().collect():
         marks.setdefault(r.lang, []).append(r.mark)
     assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v)[:20] for k, v in marks.items()}
+    sized = df.withColumn("size", F.length("text"))
+    chars = {r.mark: r.size for r in sized.collect()}
+    for total in (1, 30, 100):
+        got = {}
+        for r in common.first_by_hash(sized, "lang", 20, size="size", total=total).collect():
+            got.setdefault(r.lang, []).append(r.mark)
+        assert {k: sorted(v) for k, v in got.items()} == {k: [m for i, m in enumerate(sorted(v)[:20]) if not i or sum(chars[x] for x in sorted(v)[: i + 1]) <= total] for k, v in marks.items()}
     labels = spark.createDataFrame([(k, k % 2) for k in range(7)], "doc_id long, toxic int")
     assert toxicity.train(df.drop("mark"), labels, 5).doc.shape == (4,)
     assert langid.train(df, 5).langs
@@ -792,6 +824,16 @@ def brute_lines(docs, least=50):
     return {k: t for k, t in kept.items() if t == dict(docs)[k] or t.strip()}
 
 
+def test_compatibility_equals_merging_again():
+    own, rng = pieces.load(queries.model_path()), random.Random(8)
+    some = sorted(own.text[i] for i, n in enumerate(own.size) if n)
+    whole = set(some)
+    near = [(a, b) for t in ("".join(rng.choices("▁aeionstrlhd", k=12)) for _ in range(1500)) for k in range(1, 11) for a, b in [(t[max(0, k - rng.randint(1, 5)) : k], t[k : k + rng.randint(1, 5)])] if a in whole and b in whole]
+    pairs = near + [(rng.choice(some), rng.choice(some)) for _ in range(5000)]
+    got = [own.compatible(*p) for p in pairs]
+    assert got == [own.merge(a + b) == [a, b] for a, b in pairs] and 500 < sum(got) < len(got) - 500
+
+
 def test_decoded_text_comes_from_the_ids(monkeypatch):
     """An encoder that is broken changes the decoded digest with the ids'; long texts go by windows."""
     own = pieces.Pieces(queries.model_path())
