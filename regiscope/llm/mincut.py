@@ -14,7 +14,8 @@ given weights, which also serve alone where no page has both kinds.
 
 Null and empty html give an empty text. Pages are read in one pass that takes time in proportion to their length: quotes
 inside unquoted values are plain characters, a tag without `>` ends at the next `<`, a quote that never closes ends with
-its word, stray closing tags and unknown tags are passed over, an unfinished tag at the end is no text. Repeated rows and
+its word, stray closing tags and unknown tags are passed over, an unfinished tag at the end is no text. Hidden elements (by attribute or
+style) are no text. Class words count on containers, and at the start of a class on paragraphs and headings; a page without article or main has no bias against its blocks. Repeated rows and
 ids give repeated results; other columns, whatever their names, are ignored.
 """
 
@@ -52,11 +53,14 @@ LISTS = ("ul", "ol", "dl", "table", "select", "menu")
 RAW = frozenset("script style textarea title iframe noscript".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Words in class, id and role that mark what is not the article, and what is; a word after one of these prefixes says nothing.
-BAD_WORD = re.compile(r"(?:^|[-_])(?:ad|ads|adv|advert\w*|banner|promo\w*|sponsor\w*|cookie\w*|consent|notice\w*|popup|modal|newsletter|subscribe|signup|login|comment\w*|disqus|respond|replies|reply|sidebar\w*|side|aside|widget\w*|related\w*|recommend\w*|share\w*|social|menu\w*|nav\w*|breadcrumb\w*|footer\w*|foot|header|masthead|topbar|toolbar|pagination|pager|copyright|legal|disclaimer|search\w*|contentinfo|navigation|complementary|alert\w*)(?:$|[-_])", re.I)
+BAD_WORD = re.compile(r"(?:^|[-_])(?:ad|ads|adv|advert\w*|banner|promo\w*|sponsor\w*|cookie\w*|consent|notice\w*|popup|modal|newsletter|subscribe|signup|login|comment\w*|disqus|respond|responses?|replies|reply|reviews?|feedback|discussion|sidebar\w*|side|aside|widget\w*|related\w*|recommend\w*|share\w*|social|menu\w*|nav\w*|breadcrumb\w*|footer\w*|foot|header|masthead|topbar|toolbar|pagination|pager|copyright|legal|disclaimer|search\w*|contentinfo|navigation|complementary|alert\w*)(?:$|[-_])", re.I)
 GOOD_WORD = re.compile(r"(?:^|[-_])(?:article\w*|content|main|post|entry|story|body)(?:$|[-_])", re.I)
+#: The same at the start of a class: all that counts on a paragraph or heading, which says more of what it is after words for where it is.
+BAD_START = re.compile("^" + BAD_WORD.pattern.removeprefix("(?:^|[-_])"), re.I)
 NO_WORD = re.compile(r"(?:no|has|with|without|hide|show)[-_]", re.I)
-# Weights held near: bias, good tag, bad tag, good word, bad word, link share, log words, sentence marks, list item, heading, page header.
-PRIOR = np.array([-1.5, 4.0, -10.0, 1.0, -8.0, -4.0, 0.5, 1.0, -0.5, 0.5, -8.0])
+# Weights held near: bias, good tag, bad tag, good word, bad word, link share, log words, sentence marks, list item, heading, page header, page without article or main, mark of ownership first.
+PRIOR = np.array([-1.5, 4.0, -10.0, 1.0, -8.0, -4.0, 0.5, 1.0, -0.5, 0.5, -8.0, 0.3, -4.0])
+OWNED = re.compile(r"\s*(?:©|\(c\)|copyright\b|all rights reserved)", re.I)
 
 #: A tag as it is mostly written; possessive, so it never goes back.
 PLAIN = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*+)((?:\s++[^\s=<>/\"']++(?:=(?:\"[^\"<>]*+\"|'[^'<>]*+'|[^\s<>\"'=]++))?+)*+)\s*+(/?)>")
@@ -64,8 +68,18 @@ NAME = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*+)")
 SPACE = re.compile(r"[\s/]*+")
 ATTRIBUTE = re.compile(r"([^\s=<>/][^\s=<>/]*+)(\s*+=\s*+)?+")
 VALUE = re.compile(r"[^\s>]*+")
+QUOTED = re.compile(r"(=\s*)(?:\"[^\"]*\"|'[^']*')")
 MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_GOOD, _BAD, _GOOD_WORD, _BAD_WORD, _ITEM, _HEADING, _HEADER = (1 << k for k in range(7))
+_GOOD, _BAD, _GOOD_WORD, _BAD_WORD, _ITEM, _HEADING, _HEADER, _OWNED = (1 << k for k in range(8))
+
+
+def _hides(attributes: str) -> bool:
+    """Whether a tag's attributes hide it."""
+    low = attributes.lower()
+    if "hidden" not in low and "none" not in low:
+        return False
+    bare = QUOTED.sub(r"\1v", attributes)
+    return bool(re.search(r"(?:^|\s)hidden(?=$|[\s=/])", bare, re.I)) or bool(re.search(r"\baria-hidden\s*=\s*[\"']?true|\bstyle\s*=\s*(?:\"[^\"]*|'[^']*)(?:display\s*:\s*none|visibility\s*:\s*hidden)", attributes, re.I))
 
 
 class Block:
@@ -129,10 +143,10 @@ def _slow_tag(page: str, at: int, gone: set[str]) -> tuple[int, str, str, list[s
             marks.append(value)
 
 
-def _words(marks: list[str]) -> tuple[bool, bool]:
+def _words(marks: list[str], bad: re.Pattern) -> tuple[bool, bool]:
     """Whether the words of class, id and role mark what is not the article, and what is."""
     words = [w for m in marks for w in m.split() if not NO_WORD.match(w)]
-    return any(map(BAD_WORD.search, words)), any(map(GOOD_WORD.search, words))
+    return any(map(bad.search, words)), any(map(GOOD_WORD.search, words))
 
 
 def read(page: str) -> Page:
@@ -151,7 +165,7 @@ def read(page: str) -> Page:
             text = " ".join((entities.unescape(text) if "&" in text else text).split())
             if text:
                 _, node, flags, _ = stack[-1] if stack else ("", 0, 0, False)
-                out.blocks.append(Block(text, node, min(linked, len(text)), flags))
+                out.blocks.append(Block(text, node, min(linked, len(text)), flags | _OWNED * (not flags & _GOOD and OWNED.match(text) is not None)))
             parts.clear()
         linked = 0
 
@@ -185,9 +199,10 @@ def read(page: str) -> Page:
         if m := PLAIN.match(page, at):
             at, closing, tag, own = m.end(), m[1], m[2].lower(), bool(m[4])
             marks = ["".join(x) for x in MARKS.findall(m[3])] if "=" in m[3] and not closing else []
+            unseen = not closing and _hides(m[3])
         elif NAME.match(page, at):
             at, closing, tag, marks, own = _slow_tag(page, at, gone)
-            tag = tag.lower()
+            tag, unseen = tag.lower(), False
             if at >= end and page[-1] != ">":
                 break
         else:  # a plain "<"
@@ -216,10 +231,10 @@ def read(page: str) -> Page:
             out.parent.append(node)
             out.depth.append(out.depth[node] + 1)
             node = len(out.parent) - 1
-        bad, good = _words(marks)
+        bad, good = _words(marks, BAD_START if tag == "p" or tag in HEADINGS else BAD_WORD)
         flags |= _GOOD * (tag in GOOD) | _BAD * (tag in BAD) | _GOOD_WORD * good | _BAD_WORD * (bad and tag not in ("html", "body", "main")) | _ITEM * (tag in ("li", "td")) | _HEADING * (tag in HEADINGS)
         flags |= _HEADER * (tag == "header" and not flags & _GOOD)
-        hidden = tag in SKIP
+        hidden = tag in SKIP or (unseen and tag not in ("html", "body"))
         places[tag].append(len(stack))
         stack.append((tag, node, flags, hidden))
         skip += hidden
@@ -235,17 +250,17 @@ def read(page: str) -> Page:
 
 
 def features(found: list[Block]) -> np.ndarray:
-    out = np.zeros((len(found), len(PRIOR)))
+    out, none = np.zeros((len(found), len(PRIOR))), not any(b.flags & _GOOD for b in found)
     for row, b in zip(out, found):
         f = b.flags
         row[:] = (1, f & _GOOD > 0, f & _BAD > 0, f & _GOOD_WORD > 0, f & _BAD_WORD > 0, b.linked / max(1, len(b.text)), np.log(b.text.count(" ") + 1),
-                  min(4, sum(map(b.text.count, ".!?"))) / 4, f & _ITEM > 0, f & _HEADING > 0, f & _HEADER > 0)
+                  min(4, sum(map(b.text.count, ".!?"))) / 4, f & _ITEM > 0, f & _HEADING > 0, f & _HEADER > 0, none, f & _OWNED > 0)
     return out
 
 
 def _bordered(a: Block, b: Block) -> bool:
-    """Whether one of the two is inside something marked as no article, and the other is not."""
-    marked = _BAD | _BAD_WORD | _HEADER
+    """Whether one of the two is marked as no article, by itself or by what it is in, and the other is not."""
+    marked = _BAD | _BAD_WORD | _HEADER | _OWNED
     return bool(a.flags & marked) != bool(b.flags & marked)
 
 
@@ -368,6 +383,8 @@ def fit(pages: list[str], rounds: int = 20, hold: float = 50.0) -> np.ndarray:
     x, y = [], []
     for page in pages:
         found = [b for b in read(page).blocks if bool(b.flags & _GOOD) != bool(b.flags & _BAD)]
+        if not any(b.flags & _GOOD for b in found):
+            continue
         x.append(features(found))
         y += [bool(b.flags & _GOOD) for b in found]
     x, y = np.concatenate(x) if x else np.zeros((0, len(PRIOR))), np.array(y, float)
