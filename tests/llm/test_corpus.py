@@ -844,3 +844,29 @@ def test_decoded_text_comes_from_the_ids(monkeypatch):
     broken = pieces.Pieces(queries.model_path())
     broken.segment_ids = lambda segment: [500, 501, 502]
     assert all(a != b for a, b in zip(broken.digests(text)[1:], whole[1:]))
+
+
+def test_stages_on_empty_tables_and_clashing_names(spark, edge, empty):
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, empty, DIR)
+        assert out.count() == 0 and (out.columns == empty.columns or name == "encode")
+    clash = edge.withColumn("ids", F.lit(1)).withColumn("n_tokens", F.lit("x")).withColumn("decoded", F.lit(None).cast("string"))
+    got = corpus_pipeline.encode(spark, clash, DIR)
+    assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and got.count() == len(EDGE)
+
+
+def test_pipeline_as_a_whole(spark):
+    """What run() gives is what its stages give one after the other, of documents that stay."""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=queries.model_path())
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in corpus_pipeline.run(spark, DIR).collect()}
+    docs = queries.table(spark, DIR, "documents")
+    kept = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = common.materialise(stage(spark, kept, DIR))
+    texts = {r.doc_id: r.text for r in kept.collect()}
+    assert got.keys() == texts.keys() and 0.7 * docs.count() < len(got) < docs.count()
+    for k, t in texts.items():
+        ids = [*sp.encode(t), 2]
+        assert got[k] == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(sp.decode(ids).encode()).hexdigest())
