@@ -6,10 +6,10 @@ Each stage takes the documents that the one before it kept, from the Parquet it
 2. line_dedup: later copies of repeated line runs go; documents that lose all their lines go with them.
 3. near_duplicates: one document of each group of similar ones stays, that of the smallest doc_id, the others go.
 4. decontaminate: documents that hold benchmark passages beyond the limit go.
-5. encode: digests of the ids and the decoded text of every document that stays.
+5. encode: digests of the ids, and of the text decoded from these ids, of every document that stays.
 
 Nulls: a null text is rejected by stage 1; a null doc_id or null in another column stays as it is. Extra
-columns go along, whatever their names. A document is a doc_id with its text: rows with the same doc_id and text are one
+columns go along through stages 1 to 4, whatever their names; stage 5 gives doc_id and digests alone. An empty table stays empty. A document is a doc_id with its text: rows with the same doc_id and text are one
 document and stay or go together, rows with the same doc_id and another text are another document. A document without
 doc_id is in no group of stage 3.
 """
