@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiscope.llm.common import small
+from regiscope.llm.common import keeps, small
 
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 SCHEMA = DIGESTS + ", ids array<long>, decoded string"
@@ -293,6 +293,9 @@ def load(path: str) -> Model:
     return Model(path)
 
 
+keeps("bytebpe", load.cache_clear)
+
+
 def stream(model: Model, text: str | None) -> Iterator[bytes]:
     """Packed ids of a text, a stretch at a time."""
     encoder, text, at = Encoder(model), text or "", 0
@@ -330,7 +333,7 @@ def encode_decode(documents: DataFrame, tokenizer: str, doc_id: str = "doc_id",
 
     def run(batches):
         model = load(tokenizer)
-        for b in small(batches):
+        for b in small(batches, owner="bytebpe"):
             got = [digests(model, t.as_py()) for t in b.column("text")]
             cols = [b.column("doc_id"), *(pa.array([g[k] for g in got], t) for k, t in enumerate((pa.int64(), pa.string(), pa.string())))]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]

@@ -6,7 +6,7 @@ import ctypes
 import functools
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,9 +40,21 @@ def give_back() -> None:
         _libc().malloc_trim(0)
 
 
-def small(batches: Iterator[pa.RecordBatch], rows: int = ROWS, size: int = BYTES) -> Iterator[pa.RecordBatch]:
+#: What operators keep in a Python worker from task to task, and how it is forgotten.
+_KEPT: dict[str, Callable[[], object]] = {}
+
+
+def keeps(owner: str, forget: Callable[[], object]) -> None:
+    """Says that an operator keeps things in its workers: when another one starts in the same worker, they go."""
+    _KEPT[owner] = forget
+
+
+def small(batches: Iterator[pa.RecordBatch], rows: int = ROWS, size: int = BYTES, owner: str = "") -> Iterator[pa.RecordBatch]:
     """Arrow batches cut to so many rows and bytes of text (without copying), as working arrays are several times as large as the text. For Python workers."""
     _libc()
+    for name, forget in _KEPT.items():
+        if name != owner:
+            forget()
     for b in batches:
         ends = np.zeros(b.num_rows, np.int64)
         for c in b.columns:

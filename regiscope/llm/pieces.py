@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiscope.llm.common import small
+from regiscope.llm.common import keeps, small
 
 MARK = "▁"
 END = 2
@@ -256,6 +256,9 @@ def load(path: str) -> Pieces:
     return Pieces(path)
 
 
+keeps("pieces", load.cache_clear)
+
+
 def _column(batch: pa.RecordBatch) -> Iterator[str | None]:
     return (x.as_py() for x in batch.column("text"))
 
@@ -266,7 +269,7 @@ def encode_decode(documents: DataFrame, model: str, doc_id: str = "doc_id", text
 
     def run(batches):
         pieces = load(model)
-        for b in small(batches):
+        for b in small(batches, owner="pieces"):
             texts = list(_column(b))
             got = [pieces.digests(t) for t in texts]
             cols = [b.column("doc_id"), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.string()), pa.array([g[2] for g in got], pa.string())]

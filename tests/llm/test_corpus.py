@@ -870,3 +870,14 @@ def test_pipeline_as_a_whole(spark):
     for k, t in texts.items():
         ids = [*sp.encode(t), 2]
         assert got[k] == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(sp.decode(ids).encode()).hexdigest())
+
+
+def test_workers_forget_what_another_operator_kept():
+    calls = []
+    common.keeps("one", lambda: calls.append("one"))
+    try:
+        batch = pa.RecordBatch.from_pydict({"text": ["a" * 10] * 5 + [None, "b" * 100]})
+        assert [b.num_rows for b in common.small(iter([batch]), 3, 1 << 20, "one")] == [3, 3, 1] and calls == []
+        assert [b.num_rows for b in common.small(iter([batch]), 1000, 25)] == [2, 2, 2, 1] and calls == ["one"]  # by bytes; a longer row goes by itself
+    finally:
+        del common._KEPT["one"]
