@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from regiscope.functions.exprs import log10
 from regiscope.operators import agg
-from regiscope.operators.geo import distance
 from regiscope.sources.io import written
 
 
@@ -24,24 +23,78 @@ def ols_by_group(df: DataFrame, keys: list[str], y: str, x: str) -> DataFrame:
     return g.withColumn("slope", F.when(fit, F.col("_b"))).withColumn("se", F.when(fit, se)).select(*keys, "n", "slope", "se")
 
 
-def pair_distances(a: DataFrame, b: DataFrame, keys: list[str] | None = None, blocks: int = 32) -> DataFrame:
-    """distance of all pairs of points (x, y) of two tables, by `keys` if given.
+#: Points of a pack at most; rows and columns of blocks that a key's pairs of packs are dealt to; pairs made at once, few enough for a core's cache.
+PACK, SIDE, AT_ONCE = 4096, 6, 1 << 15
 
-    The first table is dealt to blocks by a hash of the point, the second goes to every block: an equality join, so that the
-    pairs of one key are made by as many tasks as there are blocks, and neither side has to fit a broadcast.
+
+def pair_packs(a: DataFrame, b: DataFrame, key: str = "rep") -> DataFrame:
+    """(key, ax, ay, bx, by): packs of doubles (bytes), so that every pair of points (x, y) of two tables that have a key is in one row's product.
+
+    Pairs are never rows. A pack of the first table goes to a row of blocks and one of the second to a column, so the tables are
+    sent SIDE times each; tasks get blocks of a key, and never more of it than two packs at a time. Points without coordinates make no pair.
+    The tables are scanned once for each pass, so they should be stored.
     """
-    left = a.withColumnsRenamed({"x": "ax", "y": "ay"}).withColumn("_block", F.pmod(F.xxhash64("ax", "ay"), F.lit(blocks)))
-    right = b.withColumnsRenamed({"x": "bx", "y": "by"}).withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    return left.join(right, [*(keys or []), "_block"]).select(*(keys or []), distance("ax", "ay", "bx", "by").alias("distance"))
+    tasks = 4 * a.sparkSession.sparkContext.defaultParallelism
+
+    def pack(batches):
+        held: dict = {}
+        for pdf in batches:
+            out = []
+            for k, part in pdf.groupby(key, sort=False):
+                xs, ys = (np.concatenate([old, part[c].to_numpy()]) for old, c in zip(held.get(k, (np.empty(0),) * 2), ("x", "y")))
+                whole = len(xs) - len(xs) % PACK
+                out += [(k, xs[at : at + PACK].tobytes(), ys[at : at + PACK].tobytes()) for at in range(0, whole, PACK)]
+                held[k] = xs[whole:], ys[whole:]
+            yield pd.DataFrame(out, columns=[key, "x", "y"])
+        yield pd.DataFrame([(k, xs.tobytes(), ys.tobytes()) for k, (xs, ys) in held.items() if len(xs)], columns=[key, "x", "y"])
 
+    sides = []
+    for df, own, other, names in ((a, "_i", "_j", ("ax", "ay")), (b, "_j", "_i", ("bx", "by"))):
+        packs = df.where("x IS NOT NULL AND y IS NOT NULL").select(F.col(key).cast("long").alias(key), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).mapInPandas(pack, f"`{key}` long, x binary, y binary")
+        dealt = packs.select(key, F.col("x").alias(names[0]), F.col("y").alias(names[1]), F.pmod(F.xxhash64("x", "y"), F.lit(SIDE)).cast("int").alias(own))
+        sides.append(dealt.withColumn(other, F.explode(F.lit(list(range(SIDE))))).repartition(tasks, key, "_i", "_j"))
+    return sides[0].hint("merge").join(sides[1], [key, "_i", "_j"]).drop("_i", "_j")  # a merge: no side is gathered in the driver
 
-def mean_distance(a: DataFrame, b: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Mean distance over all pairs of points (x, y) of two tables, by `keys` if given. Pairs are never stored."""
-    return pair_distances(a, b, keys).groupBy(*(keys or [])).agg(F.avg("distance").alias("mean_distance"))
 
+def _distances(ax: bytes, ay: bytes, bx: bytes, by: bytes):
+    """All distances between the points of two packs, some at a time."""
+    ax, ay, bx, by = (np.frombuffer(v) for v in (ax, ay, bx, by))
+    step = max(1, AT_ONCE // len(bx))
+    for k in range(0, len(ax), step):
+        d, dy = ax[k : k + step, None] - bx, ay[k : k + step, None] - by
+        d *= d
+        dy *= dy
+        d += dy
+        yield np.sqrt(d, out=d).ravel()
 
-def permuted_pairs(points: DataFrame, n1: Column | int, n2: Column | int, reps: int, key: str = "id", seed: str = "") -> DataFrame:
-    """(rep, distance): all pairs of two samples without replacement, of n1 and n2 points, in each repetition."""
+
+def pair_summary(packs: DataFrame, key: str = "rep") -> DataFrame:
+    """(key, n, lo, hi, sd, mean_distance) of the distances of all pairs of points of `pair_packs`."""
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for row in pdf.itertuples(index=False):
+                for d in _distances(row.ax, row.ay, row.bx, row.by):
+                    total = d.sum()
+                    out.append((getattr(row, key), len(d), total, ((d - total / len(d)) ** 2).sum() + total * total / len(d), d.min(), d.max()))
+            each = pd.DataFrame(out, columns=[key, "n", "s", "ss", "lo", "hi"])
+            yield each.groupby(key, as_index=False).agg({"n": "sum", "s": "sum", "ss": "sum", "lo": lambda v: v.min(skipna=False), "hi": lambda v: v.max(skipna=False)})
+
+    each = packs.select(key, "ax", "ay", "bx", "by").mapInPandas(run, f"`{key}` long, n long, s double, ss double, lo double, hi double")
+    s = each.groupBy(key).agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("ss").alias("ss"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    sd = F.when(F.col("n") < 2, None).when(F.col("lo") == F.col("hi"), 0.0).otherwise(F.sqrt(F.greatest(F.lit(0.0), F.col("ss") - F.col("s") * F.col("s") / F.col("n")) / (F.col("n") - 1)))
+    return s.select(key, "n", "lo", "hi", sd.alias("sd"), (F.col("s") / F.col("n")).alias("mean_distance"))
+
+
+def mean_distance(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Mean distance over all pairs of points (x, y) of two tables. Pairs are never rows."""
+    sides = [written(df.select(F.lit(0).cast("long").alias("rep"), "x", "y")) for df in (a, b)]
+    return pair_summary(pair_packs(*sides)).agg(F.max("mean_distance").alias("mean_distance"))
+
+
+def drawn_sides(points: DataFrame, n1: Column | int, n2: Column | int, reps: int, key: str = "id", seed: str = "") -> list[DataFrame]:
+    """Two tables (rep, x, y): samples without replacement, of n1 and n2 points, in each repetition."""
     spread = points.crossJoin(F.broadcast(points.sparkSession.range(reps).withColumnRenamed("id", "rep")))  # `reps` rows
     sides = []
     for side, n in (("x", n1), ("y", n2)):
@@ -53,8 +106,8 @@ def permuted_pairs(points: DataFrame, n1: Column | int, n2: Column | int, reps:
         near = h.join(F.broadcast(last), "rep").where("_b <= _last")  # `reps` rows
         whole = near.where("_b < _last").select("rep", "x", "y")
         rank = F.row_number().over(Window.partitionBy("rep").orderBy("_h", key))
-        sides.append(written(whole.unionByName(near.where("_b = _last").withColumn("_k", rank).where("_k <= _room").select("rep", "x", "y"))))  # drawn once, whatever passes over the pairs
-    return pair_distances(*sides, keys=["rep"])
+        sides.append(whole.unionByName(near.where("_b = _last").withColumn("_k", rank).where("_k <= _room").select("rep", "x", "y")))
+    return sides
 
 
 def colocation(points: DataFrame, group: str, first: str, second: str, reps: int = 1000, peaks: bool = True) -> DataFrame:
@@ -64,9 +117,10 @@ def colocation(points: DataFrame, group: str, first: str, second: str, reps: int
     """
     a, b = points.where(F.col(group) == first), points.where(F.col(group) == second)
     n1, n2 = a.count(), b.count()
-    seen = pair_distances(a.select("x", "y"), b.select("x", "y")).withColumn("rep", F.lit(-1).cast("long"))  # the observed pairs as one more repetition
-    pairs = seen.unionByName(permuted_pairs(points.select("id", "x", "y"), n1, n2, reps))
-    return _scores(distance_peaks(pairs, "rep") if peaks else pairs.groupBy("rep").agg(F.avg("distance").alias("mean_distance")), peaks)
+    drawn = drawn_sides(points.select("id", "x", "y"), n1, n2, reps)
+    sides = [written(seen.select(F.lit(-1).cast("long").alias("rep"), "x", "y").unionByName(side)) for seen, side in zip((a, b), drawn)]  # drawn once; the observed pairs as one more repetition
+    packs = pair_packs(*sides)
+    return _scores(distance_peaks(packs, "rep") if peaks else pair_summary(packs), peaks)
 
 
 def _scores(each: DataFrame, peaks: bool) -> DataFrame:
@@ -81,20 +135,41 @@ def _scores(each: DataFrame, peaks: bool) -> DataFrame:
     return out
 
 
-def distance_peaks(pairs: DataFrame, key: str, points: int = 512, bins: int = 4096) -> DataFrame:
-    """(key, mean_distance, peak): mean and density peak, as `density` has it, of the distances by key.
+def distance_peaks(packs: DataFrame, key: str = "rep", points: int = 512, bins: int = 4096) -> DataFrame:
+    """(key, mean_distance, peak): mean and density peak, as `density` has it, of the distances of `pair_packs` by key.
 
     Two passes over the pairs; the density and its bandwidth's quartiles come from the bins, so no task holds a key's distances.
     """
-    d = F.col("distance")
-    s = pairs.groupBy(key).agg(F.count(d).alias("n"), F.min(d).alias("lo"), F.max(d).alias("hi"), F.stddev_samp(d).alias("sd"), F.avg(d).alias("mean_distance")).where("n > 0")
-    at = pairs.join(F.broadcast(s.select(key, "lo", F.greatest((F.col("hi") - F.col("lo")) / bins, F.lit(1e-300)).alias("step"))), key)  # a row a key, so that pairs stay where they are made
-    binned = at.where(d.isNotNull()).groupBy(key, F.floor((d - F.col("lo")) / F.col("step")).alias("b")).agg(F.count("*").alias("w"), F.avg(d).alias("m")).join(s, key)
+    s = written(pair_summary(packs, key))
+    at = packs.join(F.broadcast(s.select(key, "lo", F.greatest((F.col("hi") - F.col("lo")) / bins, F.lit(1e-300)).alias("step"))), key)  # a row a key, so that packs stay where they are
+
+    def run(batches):
+        last, w, m = None, None, None
+
+        def found() -> pd.DataFrame:
+            b = np.flatnonzero(w)
+            return pd.DataFrame({key: np.full(len(b), last), "b": b, "w": w[b], "m": m[b]})
+
+        for pdf in batches:
+            for row in pdf.itertuples(index=False):
+                if getattr(row, key) != last:
+                    if last is not None:
+                        yield found()
+                    last, w, m = getattr(row, key), np.zeros(bins + 2, np.int64), np.zeros(bins + 2)
+                for d in _distances(row.ax, row.ay, row.bx, row.by) if np.isfinite(row.step) else ():
+                    b = ((d - row.lo) / row.step).astype(np.int64)
+                    w += np.bincount(b, minlength=bins + 2)
+                    m += np.bincount(b, d, bins + 2)
+        if last is not None:
+            yield found()
+
+    each = at.select(key, "ax", "ay", "bx", "by", "lo", "step").mapInPandas(run, f"`{key}` long, b long, w long, m double")
+    binned = s.join(each.groupBy(key, "b").agg(F.sum("w").alias("w"), (F.sum("m") / F.sum("w")).alias("m")), key, "left")  # without bins: distances that are not finite
 
     def peak(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("b")
         one = pdf.iloc[0]
-        return pd.DataFrame({key: [int(one[key])], "mean_distance": [one.mean_distance], "peak": [_peak(pdf.m.to_numpy(), pdf.w.to_numpy(), one.n, one.lo, one.hi, one.sd, points)]})
+        return pd.DataFrame({key: [int(one[key])], "mean_distance": [one.mean_distance], "peak": [_peak(pdf.m.to_numpy(), pdf.w.to_numpy(), one.n, one.lo, one.hi, one.sd, points) if pdf.w.notna().all() else math.nan]})
 
     return binned.groupBy(key).applyInPandas(peak, f"{key} long, mean_distance double, peak double")
 

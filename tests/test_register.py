@@ -315,6 +315,23 @@ def test_colocation_scores_means_and_peaks(spark):
         assert np.allclose([got[n] for n in names], [seen[k], m, sd, (seen[k] - m) / sd], atol=0.02 * k + 1e-9)
 
 
+def test_pairs_are_made_in_packs_and_never_gathered(spark, monkeypatch):
+    """Packs of few points, copies of one point, NULLs: all pairs once, no side broadcast, no row a pair."""
+    monkeypatch.setattr(stats, "PACK", 7)
+    rng = np.random.default_rng(4)
+    at = [[(k, float(x), float(y)) for k in range(3) for x, y in rng.normal(size=(20 * k + 1, 2))] + [(2, 1.5, 1.5)] * 30 for _ in "ab"]
+    sides = [spark.createDataFrame([*side, (1, None, 0.0)], "rep long, x double, y double") for side in at]
+    packs = stats.pair_packs(*sides)
+    assert "Broadcast" not in packs._jdf.queryExecution().executedPlan().toString() and packs.count() < sum(len(side) for side in at)
+    got = {r.rep: r for r in stats.pair_summary(packs).collect()}
+    for rep in range(3):
+        a, b = (np.array([p[1:] for p in side if p[0] == rep]) for side in at)
+        d = np.sqrt(((a[:, None] - b[None]) ** 2).sum(axis=2)).ravel()
+        assert got[rep].n == len(d) and np.allclose([got[rep].mean_distance, got[rep].lo, got[rep].hi], [d.mean(), d.min(), d.max()])
+        assert got[rep].sd is None if len(d) < 2 else np.isclose(got[rep].sd, d.std(ddof=1))
+    assert stats.mean_distance(sides[0], sides[1].limit(0)).first()[0] is None
+
+
 def test_colocation_query_takes_all_repetitions(spark, monkeypatch):
     called = {}
     monkeypatch.setattr(stats, "_scores", lambda each, peaks, real=stats._scores: called.setdefault("reps", each.count() - 1) and real(each, peaks))
