@@ -902,12 +902,11 @@ def pipe_app(t):
 @query("""WITH e AS (SELECT o_custkey, o_orderkey, CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS d FROM orders), w AS (SELECT *, count(*) OVER (PARTITION BY o_custkey) AS n, max(d) OVER (PARTITION BY o_custkey) AS m, count_if(d IS NULL) OVER (PARTITION BY o_custkey) AS z FROM e)
  SELECT o_custkey, o_orderkey, d FROM w WHERE n = 1 OR (z = 0 AND d = m)""")
 def stream_latest(t):
-    """Accounts that arrive in three files of a stream, one file a batch: the latest of each company as of the last batch."""
+    """Accounts that arrive in three parts, each taken in by a run of a stream: the latest of each company as of the last one."""
     spark = incremental.stateful_session(t("nation").sparkSession, 8)
     source, checkpoint = scratch(spark), scratch(spark)
     rows = _extracts(t, 17)
     for k in range(3):
-        rows.where(f"o_orderkey % 3 = {k}").coalesce(1).write.mode("append").parquet(source)
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    incremental.keep_latest(stream, "o_custkey", "d", checkpoint)
+        rows.where(f"o_orderkey % 3 = {k}").write.mode("append").parquet(source)
+        incremental.keep_latest(spark.readStream.schema(rows.schema).parquet(source), "o_custkey", "d", checkpoint)
     return incremental.latest_rows(t("nation").sparkSession, checkpoint)

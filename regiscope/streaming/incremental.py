@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from regiscope.functions.exprs import base_name
 
@@ -53,44 +53,60 @@ def stateful_session(spark: SparkSession, partitions: int | None = None) -> Spar
 
 
 class Latest(StatefulProcessor):
-    """Keeps of each key what `agg.latest` of all its rows so far would give: the rows of its latest date, its only row whatever the date, nothing once one of several has no date."""
+    """Keeps of each key what `agg.latest` of all its rows so far would give: the rows of its latest date, its only row whatever the date, nothing once one of several has no date.
 
-    def __init__(self, date: str, row: StructType):
-        self.date, self.row, self.when = date, row, StructType([StructField("n", LongType()), StructField("undated", BooleanType()), StructField("latest", row[date].dataType)])
+    One state holds all keys of a group (a range of their hash), so that it is read and written once a batch and group, not for each key.
+    """
+
+    def __init__(self, key: str, date: str, row: StructType):
+        self.names = row.names
+        self.key, self.date = row.names.index(key), row.names.index(date)
+        self.kinds = StructType([StructField("rows", ArrayType(row)), StructField("gone", ArrayType(row[key].dataType))])  # gone: keys of several rows, one without a date
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.known, self.rows = handle.getValueState("known", self.when), handle.getListState("rows", self.row)
+        self.kept = handle.getValueState("kept", self.kinds)
 
     def handleInputRows(self, key, rows: Iterator[Row], timers) -> Iterator[Row]:
-        n, undated, latest = self.known.get() or (0, False, None)
+        old, gone = self.kept.get() or ((), ())
+        gone, of = set(gone), {}
+        for row in old:
+            of.setdefault(row[self.key], []).append(tuple(row))
+        n = 0
         for row in rows:
-            date, n = row[self.date], n + 1
-            undated |= date is None
-            if n > 1 and undated:
-                self.rows.clear()
-            elif n == 1 or date > latest:
-                self.rows.put([tuple(row)])
-                latest = date
+            n += 1
+            row = tuple(row[name] for name in self.names)  # without the group
+            k, date = row[self.key], row[self.date]
+            if k in gone:
+                continue
+            known = of.get(k)
+            if known is None:
+                of[k] = [row]
+            elif date is None or (latest := known[0][self.date]) is None:
+                gone.add(k)
+                del of[k]
+            elif date > latest:
+                of[k] = [row]
             elif date == latest:
-                self.rows.appendValue(tuple(row))
-        self.known.update((n, undated, latest))
-        yield Row(n=n, undated=undated, latest=latest)
+                known.append(row)
+        self.kept.update(([row for known in of.values() for row in known], list(gone)))
+        yield Row(n=n)
 
     def close(self) -> None:
         pass
 
 
-def keep_latest(stream: DataFrame, key: str, date: str, checkpoint: str) -> None:
+def keep_latest(stream: DataFrame, key: str, date: str, checkpoint: str, groups: int = 4096) -> None:
     """Takes all that is new in a stream of a `stateful_session` into the state under the checkpoint, and stops.
 
-    The state has a count, a flag, a date and the latest rows of each key, so it grows with the keys, not with the batches.
-    A batch that broke off runs again from the state before it.
+    The state has the latest rows of each key and the keys that are gone, so it grows with the keys, not with the batches.
+    Keys are dealt to `groups`, which a stream keeps from its first start on: a task holds the state of one at a time. A batch that broke off runs again from the state before it.
     """
-    processor = Latest(date, stream.schema)
-    kept = stream.groupBy(key).transformWithState(processor, processor.when, "Update", "None")
+    dealt = stream.withColumn("_group", F.pmod(F.xxhash64(key), F.lit(groups)))
+    kept = dealt.groupBy("_group").transformWithState(Latest(key, date, stream.schema), StructType([StructField("n", LongType())]), "Update", "None")
     kept.writeStream.format("noop").outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def latest_rows(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The rows of `agg.latest` of all that `keep_latest` has taken in, read from its state."""
-    return spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "rows").load().select("list_element.*")
+    state = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "kept").load()
+    return state.select(F.explode("value.rows").alias("row")).select("row.*")

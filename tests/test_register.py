@@ -409,6 +409,18 @@ def test_stream_keeps_the_latest_of_all_batches(spark, tmp_path):
     assert incremental.latest_rows(spark, checkpoint).where("k = 'd'").first().v == 2**53 + 1
 
 
+def test_stream_state_is_read_and_written_by_groups_of_keys(spark, tmp_path):
+    """As many states as groups, not as keys; all of a group's keys keep their own latest rows."""
+    source, checkpoint, seen = str(tmp_path / "in"), str(tmp_path / "cp"), []
+    session = incremental.stateful_session(spark, 2)
+    for n in range(2):
+        seen.append(spark.range(600).selectExpr("id % 400 AS k", f"CASE WHEN id % 97 = 0 THEN NULL ELSE DATE '2020-01-01' + CAST(id * {7 + n} % 50 AS INT) END AS d", "id AS v"))
+        seen[-1].write.mode("append").parquet(source)
+        incremental.keep_latest(session.readStream.schema(seen[0].schema).parquet(source), "k", "d", checkpoint, groups=8)
+    assert rows(incremental.latest_rows(spark, checkpoint)) == rows(agg.latest(seen[0].union(seen[1]), "k", "d"))
+    assert spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "kept").load().count() == 8
+
+
 def test_quantiles_by_refinement_equal_percentiles(spark):
     """Ties, extreme ranges, infinities, NULL groups, single values; with few parts, many rounds."""
     rng = np.random.default_rng(9)
