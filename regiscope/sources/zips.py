@@ -1,20 +1,24 @@
 """Zip archives as tables. Archives are cut into splits by their bytes, and an entry belongs to the split its own header lies in.
 
 `ZipEntries` is a data source whose partitions are these splits: they follow from the archives' lengths alone, so no directory
-is read before the tasks run, many small archives are as many tasks and one large one is many. A split's task reads the
-directory at the archive's end, and of the contents only its own entries, with filters on the company number applied before
-that. The CSV inside a zip is one compressed stream: it is passed over once for an index of checkpoints (see `inflate`), and
+is read before the tasks run, many small archives are as many tasks and one large one is many. A split's task passes over the
+directory at the archive's end, an entry at a time and never held, and of the contents reads only its own entries, with filters
+on the company number applied before that. Archives are written without holding a directory, too. The CSV inside a zip is one compressed stream: it is passed over once for an index of checkpoints (see `inflate`), and
 then read by a task for each stretch between two of them. Archives are opened by their address with pyarrow's file systems
 (local, HDFS, S3 and the like), which read only what a task asks for.
 """
 
 from __future__ import annotations
 
+import collections
 import csv
 import io
+import itertools
 import json
+import pickle
 import posixpath
 import struct
+import tempfile
 import uuid
 import zipfile
 import zlib
@@ -45,8 +49,80 @@ def _file(path: str) -> pa.NativeFile:
     return system.open_input_file(name)
 
 
-def _open(path: str) -> zipfile.ZipFile:
-    return zipfile.ZipFile(_file(path))
+#: The records of the zip format that a directory is found and read by, and the most bytes that the one at the end can have.
+END, END64, PLACE64, ENTRY = struct.Struct("<4s4H2LH"), struct.Struct("<4sQ2H2L4Q"), struct.Struct("<4sLQL"), struct.Struct("<4s4B4HL2L5H2L")
+LONGEST_END = END.size + (1 << 16)
+
+
+def _directory_of(file) -> tuple[int, int, int]:
+    """Place of an archive's directory, its bytes, and how many bytes stand before the archive."""
+    size = file.size() if hasattr(file, "size") else file.seek(0, 2)
+    start = max(0, size - LONGEST_END - PLACE64.size)
+    file.seek(start)
+    tail = file.read(size - start)
+    at = tail.rfind(b"PK\5\6", 0, max(0, len(tail) - END.size + 4))
+    if at < 0:
+        raise zipfile.BadZipFile("File is not a zip file")
+    *_, length, offset, _ = END.unpack_from(tail, at)
+    before = at - PLACE64.size
+    if before >= 0 and tail[before : before + 4] == b"PK\6\7":
+        at = before - END64.size  # the large form of the record stands right before its place
+        if at >= 0 and tail[at : at + 4] == b"PK\6\6":
+            *_, length, offset = END64.unpack_from(tail, at)
+        else:
+            raise zipfile.BadZipFile("Corrupt zip64 end of central directory record")
+    begin = start + at - length
+    if begin < 0 or begin < offset:
+        raise zipfile.BadZipFile("Bad offset for central directory")
+    return begin, length, begin - offset
+
+
+def _directory(file) -> Iterator[tuple]:
+    """(name, flags, method, check sum, packed size, size, place) of an archive's entries in the order of its directory, one after the other: memory does not grow with their number."""
+    at, left, shift = _directory_of(file)
+    held, k = b"", 0
+
+    def need(n: int) -> None:
+        nonlocal held, k, at, left
+        if len(held) - k < n:
+            file.seek(at)
+            more = file.read(min(left, max(1 << 20, n)))
+            held, k, at, left = held[k:] + more, 0, at + len(more), left - len(more)
+            if len(held) < n:
+                raise zipfile.BadZipFile("Truncated central directory")
+
+    while len(held) - k or left:
+        need(ENTRY.size)
+        magic, made, system, needs, reserved, flags, method, time, date, crc, packed, size, name, extra, comment, disk, inner, outer, offset = ENTRY.unpack_from(held, k)
+        if magic != b"PK\1\2":
+            raise zipfile.BadZipFile("Bad magic number for central directory")
+        need(ENTRY.size + name + extra + comment)
+        raw, more = held[k + ENTRY.size : k + ENTRY.size + name], held[k + ENTRY.size + name : k + ENTRY.size + name + extra]
+        k += ENTRY.size + name + extra + comment
+        while len(more) >= 4 and 0xFFFFFFFF in (size, packed, offset):  # numbers of over 4 GB stand in an extra field, those that did not fit, in this order
+            kind, n = struct.unpack_from("<HH", more)
+            if kind == 1:
+                large = iter(v for (v,) in struct.iter_unpack("<Q", more[4 : 4 + n - n % 8]))
+                try:
+                    size, packed, offset = (next(large) if v == 0xFFFFFFFF else v for v in (size, packed, offset))
+                except (RuntimeError, StopIteration) as e:
+                    raise zipfile.BadZipFile("Corrupt zip64 extra field") from e
+                break
+            more = more[4 + n :]
+        yield raw.decode("utf-8" if flags & 0x800 else "cp437"), flags, method, crc, packed, size, offset + shift
+
+
+def _info(entry: tuple) -> zipfile.ZipInfo:
+    info = zipfile.ZipInfo(entry[0])
+    info.orig_filename, info.flag_bits, info.compress_type, info.CRC, info.compress_size, info.file_size, info.header_offset = entry
+    return info
+
+
+def _contents(file) -> zipfile.ZipFile:
+    """What opens the entries of an archive, without its directory."""
+    z = zipfile.ZipFile(io.BytesIO(END.pack(b"PK\5\6", *[0] * 7)))
+    z.fp = file
+    return z
 
 
 class Split(InputPartition):
@@ -94,17 +170,19 @@ class ZipReader(DataSourceReader):
         if split is None:
             return
         try:
-            z = _open(split.path)
+            with _file(split.path) as file, _file(split.path) as other:
+                collections.deque(_directory(file), 0)  # an archive whose directory is damaged gives no entries
+                z = _contents(other)
+                for k, entry in enumerate(_directory(file)):
+                    if entry[-1] < split.low or (split.high is not None and entry[-1] >= split.high):
+                        continue
+                    info = _info(entry)
+                    number = company_number(info.filename)
+                    if not info.is_dir() and (self.only is None or number in self.only):
+                        yield split.path, info.filename, number, info.file_size, k, split.number, *(_content(z, info) if self.content else (None, None))
         except DAMAGED as e:
             if not split.low and self.only is None:
                 yield split.path, None, None, None, None, split.number, None, f"not an archive: {e}"
-            return
-        with z:
-            for k, info in enumerate(z.infolist()):
-                number = company_number(info.filename)
-                if info.is_dir() or info.header_offset < split.low or (split.high is not None and info.header_offset >= split.high) or (self.only is not None and number not in self.only):
-                    continue
-                yield split.path, info.filename, number, info.file_size, k, split.number, *(_content(z, k) if self.content else (None, None))
 
 
 class FilteringReader(ZipReader):
@@ -118,9 +196,9 @@ class FilteringReader(ZipReader):
                 yield f
 
 
-def _content(z: zipfile.ZipFile, ordinal: int) -> tuple[bytes | None, str | None]:
+def _content(z: zipfile.ZipFile, info: zipfile.ZipInfo) -> tuple[bytes | None, str | None]:
     try:
-        return z.read(z.infolist()[ordinal]), None
+        return z.read(info), None
     except DAMAGED as e:
         return None, str(e)
 
@@ -157,8 +235,11 @@ class Archives:
                 columns = [*pdf.columns, "content", "error"]
                 for row in pdf.itertuples(index=False):
                     if row.archive != name:
-                        z, name = _open(row.archive), row.archive
-                    content, error = _content(z, row.ordinal)
+                        name, z, listed = row.archive, _contents(_file(row.archive)), enumerate(_directory(_file(row.archive)))
+                        k, entry = next(listed)
+                    while k < row.ordinal:  # rows come in the order of the directory
+                        k, entry = next(listed)
+                    content, error = _content(z, _info(entry))
                     out.append((*row, content, error))
                     size += len(content or b"")
                     if size >= PIECE:
@@ -260,8 +341,8 @@ def csv_points(archives: Archives, span: int = SPAN) -> DataFrame:
     def run(batches):
         for pdf in batches:
             for archive, ordinal in zip(pdf["archive"], pdf["ordinal"]):
-                with _open(archive) as z:
-                    yield pd.DataFrame(points(archive, z.infolist()[ordinal]), columns=names).astype({"next_out": "Int64", "next_inside": "boolean", "next_clean": "boolean"})
+                with _file(archive) as file:
+                    yield pd.DataFrame(points(archive, _info(next(itertools.islice(_directory(file), ordinal, None)))), columns=names).astype({"next_out": "Int64", "next_inside": "boolean", "next_clean": "boolean"})
 
     return archives.entries().where(F.lower("entry").endswith(".csv")).select("archive", "ordinal").mapInPandas(run, POINTS)
 
@@ -335,6 +416,38 @@ def read_zipped_csv(archives: Archives, columns: list[str], rows: int = 20_000,
     return dealt.mapInPandas(run, schema)
 
 
+class _Spooled:
+    """The entries of an archive that is being written, kept in a temporary file until its directory is written."""
+
+    def __init__(self):
+        self.file, self.n = tempfile.TemporaryFile(), 0
+
+    def append(self, info: zipfile.ZipInfo) -> None:
+        pickle.dump(info, self.file)
+        self.n += 1
+
+    def __len__(self) -> int:
+        return self.n
+
+    def __iter__(self) -> Iterator[zipfile.ZipInfo]:
+        self.file.seek(0)
+        for _ in range(self.n):
+            yield pickle.load(self.file)
+        self.file.close()
+
+
+class _Written(zipfile.ZipFile):
+    """An archive of which only what is in hand stays in memory, however many entries it gets."""
+
+    def __init__(self, out):
+        super().__init__(out, "w", zipfile.ZIP_DEFLATED)
+        self.filelist = _Spooled()
+
+    def writestr(self, *given) -> None:
+        super().writestr(*given)
+        self.NameToInfo.clear()
+
+
 def write_archives(entries: DataFrame, folder: str) -> DataFrame:
     """Writes archive, entry and content (text or bytes) as zip archives to a shared folder; returns path and number of entries of each.
 
@@ -362,7 +475,7 @@ def write_archives(entries: DataFrame, folder: str) -> DataFrame:
                         close()
                     name, n, part = archive, 0, posixpath.join(at, f".{uuid.uuid4().hex}")
                     out = system.open_output_stream(part)
-                    z = zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED)
+                    z = _Written(out)
                 z.writestr(entry, content or b"")
                 n += 1
         if z:

@@ -6,6 +6,7 @@ import hashlib
 import json
 import random
 import time
+import tracemalloc
 import zipfile
 from io import StringIO
 
@@ -196,6 +197,34 @@ def test_archives_of_one_name_and_broken_archives(spark, tmp_path):
         assert pipelines.extracted(spark, out + str(known is None)).count() == 2
 
 
+def test_directories_are_never_held(tmp_path):
+    """Archives of many entries are written, listed and read in bounded memory, and as zipfile has them; so are prefixes, comments and numbers of the large form."""
+    path = tmp_path / "many.zip"
+    tracemalloc.start()
+    with open(path, "wb") as out, zips._Written(out) as z:
+        for k in range(70_000):  # over 65,535: the large form of the end record
+            z.writestr(f"P_2_{k:08d}_é.html", "x")
+    (split,) = zips.splits([(str(path), path.stat().st_size)], 1 << 30)
+    assert sum(r[2] == f"{k:08d}" and r[6] == b"x" for k, r in enumerate(zips.ZipReader({"content": "true"}).read(split))) == 70_000
+    assert tracemalloc.get_traced_memory()[1] < 12 << 20
+    tracemalloc.stop()
+    odd = tmp_path / "odd.zip"
+    odd.write_bytes(b"before")
+    with zipfile.ZipFile(odd, "a") as z:
+        with z.open("P_2_1_x.html", "w", force_zip64=True) as f:
+            f.write(b"abc")
+        z.comment = b"c" * 500
+    for p in (path, odd):
+        want = zipfile.ZipFile(p).infolist()
+        assert [e[:1] + e[3:] for e in zips._directory(open(p, "rb"))] == [(i.filename, i.CRC, i.compress_size, i.file_size, i.header_offset) for i in want]
+    assert [r[6] for r in zips.ZipReader({"content": "true"}).read(zips.Split(0, str(odd), 0, None))] == [b"abc"]
+    raw = bytearray(path.read_bytes())
+    raw[raw.rindex(b"PK\1\2")] = 0  # the directory's last entry
+    path.write_bytes(raw)
+    ((_, entry, *_, error),) = zips.ZipReader({}).read(split)
+    assert entry is None and error.startswith("not an archive")
+
+
 def test_compressed_csv_is_read_by_stretches(spark, tmp_path):
     """The same rows for any number of stretches, also where quoted line breaks, long fields or the last line without end lie on their borders; packed and stored."""
     rng = random.Random(8)
