@@ -653,9 +653,10 @@ def ixbrl_search(t):
 @query(SQL["ixbrl_search"])
 def ixbrl_indexed_search(t):
     """ixbrl_search by an index to which archives are added one after the other."""
-    facts, path = accounts.shred(accounts.file_keys(_documents(t)), ["archive", "companynumber"]), scratch(t("nation").sparkSession)
+    path = scratch(t("nation").sparkSession)
     for some in (("Accounts-0.zip", "Accounts-3.zip"), ("Accounts-1.zip",), ("Accounts-2.zip", "Accounts-3.zip")):
-        factindex.add(facts.where(F.col("archive").isin(*some)), path)
+        documents = _documents(t).where(F.col("archive").isin(*some))  # others are not shredded
+        factindex.add(accounts.shred(accounts.file_keys(documents), ["archive", "companynumber"]), path)
     return factindex.search(t("nation").sparkSession, path, "dormant.* true").select("companynumber", "name", "value")
 
 

@@ -502,6 +502,18 @@ def test_indexed_search_equals_a_scan(spark, tmp_path):
     assert "PartitionFilters: [_range" in plan or "_range#" in plan.split("PartitionFilters", 1)[1]
 
 
+def test_postings_are_a_row_a_trigram_and_stretch(spark, tmp_path):
+    """However many facts hold a trigram; every fact is in the row of each of its trigrams once."""
+    path = str(tmp_path / "index")
+    df = spark.range(3000, numPartitions=2).selectExpr("'A' AS archive", "'frs:ababab' AS name", "CAST(id % 5 AS STRING) AS value")
+    factindex.add(df, path)
+    postings = spark.read.parquet(f"{path}/postings")
+    assert postings.count() == postings.select("gram", "_stretch").distinct().count() < 50
+    assert [tuple(r) for r in postings.where("gram = 'aba'").select(F.sum(F.size("_ids")), F.count_distinct("_stretch")).collect()] == [(3000, 2)]
+    assert spark.read.parquet(f"{path}/grams").where("gram = 'aba'").first().n == 3000
+    assert factindex.search(spark, path, "ababab 3").count() == 600
+
+
 def test_group_aggregates_join_back_with_null_keys(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 2.0), (None, 6.0), ("b", None)], "g string, v double")
     assert rows(agg.share_of_group(df, ["g"], "v").select("g", "pct", "group_count")) == rows(spark.createDataFrame([("a", 25.0, 2), ("a", 75.0, 2), (None, 25.0, 2), (None, 75.0, 2), ("b", None, 1)], "g string, pct double, n long"))
