@@ -22,6 +22,8 @@ PIECE = 1 << 19
 ROWS, BYTES = 1000, 1 << 22
 #: Most keys that `join_by_count` broadcasts, and the fewest rows that make a key one of them.
 HEAVY_KEYS, HEAVY_ROWS = 100_000, 10_000
+#: Edges (16 bytes each) that a task takes at once; a graph of no more needs no rounds of shuffles.
+EDGES = 1 << 17
 
 
 @functools.cache
@@ -246,17 +248,60 @@ def _all_stars(e: DataFrame) -> bool:
     return not nodes.agg(F.max(is_set(F.expr("up > 1 OR (up = 1 AND down = 1)")))).first()[0]
 
 
+def smallest_linked(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of some edges: each node that is not its component's smallest, and that smallest one."""
+    nodes, at = np.unique(np.concatenate([lo, hi]), return_inverse=True)
+    a, b = at[: len(lo)], at[len(lo) :]
+    label = np.arange(len(nodes))
+    while len(a):
+        least = np.minimum(label[a], label[b])
+        np.minimum.at(label, label[a], least)
+        np.minimum.at(label, label[b], least)
+        while (label[label] != label).any():
+            label = label[label]
+        apart = label[a] != label[b]
+        a, b = a[apart], b[apart]
+    rest = label != np.arange(len(nodes))
+    return nodes[rest], nodes[label[rest]]
+
+
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's edges (lo, hi) as stars, `EDGES` at a time at least: they connect what the edges connect."""
+    held, n = [], 0
+
+    def out() -> pa.RecordBatch:
+        hi, lo = smallest_linked(*(np.concatenate(x) for x in zip(*held)))
+        return pa.RecordBatch.from_arrays([pa.array(lo), pa.array(hi)], names=["lo", "hi"])
+
+    for b in batches:
+        held.append((b.column("lo").to_numpy(), b.column("hi").to_numpy()))
+        n += b.num_rows
+        if n > EDGES:
+            yield out()
+            held, n = [], 0
+    if held:
+        yield out()
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label) for every node of the edges; label is the component's smallest node.
 
-    Alternating large-star and small-star steps on DataFrames, until all components are stars: each is a
-    grouped minimum (combined before the shuffle) and a join of the edges with one row per node, so a hub
-    is never gathered in one task. Every step is written to the shared folder.
+    Every task first makes stars of the edges that it has. More than `EDGES` then left, they go through alternating
+    large-star and small-star steps on DataFrames, until all components are stars: each is a grouped minimum
+    (combined before the shuffle) and a join of the edges with one row per node, so a hub is never gathered in one
+    task. As soon as no more than `EDGES` are left, which is no more than one task's share, a task ends it without
+    further steps. Every step is written to the shared folder.
     """
-    e = edges.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).where("lo < hi").distinct()
-    e = materialise(e)
-    while not _all_stars(e):
+    e = edges.select(F.least(a, b).cast("long").alias("lo"), F.greatest(a, b).cast("long").alias("hi")).where("lo < hi")
+    e = materialise(e.mapInArrow(_stars, "lo long, hi long"))
+    while True:
         before = e
+        if e.count() <= EDGES:
+            e = materialise(e.coalesce(1).mapInArrow(_stars, "lo long, hi long"))
+            release(before)
+            break
+        if _all_stars(e):
+            break
         both = e.select(F.col("lo").alias("u"), F.col("hi").alias("v")).union(e.select("hi", "lo"))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("m").alias("lo"), F.col("v").alias("hi")).where("lo < hi")

@@ -881,3 +881,29 @@ def test_workers_forget_what_another_operator_kept():
         assert [b.num_rows for b in common.small(iter([batch]), 1000, 25)] == [2, 2, 2, 1] and calls == ["one"]  # by bytes; a longer row goes by itself
     finally:
         del common._KEPT["one"]
+
+
+def test_components_of_few_edges_need_no_rounds(spark, monkeypatch):
+    """A long path ends after two writes, not rounds of shuffles; with a task's share made small the rounds give the same, as does a search."""
+    rng = random.Random(11)
+    edges = [(k, k + 1) for k in rng.sample(range(1000, 1400), 400)] + [(1 << 40, k) for k in range(50)] + [(rng.randrange(3000, 4000), rng.randrange(3000, 4000)) for _ in range(500)]
+    near = {}
+    for a, b in edges:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    want = {}
+    for start in sorted(near):
+        todo = [] if start in want else [start]
+        while todo:
+            if (node := todo.pop()) not in want:
+                want[node] = start
+                todo += near[node]
+    want = {k: v for k, v in want.items() if near[k] != {k}}
+    written = []
+    write = common.materialise
+    monkeypatch.setattr(common, "materialise", lambda df: written.append(1) or write(df))
+    df = spark.createDataFrame(edges, "a long, b long").repartition(7)
+    assert {r.node: r.label for r in common.connected_components(df).collect()} == want and len(written) == 2
+    assert common.connected_components(df.limit(0)).count() == 0
+    monkeypatch.setattr(common, "EDGES", 40)
+    assert {r.node: r.label for r in common.connected_components(df).collect()} == want and len(written) > 6
