@@ -1,17 +1,20 @@
 """Zip archives as tables. Archives are cut into splits by their bytes, and an entry belongs to the split its own header lies in.
 
-`ZipEntries` is a data source whose partitions are these splits: they follow from the archives' lengths alone, so no directory
-is read before the tasks run, many small archives are as many tasks and one large one is many. A split's task passes over the
-directory at the archive's end, an entry at a time and never held, and of the contents reads only its own entries, with filters
-on the company number applied before that. Archives are written without holding a directory, too. The CSV inside a zip is one compressed stream: it is passed over once for an index of checkpoints (see `inflate`), and
+`ZipEntries` is a data source whose partitions are these splits: they follow from the archives' lengths alone, so many small
+archives are as many tasks and one large one is many. Of an archive of several splits, a task first passes over the directory at
+its end, an entry at a time and never held, and notes in which stretch of it each split's entries stand; a split's task reads its
+stretch, and of the contents only its own entries, with filters on the company number applied before that. Archives are packed by
+all tasks and written without holding a directory, too. The CSV inside a zip is one compressed stream: it is passed over once for an index of checkpoints (see `inflate`), and
 then read by a task for each stretch between two of them. Archives are opened by their address with pyarrow's file systems
 (local, HDFS, S3 and the like), which read only what a task asks for.
 """
 
 from __future__ import annotations
 
+import bisect
 import collections
 import csv
+import functools
 import io
 import itertools
 import json
@@ -27,6 +30,7 @@ from collections.abc import Iterator
 import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
@@ -79,8 +83,12 @@ def _directory_of(file) -> tuple[int, int, int]:
 
 def _directory(file) -> Iterator[tuple]:
     """(name, flags, method, check sum, packed size, size, place) of an archive's entries in the order of its directory, one after the other: memory does not grow with their number."""
-    at, left, shift = _directory_of(file)
-    held, k = b"", 0
+    return (entry for _, entry in _records(file, *_directory_of(file)))
+
+
+def _records(file, at: int, left: int, shift: int) -> Iterator[tuple[int, tuple]]:
+    """The entries whose records stand in `left` bytes of a directory from `at` on, each with the place after its record."""
+    held, k, after = b"", 0, at
 
     def need(n: int) -> None:
         nonlocal held, k, at, left
@@ -99,6 +107,7 @@ def _directory(file) -> Iterator[tuple]:
         need(ENTRY.size + name + extra + comment)
         raw, more = held[k + ENTRY.size : k + ENTRY.size + name], held[k + ENTRY.size + name : k + ENTRY.size + name + extra]
         k += ENTRY.size + name + extra + comment
+        after += ENTRY.size + name + extra + comment
         while len(more) >= 4 and 0xFFFFFFFF in (size, packed, offset):  # numbers of over 4 GB stand in an extra field, those that did not fit, in this order
             kind, n = struct.unpack_from("<HH", more)
             if kind == 1:
@@ -109,7 +118,7 @@ def _directory(file) -> Iterator[tuple]:
                     raise zipfile.BadZipFile("Corrupt zip64 extra field") from e
                 break
             more = more[4 + n :]
-        yield raw.decode("utf-8" if flags & 0x800 else "cp437"), flags, method, crc, packed, size, offset + shift
+        yield after, (raw.decode("utf-8" if flags & 0x800 else "cp437"), flags, method, crc, packed, size, offset + shift)
 
 
 def _info(entry: tuple) -> zipfile.ZipInfo:
@@ -126,10 +135,13 @@ def _contents(file) -> zipfile.ZipFile:
 
 
 class Split(InputPartition):
-    """Entries of one archive whose headers lie from byte `low` on, before `high` (None: to the end)."""
+    """Entries of one archive whose headers lie from byte `low` on, before `high` (None: to the end).
+
+    `stretch` says, if known, where their records stand: place, bytes, how many bytes stand before the archive, and the first one's ordinal; or what is wrong with the directory.
+    """
 
-    def __init__(self, number: int, path: str, low: int, high: int | None):
-        self.number, self.path, self.low, self.high = number, path, low, high
+    def __init__(self, number: int, path: str, low: int, high: int | None, stretch: list | str | None = None):
+        self.number, self.path, self.low, self.high, self.stretch = number, path, low, high, stretch
 
 
 def splits(files: list[tuple[str, int]], size: int) -> list[Split]:
@@ -138,6 +150,23 @@ def splits(files: list[tuple[str, int]], size: int) -> list[Split]:
     return [Split(k, *cut) for k, cut in enumerate(cuts)]
 
 
+def stretches(path: str, cuts: list[int]) -> list[list | str]:
+    """Of an archive cut into splits that begin at these bytes, where in the directory each one's entries stand: one pass."""
+    found = [None] * len(cuts)
+    try:
+        with _file(path) as file:
+            at, left, shift = _directory_of(file)
+            for k, (after, entry) in enumerate(_records(file, at, left, shift)):
+                if (one := found[(j := max(0, bisect.bisect_right(cuts, entry[-1]) - 1))]) is None:
+                    found[j] = [at, after - at, shift, k]
+                else:
+                    one[1] = after - one[0]
+                at = after
+        return [one or [0, 0, 0, 0] for one in found]
+    except DAMAGED as e:
+        return [str(e)] * len(cuts)
+
+
 def company_number(entry: str) -> str | None:
     """The third token of names like Prod1_2_01234567_20240331.html."""
     tokens = posixpath.basename(entry).split("_")
@@ -145,7 +174,7 @@ def company_number(entry: str) -> str | None:
 
 
 class ZipEntries(DataSource):
-    """Entries of zip archives. Options: archives, a JSON list of (path, length); size, bytes of a split; content, whether contents are read; pushdown, whether the session lets Python sources take filters."""
+    """Entries of zip archives. Options: archives, a JSON list of (path, length); size, bytes of a split; stretches, those known by the split's number in JSON; content, whether contents are read; pushdown, whether the session lets Python sources take filters."""
 
     @classmethod
     def name(cls) -> str:
@@ -161,19 +190,26 @@ class ZipEntries(DataSource):
 class ZipReader(DataSourceReader):
     def __init__(self, options):
         self.files = [tuple(f) for f in json.loads(options.get("archives", "[]"))]
+        self.stretches = json.loads(options.get("stretches", "{}"))
         self.size, self.content, self.only = int(options.get("size", SPLIT)), options.get("content", "false") == "true", None
 
     def partitions(self) -> list[Split]:
-        return splits(self.files, self.size)
+        found = splits(self.files, self.size)
+        for one in found:
+            one.stretch = self.stretches.get(str(one.number))
+        return found
 
     def read(self, split: Split | None) -> Iterator[tuple]:
         if split is None:
             return
         try:
             with _file(split.path) as file, _file(split.path) as other:
-                collections.deque(_directory(file), 0)  # an archive whose directory is damaged gives no entries
+                if isinstance(split.stretch, str):
+                    raise zipfile.BadZipFile(split.stretch)
+                if split.stretch is None:
+                    collections.deque(_directory(file), 0)  # an archive whose directory is damaged gives no entries
                 z = _contents(other)
-                for k, entry in enumerate(_directory(file)):
+                for k, entry in _numbered(file, split.stretch):
                     if entry[-1] < split.low or (split.high is not None and entry[-1] >= split.high):
                         continue
                     info = _info(entry)
@@ -185,6 +221,13 @@ class ZipReader(DataSourceReader):
                 yield split.path, None, None, None, None, split.number, None, f"not an archive: {e}"
 
 
+def _numbered(file, stretch: list | None) -> Iterator[tuple[int, tuple]]:
+    """Ordinals and entries of a stretch of the directory, or of all of it."""
+    if stretch is None:
+        return enumerate(_directory(file))
+    return enumerate((entry for _, entry in _records(file, *stretch[:3])), stretch[3])
+
+
 class FilteringReader(ZipReader):
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         """Company numbers are looked for in the directory; other filters are Spark's."""
@@ -213,13 +256,31 @@ class Archives:
         self.size = size or max(LEAST_SPLIT, min(SPLIT, total // (PER_CORE * self.spark.sparkContext.defaultParallelism)))
         self.count = len(splits(self.files, self.size))
 
+    @functools.cached_property
+    def stretches(self) -> dict[int, list | str]:
+        """By the split's number, the stretch of each split of archives that have several: a task passes over each one's directory, so that no split has to."""
+        cuts: dict[str, list[tuple[int, int]]] = {}
+        for one in splits(self.files, self.size):
+            cuts.setdefault(one.path, []).append((one.number, one.low))
+        many = [(path, [n for n, _ in own], [low for _, low in own]) for path, own in cuts.items() if len(own) > 1]
+        if not many:
+            return {}
+
+        def run(batches):
+            for pdf in batches:
+                for path, numbers, lows in pdf.itertuples(index=False):
+                    yield pd.DataFrame({"split": list(numbers), "stretch": [json.dumps(x) for x in stretches(path, list(lows))]})
+
+        rows = self.spark.createDataFrame(many, "path string, numbers array<int>, lows array<long>")
+        return {r.split: json.loads(r.stretch) for r in rows.repartition(len(many)).mapInPandas(run, "split int, stretch string").collect()}  # a row a split
+
     def entries(self, content: bool = False) -> DataFrame:
         """archive, entry, companynumber, size, ordinal and split of every entry, with content (bytes) if asked for; `error` says why one has none. An archive that can't be opened is one row without entry."""
         if not self.files:
             return self.spark.createDataFrame([], ENTRIES)
         self.spark.dataSource.register(ZipEntries)
         pushdown = self.spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
-        return self.spark.read.format("zip_entries").options(archives=json.dumps(self.files), size=str(self.size), content=str(content).lower(), pushdown=pushdown).load()
+        return self.spark.read.format("zip_entries").options(archives=json.dumps(self.files), size=str(self.size), stretches=json.dumps(self.stretches), content=str(content).lower(), pushdown=pushdown).load()
 
     def read(self, entries: DataFrame) -> DataFrame:
         """The given ones of `entries()` with their content. They go back to their splits, one task for each, whatever joins they went through."""
@@ -227,7 +288,7 @@ class Archives:
             return entries
         rows = entries.drop("content", "error")
         dealt = rows.repartitionById(self.count, F.col("split")).sortWithinPartitions("archive", "ordinal")
-        kinds = ", ".join(f"`{c}` {t}" for c, t in dealt.dtypes)
+        kinds, known = ", ".join(f"`{c}` {t}" for c, t in dealt.dtypes), self.stretches
 
         def run(batches):
             z, name, out, size = None, None, [], 0
@@ -235,7 +296,7 @@ class Archives:
                 columns = [*pdf.columns, "content", "error"]
                 for row in pdf.itertuples(index=False):
                     if row.archive != name:
-                        name, z, listed = row.archive, _contents(_file(row.archive)), enumerate(_directory(_file(row.archive)))
+                        name, z, listed = row.archive, _contents(_file(row.archive)), _numbered(_file(row.archive), known.get(row.split))
                         k, entry = next(listed)
                     while k < row.ordinal:  # rows come in the order of the directory
                         k, entry = next(listed)
@@ -437,7 +498,7 @@ class _Spooled:
 
 
 class _Written(zipfile.ZipFile):
-    """An archive of which only what is in hand stays in memory, however many entries it gets."""
+    """An archive of which only what is in hand stays in memory, however many entries it gets; for one that is written by one process (`write_archives` packs with all tasks)."""
 
     def __init__(self, out):
         super().__init__(out, "w", zipfile.ZIP_DEFLATED)
@@ -448,37 +509,107 @@ class _Written(zipfile.ZipFile):
         self.NameToInfo.clear()
 
 
+#: An entry's own header.
+HEADER = struct.Struct("<4s2B4H3L2H")
+#: Bytes of a part of an archive that travel together.
+PART = 1 << 20
+
+
+def _packed(name: str, content: bytes) -> tuple[bytes, bytes]:
+    """An entry, and its record for the directory, still without its place. A content has less than 2 GB, as any value of a column."""
+    raw, data = name.encode(), zlib.compress(content, wbits=-zlib.MAX_WBITS)
+    same = (0 if name.isascii() else 0x800, zipfile.ZIP_DEFLATED, 0, 33, zlib.crc32(content), len(data), len(content), len(raw))  # of 1 January 1980
+    return HEADER.pack(b"PK\3\4", 20, 0, *same, 0) + raw + data, ENTRY.pack(b"PK\1\2", 45, 3, 20, 0, *same, 0, 0, 0, 0, 0o600 << 16, 0) + raw
+
+
+def _placed(records: bytes, places: bytes, base: int) -> Iterator[bytes]:
+    """Records with their places: those in the part and the part's place together. Places over 4 GB stand in an extra field."""
+    at = 0
+    for (place,) in struct.iter_unpack("<Q", places):
+        end = at + ENTRY.size + int.from_bytes(records[at + 28 : at + 30], "little")
+        if (place := place + base) < 0xFFFFFFFF:
+            yield records[at : at + 42] + place.to_bytes(4, "little") + records[at + 46 : end]
+        else:
+            yield records[at : at + 30] + b"\x0c\0" + records[at + 32 : at + 42] + b"\xff" * 4 + records[at + 46 : end] + struct.pack("<2HQ", 1, 8, place)
+        at = end
+
+
+def _end(n: int, at: int, length: int) -> bytes:
+    """What stands after a directory of n records in `length` bytes from `at` on."""
+    large = END64.pack(b"PK\6\6", END64.size - 12, 45, 45, 0, 0, n, n, length, at) + PLACE64.pack(b"PK\6\7", 0, at + length, 1) if n >= 0xFFFF or at + length >= 0xFFFFFFFF else b""
+    return large + END.pack(b"PK\5\6", 0, 0, min(n, 0xFFFF), min(n, 0xFFFF), min(length, 0xFFFFFFFF), min(at, 0xFFFFFFFF), 0)
+
+
+def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A task's entries (archive, entry, content), packed: pieces of their archives, and of the directories (with the places in the part)."""
+    part, name, k, at = TaskContext.get().partitionId(), None, 0, 0
+    packed, records, places = bytearray(), bytearray(), bytearray()
+
+    def pieces(least: int) -> Iterator[pd.DataFrame]:
+        nonlocal k
+        out = []
+        if len(packed) >= least:
+            out += [(False, bytes(packed[i : i + PART]), b"") for i in range(0, len(packed), PART)]
+            packed.clear()
+        if len(records) >= least:
+            out.append((True, bytes(records), bytes(places)))
+            records.clear()
+            places.clear()
+        if out:
+            yield pd.DataFrame([(name, directory, part, k + i, piece, where) for i, (directory, piece, where) in enumerate(out)], columns=["archive", "directory", "part", "k", "piece", "places"])
+            k += len(out)
+
+    for pdf in batches:
+        for archive, entry, content in pdf.itertuples(index=False):
+            if archive != name:
+                yield from pieces(1)
+                name, at = archive, 0
+            own, record = _packed(entry, content or b"")
+            packed += own
+            records += record
+            places += at.to_bytes(8, "little")
+            at += len(own)
+            yield from pieces(PART)
+    yield from pieces(1)
+
+
 def write_archives(entries: DataFrame, folder: str) -> DataFrame:
     """Writes archive, entry and content (text or bytes) as zip archives to a shared folder; returns path and number of entries of each.
 
-    An archive is written by one task, entry by entry, under a name of its own that it gives up when complete, so a task may run again.
+    Entries are packed by all tasks, in ranges of their order; what is packed goes to one task an archive, which only writes it out one piece
+    after the other, under a name of its own that it gives up when complete, so a task may run again.
     """
     rows = entries.select("archive", "entry", F.col("content").cast("binary").alias("content"))
-    dealt = rows.repartition("archive").sortWithinPartitions("archive", "entry")
+    packed = rows.repartitionByRange("archive", "entry").sortWithinPartitions("archive", "entry").mapInPandas(_parts, "archive string, directory boolean, part int, k int, piece binary, places binary")
+    dealt = packed.repartition("archive").sortWithinPartitions("archive", "directory", "part", "k")
     base = folder if ":" in folder else f"file://{folder}"
 
     def run(batches):
-        system, at = fs.FileSystem.from_uri(base)
-        system.create_dir(at, recursive=True)
-        done, z, out, name, part, n = [], None, None, None, "", 0
+        system, to = fs.FileSystem.from_uri(base)
+        system.create_dir(to, recursive=True)
+        done, out, name, own, n, at, begin, bases = [], None, None, "", 0, 0, None, {}
 
         def close():
-            z.close()
+            out.write(_end(n, at if begin is None else begin, 0 if begin is None else at - begin))
             out.close()
-            system.move(part, posixpath.join(at, name))
+            system.move(own, posixpath.join(to, name))
             done.append((f"{base}/{name}", n))
 
         for pdf in batches:
-            for archive, entry, content in pdf.itertuples(index=False):
+            for archive, directory, part, _, piece, places in pdf.itertuples(index=False):
                 if archive != name:
-                    if z:
+                    if out:
                         close()
-                    name, n, part = archive, 0, posixpath.join(at, f".{uuid.uuid4().hex}")
-                    out = system.open_output_stream(part)
-                    z = _Written(out)
-                z.writestr(entry, content or b"")
-                n += 1
-        if z:
+                    name, n, at, begin, bases, own = archive, 0, 0, None, {}, posixpath.join(to, f".{uuid.uuid4().hex}")
+                    out = system.open_output_stream(own)
+                bases.setdefault(part, at)
+                if directory:
+                    begin = at if begin is None else begin
+                    n += len(places) // 8
+                    piece = b"".join(_placed(piece, places, bases[part]))
+                out.write(piece)
+                at += len(piece)
+        if out:
             close()
         yield pd.DataFrame(done, columns=["path", "entries"])
 

@@ -8,7 +8,7 @@ import random
 import time
 import tracemalloc
 import zipfile
-from io import StringIO
+from io import BytesIO, StringIO
 
 import numpy as np
 import pytest
@@ -528,3 +528,33 @@ def test_incremental_stream_sees_each_file_once(spark, tmp_path):
         (folder / f"{k}.zip").write_bytes(b"x")
         incremental.run_once(incremental.new_files(spark, str(folder)), str(tmp_path / "cp"), lambda df, n: seen.append(df.count()))
     assert [n for n in seen if n] == [1, 1]
+
+
+def test_an_archive_is_packed_and_listed_by_many_tasks(spark, tmp_path, monkeypatch):
+    """No task packs a whole archive, and no split passes over a whole directory; what comes out is as zipfile has it, places over 4 GB too."""
+    names = [f"P_2_{k:08d}_{'é' if k % 2 else 'e'}.html" for k in range(3000)]
+    data = [(f"A{k % 2}.zip", name, None if k % 5 == 0 else random.Random(k).randbytes(400)) for k, name in enumerate(names)] + [("A1.zip", "large.html", random.Random(1).randbytes(3 << 20))]
+    df = spark.createDataFrame(data, "archive string, entry string, content binary").repartition(5)
+    parts = df.repartitionByRange(6, "archive", "entry").sortWithinPartitions("archive", "entry").mapInPandas(zips._parts, "archive string, directory boolean, part int, k int, piece binary, places binary")
+    assert parts.where("archive = 'A1.zip'").select("part").distinct().count() > 2 and parts.agg(F.max(F.length("piece"))).first()[0] <= zips.PART
+    assert rows(zips.write_archives(df, str(tmp_path)).select("entries")) == [(1500,), (1501,)]
+    for archive in ("A0.zip", "A1.zip"):
+        with zipfile.ZipFile(tmp_path / archive) as z:
+            assert z.testzip() is None and {n: z.read(n) for n in z.namelist()} == {n: c or b"" for a, n, c in data if a == archive}
+            assert z.namelist() == sorted(z.namelist()) and len(z.namelist()) == len(set(z.namelist()))
+    archives = zips.Archives(io.list_archives(spark, str(tmp_path)), size=100_000)
+    assert rows(archives.read(archives.entries()).select(F.regexp_extract("archive", "A.\\.zip", 0), "entry", "content")) == rows(spark.createDataFrame([(a, n, c or b"") for a, n, c in data], "a string, b string, c binary"))
+    (path,) = (p for p, _ in archives.files if p.endswith("A0.zip"))
+    known = [s for s in zips.ZipReader({"archives": json.dumps(archives.files), "size": "100000", "stretches": json.dumps(archives.stretches)}).partitions() if s.path == path]
+    assert len(known) > 4 and sum(s.stretch[1] for s in known) == zips._directory_of(zips._file(path))[1] and max(s.stretch[1] for s in known) < 40_000
+    (name, place) = ("x" * 9, 5 << 30)
+    record = b"".join(zips._placed(zips._packed(name, b"abc")[1], (7).to_bytes(8, "little"), place))
+    end = zips._end(1, place + 100, len(record))
+    assert len(end) > zips.END.size and zips._end(70_000, 0, 5).startswith(b"PK\6\6")
+    ((_, entry),) = zips._records(BytesIO(record), 0, len(record), 0)
+    assert entry[0] == name and entry[-1] == place + 7 and entry[5] == 3
+    raw = bytearray((tmp_path / "A0.zip").read_bytes())
+    raw[raw.rindex(b"PK\1\2")] = 0  # the directory's last entry
+    (tmp_path / "A0.zip").write_bytes(raw)
+    got = zips.Archives(io.list_archives(spark, str(tmp_path)), size=100_000).entries().where("archive LIKE '%A0.zip'").collect()
+    assert [r.entry for r in got] == [None] and got[0].error.startswith("not an archive")
