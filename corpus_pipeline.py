@@ -18,11 +18,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiscope.llm import decontaminate, jaccard, langid, linededup, pieces
-from regiscope.llm.common import join_by_count, materialise, shared_dir
+from regiscope.llm.common import in_small_batches, join_by_count, materialise, shared_dir
 from regiscope.llm.queries import fold, model_path, table
 
 
@@ -33,9 +33,13 @@ def _free(docs: DataFrame, name: str) -> str:
     return name
 
 
+def _key() -> Column:
+    return F.xxhash64("doc_id", "text").alias("key")
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     """key (a hash of doc_id and text), doc_id, text, and the whole row."""
-    return docs.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    return docs.select(_key(), "doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
 
 
 def _without(keyed: DataFrame, docs: DataFrame, keys: DataFrame) -> DataFrame:
@@ -45,14 +49,14 @@ def _without(keyed: DataFrame, docs: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = langid.train(docs.where(fold(3) != 1).select("doc_id", "text", "lang"))
-    keyed = _keyed(docs)
-    return _without(keyed, docs, _rejected(keyed, model))
+    read = in_small_batches(docs.select(_key(), "doc_id", "text", "lang"))
+    model = langid.train(read.where(fold(3) != 1).select("doc_id", "text", "lang"))
+    return _without(_keyed(docs), docs, _rejected(read, model, docs.sparkSession))
 
 
-def _rejected(keyed: DataFrame, model: langid.Model) -> DataFrame:
+def _rejected(keyed: DataFrame, model: langid.Model, spark: SparkSession) -> DataFrame:
     named = langid.identify(keyed.select(F.col("key").alias("doc_id"), "text"), model)
-    return materialise(named.where("rejected").select(F.col("doc_id").alias("key")).distinct())
+    return materialise(named.where("rejected").select(F.col("doc_id").alias("key")).distinct(), spark)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,22 +71,24 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group one row's (doc_id, text) stays: the smallest doc_id, of its texts the one with the smallest hash. Equal rows stay together."""
     keyed = _keyed(docs)
-    named = keyed.where("doc_id IS NOT NULL").select("key", "doc_id", "text")
+    named = in_small_batches(keyed.where("doc_id IS NOT NULL").select("key", "doc_id", "text"))
     groups = jaccard.near_duplicates(named.select(F.col("key").alias("doc_id"), "text")).where("n_shingles > 0")
     groups = materialise(groups.select(F.col("doc_id").alias("key"), "component_id").distinct().join(named.select("key", "doc_id").distinct(), "key"))
     first = groups.groupBy("component_id").agg(F.min_by("key", F.struct("doc_id", "key")).alias("first"), F.count("*").alias("n")).where("n > 1")
     later = join_by_count(groups, materialise(first), ["component_id"]).where("key <> first").select("key")
-    return _without(keyed, docs, materialise(later))
+    return _without(keyed, docs, materialise(later, docs.sparkSession))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed = _keyed(docs)
-    found = decontaminate.contamination(keyed, table(spark, sf_dir, "benchmark"), doc_id="key")
-    return _without(keyed, docs, materialise(found.where("contaminated").select(F.col("doc_id").alias("key")).distinct()))
+    read = in_small_batches(keyed.select("key", "text"))
+    found = decontaminate.contamination(read, table(read.sparkSession, sf_dir, "benchmark"), doc_id="key")
+    return _without(keyed, docs, materialise(found.where("contaminated").select(F.col("doc_id").alias("key")).distinct(), docs.sparkSession))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pieces.encode_decode(docs, model_path())
+    read = in_small_batches(docs.select("doc_id", "text"))
+    return materialise(pieces.encode_decode(read, model_path()), docs.sparkSession)
 
 
 STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("near_duplicates", near_duplicates), ("decontaminate", decontaminated), ("encode", encode)]

@@ -84,12 +84,32 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder once and read it back: cuts lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/regiscope-{uuid.uuid4().hex}"
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """df as a table of a session of its own, with the caller's settings but for the size of Arrow batches: at most ROWS rows or about BYTES bytes.
+
+    Outside the JVM's heap a task holds a batch three times or more, and its Python worker once. The caller's session stays as it is;
+    what is made from the table belongs to the other session, and `materialise` brings it back.
+    """
+    spark, name = df.sparkSession, f"regiscope_{uuid.uuid4().hex}"
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.get(key, None) != value:
+            own.conf.set(key, value)
+    rows = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(min(ROWS, rows) if rows > 0 else ROWS))
+    own.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES))
+    df.withColumn(name, F.lit(0)).createGlobalTempView(name)  # with a column of its own it is no plan that the caller has cached, which would go with the view
+    try:
+        return own.table(f"{spark.conf.get('spark.sql.globalTempDatabase')}.{name}").drop(name)
+    finally:
+        spark.catalog.dropGlobalTempView(name)
+
+
+def materialise(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
+    """Write df to the shared folder once and read it back, by another session if one is given: cuts lineage and survives lost executors."""
+    path = f"{shared_dir(df.sparkSession)}/regiscope-{uuid.uuid4().hex}"
     df.write.option("compression", "lz4").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
+    out = (spark or df.sparkSession).read.schema(df.schema).parquet(path)
     out.scratch = path
     return out
 

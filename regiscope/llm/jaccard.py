@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regiscope.llm.common import SPACED, _MULT, connected_components, gram_hashes, hash_words, join_by_count, materialise, mix, small, utf8
+from regiscope.llm.common import SPACED, _MULT, connected_components, gram_hashes, hash_words, join_by_count, materialise, mix, release, small, utf8
 
 WIDTH = 5
 PERCENT = 75
@@ -350,8 +350,11 @@ def _blocks(docs: DataFrame, percent: int, sample: float) -> tuple[DataFrame, Da
 
     homed = sets.withColumn("home", F.pandas_udf(home, "int")("s1")).select("home", "s1", "n", "m")
     shared = _shared_shingles(described.where("bucket IS NOT NULL").select("bucket", "n", "tokens", "owners"), buckets)
-    links = shared.groupBy("home").cogroup(homed.groupBy("home")).applyInPandas(_links(percent, sample), "a long, b long")
-    return meta, sets, materialise(connected_components(links).select(F.col("node").alias("s1"), F.col("label").alias("block")))
+    # written, as stars are made in Python too: a task would take two workers, and both stay
+    links = materialise(shared.groupBy("home").cogroup(homed.groupBy("home")).applyInPandas(_links(percent, sample), "a long, b long"))
+    blocks = materialise(connected_components(links).select(F.col("node").alias("s1"), F.col("label").alias("block")))
+    release(links)
+    return meta, sets, blocks
 
 
 def _ids(df: DataFrame, limit: int = BLOCKS_BROADCAST) -> DataFrame:

@@ -907,3 +907,70 @@ def test_components_of_few_edges_need_no_rounds(spark, monkeypatch):
     assert common.connected_components(df.limit(0)).count() == 0
     monkeypatch.setattr(common, "EDGES", 40)
     assert {r.node: r.label for r in common.connected_components(df).collect()} == want and len(written) > 6
+
+
+def python_in_one_stage(plan):
+    """The most Python operators that a path through a physical plan has without an exchange between them."""
+    most, path = 0, []
+    for line in plan.split("\n"):
+        name = re.search(r"[A-Za-z]\w*", re.sub(r"\*\s*\(\d+\)", "", line))
+        if not name:
+            continue
+        depth = re.search(r"[A-Za-z*]", line).start()
+        path = [x for x in path if x[0] < depth]
+        before = path[-1][1] if path else 0
+        path.append((depth, 0 if "Exchange" in name[0] else before + bool(re.search("Python|Pandas|InArrow", name[0]))))
+        most = max(most, path[-1][1])
+    return most
+
+
+def test_no_task_of_the_join_takes_two_workers(spark, monkeypatch):
+    write, seen = common.materialise, []
+
+    def spied(df, *args):
+        seen.append(python_in_one_stage(df._jdf.queryExecution().executedPlan().toString()))
+        return write(df, *args)
+
+    monkeypatch.setattr(common, "materialise", spied)
+    monkeypatch.setattr(jaccard, "materialise", spied)
+    chain = spark.range(3).select(F.col("id").alias("a")).mapInArrow(lambda b: b, "a long")
+    assert python_in_one_stage(chain.mapInArrow(lambda b: b, "a long")._jdf.queryExecution().executedPlan().toString()) == 2
+    jaccard.near_duplicates(queries.table(spark, DIR, "documents")).count()
+    assert max(seen) == 1
+
+
+def test_small_batches_in_a_session_of_its_own(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([b.num_rows], pa.int32()), "mb": pa.array([b.nbytes >> 20], pa.int32())})
+
+    docs = spark.range(0, 4000, 1, 1).select(F.col("id").alias("doc_id"), F.expr("repeat('x', if(id < 2500, 10, 100000))").alias("text")).cache()
+    spark.conf.set("regiscope.test", "kept")
+    try:
+        before = dict(spark.conf.getAll)
+        whole = docs.mapInArrow(sizes, "n int, mb int").collect()
+        own = common.in_small_batches(docs)
+        assert own.sparkSession.conf.get("regiscope.test") == "kept" and own.columns == docs.columns
+        got = common.materialise(own.mapInArrow(sizes, "n int, mb int"), spark)
+        assert got.sparkSession is spark and dict(spark.conf.getAll) == before and docs.is_cached and "InMemoryTableScan" in docs._jdf.queryExecution().executedPlan().toString()
+        rows = got.collect()
+        assert sum(r.n for r in rows) == 4000 and max(r.n for r in rows) <= common.ROWS and max(r.mb for r in rows) <= 5 < max(r.mb for r in whole)
+        assert not [t for t in spark.catalog.listTables("global_temp") if t.name.startswith("regiscope_")]
+    finally:
+        spark.conf.unset("regiscope.test")
+        docs.unpersist()
+
+
+def test_stages_run_python_on_small_batches(spark, monkeypatch):
+    """Every Python step of a stage gets its rows in small batches; what a stage gives belongs to the caller's session."""
+    seen = []
+    for module, name in ((langid, "train"), (langid, "identify"), (jaccard, "near_duplicates"), (decontaminate, "contamination"), (pieces, "encode_decode")):
+        def spied(df, *args, f=getattr(module, name), name=name, **more):
+            seen.append((name, df.sparkSession.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")))
+            return f(df, *args, **more)
+
+        monkeypatch.setattr(module, name, spied)
+    docs = queries.table(spark, DIR, "documents").limit(100)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, DIR).sparkSession is spark
+    assert seen == [(n, str(common.ROWS)) for n in ("train", "identify", "near_duplicates", "contamination", "encode_decode")]
